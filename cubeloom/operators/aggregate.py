@@ -148,7 +148,7 @@ class AggregateOps(CubeBase):
 
     def polygonal_histogram_timeseries(self, polygon) -> DataFrame:
         """How often each value occurs per geometry, other labels and band, in long form."""
-        long = self.to_long()
+        long = self.to_values()
         x, y = long.schema.xy
         keys = ["geom_id", *long.schema.others(x, y), "value"]
         return pixel_hits(long, polygon).where(F.col("value").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

@@ -14,7 +14,7 @@ def cube_differences(actual, expected, rtol: float = 1e-6, atol: float = 1e-6) -
     """
     if actual.schema.dim_names != expected.schema.dim_names or actual.schema.values != expected.schema.values:
         raise ValueError(f"cubes differ in shape: {actual.schema.all_names}, {expected.schema.all_names}")
-    a, e = actual.to_long(), expected.to_long()
+    a, e = actual.to_values(), expected.to_values()
     dims = a.schema.dim_names
     value = a.schema.values[0]
     left = a.df.select(*dims, F.col(value).cast("double").alias("__a"))
@@ -42,7 +42,7 @@ def assert_cubes_close(actual, expected, rtol: float = 1e-6, atol: float = 1e-6,
     ``pixel_tolerance`` is the share of differing pixels, in percent, that may be ignored.
     """
     issues = cube_differences(actual, expected, rtol, atol)
-    total = expected.to_long().df.select(F.count("value")).first()[0] if pixel_tolerance else 0
+    total = expected.to_values().df.select(F.count("value")).first()[0] if pixel_tolerance else 0
     bad = issues.agg(F.sum("diff_count")).first()[0] or 0
     if bad and not (pixel_tolerance and bad * 100.0 / max(total, 1) <= pixel_tolerance):
         worst = issues.orderBy(F.desc("diff_max")).limit(10).collect()

@@ -182,6 +182,12 @@ class DimOps(CubeBase):
             schema.dim_names, schema.values, schema.band_dim, value)
         return self._new(df, replace(schema, bands=(Band(value),), band_dim=None).with_dim(Dim(schema.band_dim, "bands")))
 
+    def to_values(self):
+        """The cube with its only value column named ``value``, bands as labels."""
+        long = self.to_long()
+        return long if long.schema.values == ["value"] else self._new(
+            long.df.withColumnRenamed(long.schema.values[0], "value"), long.schema.single())
+
     def to_wide(self, dimension: str, labels: list[str]):
         """Labels of a key column as bands; the labels are named, so no extra pass finds them."""
         rest = self.schema.without(dimension)

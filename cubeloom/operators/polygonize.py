@@ -46,10 +46,10 @@ class PolygonizeOps(CubeBase):
     def raster_to_vector(self) -> DataFrame:
         """Outline segments of each area of equal, 4-connected pixels.
 
-        One row per straight run of the outline: ``feature_id, value, ax, ay, bx, by`` plus
-        the other dimensions and the band. Null pixels belong to no area.
+        One row per pixel side on an outline: ``feature_id, value, x1, y1, x2, y2`` plus the
+        other dimensions and the band. Null pixels belong to no area.
         """
-        long = self.to_long()
+        long = self.to_values()
         schema = long.schema
         x, y = schema.xy
         sx, sy = schema.dim(x).step or 1.0, schema.dim(y).step or 1.0
@@ -81,4 +81,4 @@ class PolygonizeOps(CubeBase):
         ).agg(F.count(F.lit(1)).alias("n"), F.first("value").alias("value"), F.first("s").alias("s")).where("n = 1")
         return rim.select(
             *others, F.concat_ws(":", F.col("component.plane"), F.col("component.n").cast("string")).alias("feature_id"),
-            "value", *[F.col(f"s.{c}").alias(c) for c in ("ax", "ay", "bx", "by")])
+            "value", *[F.col(f"s.{c}").alias(n) for c, n in (("ax", "x1"), ("ay", "y1"), ("bx", "x2"), ("by", "y2"))])

@@ -123,7 +123,7 @@ class UdfOps(CubeBase):
     def reduce_bands_udf(self, fn, name: str = "value"):
         """User reducer along the bands: a function of one pandas Series per band, Arrow batches."""
         values = self.schema.values
-        udf = F.pandas_udf(fn, "double")
+        udf = F.pandas_udf(_typed_map(fn), "double")
         df = self.df.withColumn(name, udf(*[F.col(v).cast("double") for v in values]))
         return self._new(df, self.schema.single(name))
 
@@ -136,6 +136,13 @@ class UdfOps(CubeBase):
         return self._new(out, self.schema.without(t))
 
 
+def _typed_map(fn):
+    def combine(*bands: pd.Series) -> pd.Series:
+        return fn(*bands)
+
+    return combine
+
+
 def _typed_reducer(fn):
     def reduce(v: pd.Series) -> float:
         return float(fn(v))
@@ -163,6 +170,7 @@ def _find(udf) -> dict:
 def apply_vectorcube(zonal, fn, schema, batch: int = 64, context: dict | None = None) -> DataFrame:
     """User function on (geometries, values), both pandas frames, per batch of geometries."""
     geoms = zonal.geometries.df.select("geom_id", "geom_type", "minx", "miny", "maxx", "maxy", *zonal.geometries.properties)
+    geoms = geoms.toDF(*geoms.columns)  # new column identities: both sides stem from one table
     values = zonal.df.withColumn("__batch", F.floor(F.col("geom_id") / batch))
     geoms = geoms.withColumn("__batch", F.floor(F.col("geom_id") / batch))
     ctx = context or {}

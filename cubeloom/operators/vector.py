@@ -67,11 +67,16 @@ class Geometries:
         """
         if relation not in ("intersects", "within", "disjoint"):
             raise ValueError(f"unknown relation {relation!r}")
-        # cells of about the mean size of the base boxes, at most some 100 per mean box
-        size = self.df.agg(F.greatest(F.avg(F.col("maxx") - F.col("minx")), F.avg(F.col("maxy") - F.col("miny")), F.lit(1e-9)).alias("s"))
+        # cells of about the mean box size, but never more than 1024 along the extent of the base,
+        # so that one large geometry among small ones does not cover too many cells
+        def mean_box(df: DataFrame) -> Column:
+            return df.agg(F.greatest(F.avg(F.col("maxx") - F.col("minx")), F.avg(F.col("maxy") - F.col("miny")), F.lit(0.0)).alias("s")).scalar()
+
+        extent = geometries.df.agg(F.greatest(F.max("maxx") - F.min("minx"), F.max("maxy") - F.min("miny")).alias("e")).scalar()
+        size = F.greatest(mean_box(self.df), mean_box(geometries.df), extent / 1024, F.lit(1e-9))
 
         def cells(df: DataFrame) -> DataFrame:
-            sized = df.where(F.col("minx").isNotNull()).withColumn("__s", size.scalar())
+            sized = df.where(F.col("minx").isNotNull()).withColumn("__s", size)
             for name, low, high in (("__tx", "minx", "maxx"), ("__ty", "miny", "maxy")):
                 sized = sized.withColumn(name, F.explode(F.sequence(F.floor(F.col(low) / F.col("__s")), F.floor(F.col(high) / F.col("__s")))))
             return sized
