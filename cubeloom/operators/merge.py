@@ -151,7 +151,8 @@ class MergeOps(CubeBase):
             known = F.when(good, cell)
             runs[f"__p_{v}"] = sc.Running(F.max, known, lambda c, l: F.coalesce(l, c))
             runs[f"__n_{v}"] = sc.Running(F.min, known, lambda c, l: F.coalesce(l, c), forward=False)
-        found = sc.scan(series, keys, t, runs).where("__goal")
+        plain = sc.few_labels(self.df, t) and sc.few_labels(target.df, t)
+        found = sc.scan(series, keys, t, runs, plain).where("__goal")
 
         def nearest(v: str) -> Column:
             before, after = F.col(f"__p_{v}"), F.col(f"__n_{v}")

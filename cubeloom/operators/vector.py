@@ -194,7 +194,7 @@ class Geometries:
         # smallest try numbers win: a bounded top-n per geometry by value, found range-wise
         from ..plans.scan import running_sum, scan
 
-        ranked = scan(tries.select("geom_id", "__want", "__n", "p"), ["geom_id"], "__n", {"__r": running_sum(F.lit(1).cast("long"))})
+        ranked = scan(tries.select("geom_id", "__want", "__n", "p"), ["geom_id"], "__n", {"__r": running_sum(F.lit(1).cast("long"))}, plain=False)
         points = ranked.where(F.col("__r") <= F.col("__want")).select("geom_id", "p")
         return self._points(points.distinct(), group)
 

@@ -1,10 +1,12 @@
-"""Ordered scans that do not put one key into one task.
+"""Ordered scans that do not put one unbounded key into one task.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sorts the whole series of a key in one
-task; a key with a third of all rows then bounds the job. Here the order column is cut
-into ranges of about equal row counts (a mergeable quantile sketch gives the cuts), the
-window runs per (key, range), one summary row per (key, range) is carried forward, and
-both are put together. No task sees more of one key than one range holds.
+task. Cells of a cube are unique, so a series has at most as many rows as the dimension
+has labels: where a count of the labels shows that bound to be small, the plain window is
+used. Otherwise the order column is cut into ranges of about equal row counts (a mergeable
+quantile sketch gives the cuts), the window runs per (key, range), one summary row per
+(key, range) is carried forward, and both are put together. Then no task sees more of one
+key than one range holds, even if that key has a third of all rows.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "__chunk"
+PLAIN_LABELS = 100_000  # longest series that may be sorted in one task
 
 
 def range_count(df: DataFrame) -> int:
@@ -66,6 +69,15 @@ def with_chunk(df: DataFrame, order: str, ranges: int | None = None) -> DataFram
     )
 
 
+def few_labels(df: DataFrame, *columns: str) -> bool:
+    """Whether each column has so few distinct values that one series fits a task.
+
+    A sketch of the columns alone is computed now; only the counts come to the driver.
+    """
+    row = df.select(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    return all(n <= PLAIN_LABELS for n in row)
+
+
 @dataclass(frozen=True)
 class Running:
     """One running value.
@@ -116,9 +128,22 @@ def next_known(value: Column, order: Column) -> Running:
 
 
 def scan(
-    df: DataFrame, keys: list[str], order: str, runs: dict[str, Running], ranges: int | None = None
+    df: DataFrame, keys: list[str], order: str, runs: dict[str, Running], plain: bool | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Add one column per running value to ``df``."""
+    """Add one column per running value to ``df``.
+
+    ``plain`` is the outcome of a label count made before; without it the count is made here.
+    """
+    if few_labels(df, order) if plain is None else plain:
+        w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(order)
+        frames = {
+            "before": w.rowsBetween(Window.unboundedPreceding, 0), "after": w.rowsBetween(0, Window.unboundedFollowing),
+            "all": Window.partitionBy(*(keys or [F.lit(0)])),
+        }
+        return df.select("*", *[
+            r.window(r.value).over(frames["all" if r.total else "before" if r.forward else "after"]).alias(n)
+            for n, r in runs.items()])
     rows = with_chunk(df, order, ranges)
     rows = rows.withColumns({f"__v_{n}": r.value for n, r in runs.items()})
     part = Window.partitionBy(*keys, CHUNK).orderBy(order)
@@ -149,9 +174,10 @@ def scan(
     return joined.select(*df.columns, *[c.alias(n) for n, c in out.items()])
 
 
-def with_position(df: DataFrame, keys: list[str], order: str, name: str = "__pos", total: str | None = None):
+def with_position(df: DataFrame, keys: list[str], order: str, name: str = "__pos", total: str | None = None,
+                  plain: bool | None = None) -> DataFrame:
     """Add the 0-based position in the series of each key (and its length)."""
     runs = {"__rank": running_sum(F.lit(1).cast("long"))}
     if total:
         runs[total] = total_sum(F.lit(1).cast("long"))
-    return scan(df, keys, order, runs).withColumn(name, F.col("__rank") - 1).drop("__rank")
+    return scan(df, keys, order, runs, plain).withColumn(name, F.col("__rank") - 1).drop("__rank")

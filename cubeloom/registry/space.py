@@ -165,9 +165,12 @@ def _(t):
     return plots(t, ("Polygon",)).filter_vector(_base(t), "disjoint").df.select("geom_id")
 
 
-@query("filter_vector_within", f"""SELECT a.geom_id FROM {_PLOT} a WHERE k = 2 AND EXISTS (SELECT 1 FROM {_PLOT} b WHERE b.k = 0 AND b.x <= a.x + 10 AND a.x + 10 <= b.x + b.w AND b.y <= a.y + 20 AND a.y + 20 <= b.y + 75)""")
+@query("filter_vector_within", f"""SELECT a.geom_id FROM {_PLOT} a WHERE k = 2 AND EXISTS (SELECT 1 FROM {_PLOT} b WHERE b.k = 0 AND b.x - 100 <= a.x + 10 AND a.x + 10 <= b.x - 100 + b.w AND b.y <= a.y + 20 AND a.y + 20 <= b.y + 75)""")
 def _(t):
-    return plots(t, ("Point",)).filter_vector(plots(t, ("Polygon",)), "within").df.select("geom_id")
+    g = plots(t, ("Polygon",))
+    west = F.transform("parts", lambda r: F.transform(r, lambda p: F.struct((p["x"] - 100).alias("x"), p["y"].alias("y"))))
+    moved = Geometries(g.df.select("geom_id", "geom_type", west.alias("parts")), g.crs)
+    return plots(t, ("Point",)).filter_vector(moved, "within").df.select("geom_id")
 
 
 @query("vector_buffer", """SELECT 1::BIGINT AS geom_id, t, count(B04) AS B04 FROM (SELECT x + 0.25 AS px, y + 0.25 AS py, t, B04 FROM cube_wide) c
