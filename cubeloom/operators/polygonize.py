@@ -16,28 +16,31 @@ from .base import CubeBase
 
 
 def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``id -> component`` (the smallest id of the component) for links ``a, b``."""
-    label = cut_lineage(nodes.select("id", F.col("id").alias("node")))
-    links = cut_lineage(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    turn = 0
+    """``id -> component`` (the smallest id of the component) for links ``a, b`` named once each."""
+    links = cut_lineage(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    moves: list[DataFrame] = []
     while not links.isEmpty():
-        turn += 1
+        turn = len(moves)
 
-        def scrambled(c: str, salt: int = turn):
-            return F.struct(F.xxhash64(F.col(c), F.lit(salt)).alias("h"), F.col(c).alias("n"))
+        def scrambled(c: str):
+            return F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("h"), F.col(c).alias("n"))
 
         best = links.groupBy("a").agg(F.min(scrambled("b")).alias("m"))
         move = cut_lineage(best.select("a", F.least(F.col("m"), scrambled("a"))["n"].alias("to")))
-        # a node may have moved to one that moved on itself: follow one more step
-        step = move.select(F.col("a").alias("to"), F.col("to").alias("next"))
-        move = move.join(step, "to", "left").select("a", F.coalesce("next", "to").alias("to"))
-        label = cut_lineage(
-            label.join(move.select(F.col("a").alias("node"), "to"), "node", "left")
-            .select("id", F.coalesce("to", "node").alias("node")))
         links = cut_lineage(
             links.join(move, "a").select(F.col("to").alias("x"), "b")
             .join(move.select(F.col("a").alias("b"), "to"), "b").select(F.col("x").alias("a"), F.col("to").alias("b"))
             .where("a <> b").distinct())
+        moves.append(move)
+    if not moves:
+        return nodes.select("id", F.col("id").alias("component"))
+    # put the moves together from the last (smallest) to the first
+    whole = moves[-1]
+    for move in reversed(moves[:-1]):
+        later = whole.select(F.col("a").alias("to"), F.col("to").alias("end"))
+        whole = move.join(later, "to", "left").select("a", F.coalesce("end", "to").alias("to"))
+    label = cut_lineage(nodes.select("id").join(whole.withColumnRenamed("a", "id"), "id", "left").select(
+        "id", F.coalesce("to", "id").alias("node")))
     smallest = label.groupBy("node").agg(F.min("id").alias("component"))
     return label.join(smallest, "node").select("id", "component")
 

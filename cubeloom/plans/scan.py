@@ -127,6 +127,11 @@ def next_known(value: Column, order: Column) -> Running:
     return Running(F.min, known, lambda c, l: F.coalesce(l, c), forward=False)
 
 
+def _running_frame(part, order: Column, last: int = 0):
+    """Rows so far. Backward runs sort the other way: a frame that ends unbounded costs n squared."""
+    return part.orderBy(order).rowsBetween(Window.unboundedPreceding, last)
+
+
 def scan(
     df: DataFrame, keys: list[str], order: str, runs: dict[str, Running], plain: bool | None = None,
     ranges: int | None = None,
@@ -136,19 +141,15 @@ def scan(
     ``plain`` is the outcome of a label count made before; without it the count is made here.
     """
     if few_labels(df, order) if plain is None else plain:
-        w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(order)
-        frames = {
-            "before": w.rowsBetween(Window.unboundedPreceding, 0), "after": w.rowsBetween(0, Window.unboundedFollowing),
-            "all": Window.partitionBy(*(keys or [F.lit(0)])),
-        }
+        part = Window.partitionBy(*(keys or [F.lit(0)]))
+        frames = {"before": _running_frame(part, F.asc(order)), "after": _running_frame(part, F.desc(order)), "all": part}
         return df.select("*", *[
             r.window(r.value).over(frames["all" if r.total else "before" if r.forward else "after"]).alias(n)
             for n, r in runs.items()])
     rows = with_chunk(df, order, ranges)
     rows = rows.withColumns({f"__v_{n}": r.value for n, r in runs.items()})
-    part = Window.partitionBy(*keys, CHUNK).orderBy(order)
-    before = part.rowsBetween(Window.unboundedPreceding, 0)
-    after = part.rowsBetween(0, Window.unboundedFollowing)
+    part = Window.partitionBy(*keys, CHUNK)
+    before, after = _running_frame(part, F.asc(order)), _running_frame(part, F.desc(order))
     local = rows.withColumns(
         {f"__l_{n}": r.window(F.col(f"__v_{n}")).over(before if r.forward else after)
          for n, r in runs.items() if not r.total}
@@ -157,10 +158,8 @@ def scan(
         *[(r.summary or r.window)(F.col(f"__v_{n}")).alias(f"__s_{n}") for n, r in runs.items()]
     )
     # at most one row per key and range from here on
-    cpart = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(CHUNK)
-    cbefore = cpart.rowsBetween(Window.unboundedPreceding, -1)
-    cafter = cpart.rowsBetween(1, Window.unboundedFollowing)
-    call = cpart.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    call = Window.partitionBy(*(keys or [F.lit(0)]))
+    cbefore, cafter = _running_frame(call, F.asc(CHUNK), -1), _running_frame(call, F.desc(CHUNK), -1)
     carry = sums.select(
         *keys, CHUNK,
         *[r.window(F.col(f"__s_{n}")).over(call if r.total else cbefore if r.forward else cafter).alias(f"__c_{n}")
