@@ -37,7 +37,11 @@ def normalize_longitudes(west: float, east: float) -> tuple[float, float]:
     return (west + 180) % 360 - 180, 180 - (180 - east) % 360
 
 
-def bbox_condition(box: dict, x: str, y: str, z: str | None = None) -> Column:
+def _between(name: str, low, high) -> Column:
+    return (F.col(name) >= low) & (F.col(name) <= high)
+
+
+def bbox_condition(box: dict, x: str, y: str, z: str | None = None, between=_between) -> Column:
     """Pixel-centre test for a box; longitudes are cyclic, so east may lie left of west."""
     west, east = box["west"], box["east"]
     cyclic = box.get("crs") == 4326
@@ -46,8 +50,8 @@ def bbox_condition(box: dict, x: str, y: str, z: str | None = None) -> Column:
     if cyclic and east < west:
         inside_x = (F.col(x) >= west) | (F.col(x) <= east)
     else:
-        inside_x = (F.col(x) >= west) & (F.col(x) <= east)
-    cond = inside_x & (F.col(y) >= box["south"]) & (F.col(y) <= box["north"])
+        inside_x = between(x, west, east)
+    cond = inside_x & between(y, box["south"], box["north"])
     if z and "base" in box:
         cond = cond & (F.col(z) >= box["base"])
     if z and "height" in box:
@@ -114,7 +118,7 @@ class FilterOps(CubeBase):
             from .projection import bbox_to
 
             box = bbox_to(box, source)
-        return self._new(self.df.where(bbox_condition(box, x, y, z)))
+        return self._new(self.df.where(bbox_condition(box, x, y, z, self._between)))
 
     def filter_spatial(self, geometries):
         """Limit to the bounding box of all geometries; pixels inside it stay as they are."""
@@ -122,7 +126,7 @@ class FilterOps(CubeBase):
         box = geometries.df.agg(F.struct(
             F.min("minx").alias("w"), F.max("maxx").alias("e"), F.min("miny").alias("s"), F.max("maxy").alias("n")))
         return self._new(self.df.where(
-            F.col(x).between(box.scalar()["w"], box.scalar()["e"]) & F.col(y).between(box.scalar()["s"], box.scalar()["n"])))
+            self._between(x, box.scalar()["w"], box.scalar()["e"]) & self._between(y, box.scalar()["s"], box.scalar()["n"])))
 
     def mask_polygon(self, mask, replacement=None, inside: bool = False):
         """Replace the pixels whose centre lies outside (or inside) all polygons."""

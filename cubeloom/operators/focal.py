@@ -111,9 +111,11 @@ class FocalOps(CubeBase):
         df = df.where((F.floor(F.col("__ci") / TILE) == F.col("__ti")) & (F.floor(F.col("__cj") / TILE) == F.col("__tj")))
         self_row = F.col("__tap.own") & (F.col("__u") == F.col("__i")) & (F.col("__v") == F.col("__j"))
         sums = {(v, n): F.sum(F.col(f"__d_{v}") * F.col(f"__tap.{n}")).alias(f"{v}__{n}") for v in values for n in kernels}
+        # only plain buffers in this aggregate, so that it stays a hash aggregate
         out = df.groupBy(*others, "__ti", "__tj", "__ci", "__cj").agg(
-            F.max(F.when(self_row, F.struct(x, y, "__nx", "__ny", *values))).alias("__own"), *sums.values())
-        out = out.where(F.col("__own").isNotNull())
+            F.max(self_row).alias("__own"), F.max("__nx").alias("__nx"), F.max("__ny").alias("__ny"),
+            *[F.max(F.when(self_row, F.col(c))).alias(c) for c in (x, y, *values)], *sums.values())
+        out = out.where("__own")
         fixed = {}
         for v, n in sums:
             k = kernels[n]
@@ -123,13 +125,11 @@ class FocalOps(CubeBase):
                 for b in range(rows):
                     for a in range(cols):
                         i, j = F.col("__ci") + (a - hx), F.col("__cj") + (b - hy)
-                        inside = (i >= 0) & (i < F.col("__own.__nx")) & (j >= 0) & (j < F.col("__own.__ny"))
+                        inside = (i >= 0) & (i < F.col("__nx")) & (j >= 0) & (j < F.col("__ny"))
                         if k[b][a] and not (a == hx and b == hy):
                             base = base + F.when(inside, 0.0).otherwise(gap * float(k[b][a]))
             fixed[f"{v}__{n}"] = F.col(f"{v}__{n}") + base
-        return out.withColumns(fixed).select(
-            *others, F.col(f"__own.{x}").alias(x), F.col(f"__own.{y}").alias(y),
-            *[F.col(f"__own.{v}").alias(v) for v in values], *fixed)
+        return out.withColumns(fixed).select(*others, x, y, *values, *fixed)
 
     def apply_kernel(self, kernel: list[list[float]], factor: float = 1.0, border=0, replace_invalid: float = 0.0):
         """Weighted sum over the surroundings of each cell, times a factor.

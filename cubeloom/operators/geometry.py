@@ -131,7 +131,7 @@ def pixel_hits(cube, geometries, pixels: DataFrame | None = None) -> DataFrame:
         (F.min("minx") - grow - sx).alias("w"), (F.max("maxx") + grow + sx).alias("e"),
         (F.min("miny") - grow - sy).alias("s"), (F.max("maxy") + grow + sy).alias("n")))
     rows = (cube.df if pixels is None else pixels).where(
-        F.col(x).between(box.scalar()["w"], box.scalar()["e"]) & F.col(y).between(box.scalar()["s"], box.scalar()["n"]))
+        cube._between(x, box.scalar()["w"], box.scalar()["e"]) & cube._between(y, box.scalar()["s"], box.scalar()["n"]))
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     left = rows.withColumns({"__tx": F.floor(px / size_x), "__ty": F.floor(py / size_y)})
     right = tiled(plain, size_x, size_y, sx / 2, sy / 2).withColumn("__g_edges", edges_or_points())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from dataclasses import replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +45,13 @@ class Geometries:
                 raise err.UnsupportedGeometry(s["type"])
             c, d = s["coordinates"], depth[s["type"]]
             parts = [[c]] if d == 0 and c else [] if d == 0 else [c] if d == 1 else c if d == 2 else [r for p in c for r in p]
-            rows.append((s.get("id", i), s["type"], [[(float(p[0]), float(p[1])) for p in ring] for ring in parts]))
-        return cls(spark.createDataFrame(rows, f"geom_id long, geom_type string, parts {PARTS}"), crs)
+            rows.append({"geom_id": s.get("id", i), "geom_type": s["type"],
+                         "parts": [[{"x": float(p[0]), "y": float(p[1])} for p in ring] for ring in parts]})
+        # an Arrow table becomes a local relation of known size, which Spark may broadcast by itself
+        point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+        table = pa.Table.from_pylist(rows, pa.schema([
+            ("geom_id", pa.int64()), ("geom_type", pa.string()), ("parts", pa.list_(pa.list_(point)))]))
+        return cls(spark.createDataFrame(table), crs)
 
     @property
     def properties(self) -> list[str]:

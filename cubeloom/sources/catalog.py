@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..cube import Cube
+from ..functions import dates
 from ..schema import Band
 
 Loader = Callable[[SparkSession], DataFrame]
@@ -68,6 +69,13 @@ class Catalog:
         """A result written earlier, read with the layout of a registered collection."""
         entry = self._entries[like]
         df = self.spark.read.parquet(path)
+        if "month" in df.columns and temporal_extent is not None:
+            # written by month: the extent also picks the folders
+            start, end = dates.extent(*temporal_extent) if isinstance(temporal_extent, (list, tuple)) else dates.extent(temporal_extent)
+            if start:
+                df = df.where(F.col("month") >= start.strftime("%Y-%m"))
+            if end:
+                df = df.where(F.col("month") <= end.strftime("%Y-%m"))
         cube = Cube.of(df, entry.spatial, entry.temporal, entry.other, list(entry.bands) or None, entry.band_dim,
                        entry.step, entry.crs, entry.id or like)
         return restrict(cube, spatial_extent, temporal_extent, bands)
