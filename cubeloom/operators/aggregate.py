@@ -59,7 +59,7 @@ class AggregateOps(CubeBase):
         if all(s[1] for s in spans):
             rows = rows.where(F.col(t) < F.lit(max(s[1] for s in spans)).cast("timestamp_ntz"))
         rows = rows.withColumn("__label", F.explode(member))
-        out = group_reduce(rows, [*keys, "__label"], schema.values, reducer, t)
+        out = group_reduce(rows, [*keys, "__label"], schema.values, reducer, t, source=self.df)
         if complete:
             spine = self.df.select(*keys).distinct().withColumn("__label", F.explode(F.array(*names)))
             out = _filled(spine, out, [*keys, "__label"], schema.values, reducer)
@@ -71,7 +71,7 @@ class AggregateOps(CubeBase):
         t = schema.only("temporal", dimension)
         keys = schema.others(t)
         rows = self.df.withColumn("__start", dates.period_start(F.col(t), period))
-        out = group_reduce(rows, [*keys, "__start"], schema.values, reducer, t)
+        out = group_reduce(rows, [*keys, "__start"], schema.values, reducer, t, source=self.df)
         if complete:
             ends = self._scalars(low=F.min(t), high=F.max(t))
             spine = self.df.select(*keys).distinct().withColumns({"__low": ends["low"], "__high": ends["high"]})
@@ -95,7 +95,7 @@ class AggregateOps(CubeBase):
         counts = [F.count(F.lit(1)).alias("__total")] + [
             F.count_if(is_valid(F.col(v))).alias(f"__valid_{v}") for v in schema.values]
         out = group_reduce(pixel_hits(self, geometries), keys, schema.values, reducer,
-                           schema.dim_names[-1], extra=counts if target_dimension else ())
+                           schema.dim_names[-1], extra=counts if target_dimension else (), source=self.df)
         out = geometries.df.select("geom_id").join(out, "geom_id", "left")
         from .vector import VectorCube
 
@@ -133,7 +133,7 @@ class AggregateOps(CubeBase):
             plan[name] = centre.cast("double")
         df = df.withColumns({f"__w_{k}": c for k, c in plan.items()}).drop(x, y)
         df = df.withColumnRenamed(f"__w_{x}", x).withColumnRenamed(f"__w_{y}", y)
-        return self._new(group_reduce(df, schema.dim_names, schema.values, reducer))
+        return self._new(group_reduce(df, schema.dim_names, schema.values, reducer, source=self.df))
 
     # zonal time series shortcuts
 

@@ -136,7 +136,7 @@ class ResampleOps(CubeBase):
             return self._new(df.where(hit).select(*others, *target_cols, *schema.values), out_schema)
         if method in AREA:
             rows = df.select(*others, *target_cols, *schema.values)
-            out = group_reduce(rows, [*others, x, y], schema.values, AREA[method])
+            out = group_reduce(rows, [*others, x, y], schema.values, AREA[method], source=self.df)
             if method in ("q1", "q3"):
                 out = out.withColumns({v: F.col(v)[0] for v in schema.values})
             return self._new(out, out_schema)

@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions.reducers import Reducer, resolve
 from . import ranked
+from .scan import PLAIN_VALUES, few_labels
 
 
 def group_reduce(
-    df: DataFrame, keys: list[str], values: list[str], reducer, order: str | None = None, extra=()
+    df: DataFrame, keys: list[str], values: list[str], reducer, order: str | None = None, extra=(),
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Reduce the value columns per group.
 
     Algebraic reducers become one ``groupBy().agg`` with a partial aggregate before the
     shuffle, rank-based ones the plan in ``ranked``. ``extra`` holds more aggregates.
+    ``source`` is a cheaper frame with the same values, on which those are counted.
     """
     red: Reducer = resolve(reducer)
     if red.ranked is None:
@@ -24,7 +27,8 @@ def group_reduce(
     if red.ranked == "mode":
         out = ranked.modes(df, keys, values)
     else:
-        out = ranked.quantiles(df, keys, values, list(red.ranked))
+        plain = few_labels(df if source is None else source, *values, limit=PLAIN_VALUES)
+        out = ranked.quantiles(df, keys, values, list(red.ranked), plain)
         if red.scalar:
             out = out.withColumns({v: F.col(v)[0] for v in values})
     checks = list(extra)

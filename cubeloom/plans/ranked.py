@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import few_labels, running_sum, scan, total_sum
+from .scan import PLAIN_VALUES, few_labels, running_sum, scan, total_sum
 
 
 def _counted(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -30,7 +30,7 @@ def quantiles(df: DataFrame, keys: list[str], values: list[str], probabilities:
               plain: bool | None = None) -> DataFrame:
     """One array of interpolated quantiles per group and value column; nulls are skipped."""
     empty = F.array(*[F.lit(None).cast("double")] * len(probabilities))
-    if few_labels(df, *values) if plain is None else plain:
+    if few_labels(df, *values, limit=PLAIN_VALUES) if plain is None else plain:
         return df.groupBy(*keys).agg(*[
             F.coalesce(F.percentile(F.col(v).cast("double"), [float(p) for p in probabilities]), empty).alias(v) for v in values])
     counted = _counted(df, keys, values)

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "__chunk"
-PLAIN_LABELS = 100_000  # longest series that may be sorted in one task
+PLAIN_LABELS = 1_000_000  # longest series that may be sorted in one task (it can spill)
+PLAIN_VALUES = 100_000  # most distinct values one percentile buffer may hold (it cannot)
 
 
 def range_count(df: DataFrame) -> int:
@@ -69,13 +70,13 @@ def with_chunk(df: DataFrame, order: str, ranges: int | None = None) -> DataFram
     )
 
 
-def few_labels(df: DataFrame, *columns: str) -> bool:
+def few_labels(df: DataFrame, *columns: str, limit: int | None = None) -> bool:
     """Whether each column has so few distinct values that one series fits a task.
 
     A sketch of the columns alone is computed now; only the counts come to the driver.
     """
     row = df.select(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    return all(n <= PLAIN_LABELS for n in row)
+    return all(n <= (PLAIN_LABELS if limit is None else limit) for n in row)
 
 
 @dataclass(frozen=True)

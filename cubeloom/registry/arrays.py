@@ -14,7 +14,7 @@ from .base import query
 def reducer(name: str, red, sql: str, r: str = "B02 B04 B08") -> None:
     cols = ", ".join(f"{sql.format(v=b)} AS {b}" for b in ("B02", "B04", "B08"))
 
-    @query(f"reducer_{name}", f"SELECT x, y, {cols} FROM cube_wide GROUP BY x, y", r)
+    @query(name, f"SELECT x, y, {cols} FROM cube_wide GROUP BY x, y", r)
     def _(t):
         return t.optical.reduce_temporal(red)
 
@@ -42,21 +42,21 @@ reducer("last", "last", "arg_max({v}, t) FILTER (WHERE {v} IS NOT NULL)")
 reducer("rms", "rms", "sqrt(avg({v} * {v}))")
 
 
-@query("reducer_mode", """SELECT x, y, CAST(arg_max(SCL, n * 100 - SCL) AS DOUBLE) AS SCL
+@query("mode", """SELECT x, y, CAST(arg_max(SCL, n * 100 - SCL) AS DOUBLE) AS SCL
 FROM (SELECT x, y, SCL, count(*) AS n FROM cube_wide GROUP BY x, y, SCL) c GROUP BY x, y""")
 def _(t):
     return t.wide.filter_bands(["SCL"]).reduce_temporal("mode")
 
 
-@query("reducer_all", """SELECT x, y, bool_and(B02 < 0.08) AS B02, bool_and(B04 < 50) AS B04, bool_and(B08 < 200) AS B08
-FROM cube_wide GROUP BY x, y""")
+@query("all", """SELECT x, y, bool_and(B02 < 0.08) AS B02, bool_and(B04 < 50) AS B04, bool_and(B08 < 200) AS B08
+FROM cube_wide GROUP BY x, y""", "B02 B04 B08")
 def _(t):
     c = t.optical
     return c._new(c.df.withColumns({"B02": F.col("B02") < 0.08, "B04": F.col("B04") < 50, "B08": F.col("B08") < 200})).reduce_temporal("all")
 
 
-@query("reducer_any", """SELECT x, y, CASE WHEN bool_or(B02 > 0.5) THEN true WHEN count(*) > count(B02) THEN NULL ELSE bool_or(B02 > 0.5) END AS B02,
-bool_or(B04 > 49) AS B04, bool_or(B08 > 200) AS B08 FROM cube_wide GROUP BY x, y""")
+@query("any", """SELECT x, y, CASE WHEN bool_or(B02 > 0.5) THEN true WHEN count(*) > count(B02) THEN NULL ELSE bool_or(B02 > 0.5) END AS B02,
+bool_or(B04 > 49) AS B04, bool_or(B08 > 200) AS B08 FROM cube_wide GROUP BY x, y""", "B02 B04 B08")
 def _(t):
     c = t.optical
     flags = c._new(c.df.withColumns({"B02": F.col("B02") > 0.5, "B04": F.col("B04") > 49, "B08": F.col("B08") > 200}))
@@ -93,7 +93,7 @@ array("sort", lambda: {"plain": a.sort(holes()), "down": a.sort(holes(), asc=Fal
       f"list_sort({SQL_SOME}) AS plain, list_concat(list_reverse_sort({SQL_SOME}), {SQL_NULLS}) AS down, "
       f"list_concat({SQL_NULLS}, list_sort({SQL_SOME})) AS front", "plain[] down[] front[]")
 array("order", lambda: {"plain": a.order(data()).cast("array<bigint>"), "down": a.order(data(), asc=False).cast("array<bigint>")},
-      "list_transform(list_grade_up(data), lambda i: i - 1) AS plain, list_transform(list_grade_up(data, 'DESC'), lambda i: i - 1) AS down")
+      "list_transform(list_grade_up(data), lambda i: i - 1) AS plain, list_transform(list_grade_up(data, 'DESC'), lambda i: i - 1) AS down", "plain[]:0 down[]:0")
 array("rearrange", lambda: {"sorted": a.rearrange(data(), a.order(data()))}, "list_sort(data) AS sorted", "sorted[]")
 array("array_append", lambda: {"data": a.array_append(data(), F.lit(9.5).cast("float")), "n": F.size(a.array_append(labelled(), F.lit(1.0).cast("float"), F.lit("new"))).cast("bigint")},
       "list_append(data, CAST(9.5 AS FLOAT)) AS data, len(data) + 1 AS n", "data[]")
@@ -102,7 +102,7 @@ array("array_concat", lambda: {"data": a.array_concat(data(), a.sort(data()))},
 array("array_contains", lambda: {"has": a.array_contains(a.array_append(holes(), F.lit(None).cast("double")), F.element_at(data(), 3).cast("double")), "none": a.array_contains(data(), None)},
       f"coalesce(list_contains({SQL_SOME}, CAST(data[3] AS DOUBLE)), false) AS has, false AS none")
 array("array_create", lambda: {"data": a.array_create(F.slice(data(), 1, 2), repeat=3), "lit": a.array_create([1.0, 2.5])},
-      "list_concat(list_concat(data[1:2], data[1:2]), data[1:2]) AS data, [1.0::DOUBLE, 2.5::DOUBLE] AS lit", "data[]")
+      "list_concat(list_concat(data[1:2], data[1:2]), data[1:2]) AS data, [1.0::DOUBLE, 2.5::DOUBLE] AS lit", "data[] lit[]")
 array("array_create_labeled", lambda: {"l7": a.array_element(labelled(), label="f7"), "last": F.element_at(labelled(), -1)["label"]},
       "data[8] AS l7, concat('f', len(data) - 1) AS last", "l7")
 array("array_element", lambda: {"third": a.array_element(data(), 2), "none": a.array_element(data(), 999, return_nodata=True), "named": a.array_element(labelled(), label="f5")},
@@ -112,8 +112,8 @@ array("array_filter", lambda: {"data": a.array_filter(data(), lambda v, i: (v >
 array("array_find", lambda: {"first": a.array_find(F.transform(data(), lambda v: v > 0), True).cast("bigint"), "last": a.array_find(F.transform(data(), lambda v: v > 0), True, reverse=True).cast("bigint"),
                      "none": a.array_find(F.transform(data(), lambda v: F.floor(v)), 77)},
       "NULLIF(list_position(list_transform(data, lambda v: v > 0), true), 0)::BIGINT - 1 AS first, "
-      "len(data) - NULLIF(list_position(list_reverse(list_transform(data, lambda v: v > 0)), true), 0)::BIGINT AS last, NULL::BIGINT AS none")
-array("array_find_label", lambda: {"at": a.array_find_label(labelled(), "f11"), "none": a.array_find_label(labelled(), "zz")}, "11::BIGINT AS at, NULL::BIGINT AS none")
+      "len(data) - NULLIF(list_position(list_reverse(list_transform(data, lambda v: v > 0)), true), 0)::BIGINT AS last, NULL::BIGINT AS none", "first:0 last:0 none:0")
+array("array_find_label", lambda: {"pos": a.array_find_label(labelled(), "f11"), "none": a.array_find_label(labelled(), "zz")}, "11::BIGINT AS pos, NULL::BIGINT AS none", "pos:0 none:0")
 array("array_interpolate_linear", lambda: {"data": a.array_interpolate_linear(holes())},
       f"""list_transform({SQL_HOLES}, lambda v, i: CASE WHEN v IS NOT NULL THEN v
  WHEN list_max(list_filter(range(1, i), lambda j: data[j] > 0)) IS NULL OR list_min(list_filter(range(i, len(data) + 1), lambda j: data[j] > 0)) IS NULL THEN NULL
@@ -121,8 +121,8 @@ array("array_interpolate_linear", lambda: {"data": a.array_interpolate_linear(ho
   + (CAST(data[list_min(list_filter(range(i, len(data) + 1), lambda j: data[j] > 0))] AS DOUBLE) - CAST(data[list_max(list_filter(range(1, i), lambda j: data[j] > 0))] AS DOUBLE))
   * (i - list_max(list_filter(range(1, i), lambda j: data[j] > 0)))
   / (list_min(list_filter(range(i, len(data) + 1), lambda j: data[j] > 0)) - list_max(list_filter(range(1, i), lambda j: data[j] > 0))) END) AS data""", "data[]")
-array("array_labels", lambda: {"named": a.array_labels(labelled()), "index": a.array_labels(data(), labelled=False).cast("array<bigint>")},
-      "list_transform(data, lambda v, i: concat('f', i - 1)) AS named, range(0, len(data)) AS index")
+array("array_labels", lambda: {"named": F.array_join(a.array_labels(labelled()), ","), "index": a.array_labels(data(), labelled=False).cast("array<bigint>")},
+      "array_to_string(list_transform(data, lambda v, i: concat('f', i - 1)), ',') AS named, range(0, len(data)) AS index", "index[]:0")
 array("array_modify", lambda: {"put": a.array_modify(data(), F.array(F.lit(7.0).cast("float"), F.lit(8.0).cast("float")), 2, 3), "cut": a.array_modify(data(), [], 1, 2),
                        "insert": a.array_modify(data(), F.array(F.lit(5.0).cast("float")), 4, 0)},
       "list_concat(list_concat(data[1:2], [7.0::FLOAT, 8.0::FLOAT]), data[6:]) AS put, list_concat(data[1:1], data[4:]) AS cut, "

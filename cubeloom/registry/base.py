@@ -107,7 +107,7 @@ REGISTRY: dict[str, Query] = {}
 
 
 def _digits(spec: str) -> tuple[str, str, bool]:
-    """``name``, ``name:digits`` or ``name[]`` for an array of doubles."""
+    """``name``, ``name:digits`` or ``name[]`` for an array of numbers."""
     name, _, digits = spec.partition(":")
     return name.removesuffix("[]"), f"{10 ** int(digits or 6)}.0", name.endswith("[]")
 
@@ -118,13 +118,16 @@ def _round_column(c, scale: float):
 
 
 def rounded(df: DataFrame, specs: list[str]) -> DataFrame:
-    """Round doubles for comparison with the SQL twin: the order of summation differs between engines."""
+    """Round doubles for comparison with the SQL twin: the order of summation differs between engines.
+
+    Arrays become text, as whole numbers of the last digit kept; both engines write those alike.
+    """
     out = {}
     for spec in specs:
         name, scale, is_array = _digits(spec)
         s = float(scale)
         if is_array:
-            out[name] = F.transform(F.col(name), _element(s))
+            out[name] = F.array_join(F.transform(F.col(name), _element(s)), ",")
         else:
             out[name] = _round_column(F.col(name).cast("double"), s)
     return df.withColumns(out) if out else df
@@ -132,7 +135,7 @@ def rounded(df: DataFrame, specs: list[str]) -> DataFrame:
 
 def _element(scale: float):
     def one(v):
-        return _round_column(v.cast("double"), scale)
+        return F.coalesce(F.floor(v.cast("double") * scale + 0.5001).cast("string"), F.lit("null"))
 
     return one
 
@@ -142,7 +145,8 @@ def _sql_rounded(sql: str, specs: list[str]) -> str:
     for spec in specs:
         name, scale, is_array = _digits(spec)
         if is_array:
-            parts.append(f"list_transform({name}, lambda v: floor(CAST(v AS DOUBLE) * {scale} + 0.5001) / {scale}) AS {name}")
+            text = f"coalesce(CAST(CAST(floor(CAST(v AS DOUBLE) * {scale} + 0.5001) AS BIGINT) AS VARCHAR), 'null')"
+            parts.append(f"CASE WHEN {name} IS NOT NULL THEN coalesce(array_to_string(list_transform({name}, lambda v: {text}), ','), '') END AS {name}")
         else:
             parts.append(f"floor(CAST({name} AS DOUBLE) * {scale} + 0.5001) / {scale} AS {name}")
     return f"SELECT * REPLACE ({', '.join(parts)}) FROM (\n{sql}\n) q" if parts else sql
@@ -157,7 +161,7 @@ def with_views(sql: str) -> str:
 
 
 def query(name: str, sql: str | None = None, r: list[str] | str = ()):
-    """Register a query; ``r`` lists the double columns that are rounded on both sides."""
+    """Register a query; ``r`` lists the number columns that are rounded (and made double) on both sides."""
     specs = r.split() if isinstance(r, str) else list(r)
 
     def add(fn: Callable[[Tables], DataFrame | Cube]):

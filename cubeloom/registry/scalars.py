@@ -63,19 +63,19 @@ scalar("e", lambda v: v * m.e(), "({v} * exp(1))")
 scalar("nan", lambda v: F.when(v > 20, m.nan()).otherwise(v), "(CASE WHEN {v} > 20 THEN CAST('NaN' AS DOUBLE) ELSE {v} END)")
 scalar("constant", lambda v: m.constant(42.5), "42.5")
 scalar("apply", lambda v: m.sqrt(m.absolute(v - 20)) + 1, "(sqrt(abs({v} - 20)) + 1)")
-scalar("is_infinite", lambda v: l.is_infinite(m.divide(v, 0 * v, ieee=True)), "({v} IS NOT NULL)", r="")
-scalar("is_nan", lambda v: F.coalesce(l.is_nan(F.when(v > 20, m.nan()).otherwise(v)), F.lit(False)), "coalesce({v} > 20, false)", r="")
-scalar("is_nodata", l.is_nodata, "({v} IS NULL)", r="")
-scalar("is_valid", l.is_valid, "({v} IS NOT NULL)", r="")
-scalar("gt", lambda v: l.gt(v, 20), "({v} > 20)", r="")
-scalar("gte", lambda v: l.gte(v, 20), "({v} >= 20)", r="")
-scalar("lt", lambda v: l.lt(v, 20), "({v} < 20)", r="")
-scalar("lte", lambda v: l.lte(v, 20), "({v} <= 20)", r="")
-scalar("between", lambda v: l.between(v, 10, 30, exclude_max=True), "({v} >= 10 AND {v} < 30)", r="")
-scalar("and_", lambda v: l.and_(v > 10, v < 40), "({v} > 10 AND {v} < 40)", r="")
-scalar("or_", lambda v: l.or_(v < 10, v > 40), "({v} < 10 OR {v} > 40)", r="")
-scalar("xor", lambda v: l.xor(v > 10, v > 40), "(({v} > 10) <> ({v} > 40))", r="")
-scalar("not_", lambda v: l.not_(v > 10), "(NOT {v} > 10)", r="")
+scalar("is_infinite", lambda v: l.is_infinite(m.divide(v, 0 * v, ieee=True)), "({v} IS NOT NULL)")
+scalar("is_nan", lambda v: F.coalesce(l.is_nan(F.when(v > 20, m.nan()).otherwise(v)), F.lit(False)), "coalesce({v} > 20, false)")
+scalar("is_nodata", l.is_nodata, "({v} IS NULL)")
+scalar("is_valid", l.is_valid, "({v} IS NOT NULL)")
+scalar("gt", lambda v: l.gt(v, 20), "({v} > 20)")
+scalar("gte", lambda v: l.gte(v, 20), "({v} >= 20)")
+scalar("lt", lambda v: l.lt(v, 20), "({v} < 20)")
+scalar("lte", lambda v: l.lte(v, 20), "({v} <= 20)")
+scalar("between", lambda v: l.between(v, 10, 30, exclude_max=True), "({v} >= 10 AND {v} < 30)")
+scalar("and_", lambda v: l.and_(v > 10, v < 40), "({v} > 10 AND {v} < 40)")
+scalar("or_", lambda v: l.or_(v < 10, v > 40), "({v} < 10 OR {v} > 40)")
+scalar("xor", lambda v: l.xor(v > 10, v > 40), "(({v} > 10) <> ({v} > 40))")
+scalar("not_", lambda v: l.not_(v > 10), "(NOT {v} > 10)")
 scalar("if_", lambda v: l.if_(v > 20, v * 2, -1.0), "(CASE WHEN {v} > 20 THEN {v} * 2 ELSE -1.0 END)")
 
 

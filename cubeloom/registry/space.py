@@ -235,7 +235,7 @@ def _(t):
 
 
 @query("vector_to_raster", f"""SELECT px AS x, py AS y, CAST(CASE WHEN {IN_TRIANGLE} THEN 3 WHEN {IN_ELL} THEN 2 WHEN {IN_SQUARE} THEN 1 END AS BIGINT) AS value
-FROM (SELECT DISTINCT x + 0.25 AS px, y + 0.25 AS py FROM cube_wide) c""", "x y")
+FROM (SELECT DISTINCT x + 0.25 AS px, y + 0.25 AS py FROM cube_wide) c""", "x y value:0")
 def _(t):
     return t.zones().vector_to_raster(t.shifted)
 

@@ -74,7 +74,7 @@ def save_cube_layout(cube, path: str, tile: int = 512, mode: str = "errorifexist
         "month": F.date_format(t, "yyyy-MM"),
         "__tx": F.floor(F.col(x) / (tile * (cube.schema.dim(x).step or 1.0))),
         "__ty": F.floor(F.col(y) / (tile * (cube.schema.dim(y).step or 1.0)))})
-    df = df.repartitionByRange("month", "__tx", "__ty", x, y).sortWithinPartitions("month", "__tx", "__ty", t).drop("__tx", "__ty")
+    df = df.repartitionByRange("month", "__tx", "__ty", x, y, t).sortWithinPartitions("month", "__tx", "__ty", t).drop("__tx", "__ty")
     df.write.mode(mode).partitionBy("month").parquet(path)
 
 

@@ -15,7 +15,7 @@ from cubeloom.registry.base import TABLES
 
 SF = "/root/testdata/sf0.001"
 ALL = bool(os.environ.get("CUBELOOM_ALL"))
-SOME = ["load_collection", "ndvi", "aggregate_temporal_period_month", "aggregate_spatial", "merge_cubes", "apply_kernel", "reducer_median", "cumsum",
+SOME = ["load_collection", "ndvi", "aggregate_temporal_period_month", "aggregate_spatial", "merge_cubes", "apply_kernel", "median", "cumsum",
         "resample_cube_temporal", "mask_polygon", "raster_to_vector", "array_modify", "date_shift", "compute_indices", "load_stac", "split_area"]
 CHECK = importlib.util.spec_from_file_location("check", os.path.join(os.path.dirname(__file__), "..", "tools", "check.py"))
 check = importlib.util.module_from_spec(CHECK)
