@@ -20,8 +20,13 @@ def date_between(x, min, max, exclude_max: bool = False) -> Column:
     return (x >= low) & ((x < high) if exclude_max else (x <= high))
 
 
+def ntz(value: dt.datetime | None) -> Column:
+    """A literal instant; goes by text, so the time zone of the Python process plays no part."""
+    return F.lit(value.isoformat(sep=" ") if value else None).cast("timestamp_ntz")
+
+
 def _ts(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(parse(value)).cast("timestamp_ntz")
+    return value if isinstance(value, Column) else ntz(parse(value))
 
 
 def date_difference(date1, date2, unit: str = "second") -> Column:
@@ -108,19 +113,19 @@ def _pad(x: Column, n: int) -> Column:
 
 def period_start(t: Column, period: str) -> Column:
     """The first instant of the calendar period an instant lies in."""
-    ntz = "timestamp_ntz"
+    kind = "timestamp_ntz"
     if period in ("hour", "day", "week", "month", "year"):
-        return F.date_trunc(period, t).cast(ntz)
+        return F.date_trunc(period, t).cast(kind)
     if period == "dekad":
         first = F.least(F.floor((F.dayofmonth(t) - 1) / 10) * 10, F.lit(20))
-        return F.timestamp_add("DAY", first.cast("int"), F.date_trunc("month", t).cast(ntz))
+        return F.timestamp_add("DAY", first.cast("int"), F.date_trunc("month", t).cast(kind))
     if period == "season":
-        return F.timestamp_add("MONTH", -(F.month(t) % 3), F.date_trunc("month", t).cast(ntz))
+        return F.timestamp_add("MONTH", -(F.month(t) % 3), F.date_trunc("month", t).cast(kind))
     if period == "tropical-season":
-        return F.timestamp_add("MONTH", -((F.month(t) + 1) % 6), F.date_trunc("month", t).cast(ntz))
+        return F.timestamp_add("MONTH", -((F.month(t) + 1) % 6), F.date_trunc("month", t).cast(kind))
     if period in ("decade", "decade-ad"):
         back = F.year(t) % 10 if period == "decade" else (F.year(t) + 9) % 10
-        return F.timestamp_add("YEAR", -back, F.date_trunc("year", t).cast(ntz))
+        return F.timestamp_add("YEAR", -back, F.date_trunc("year", t).cast(kind))
     raise ValueError(f"unknown period {period!r}, use one of {PERIODS}")
 
 

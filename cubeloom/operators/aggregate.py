@@ -39,25 +39,24 @@ class AggregateOps(CubeBase):
         if labels is not None and len(labels) != len(intervals):
             raise err.LabelsNotEnumerated("one label per interval")
         spans = _interval_literals(intervals, labels)
-        kind = "timestamp_ntz" if labels is None else "string"
-        low = F.lit(min((s[0] for s in spans if s[0]), default=None)).cast("timestamp_ntz")
+        low = dates.ntz(min((s[0] for s in spans if s[0]), default=None))
 
         def holds(s: tuple) -> Column:
             cond = F.lit(True)
             if s[0]:
-                cond = cond & (F.col(t) >= F.lit(s[0]).cast("timestamp_ntz"))
+                cond = cond & (F.col(t) >= dates.ntz(s[0]))
             if s[1]:
-                cond = cond & (F.col(t) < F.lit(s[1]).cast("timestamp_ntz"))
+                cond = cond & (F.col(t) < dates.ntz(s[1]))
             return cond
 
-        names = [F.lit(s[2]).cast(kind) for s in spans]
+        names = [dates.ntz(s[2]) if labels is None else F.lit(s[2]).cast("string") for s in spans]
         member = F.array_compact(F.array(*[F.when(holds(s), n) for s, n in zip(spans, names)]))
         keys = schema.others(t)
         rows = self.df
         if all(s[0] for s in spans):
             rows = rows.where(F.col(t) >= low)
         if all(s[1] for s in spans):
-            rows = rows.where(F.col(t) < F.lit(max(s[1] for s in spans)).cast("timestamp_ntz"))
+            rows = rows.where(F.col(t) < dates.ntz(max(s[1] for s in spans)))
         rows = rows.withColumn("__label", F.explode(member))
         out = group_reduce(rows, [*keys, "__label"], schema.values, reducer, t, source=self.df)
         if complete:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ def bbox_dict(value, crs: int | str | None = None) -> dict:
 
 def normalize_longitudes(west: float, east: float) -> tuple[float, float]:
     """West to [-180, 180), east to (-180, 180]."""
-    return (west + 180) % 360 - 180, 180 - (180 - east) % 360
+    return west - 360 * math.floor((west + 180) / 360), east - 360 * math.ceil((east - 180) / 360)
 
 
 def _between(name: str, low, high) -> Column:
@@ -104,9 +106,9 @@ class FilterOps(CubeBase):
         start, stop = dates.extent(extent, end)
         df = self.df
         if start:
-            df = df.where(F.col(t) >= F.lit(start).cast("timestamp_ntz"))
+            df = df.where(F.col(t) >= dates.ntz(start))
         if stop:
-            df = df.where(F.col(t) < F.lit(stop).cast("timestamp_ntz"))
+            df = df.where(F.col(t) < dates.ntz(stop))
         return self._new(df)
 
     def filter_bbox(self, extent, crs: int | None = None):

@@ -134,7 +134,7 @@ class LearnOps(CubeBase):
         fitted = parameters.df
         if labels is not None:
             temporal = schema.dim(dimension).type == "temporal"
-            marks = F.array(*[F.lit(dates.parse(l)).cast("timestamp_ntz") if temporal else F.lit(l) for l in labels])
+            marks = F.array(*[dates.ntz(dates.parse(l)) if temporal else F.lit(l) for l in labels])
             df = fitted.withColumn(dimension, F.explode(marks))
         else:
             df = self.df.join(fitted, keys, "left")

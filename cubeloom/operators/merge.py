@@ -27,10 +27,12 @@ class MergeOps(CubeBase):
             flip = (lambda x, y: overlap_resolver(y, x)) if overlap_resolver else None
             return other.merge_cubes(self, flip)
         spread = len(b.dim_names) < len(a.dim_names)
-        same_bands = set(a.values) & set(b.values)
-        only_value = not b.band_dim and not a.band_dim
-        pairs = {v: v for v in a.values if v in same_bands}
-        if spread and not b.band_dim and not only_value:
+        if a.band_dim and b.band_dim:
+            pairs = {v: v for v in a.values if v in b.values}
+        elif b.band_dim and not a.band_dim:
+            raise err.DimensionMismatch("the base cube has no bands, the other has")
+        else:
+            # a cube without bands has one value per cell, whatever its column is called
             pairs = {v: b.values[0] for v in a.values}
         left = self.df.withColumn("__in_a", F.lit(True))
         right = other.df.select(*shared, F.lit(True).alias("__in_b"), *[F.col(v).alias(f"__b_{v}") for v in b.values])

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..cube import Cube
+from ..functions.dates import ntz
 from ..operators import compare, runs, udf
 from ..operators.bands import index_table
 from ..operators.filters import collection_property as prop
@@ -189,7 +190,7 @@ def _(t):
 WHERE c.x >= (SELECT min(x) FROM cube_wide WHERE x >= 2) AND c.t BETWEEN (SELECT min(t) FROM cube_wide WHERE x >= 2 AND t >= TIMESTAMP '1996-06-15' AND t < TIMESTAMP '2000-02-02')
 AND (SELECT max(t) FROM cube_wide WHERE x >= 2 AND t >= TIMESTAMP '1996-06-15' AND t < TIMESTAMP '2000-02-02')""", "v")
 def _(t):
-    keep = (F.col("x") >= 2) & (F.col("t") >= F.lit(dt.datetime(1996, 6, 15)).cast("timestamp_ntz")) & (F.col("t") < F.lit(dt.datetime(2000, 2, 2)).cast("timestamp_ntz"))
+    keep = (F.col("x") >= 2) & (F.col("t") >= ntz(dt.datetime(1996, 6, 15))) & (F.col("t") < ntz(dt.datetime(2000, 2, 2)))
     c = t.wide.filter_bands(["B04"])
     return c._new(c.df.withColumn("v", F.when(keep, F.col("B04"))), c.schema.single("v")).trim_cube()
 
@@ -222,11 +223,11 @@ def _(t):
     return t.optical.filter_bbox({"west": 2, "east": 6.5, "south": 0, "north": 4})
 
 
-@query("bbox_antimeridian", """SELECT lon, lat, value FROM (SELECT CAST(c_custkey % 360 - 180 AS DOUBLE) AS lon, CAST(c_custkey % 179 - 89 AS DOUBLE) AS lat, c_acctbal AS value FROM customer) c
+@query("bbox_antimeridian", """SELECT lon, lat, value FROM (SELECT CAST(c_custkey % 360 - 180 AS DOUBLE) AS lon, CAST(c_custkey * 7 % 179 - 89 AS DOUBLE) AS lat, c_acctbal AS value FROM customer) c
 WHERE (lon >= 170 OR lon <= -160) AND lat BETWEEN -50 AND 60""", "value")
 def _(t):
     c = t.table("customer").select(
-        (F.col("c_custkey") % 360 - 180).cast("double").alias("lon"), (F.col("c_custkey") % 179 - 89).cast("double").alias("lat"), F.col("c_acctbal").alias("value"))
+        (F.col("c_custkey") % 360 - 180).cast("double").alias("lon"), (F.col("c_custkey") * 7 % 179 - 89).cast("double").alias("lat"), F.col("c_acctbal").alias("value"))
     return Cube.of(c, ("lon", "lat"), (), bands=["value"], band_dim=None, crs=4326).filter_bbox({"west": 170, "east": 200, "south": -50, "north": 60, "crs": 4326})
 
 
@@ -692,13 +693,30 @@ def _(t):
                                                                           "indices": {"NDVI": {"input_range": [-1, 1], "output_range": [0, 250]}}})
 
 
-@query("index_catalogue")
+_EACH = {
+    "NDVI": ("Normalized Difference Vegetation Index", "vegetation", "(B08 - B04) / (B08 + B04)"),
+    "EVI": ("Enhanced Vegetation Index", "vegetation", "2.5 * (B08 - B04) / NULLIF(B08 + 6.0 * B04 - 7.5 * B02 + 1.0, 0)"),
+    "ANIR": ("Angle at Near InfraRed", "vegetation", "acos(greatest(-1.0, least(1.0, (a + b - c) / (2 * sqrt(a) * sqrt(b))))) / pi()"),
+    "NDRE1": ("Normalized Difference Red Edge 1", "vegetation", "(B08 - B02) / (B08 + B02)"),
+    "NDRE2": ("Normalized Difference Red Edge 2", "vegetation", "(B08 - B04) / (B08 + B04)"),
+    "NDRE5": ("Normalized Difference Red Edge 5", "vegetation", "(B08 - B02) / (B08 + B02)"),
+    "BI2": ("Brightness index 2", "soil", "sqrt(B04 * B04 + B08 * B08 + B02 * B02) / 3"),
+    "BI_B08": ("Brightness index B08", "soil", "sqrt(B04 * B04 + B08 * B08)"),
+    "LSWI_B12": ("Sentinel-2 land surface water index", "water", "(B08 - B04) / (B08 + B04)"),
+    "ABDI1": ("Angle based drought index 1", "water", "B08 * atan((B08 - B02) / (1.610 - 0.842))"),
+    "ABDI2": ("Angle based drought index 2", "water", "B08 * atan((B08 - B04) / (2.190 - 0.842))"),
+}
+_TRIANGLE_SIDES = "(SELECT *, 0.1682 ** 2 + (B08 - B04) ** 2 AS a, 0.7772 ** 2 + (B02 - B08) ** 2 AS b, 0.9454 ** 2 + (B02 - B04) ** 2 AS c FROM cube_wide) q"
+
+
+@query("index_catalogue", " UNION ALL ".join(
+    f"SELECT '{n}' AS name, '{long}' AS long_name, '{kind}' AS kind, avg({f}) AS mean_value FROM {_TRIANGLE_SIDES}" for n, (long, kind, f) in _EACH.items()), "mean_value:5")
 def _(t):
     """Mean of every catalogued index over the cube, next to its catalogue row."""
     from ..functions import indices as ix
 
     means = t.wide.compute_indices(ix.list_indices(), variable_map=_MAP).to_long().df.groupBy("bands").agg(F.avg("value").alias("mean_value"))
-    return index_table(t.spark).join(means.withColumnRenamed("bands", "name"), "name")
+    return index_table(t.spark).join(means.withColumnRenamed("bands", "name"), "name").select("name", "long_name", "kind", "mean_value")
 
 
 # -- 2.15 comparison and run tables

@@ -40,9 +40,9 @@ def select_items(items: DataFrame, spatial_extent=None, temporal_extent=None, pr
         first = dates.parse_rfc3339(F.coalesce("properties.start_datetime", "properties.datetime"))
         last = dates.parse_rfc3339(F.coalesce("properties.end_datetime", "properties.datetime"))
         if start:
-            rows = rows.where(last >= F.lit(start).cast("timestamp_ntz"))
+            rows = rows.where(last >= dates.ntz(start))
         if end:
-            rows = rows.where(first < F.lit(end).cast("timestamp_ntz"))
+            rows = rows.where(first < dates.ntz(end))
     return reduce(lambda df, c: df.where(c), properties or [], rows)
 
 

@@ -108,9 +108,10 @@ def test_merge_cases(txy, values):
     flat = a.reduce_temporal("mean")
     low = flat.merge_cubes(a, lambda x, y: x * 10 + y)  # the lower-dimensional cube comes first
     assert values(low, "x", "value") == [(1, 0.0), (2, 110.0)]
-    bands = a.rename_labels("bands", ["p"]) if a.schema.band_dim else a._new(a.df.withColumnRenamed("value", "p"), a.schema.single("p"))
-    other = a._new(a.df.withColumnRenamed("value", "q"), a.schema.single("q"))
-    assert bands.merge_cubes(other).schema.values == ["p", "q"]
+    p, q = a.add_dimension("bands", "p", "bands"), a.add_dimension("bands", "q", "bands")
+    assert p.merge_cubes(q).schema.values == ["p", "q"]
+    renamed = a._new(a.df.withColumnRenamed("value", "other"), a.schema.single("other"))
+    assert values(a.merge_cubes(renamed, lambda x, y: x + y), "x", "value") == [(1, 0.0), (2, 20.0)]
     with pytest.raises(err.DimensionMismatch):
         a.reduce_dimension("max", "x").merge_cubes(a.reduce_dimension("max", "y"))
 
