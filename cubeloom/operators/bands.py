@@ -18,10 +18,10 @@ class BandExpr:
     def __init__(self, cube, column: Column):
         self._cube, self.column = cube, column
 
-    def _with(self, other, op):
+    def _with(self, other, op, keep_single: bool = True):
         if isinstance(other, BandExpr):
             if other._cube is not self._cube:
-                return op_cubes(self.cube(), other.cube(), op)
+                return self.cube().merge_cubes(other.cube(), op, keep_single)
             other = other.column
         return BandExpr(self._cube, op(self.column, other))
 
@@ -63,22 +63,22 @@ class BandExpr:
         return BandExpr(self._cube, ~self.column)
 
     def __eq__(self, o):
-        return self._with(o, lambda a, b: a == b)
+        return self._with(o, lambda a, b: a == b, keep_single=False)
 
     def __ne__(self, o):
-        return self._with(o, lambda a, b: a != b)
+        return self._with(o, lambda a, b: a != b, keep_single=False)
 
     def __lt__(self, o):
-        return self._with(o, lambda a, b: a < b)
+        return self._with(o, lambda a, b: a < b, keep_single=False)
 
     def __le__(self, o):
-        return self._with(o, lambda a, b: a <= b)
+        return self._with(o, lambda a, b: a <= b, keep_single=False)
 
     def __gt__(self, o):
-        return self._with(o, lambda a, b: a > b)
+        return self._with(o, lambda a, b: a > b, keep_single=False)
 
     def __ge__(self, o):
-        return self._with(o, lambda a, b: a >= b)
+        return self._with(o, lambda a, b: a >= b, keep_single=False)
 
     def __and__(self, o):
         return self._with(o, lambda a, b: a & b)
@@ -93,9 +93,6 @@ def _c(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
-def op_cubes(a, b, op):
-    return a.merge_cubes(b, op)
-
 
 class BandOps(CubeBase):
     def b(self, key) -> BandExpr:

@@ -13,11 +13,12 @@ from .base import CubeBase
 
 
 class MergeOps(CubeBase):
-    def merge_cubes(self, other, overlap_resolver=None):
+    def merge_cubes(self, other, overlap_resolver=None, keep_single: bool = True):
         """Union of the labels of shared dimensions; the resolver decides where both hold data.
 
         A cube that lacks dimensions is spread over them. Bands only one cube has are
         kept next to each other. Without a resolver, overlapping data is an error.
+        With ``keep_single=False`` cells of only one cube become null, as a comparison needs.
         """
         a, b = self.schema, other.schema
         shared = [d for d in a.dim_names if b.has(d)]
@@ -25,7 +26,7 @@ class MergeOps(CubeBase):
             raise err.DimensionMismatch(f"{a.dim_names} and {b.dim_names} each have dimensions the other lacks")
         if len(a.dim_names) < len(b.dim_names):
             flip = (lambda x, y: overlap_resolver(y, x)) if overlap_resolver else None
-            return other.merge_cubes(self, flip)
+            return other.merge_cubes(self, flip, keep_single)
         spread = len(b.dim_names) < len(a.dim_names)
         if a.band_dim and b.band_dim:
             pairs = {v: v for v in a.values if v in b.values}
@@ -47,7 +48,8 @@ class MergeOps(CubeBase):
             if overlap_resolver is None:
                 clash = both & x.isNotNull() & y.isNotNull()
                 return F.when(clash, F.raise_error(F.lit("OverlapResolverMissing"))).otherwise(F.coalesce(x, y))
-            return F.when(both, overlap_resolver(x, y)).otherwise(F.coalesce(x, y))
+            resolved = F.when(both, overlap_resolver(x, y))
+            return resolved.otherwise(F.coalesce(x, y)) if keep_single else resolved
 
         extra = [x for x in b.bands if x.name not in pairs.values()]
         columns = {v: value(v) for v in a.values}
@@ -55,11 +57,11 @@ class MergeOps(CubeBase):
         schema = a.with_bands([*a.bands, *extra], a.band_dim or b.band_dim)
         return self._new(df.select(*a.dim_names, *[c.alias(n) for n, c in columns.items()]), schema)
 
-    def _operate(self, op, other, flip: bool = False):
+    def _operate(self, op, other, flip: bool = False, keep_single: bool = True):
         """``cube op cube`` merges with the operator, ``cube op number`` applies it."""
         fn = (lambda x, y: op(y, x)) if flip else op
         if isinstance(other, CubeBase):
-            return self.merge_cubes(other, fn)
+            return self.merge_cubes(other, fn, keep_single)
         return self._new(self._map_values(lambda c: fn(c, other)))
 
     def __add__(self, o):
@@ -93,22 +95,22 @@ class MergeOps(CubeBase):
         return self._new(self._map_values(lambda c: -c))
 
     def __eq__(self, o):
-        return self._operate(operator.eq, o)
+        return self._operate(operator.eq, o, keep_single=False)
 
     def __ne__(self, o):
-        return self._operate(operator.ne, o)
+        return self._operate(operator.ne, o, keep_single=False)
 
     def __lt__(self, o):
-        return self._operate(operator.lt, o)
+        return self._operate(operator.lt, o, keep_single=False)
 
     def __le__(self, o):
-        return self._operate(operator.le, o)
+        return self._operate(operator.le, o, keep_single=False)
 
     def __gt__(self, o):
-        return self._operate(operator.gt, o)
+        return self._operate(operator.gt, o, keep_single=False)
 
     def __ge__(self, o):
-        return self._operate(operator.ge, o)
+        return self._operate(operator.ge, o, keep_single=False)
 
     def __and__(self, o):
         return self._operate(operator.and_, o)
