@@ -9,7 +9,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..cube import Cube
 from ..operators.vector import Geometries
