@@ -161,7 +161,8 @@ def dedup_lines(docs: DataFrame, least: int = 40, documents: int = 5, bits_per_l
     repeats = stored(repeats.where(F.col("n") >= documents).select("d", "keeper"), "repeated-lines")
     drops = found.join(repeats, F.col("digest") == F.col("d")).where(~F.col("id").eqNullSafe(F.col("keeper")))
     drops = stored(drops.groupBy("id").agg(F.collect_set("digest").alias("__digests")), "dropped-lines")
-    joined = rows.join(drops.withColumnRenamed("id", "__id"), F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left").drop("__id")
+    # one plan at every size: documents and their lists meet by a shuffle that can spill
+    joined = rows.join(drops.withColumnRenamed("id", "__id").hint("merge"), F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left").drop("__id")
     where = rows.columns.index(text_col)
 
     def cut(batches):
