@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 from .common import add_columns, table, without
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-MOST_STATES = 300_000  # states and cached pieces of one worker; beyond, the cache starts anew
-MOST_PIECES = 400_000
+MOST_STATES = 200_000  # states and cached pieces of one worker; beyond, the cache starts anew
+MOST_PIECES = 250_000
+WINDOW = 1024  # bytes of a long piece between two emissions
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -55,6 +56,7 @@ class Transducer:
         self.most_states = most_states
         self.child: dict[int, int] = {}  # trie node << 8 | byte
         self.ends: list[int] = [-1]  # token that ends at a node
+        self.depth: list[int] = [0]
         for token, rank in ranks.items():
             node = 0
             for byte in token:
@@ -62,6 +64,7 @@ class Transducer:
                 if key not in self.child:
                     self.child[key] = len(self.ends)
                     self.ends.append(-1)
+                    self.depth.append(self.depth[node] + 1)
                 node = self.child[key]
             self.ends[node] = rank
         self.fit: dict[int, bool] = {}
@@ -71,7 +74,6 @@ class Transducer:
         self.alike: dict[int, int] = {}
         self.classes: dict[object, int] = {}
         self.width = {rank: len(token) for token, rank in ranks.items()}
-        self.longest = max(self.width.values())
         self._clear()
 
     def _clear(self) -> None:
@@ -135,7 +137,7 @@ class Transducer:
                             rank = rank_of(right + left)
                             if rank is not None and rank < x_to and rank <= y_to:
                                 known = False
-        if len(self.fit) >= 16 * self.most_states:
+        if len(self.fit) >= 2 * self.most_states:
             self.fit.clear()
         self.fit[key] = known
         return known
@@ -181,42 +183,53 @@ class Transducer:
             self._clear()
         state, last, steps = 0, [], self.steps
         ids: list[int] = []
+        limit = WINDOW
         for byte in piece:
             step = steps.get(state << 8 | byte)
             if step is None:
                 step = self._step(state, byte)
             state = step >> 20
             last.append(step & 0xFFFFF)
-            if len(last) >= 4096:
-                ids += self._settled(last, len(last) - self.longest)
-        at, width, tail = len(last), self.width, []
-        while at > 0:
-            tail.append(last[at - 1])
-            at -= width[last[at - 1]]
-        ids += reversed(tail)
-        return ids
-
-    def _settled(self, last: list[int], least: int) -> list[int]:
-        """Ids up to the latest prefix that all prefixes from ``least`` on go back to; ``last`` keeps the rest."""
-        width, stop = self.width, None
-        for end in range(least, len(last) + 1):
-            way, at = [], end
-            while at > 0:
-                way.append((at, last[at - 1]))
-                at -= width[last[at - 1]]
-            stop = way if stop is None else [x for x in stop if x in set(way)]
-        del last[: stop[0][0] if stop else 0]
-        return [token for _, token in reversed(stop or [])]
+            if len(last) >= limit:
+                ids += self._settled(last, [len(last) - self.depth[node] for _, node in self.members[state]])
+                limit = len(last) + WINDOW
+        return ids + [token for _, token in self._path(last, len(last))]
+
+    def _path(self, last: list[int], end: int) -> list[tuple[int, int]]:
+        """Where the tokens of the prefix up to ``end`` end, and their ids, in order."""
+        width, way = self.width, []
+        while end > 0:
+            way.append((end, last[end - 1]))
+            end -= width[last[end - 1]]
+        way.reverse()
+        return way
+
+    def _settled(self, last: list[int], starts: list[int]) -> list[int]:
+        """Ids that the prefixes of all members begin with; ``last`` keeps what is open."""
+        ways = [self._path(last, start) for start in starts]
+        shared = 0
+        while all(len(w) > shared and w[shared] == ways[0][shared] for w in ways):
+            shared += 1
+        if shared:
+            del last[: ways[0][shared - 1][0]]
+        return [token for _, token in ways[0][:shared]]
 
 
 class Codec:
     """Whole texts to packed ids and back."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.machine = Transducer(ranks)
+        self.token = {r: t for t, r in ranks.items()}
+        self.ranks, self.built = ranks, None
         self.pieces = regex.compile(pattern)
         self.cache: dict[str, bytes] = {}
 
+    @property
+    def machine(self) -> Transducer:
+        if self.built is None:  # decoding needs none
+            self.built = Transducer(self.ranks)
+        return self.built
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; pieces seen before are looked up."""
         cache, out = self.cache, []
@@ -233,7 +246,7 @@ class Codec:
         return b"".join(out)
 
     def bytes_of(self, ids: bytes) -> bytes:
-        return b"".join(map(self.machine.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def stream_text(chunks: Iterable[bytes]) -> Iterator[str]:
@@ -266,47 +279,66 @@ def _vocabulary(docs: DataFrame, path: str | None):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
+def _mapped(docs: DataFrame, added: dict[str, T.DataType], code, path: str | None, pattern: str) -> DataFrame:
+    """``docs`` with the columns that ``code(codec, batch)`` makes in place of those of the same name."""
+    rows, shared = without(docs, *added), _vocabulary(docs, path)
+
+    def mapped(batches):
+        codec = _codec(shared.value, pattern)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1000):
+                part = batch.slice(i, 1000)
+                yield add_columns(part.select(names), dict(zip(added, code(codec, part))))
+
+    names = rows.columns
+    return docs.mapInArrow(mapped, T.StructType([*rows.schema, *[T.StructField(k, v) for k, v in added.items()]]))
+
+
+def _encoded(codec: Codec, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    ids = [codec.encode(t.as_py() or "") for t in texts]
+    return pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())
+
+
+def _decoded(codec: Codec, packed: pa.Array, chunk: int) -> pa.Array:
+    texts = []
+    for ids in packed:
+        ids = ids.as_py() or b""
+        texts.append("".join(stream_text(codec.bytes_of(ids[i : i + 4 * chunk]) for i in range(0, len(ids), 4 * chunk))))
+    return pa.array(texts, pa.string())
+
+
+CHUNK = 4096  # tokens that the decoder takes at a time
+
+
 def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN,
                      text_col: str = "text") -> DataFrame:
     """Add ``n_tokens`` and ``ids`` (packed little-endian unsigned 32-bit integers) to ``docs``.
 
     Each match of ``pattern`` is encoded by itself, without special tokens. A null or empty
-    text has no ids. Rows are independent: no shuffle, and repeats cost a look-up.
-    Columns of the input named like an added one are replaced.
+    text has no ids. Rows are independent: no shuffle, and repeats cost a look-up. Columns of
+    the input named like an added one are replaced, in all three functions.
     """
-    rows, shared = without(docs, "n_tokens", "ids"), _vocabulary(docs, path)
+    return _mapped(docs, {"n_tokens": T.LongType(), "ids": T.BinaryType()},
+                   lambda codec, batch: _encoded(codec, batch.column(text_col)), path, pattern)
 
-    def mapped(batches):
-        codec = _codec(shared.value, pattern)
-        for batch in batches:
-            ids = [codec.encode(t.as_py() or "") for t in batch.column(text_col)]
-            yield add_columns(batch, {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())})
 
-    return rows.mapInArrow(mapped, T.StructType([*rows.schema, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]))
+def decode_documents(encoded: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """Add ``decoded``, the text of ``ids``; null ids give ""."""
+    return _mapped(encoded, {"decoded": T.StringType()}, lambda codec, batch: (_decoded(codec, batch.column("ids"), CHUNK),), path, pattern)
 
 
-def decode_documents(encoded: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN,
-                     chunk: int = 4096) -> DataFrame:
-    """Add ``decoded``, the text of ``ids``, read in chunks of ``chunk`` tokens; null ids give "".
+def round_trip_documents(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN,
+                         text_col: str = "text") -> DataFrame:
+    """Encode and then decode the ids, in one pass: adds ``n_tokens``, ``ids`` and ``decoded``."""
 
-    A column of the input with that name is replaced.
-    """
-    rows, shared = without(encoded, "decoded"), _vocabulary(encoded, path)
-
-    def mapped(batches):
-        codec = _codec(shared.value, pattern)
-        for batch in batches:
-            texts = []
-            for ids in batch.column("ids"):
-                ids = ids.as_py() or b""
-                texts.append("".join(stream_text(codec.bytes_of(ids[i : i + 4 * chunk]) for i in range(0, len(ids), 4 * chunk))))
-            yield add_columns(batch, {"decoded": pa.array(texts, pa.string())})
+    def code(codec, batch):
+        n, ids = _encoded(codec, batch.column(text_col))
+        return n, ids, _decoded(codec, ids, CHUNK)
 
-    return rows.mapInArrow(mapped, T.StructType([*rows.schema, T.StructField("decoded", T.StringType())]))
+    return _mapped(docs, {"n_tokens": T.LongType(), "ids": T.BinaryType(), "decoded": T.StringType()}, code, path, pattern)
 
 
 def op10_byte_bpe(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = encode_documents(docs).select("doc_id", "n_tokens", "ids")
-    return decode_documents(encoded).select(
+    return round_trip_documents(docs).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

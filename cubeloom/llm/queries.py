@@ -8,9 +8,10 @@ from .fingerprint import op1_document_fingerprints
 from .line_dedup import OP6_SQL, op6_line_dedup
 from .mixing import OP4_SQL, op4_mixing_sources
 from .simhash_dedup import op9_simhash_near_dedup
+from .toxicity import op8_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op1_document_fingerprints, op2_embedding_near_dedup, op4_mixing_sources, op6_line_dedup, op9_simhash_near_dedup, op10_byte_bpe,
+    op1_document_fingerprints, op2_embedding_near_dedup, op4_mixing_sources, op6_line_dedup, op8_toxicity, op9_simhash_near_dedup, op10_byte_bpe,
 )}
 
 SQL = {"op4_mixing_sources": OP4_SQL, "op6_line_dedup": OP6_SQL}
