@@ -8,37 +8,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table, without
+from .common import stored, table
 
 WORDS = 48  # words of a fingerprint; each carries three lanes of 16 bits
 MASK = (1 << 48) - 1  # words are added modulo 2^48
 PARAGRAPHS = r"(?<=\n)|(?<=[.!?] )"  # cut points; every piece keeps what ends it
 
 
-def _seed_word(seed: Column, i: Column) -> Column:
-    """Word ``i`` of a paragraph's vector: three signed bytes, one for each lane."""
-    h = F.xxhash64(seed, i)
-    low = F.shiftright(F.shiftleft(h, 56), 56)
-    mid = F.shiftright(F.shiftleft(h, 48), 56)
-    high = F.shiftright(F.shiftleft(h, 40), 56)
+def _word(h: Column, first: int) -> Column:
+    """Three signed bytes of a hash, from bit ``first`` on, one for each lane of a word."""
+    low, mid, high = (F.shiftright(F.shiftleft(h, 56 - first - 8 * i), 56) for i in range(3))
     return low + mid * F.lit(1 << 16) + high * F.lit(1 << 32)
 
 
-def fingerprint(text: Column) -> Column:
-    """The fingerprint of a text as an array of longs; a null counts as the empty text.
+def fingerprints(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """``keys`` and ``fp``, the fingerprint of the text as an array of longs; a null counts as the empty text.
 
-    The text is cut behind each newline and behind each sentence end, so that a text of one
-    long paragraph has parts as well; the pieces form a multiset (their order is of no
-    account, their number is). Each piece is hashed by SHA-256, the hash is stretched to
-    ``WORDS`` words of three signed bytes each, and words are summed over the pieces modulo
-    2^48. Texts with equal pieces have equal fingerprints; ``insert`` and ``delete`` follow
-    an edit without the rest of the text.
+    ``keys`` tell the rows apart. The text is cut behind each newline and behind each
+    sentence end, so that a text of one long paragraph has parts as well; the pieces form a
+    multiset (their order is of no account, their number is). Each piece is hashed by
+    SHA-256, the hash is stretched to ``WORDS`` words of three signed bytes each, and words
+    are summed over the pieces modulo 2^48. Texts with equal pieces have equal fingerprints;
+    ``insert`` and ``delete`` follow an edit without the rest of the text. Pieces of a row
+    are summed where the row is: rows dealt out by some of ``keys`` are not shuffled again.
     """
-    pieces = F.split(F.coalesce(text, F.lit("")), PARAGRAPHS)
-    seeds = F.transform(pieces, lambda p: F.sha2(p.cast("binary"), 256))
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(WORDS - 1)),
-        lambda i: F.aggregate(seeds, F.lit(0).cast("long"), lambda acc, s: (acc + _seed_word(s, i)).bitwiseAND(F.lit(MASK))))
+    pieces = rows.select(*keys, F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), PARAGRAPHS)).alias("__p"))
+    seeds = pieces.select(*keys, F.sha2(F.col("__p").cast("binary"), 256).alias("__s"))
+    hashes = seeds.select(*keys, *[F.xxhash64("__s", F.lit(j)).alias(f"__h{j}") for j in range(WORDS // 2)])
+    words = [_word(F.col(f"__h{i // 2}"), 24 * (i % 2)) for i in range(WORDS)]
+    sums = hashes.groupBy(*keys).agg(*[F.sum(w).alias(f"__w{i}") for i, w in enumerate(words)])
+    return sums.select(*keys, F.array(*[F.col(f"__w{i}").bitwiseAND(F.lit(MASK)) for i in range(WORDS)]).alias("fp"))
 
 
 def insert(a: Column, b: Column) -> Column:
@@ -109,12 +108,13 @@ def _number(key: Column, cuts: list[int]) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """``id, text, fp, next_text, next_fp``: each document with the next one in descending order of id.
+    """``r, place, guest, id, text, next_text``: each document with the next one in descending order of id.
 
     After the smallest comes the largest; ties are ordered by text, null ids come last. Ids
     are cut into ranges of about equal row counts (a mergeable sketch over all ids gives the
     cuts), and the window runs per range. The largest document of each range is also dealt
-    to the range above as a guest, so every row meets its successor in one shuffle. Only the
+    to the range above as a guest, behind all others, so every row meets its successor in
+    one shuffle (rows of a range ``r`` stay in one task, in order of ``place``). Only the
     cuts, at most 4,095 numbers, come to the driver.
     """
     spark = docs.sparkSession
@@ -132,11 +132,9 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.struct(F.col("range").alias("r"), F.lit(False).alias("guest")), F.struct(F.col("above").alias("r"), F.lit(True).alias("guest"))
     )).otherwise(F.array(F.struct(F.col("range").alias("r"), F.lit(False).alias("guest"))))
     dealt = data.join(heads, F.col("range") == F.col("r")).select("id", "text", F.explode(places).alias("p")).select("id", "text", "p.r", "p.guest")
-    dealt = dealt.repartition("r").withColumn("fp", fingerprint(F.col("text")))
     inside = Window.partitionBy("r").orderBy("guest", F.desc_nulls_last("id"), F.asc_nulls_first("text"))
-    return dealt.select(
-        "id", "text", "fp", "guest", F.lead(F.struct("text", "fp")).over(inside).alias("next")
-    ).where("not guest").select("id", "text", "fp", F.col("next.text").alias("next_text"), F.col("next.fp").alias("next_fp"))
+    return dealt.repartition("r").select(
+        "r", F.row_number().over(inside).alias("place"), "guest", "id", "text", F.lead("text").over(inside).alias("next_text"))
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -153,13 +151,20 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     near_next``; nulls count as empty texts, one document is its own successor, repeated
     rows follow one another, and other columns are not read.
     """
-    rows = with_next(without(docs).select("doc_id", "text"))
     text, following = F.coalesce("text", F.lit("")), F.coalesce("next_text", F.lit(""))
-    rows = rows.select("id", F.char_length(text).cast("long").alias("n_chars"), edited(text, following).alias("edited"), "fp", "next_fp")
-    rows = rows.withColumn("edited_fp", fingerprint(F.col("edited")))
+    rows = with_next(docs.select("doc_id", "text")).select(
+        "r", "place", "guest", "id", F.char_length(text).cast("long").alias("n_chars"), text.alias("text"), edited(text, following).alias("edited"))
+    rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    own = F.struct(F.lit(False).alias("after"), F.col("text").alias("text"))
+    both = F.when(F.col("guest"), F.array(own)).otherwise(F.array(own, F.struct(F.lit(True).alias("after"), F.col("edited").alias("text"))))
+    facts = ["r", "place", "guest", "id", "n_chars", "edited_sha256"]
+    texts = rows.select(*facts, F.explode(both).alias("v")).select(*facts, "v.after", "v.text")
+    found = fingerprints(texts, [*facts, "after"], "text").groupBy(*facts).agg(
+        F.max(F.when(~F.col("after"), F.col("fp"))).alias("fp"), F.max(F.when(F.col("after"), F.col("fp"))).alias("edited_fp"))
+    found = found.withColumn("next_fp", F.lead("fp").over(Window.partitionBy("r").orderBy("place"))).where("not guest")
     norm = _norm(F.col("fp"))
-    return rows.select(
-        F.col("id").alias("doc_id"), "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+    return found.select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
         as_text(F.col("fp")).alias("fingerprint"), as_text(F.col("edited_fp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edited_fp"), norm).alias("near_edited"),
         likeness(F.col("fp"), F.col("next_fp"), norm).alias("near_next"))
