@@ -278,7 +278,8 @@ def drop_near_documents(docs: DataFrame, words: int = 4, distance: int = 4, seed
     """
     near = near_documents(docs, words, distance, seed)
     gone = stored(near.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    # one plan at every size: a merge join can spill, and its hot keys are split
+    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def op9_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
