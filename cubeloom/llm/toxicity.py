@@ -38,7 +38,9 @@ def fold(text: str) -> str:
     A word of digits only stays as it is, so numbers don't turn into words.
     """
     text = text.lower()
-    if text.isascii():
+    if text.isascii() and not _SIGNS.search(text):
+        words = _LETTERS.findall(text)
+    elif text.isascii():
         words = [w if w.isdigit() else w.translate(_FOLD) if not w.isalpha() else w for w in _ASCII.findall(text)]
     else:
         words = [w if w.isdigit() else w.translate(_FOLD | _FULL) if not (w.isascii() and w.isalpha()) else w for w in _ANY.findall(text)]
@@ -47,6 +49,7 @@ def fold(text: str) -> str:
 
 # a sign that stands for a letter belongs to a word only between letters
 _ASCII = re.compile(r"[a-z0-9](?:[a-z0-9]|[@$](?=[a-z0-9]))*|[@$](?=[a-z])(?:[a-z0-9]|[@$](?=[a-z0-9]))*")
+_SIGNS, _LETTERS = re.compile(r"[0-9@$]"), re.compile(r"[a-z]+")
 _ANY = re.compile(r"(?:[^\W_]|[@$](?=[^\W_]))+")
 
 
@@ -56,7 +59,6 @@ class Model:
 
     weights: dict[str, float]
     slope: float
-    middle: float
     bias: float
 
     def automaton(self) -> ahocorasick.Automaton:
@@ -107,33 +109,37 @@ def entries_of(folded: str) -> dict[str, str]:
     return found
 
 
-def _folded_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled rows that may be learned from, as ``doc_id, toxic, text``; one label per id (the highest)."""
-    marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(
-        F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
-    rows = docs.where(in_training()).select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.join(marks, F.col("doc_id") == F.col("id")).select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")
+def _labelled_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """Labelled rows that may be learned from, as ``doc_id, toxic, text``; one label per id (the highest).
+
+    ``sample`` ids at most per label are drawn by their hash before the texts are touched,
+    so the drawn ids are small enough to be broadcast, and no text is shuffled.
+    """
+    marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & in_training()).groupBy(
+        F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic")).withColumn("h", F.xxhash64("id"))
+    drawn = marks.where("toxic = 1").orderBy("h", "id").limit(sample).unionByName(marks.where("toxic = 0").orderBy("h", "id").limit(sample))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.join(F.broadcast(drawn.select("id", "toxic")), F.col("doc_id") == F.col("id"))
+    return stored(rows.select("doc_id", "toxic", "text"), "labelled-rows")
 
 
 def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries: int = 20_000,
           most_candidates: int = 100_000, sample: int = 20_000) -> Model:
-    """A lexicon and its curve from labelled training rows.
+    """A lexicon and its curve from labelled training rows, ``sample`` at most per label.
 
-    Entries are whole words and word beginnings of folded texts, counted by label over all
-    labelled training rows. One is kept if its smoothed log odds for label 1 exceed those of
+    Entries are whole words and word beginnings of folded whole texts, counted by label. One is kept if its smoothed log odds for label 1 exceed those of
     all rows by 3 and documents with label 1 have it behind enough different words
     (``least_docs``, and one for every 20 documents): words that only a group of copies
     shares always follow the same word, so copies teach nothing. The strongest
-    ``most_entries`` stay, out of the ``most_candidates`` that most such documents have. The curve (a logistic function of ``strength``) is fitted on
-    ``sample`` rows at most per label, drawn by a hash of their ids. Texts are reduced to
-    numbers in tasks; the driver sees the lexicon and two numbers per sampled row.
+    ``most_entries`` stay, out of the ``most_candidates`` that most such documents have. The curve is a logistic function of ``strength``. Texts are
+    reduced to numbers in tasks; the driver sees the lexicon and two numbers per row.
     Without any label 1 nothing is toxic.
     """
-    rows = _folded_rows(docs, labels)
+    rows = _labelled_rows(docs, labels, sample)
     totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1:
-        return Model({}, 0.0, 0.0, -10.0)
+        return Model({}, 0.0, -10.0)
 
     def counted(batches):
         counts: dict[tuple[str, str], int] = {}
@@ -173,7 +179,7 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
     candidates = candidates.where((F.col("contexts") >= least_docs) & (F.col("contexts") * 20 >= F.col("n1")))
     candidates = candidates.orderBy(F.desc("n1"), "entry").limit(most_candidates).collect()
     if not candidates:
-        return Model({}, 0.0, 0.0, -10.0)
+        return Model({}, 0.0, -10.0)
     spark = docs.sparkSession
     names = [r["entry"] for r in candidates]
     candidates = spark.createDataFrame([(r["entry"], r["n1"]) for r in candidates], "entry string, n1 long")
@@ -184,9 +190,7 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
     # a word whose beginning says as much needs no entry of its own
     weights = {e: w for e, w in weights.items()
                if not any(weights.get(e[: n + 1], 0.0) >= w for n in STEMS if n + 1 < len(e.rstrip()))}
-    model = Model(weights, 1.0, 0.0, 0.0)
-    drawn = rows.withColumn("h", F.xxhash64("doc_id"))
-    drawn = drawn.where("toxic = 1").orderBy("h", "doc_id").limit(sample).unionByName(drawn.where("toxic <> 1").orderBy("h", "doc_id").limit(sample))
+    model = Model(weights, 1.0, 0.0)
 
     def measured(batches):
         automaton = model.automaton()
@@ -197,28 +201,26 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
                 x.append(strength(hits(folded, automaton), folded.count(" ") - 1))
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(x, pa.float64())], names=["toxic", "x"])
 
-    points = drawn.select("toxic", "text").mapInArrow(measured, "toxic int, x double").toPandas()
+    points = rows.select("toxic", "text").mapInArrow(measured, "toxic int, x double").toPandas()
     x, y = points["x"].to_numpy(), (points["toxic"].to_numpy() == 1).astype(float)
-    share = np.where(y == 1, n1 / max(y.sum(), 1), n0 / max((1 - y).sum(), 1))
-    return Model(weights, *_curve(x, y, share))
+    return Model(weights, *_curve(x, y))
 
 
-def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
-    """Slope, middle and bias of a logistic curve over log(1 + x), by damped Newton steps."""
+def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope and bias of a logistic curve over log(1 + x), by damped Newton steps."""
     z = np.log1p(x)
     scale = max(z.max(), 1e-9)
     a = np.stack([z / scale, np.ones_like(z)], axis=1)
     theta = np.array([4.0, -2.0])
-    weight = weight / weight.sum() * len(x)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ theta, -30, 30)))
-        gradient = a.T @ (weight * (p - y)) + 1e-2 * theta
-        curvature = (a * (weight * p * (1 - p))[:, None]).T @ a + 1e-2 * np.eye(2)
+        gradient = a.T @ (p - y) + 1e-2 * theta
+        curvature = (a * (p * (1 - p))[:, None]).T @ a + 1e-2 * np.eye(2)
         step = np.linalg.solve(curvature, gradient)
         theta = theta - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    return float(theta[0] / scale), 0.0, float(theta[1])
+    return float(theta[0] / scale), float(theta[1])
 
 
 def score_of(model: Model, total: float, words: int) -> float:
