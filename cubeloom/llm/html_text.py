@@ -46,7 +46,8 @@ class Builder(HTMLParser):
     """A tree from tags that may be missing or crossed.
 
     A block ends an open paragraph, list items, cells, rows and table sections end their
-    like, an end tag closes up to its element if that is open and is ignored otherwise
+    like, an end tag closes up to its element if that is open in the same block (for a block:
+    in the same table) and is ignored otherwise
     (a lone </p> or </br> counts as an empty element), and the end closes all.
     """
 
@@ -100,7 +101,8 @@ class Builder(HTMLParser):
         if tag in ("html", "body"):
             return
         if any(n.tag == tag for n in self.open[1:]):
-            self._close({tag}, set() if tag in ("table", "head") else {"table"})
+            # an inline element does not end the block around it, a block not the table around it
+            self._close({tag}, set() if tag in ("table", "head") else {"table"} if tag in BLOCK else BLOCK)
         elif tag in ("p", "br"):
             self.open[-1].children.append(Node(tag, {}))
 
