@@ -101,9 +101,8 @@ class ApplyOps(CubeBase):
         schema = self.schema
         keys = schema.others(dimension)
         df = self.df
-        plain = sc.few_labels(df, dimension)
         if by == "position":
-            df, order = sc.with_position(df, keys, dimension, plain=plain), "__pos"
+            df, order = sc.with_position(df, keys, dimension), "__pos"
             at = F.col("__pos").cast("double")
         else:
             order = dimension
@@ -112,7 +111,7 @@ class ApplyOps(CubeBase):
         for v in schema.values:
             runs[f"__l_{v}"] = sc.last_known(F.col(v).cast("double"), at)
             runs[f"__r_{v}"] = sc.next_known(F.col(v).cast("double"), at)
-        df = sc.scan(df, keys, order, runs, plain)
+        df = sc.scan(df, keys, order, runs)
 
         def filled(v: str) -> Column:
             l, r = F.col(f"__l_{v}"), F.col(f"__r_{v}")
@@ -124,24 +123,22 @@ class ApplyOps(CubeBase):
     def smooth_savitzky_golay(self, dimension: str, window: int = 5, degree: int = 2, fill: bool = True):
         """Savitzky-Golay smoothing of each series, edges by the polynomial of the end window.
 
-        Gaps are interpolated by label first. Short series are smoothed in one window. For
-        long ones positions come from a range-wise scan, and blocks of positions, each with
-        the few rows it needs from its neighbours, are smoothed. The weights are fixed. A
-        series shorter than the window stays as it is.
+        Gaps are interpolated by label first. Positions come from a range-wise scan, and
+        blocks of positions, each with the few rows it needs from its neighbours, are
+        smoothed. The weights are fixed. A series shorter than the window stays as it is.
         """
         if window % 2 == 0 or degree >= window:
             raise ValueError("the window must be odd and larger than the degree")
         schema = self.schema
         keys = schema.others(dimension)
         cube = self.interpolate_linear(dimension, by="label") if fill else self
-        plain = sc.few_labels(self.df, dimension)
-        df = sc.with_position(cube.df, keys, dimension, total="__len", plain=plain)
+        df = sc.with_position(cube.df, keys, dimension, total="__len")
         block, reach, half = 4096, window - 1, window // 2
         own = F.floor(F.col("__pos") / block)
         near = F.array_distinct(F.array(
             own, F.floor(F.greatest(F.col("__pos") - reach, F.lit(0)) / block), F.floor((F.col("__pos") + reach) / block)))
-        spread = df if plain else df.withColumns({"__own": own, "__block": F.explode(near)})
-        w = Window.partitionBy(*keys).orderBy(dimension) if plain else Window.partitionBy(*keys, "__block").orderBy("__pos")
+        spread = df.withColumns({"__own": own, "__block": F.explode(near)})
+        w = Window.partitionBy(*keys, "__block").orderBy("__pos")
         design = np.vander(np.arange(window), degree + 1, increasing=True)
         hat = design @ np.linalg.pinv(design)  # row i: weights that give the fit at place i of a window
 
@@ -161,8 +158,7 @@ class ApplyOps(CubeBase):
             return out.otherwise(at_place(v, half))
 
         df = spread.withColumns({f"__o_{v}": smoothed(v) for v in schema.values})
-        if not plain:
-            df = df.where(F.col("__own") == F.col("__block"))
+        df = df.where(F.col("__own") == F.col("__block"))
         return self._new(df.withColumns({v: F.col(f"__o_{v}") for v in schema.values}))
 
     # -- reduction -----------------------------------------------------------------

@@ -1,9 +1,8 @@
 """Exact order statistics of a group without gathering an unbounded group.
 
-The built-in ``percentile`` keeps the distinct values of a group in one buffer; it is used
-where a count of the distinct values shows that buffer to be small. Otherwise equal values
-are counted first, a running count along the value (range-wise, see ``scan``) gives every
-value its ranks, and the few values at the wanted ranks are taken.
+The built-in ``percentile`` keeps the distinct values of a group in one buffer. Instead,
+at every size, equal values are counted first, a running count along the value (range-wise,
+see ``scan``) gives every value its ranks, and the few values at the wanted ranks are taken.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import PLAIN_VALUES, few_labels, running_sum, scan, total_sum
+from .scan import running_sum, scan, total_sum
 
 
 def _counted(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -26,17 +25,13 @@ def _counted(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     return long.where(F.col("__v").isNotNull()).groupBy(*keys, "__i", "__v").agg(F.count(F.lit(1)).alias("__n"))
 
 
-def quantiles(df: DataFrame, keys: list[str], values: list[str], probabilities: list[float],
-              plain: bool | None = None) -> DataFrame:
+def quantiles(df: DataFrame, keys: list[str], values: list[str], probabilities: list[float]) -> DataFrame:
     """One array of interpolated quantiles per group and value column; nulls are skipped."""
     empty = F.array(*[F.lit(None).cast("double")] * len(probabilities))
-    if few_labels(df, *values, limit=PLAIN_VALUES) if plain is None else plain:
-        return df.groupBy(*keys).agg(*[
-            F.coalesce(F.percentile(F.col(v).cast("double"), [float(p) for p in probabilities]), empty).alias(v) for v in values])
     counted = _counted(df, keys, values)
     ranked = scan(
         counted, [*keys, "__i"], "__v",
-        {"__cum": running_sum(F.col("__n")), "__all": total_sum(F.col("__n"))}, plain=False,
+        {"__cum": running_sum(F.col("__n")), "__all": total_sum(F.col("__n"))},
     )
     hits = {}
     for j, p in enumerate(probabilities):

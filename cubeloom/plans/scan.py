@@ -1,12 +1,11 @@
 """Ordered scans that do not put one unbounded key into one task.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sorts the whole series of a key in one
-task. Cells of a cube are unique, so a series has at most as many rows as the dimension
-has labels: where a count of the labels shows that bound to be small, the plain window is
-used. Otherwise the order column is cut into ranges of about equal row counts (a mergeable
-quantile sketch gives the cuts), the window runs per (key, range), one summary row per
-(key, range) is carried forward, and both are put together. Then no task sees more of one
-key than one range holds, even if that key has a third of all rows.
+task. Here, at every size, the order column is cut into ranges of about equal row counts
+(a mergeable quantile sketch gives the cuts, as a subquery of the plan), the window runs
+per (key, range), one summary row per (key, range) is carried forward, and both are put
+together. Then no task sees more of one key than one range holds, even if that key has a
+third of all rows. No Spark job runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -19,15 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "__chunk"
-PLAIN_LABELS = 1_000_000  # longest series that may be sorted in one task (it can spill)
-PLAIN_VALUES = 100_000  # most distinct values one percentile buffer may hold (it cannot)
 
 
 def range_count(df: DataFrame) -> int:
-    """Number of ranges: a power of two that follows the configured parallelism."""
+    """Number of ranges: a power of two that follows the configured parallelism, without a stop."""
     wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = 8
-    while n < wanted and n < 1024:
+    while n < wanted:
         n *= 2
     return n
 
@@ -49,9 +46,11 @@ def order_key(df: DataFrame, name: str) -> Column:
 def with_chunk(df: DataFrame, order: str, ranges: int | None = None) -> DataFrame:
     """Add the range number of ``order`` to every row."""
     ranges = ranges or range_count(df)
+    if ranges == 1:
+        return df.withColumn(CHUNK, F.lit(0))
     key = order_key(df, order)
     cuts = df.select(
-        F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 10000).alias("cuts")
+        F.percentile_approx(key, [i / ranges for i in range(1, ranges)], max(10_000, 20 * ranges)).alias("cuts")
     )
     steps = []
     step = ranges // 2
@@ -70,15 +69,6 @@ def with_chunk(df: DataFrame, order: str, ranges: int | None = None) -> DataFram
     )
 
 
-def few_labels(df: DataFrame, *columns: str, limit: int | None = None) -> bool:
-    """Whether each column has so few distinct values that one series fits a task.
-
-    A sketch of the columns alone is computed now; only the counts come to the driver.
-    """
-    row = df.select(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    return all(n <= (PLAIN_LABELS if limit is None else limit) for n in row)
-
-
 @dataclass(frozen=True)
 class Running:
     """One running value.
@@ -134,19 +124,9 @@ def _running_frame(part, order: Column, last: int = 0):
 
 
 def scan(
-    df: DataFrame, keys: list[str], order: str, runs: dict[str, Running], plain: bool | None = None,
-    ranges: int | None = None,
+    df: DataFrame, keys: list[str], order: str, runs: dict[str, Running], ranges: int | None = None,
 ) -> DataFrame:
-    """Add one column per running value to ``df``.
-
-    ``plain`` is the outcome of a label count made before; without it the count is made here.
-    """
-    if few_labels(df, order) if plain is None else plain:
-        part = Window.partitionBy(*(keys or [F.lit(0)]))
-        frames = {"before": _running_frame(part, F.asc(order)), "after": _running_frame(part, F.desc(order)), "all": part}
-        return df.select("*", *[
-            r.window(r.value).over(frames["all" if r.total else "before" if r.forward else "after"]).alias(n)
-            for n, r in runs.items()])
+    """Add one column per running value to ``df``."""
     rows = with_chunk(df, order, ranges)
     rows = rows.withColumns({f"__v_{n}": r.value for n, r in runs.items()})
     part = Window.partitionBy(*keys, CHUNK)
@@ -174,10 +154,9 @@ def scan(
     return joined.select(*df.columns, *[c.alias(n) for n, c in out.items()])
 
 
-def with_position(df: DataFrame, keys: list[str], order: str, name: str = "__pos", total: str | None = None,
-                  plain: bool | None = None) -> DataFrame:
+def with_position(df: DataFrame, keys: list[str], order: str, name: str = "__pos", total: str | None = None) -> DataFrame:
     """Add the 0-based position in the series of each key (and its length)."""
     runs = {"__rank": running_sum(F.lit(1).cast("long"))}
     if total:
         runs[total] = total_sum(F.lit(1).cast("long"))
-    return scan(df, keys, order, runs, plain).withColumn(name, F.col("__rank") - 1).drop("__rank")
+    return scan(df, keys, order, runs).withColumn(name, F.col("__rank") - 1).drop("__rank")

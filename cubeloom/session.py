@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,11 +31,14 @@ def build_session(master: str | None = None, app: str = "cubeloom", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only where nothing is configured (a test session) a local folder is made.
+    Only where nothing is configured and driver and executors are one process (a local
+    session, as in tests) a local folder is made; on a cluster that is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="cubeloom-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="cubeloom-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(configured)
     return configured

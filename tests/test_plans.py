@@ -1,4 +1,4 @@
-"""The range-wise plans must give what the plain ones give, also with one hot key."""
+"""The plans over many ranges must give what one range gives, also with one hot key."""
 
 import datetime as dt
 import random
@@ -28,9 +28,10 @@ def cube_of(df):
 
 
 def both(monkeypatch, make):
-    plain = make()
-    monkeypatch.setattr(scan, "PLAIN_LABELS", 0)
-    return plain, make()
+    monkeypatch.setattr(scan, "range_count", lambda df: 1)
+    one = make()
+    monkeypatch.setattr(scan, "range_count", lambda df: 16)
+    return one, make()
 
 
 @pytest.mark.parametrize("how", ["cumsum", "cummax", "cummin", "array_interpolate_linear"])
@@ -56,19 +57,28 @@ def test_smoothing(monkeypatch, hot, values, block):
 
 @pytest.mark.parametrize("probs", [[0.5], [0.0, 0.1, 0.75, 1.0]])
 def test_quantiles(hot, values, probs):
-    plain = ranked.quantiles(hot, ["x"], ["a", "b"], probs, plain=True)
-    wise = ranked.quantiles(hot, ["x"], ["a", "b"], probs, plain=False)
-    rnd = lambda rows: [tuple([round(w, 9) for w in v] if isinstance(v, list) else v for v in row) for row in rows]
-    assert rnd(values(plain)) == rnd(values(wise))
-    everything = ranked.quantiles(hot, [], ["a"], probs, plain=False).first()[0]
-    assert everything == ranked.quantiles(hot, [], ["a"], probs, plain=True).first()[0]
+    wise = {r.x: (r.a, r.b) for r in ranked.quantiles(hot, ["x"], ["a", "b"], probs).collect()}
+    frame = hot.toPandas()
+    for x, rows in frame.groupby("x"):
+        for got, name in zip(wise[x], ("a", "b")):
+            assert got == pytest.approx(list(rows[name].dropna().quantile(probs)), abs=1e-9)
+    assert ranked.quantiles(hot, [], ["a"], probs).first()[0] == pytest.approx(list(frame["a"].dropna().quantile(probs)), abs=1e-9)
 
 
 def test_quantiles_of_empty_group(spark):
     df = spark.createDataFrame([(1, None), (2, 3.0)], "k int, v double")
-    for plain in (True, False):
-        rows = {r.k: r.v for r in ranked.quantiles(df, ["k"], ["v"], [0.1, 0.5], plain=plain).collect()}
-        assert rows == {1: [None, None], 2: [3.0, 3.0]}
+    rows = {r.k: r.v for r in ranked.quantiles(df, ["k"], ["v"], [0.1, 0.5]).collect()}
+    assert rows == {1: [None, None], 2: [3.0, 3.0]}
+
+
+def test_building_starts_no_job(spark, hot):
+    seen = spark.sparkContext.statusTracker()
+    before = len(seen.getJobIdsForGroup())
+    cube = cube_of(hot)
+    for make in (lambda: cube.apply_dimension("cumsum", "t"), lambda: cube.interpolate_linear("t"), lambda: cube.smooth_savitzky_golay("t"),
+                 lambda: cube.median_time(), lambda: cube.reduce_dimension(R.quantiles([0.1, 0.9]), "t"), lambda: cube.resample_cube_temporal(cube)):
+        make()
+    assert len(seen.getJobIdsForGroup()) == before
 
 
 def test_mode_prefers_smallest(spark):
