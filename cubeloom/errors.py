@@ -27,6 +27,7 @@ UnitMismatch = _named("UnitMismatch", "The reference system is not in metres.")
 CountMismatch = _named("CountMismatch", "Fewer points asked for than there are geometries.")
 GeometriesOverlap = _named("GeometriesOverlap", "Polygons must not overlap here.")
 UnsupportedGeometry = _named("UnsupportedGeometry", "This geometry type cannot be used here.")
+CrsUnknown = _named("CrsUnknown", "One side has a reference system, the other has none to compare it with.")
 UnsupportedProjection = _named("UnsupportedProjection", "Only EPSG:4326, EPSG:3857 and UTM zones are known.")
 FormatUnsuitable = _named("FormatUnsuitable", "The format is unknown or cannot hold the data.")
 InvalidBBox = _named("InvalidBBox", "The value does not describe a bounding box.")

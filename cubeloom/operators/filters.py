@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import errors as err
 from ..functions import dates
 from .base import CubeBase
-from .geometry import pixel_flags
+from .geometry import aligned, bounds, pixel_flags
 
 
 def bbox_dict(value, crs: int | str | None = None) -> dict:
@@ -123,10 +123,11 @@ class FilterOps(CubeBase):
         return self._new(self.df.where(bbox_condition(box, x, y, z, self._between)))
 
     def filter_spatial(self, geometries):
-        """Limit to the bounding box of all geometries; pixels inside it stay as they are."""
+        """Limit to the bounding box of all geometries, buffers included; pixels inside it stay as they are."""
         x, y = self.schema.xy
-        box = geometries.df.agg(F.struct(
-            F.min("minx").alias("w"), F.max("maxx").alias("e"), F.min("miny").alias("s"), F.max("maxy").alias("n")))
+        (west, east), (south, north) = bounds("minx", "maxx"), bounds("miny", "maxy")
+        box = aligned(geometries, self.schema.dim(x).crs).df.agg(F.struct(
+            F.min(west).alias("w"), F.max(east).alias("e"), F.min(south).alias("s"), F.max(north).alias("n")))
         return self._new(self.df.where(
             self._between(x, box.scalar()["w"], box.scalar()["e"]) & self._between(y, box.scalar()["s"], box.scalar()["n"])))
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import CrsUnknown
+
 TILE = 256  # tile edge in pixels
 
 
@@ -115,6 +117,25 @@ def tiled(geoms: DataFrame, size_x: float, size_y: float, pad_x: float = 0.0, pa
     )
 
 
+def aligned(geometries, crs: int | None):
+    """The geometries in the reference system ``crs``.
+
+    Geometries without a system are taken as they are; geometries that have one can't meet
+    data that has none.
+    """
+    if geometries.crs is None or geometries.crs == crs:
+        return geometries
+    if crs is None:
+        raise CrsUnknown(f"geometries in EPSG:{geometries.crs}, data without a reference system")
+    return geometries.vector_reproject(crs)
+
+
+def bounds(low: str, high: str) -> tuple[Column, Column]:
+    """The ends of a geometry along an axis, its buffer included; an area that shrinks keeps its outer bounds."""
+    grow = F.greatest(F.col("buffer"), F.lit(0.0))
+    return F.col(low) - grow, F.col(high) + grow
+
+
 def pixel_hits(cube, geometries, pixels: DataFrame | None = None) -> DataFrame:
     """Join pixel rows to the geometries they belong to: columns of the pixels plus ``geom_id``.
 
@@ -125,6 +146,7 @@ def pixel_hits(cube, geometries, pixels: DataFrame | None = None) -> DataFrame:
     x, y = cube.schema.xy
     sx, sy = cube.schema.dim(x).step or 1.0, cube.schema.dim(y).step or 1.0
     size_x, size_y = TILE * sx, TILE * sy
+    geometries = aligned(geometries, cube.schema.dim(x).crs)
     plain = geometries.df.select(*GEOM_FIELDS)
     grow = F.greatest(F.max("buffer"), F.lit(0.0))
     box = plain.agg(F.struct(

@@ -12,6 +12,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .base import CubeBase
 
 
@@ -82,46 +83,53 @@ class LearnOps(CubeBase):
 
     # -- curves ----------------------------------------------------------------------
 
-    def fit_curve(self, parameters: list[float], function, dimension: str, rounds: int = 0, unit: float = 1.0):
+    def fit_curve(self, parameters: list[float], function, dimension: str, unit: float = 1.0, ignore_nodata: bool = True):
         """Least-squares parameters of ``function(x, parameters)`` per series and band.
 
-        One aggregate gives the normal equations of all series at once. A model linear in
-        its parameters is solved by that (``rounds=0``); else Gauss-Newton repeats it
-        ``rounds`` times from the given start values. ``x`` is the numeric label divided by
-        ``unit`` (seconds for time). The result has the bands ``<band>_p0 ...``.
+        Every round is one aggregate: the squares and the normal equations of all series at
+        their trial parameters, starting from the given values. A trial that does not raise
+        the squares is taken and the damping falls, else it is undone and the damping rises
+        (Levenberg and Marquardt); the small systems are scaled and solved in batches. It
+        ends when no series moves any more; the table of series is written between rounds,
+        so no round repeats those before. A singular system, a series without enough values
+        and, unless ``ignore_nodata``, one with nulls give nulls. ``x`` is the numeric label
+        divided by ``unit`` (seconds for time). The result has the bands ``<band>_p0 ...``.
         """
         schema = self.schema
         keys = schema.others(dimension)
         n = len(parameters)
         if n == 0:
             raise ValueError("at least one parameter is needed")
-        at = numeric_label(self.df, dimension) / unit
-        guess = {v: [F.lit(float(p)) for p in (parameters if rounds else [0.0] * n)] for v in schema.values}
-        fitted: DataFrame | None = None
-        for _ in range(max(1, rounds)):
-            df = self.df if fitted is None else self.df.join(fitted, keys)
-            if fitted is not None:
-                guess = {v: [F.col(f"{v}_p{i}") for i in range(n)] for v in schema.values}
-            df = df.withColumn("__x", at)
+        df = self.df.withColumn("__x", numeric_label(self.df, dimension) / unit)
+        start = F.array(*[F.lit(float(p)) for p in parameters])
+        trials = {v: start for v in schema.values}
+        state: DataFrame | None = None
+        while True:
+            rows = df if state is None else df.join(state.select(*keys, *[f"__try_{v}" for v in schema.values]), keys)
             aggs = []
             for v in schema.values:
-                p = guess[v]
+                p = [F.get(trials[v], F.lit(i)) for i in range(n)]
                 base = function(F.col("__x"), p)
-                h = 1.0 if not rounds else 1e-6
-                slopes = [(function(F.col("__x"), [q + h if i == k else q for i, q in enumerate(p)]) - base) / h for k in range(n)]
+                step = [F.greatest(F.abs(q), F.lit(1.0)) * SLOPE_STEP for q in p]
+                slopes = [(function(F.col("__x"), [q + h if i == k else q for i, q in enumerate(p)])
+                           - function(F.col("__x"), [q - h if i == k else q for i, q in enumerate(p)])) / (2 * h) for k, h in enumerate(step)]
                 rest = F.col(v).cast("double") - base
                 some = F.col(v).isNotNull()
-                aggs += [F.sum(F.when(some, slopes[i] * slopes[j])).alias(f"__a_{v}_{i}_{j}") for i in range(n) for j in range(i, n)]
-                aggs += [F.sum(F.when(some, slopes[i] * rest)).alias(f"__b_{v}_{i}") for i in range(n)]
-                aggs += [F.first(q).alias(f"__p_{v}_{i}") for i, q in enumerate(p)]
-            sums = df.groupBy(*keys).agg(*aggs)
-            out = {}
+                sums = [F.sum(F.when(some, slopes[i] * slopes[j])) for i in range(n) for j in range(i, n)]
+                sums += [F.sum(F.when(some, slopes[i] * rest)) for i in range(n)]
+                aggs.append(F.array(*sums, F.sum(F.when(some, rest * rest)), F.count_if(~some).cast("double")).alias(f"__s_{v}"))
+            found = rows.groupBy(*keys).agg(*aggs)
+            before = start_state(found.select(*keys), schema.values, parameters) if state is None else state
+            state = cut_lineage(found.join(before, keys).mapInPandas(
+                moves(schema.values, n, ignore_nodata), before.schema))
+            trials = {v: F.col(f"__try_{v}") for v in schema.values}
+            moving = F.lit(False)
             for v in schema.values:
-                step = solve([[F.col(f"__a_{v}_{min(i, j)}_{max(i, j)}") for j in range(n)] for i in range(n)],
-                             [F.col(f"__b_{v}_{i}") for i in range(n)])
-                out.update({f"{v}_p{i}": F.col(f"__p_{v}_{i}") + s for i, s in enumerate(step)})
-            fitted = sums.select(*keys, *[c.alias(k) for k, c in out.items()])
+                moving = moving | F.col(f"__open_{v}")
+            if state.where(moving).isEmpty():
+                break
         names = [f"{v}_p{i}" for v in schema.values for i in range(n)]
+        fitted = state.select(*keys, *[F.get(F.col(f"__best_{v}"), F.lit(i)).alias(f"{v}_p{i}") for v in schema.values for i in range(n)])
         return self._new(fitted, schema.without(dimension).with_bands(names, schema.band_dim or "bands"))
 
     def predict_curve(self, parameters, function, dimension: str, labels: list | None = None, unit: float = 1.0):
@@ -155,39 +163,65 @@ def numeric_label(df: DataFrame, dimension: str) -> Column:
     return key / 1e6 if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)) else key.cast("double")
 
 
-def solve(a: list[list[Column]], b: list[Column]) -> list[Column]:
-    """Solution of a small linear system: closed form up to three unknowns, else numpy on batches."""
-    n = len(b)
-    if n > 3:
-        return _solve_batches(a, b)
+SLOPE_STEP = 1e-4  # relative step of the central differences
+SETTLED = 1e-9  # relative move of the parameters below which a series is done
+STIFFEST = 1e12  # damping at which no smaller step is tried
 
-    def det(m: list[list[Column]]) -> Column:
-        if len(m) == 1:
-            return m[0][0]
-        if len(m) == 2:
-            return m[0][0] * m[1][1] - m[0][1] * m[1][0]
-        return (m[0][0] * (m[1][1] * m[2][2] - m[1][2] * m[2][1]) - m[0][1] * (m[1][0] * m[2][2] - m[1][2] * m[2][0])
-                + m[0][2] * (m[1][0] * m[2][1] - m[1][1] * m[2][0]))
 
-    whole = det(a)
-    return [F.try_divide(det([[b[i] if j == k else a[i][j] for j in range(n)] for i in range(n)]), whole) for k in range(n)]
+def start_state(keys: DataFrame, bands: list[str], parameters: list[float]) -> DataFrame:
+    """The state of all series before the first round."""
+    first = F.array(*[F.lit(float(p)) for p in parameters])
+    none = F.lit(None).cast("array<double>")
+    return keys.withColumns({name: c for v in bands for name, c in (
+        (f"__try_{v}", first), (f"__best_{v}", none), (f"__sums_{v}", none), (f"__damp_{v}", F.lit(1e-7)), (f"__open_{v}", F.lit(True)))})
 
 
-def _solve_batches(a: list[list[Column]], b: list[Column]) -> list[Column]:
+def moves(bands: list[str], n: int, ignore_nodata: bool):
+    """One step of all series of a batch: take or undo the trial, then solve for the next."""
     import numpy as np
 
-    n = len(b)
-
-    @F.pandas_udf("array<double>")
-    def solved(m: pd.Series, r: pd.Series) -> pd.Series:
-        out = []
-        for mi, ri in zip(m, r):
-            try:
-                out.append(np.linalg.solve(np.asarray(mi, dtype=float).reshape(n, n), np.asarray(ri, dtype=float)).tolist())
-            except np.linalg.LinAlgError:
-                out.append(None)
-        return pd.Series(out)
-
-    flat = F.array(*[c for row in a for c in row])
-    result = solved(flat, F.array(*b))
-    return [F.get(result, F.lit(i)) for i in range(n)]
+    upper = np.triu_indices(n)
+
+    def of_band(frame: pd.DataFrame, v: str) -> None:
+        sums = np.stack(frame[f"__s_{v}"].map(lambda r: np.array([np.nan if x is None else x for x in r], float)))
+        trial = np.stack(frame[f"__try_{v}"].map(np.asarray)).astype(float)
+        known = frame[f"__best_{v}"].notna().to_numpy()
+        best = np.where(known[:, None], np.stack([b if k else t for b, k, t in zip(frame[f"__best_{v}"], known, trial)]), trial).astype(float)
+        old = np.stack([np.asarray(o, float) if k else s for o, k, s in zip(frame[f"__sums_{v}"], known, sums)])
+        damp, opened = frame[f"__damp_{v}"].to_numpy(float), frame[f"__open_{v}"].to_numpy(bool)
+        better = opened & np.isfinite(sums).all(axis=1) & (~known | ~(sums[:, -2] > old[:, -2]))
+        now = np.where(better[:, None], sums, old)
+        place = np.where(better[:, None], trial, best)
+        damp = np.where(~opened, damp, np.where(better, damp / 10, damp * 10))
+        normal = np.zeros((len(frame), n, n))
+        normal[:, upper[0], upper[1]] = now[:, : len(upper[0])]
+        normal[:, upper[1], upper[0]] = now[:, : len(upper[0])]
+        right = now[:, len(upper[0]) : len(upper[0]) + n]
+        usable = np.isfinite(now).all(axis=1)
+        size = np.sqrt(np.where(usable[:, None], np.einsum("kii->ki", normal), 1.0))
+        usable &= (size > 0).all(axis=1)
+        size = np.where(size > 0, size, 1.0)
+        scaled = np.where(usable[:, None, None], normal / size[:, :, None] / size[:, None, :], np.eye(n))
+        usable &= np.linalg.matrix_rank(scaled, tol=1e-11, hermitian=True) == n
+        if not ignore_nodata:
+            usable &= now[:, -1] == 0
+        scaled = np.where(usable[:, None, None], scaled, np.eye(n))
+        pull = np.where(usable[:, None], right / size, 0.0)[:, :, None]
+        step = np.linalg.solve(scaled + damp[:, None, None] * np.eye(n), pull)[:, :, 0] / size
+        small = (np.abs(step) <= SETTLED * (np.abs(place) + SETTLED)).all(axis=1)
+        last = opened & usable & small  # the small rest is taken without damping
+        place = np.where(last[:, None], place + np.linalg.solve(scaled, pull)[:, :, 0] / size, place)
+        opened &= usable & ~small & (damp < STIFFEST)
+        frame[f"__best_{v}"] = [p.tolist() if u else None for p, u in zip(place, usable)]
+        frame[f"__sums_{v}"] = now.tolist()
+        frame[f"__try_{v}"] = np.where(opened[:, None], place + step, place).tolist()
+        frame[f"__damp_{v}"], frame[f"__open_{v}"] = damp, opened
+
+    def moved(frames):
+        for frame in frames:
+            if len(frame):
+                for v in bands:
+                    of_band(frame, v)
+                yield frame.drop(columns=[f"__s_{v}" for v in bands])
+
+    return moved

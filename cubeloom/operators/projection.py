@@ -129,12 +129,18 @@ def project_all(points: list[tuple[Column, Column]], source, target) -> Column:
     return F.transform(F.array(*[_point(x, y) for x, y in points]), lambda p: project_point(p, source, target))
 
 
+EDGE_POINTS = 16  # stretches of a box edge that are projected one by one, as edges become curves
+
+
 def bbox_to(box: dict, target: int) -> dict:
-    """Bounding box of a reprojected box: literal columns, folded by the optimizer."""
+    """Bounding box of a reprojected box, by points along its edges: literal columns, folded by the optimizer."""
     xs, ys = [], []
-    for x in ("west", "east"):
-        for y in ("south", "north"):
-            px, py = project(F.lit(float(box[x])), F.lit(float(box[y])), box["crs"], target)
+    west, south, width, height = box["west"], box["south"], box["east"] - box["west"], box["north"] - box["south"]
+    for k in range(EDGE_POINTS + 1):
+        share = k / EDGE_POINTS
+        for x, y in ((west + share * width, south), (west + share * width, south + height),
+                     (west, south + share * height), (west + width, south + share * height)):
+            px, py = project(F.lit(float(x)), F.lit(float(y)), box["crs"], target)
             xs.append(px)
             ys.append(py)
     out = {"west": F.least(*xs), "east": F.greatest(*xs), "south": F.least(*ys), "north": F.greatest(*ys)}

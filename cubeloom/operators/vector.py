@@ -13,7 +13,7 @@ from .. import errors as err
 from ..schema import Band, CubeSchema
 from . import geometry as geo
 from .filters import bbox_condition, bbox_dict
-from .projection import epsg, is_metric, project_point
+from .projection import bbox_to, epsg, is_metric, project_point
 
 POINT = "struct<x:double,y:double>"
 PARTS = f"array<array<{POINT}>>"
@@ -29,15 +29,21 @@ def with_bounds(df: DataFrame) -> DataFrame:
 
 
 class Geometries:
-    """A table of geometries: ``geom_id, geom_type, parts``, bounds, buffer, then properties."""
+    """A table of geometries: ``geom_id, geom_type, parts``, bounds, buffer, then properties.
 
-    def __init__(self, df: DataFrame, crs: int = 4326):
+    ``crs`` may be unknown; ``grown`` is the sum of the buffers so far.
+    """
+
+    def __init__(self, df: DataFrame, crs: int | None = 4326, grown: float = 0.0):
         self.df = df if "minx" in df.columns else with_bounds(df)
-        self.crs = crs
+        self.crs, self.grown = crs, grown
 
     @classmethod
-    def from_shapes(cls, spark, shapes: list[dict], crs: int = 4326) -> "Geometries":
-        """From a handful of GeoJSON-like dicts with ``type``, ``coordinates`` and an optional ``id``."""
+    def from_shapes(cls, spark, shapes: list[dict], crs: int | None = None) -> "Geometries":
+        """From a handful of GeoJSON-like dicts with ``type``, ``coordinates`` and an optional ``id``.
+
+        Without a reference system they are in that of the data they meet.
+        """
         depth = {"Point": 0, "MultiPoint": 1, "LineString": 1, "MultiLineString": 2, "Polygon": 2, "MultiPolygon": 3}
         rows = []
         for i, s in enumerate(shapes):
@@ -58,19 +64,30 @@ class Geometries:
         return [c for c in self.df.columns if c not in geo.GEOM_FIELDS]
 
     def _new(self, df: DataFrame, crs: int | None = None) -> "Geometries":
-        return Geometries(df, crs or self.crs)
+        return Geometries(df, crs or self.crs, self.grown)
 
     def filter_bbox(self, extent, crs: int | None = None) -> "Geometries":
-        """Keep geometries whose bounding box lies inside the box."""
+        """Keep geometries whose bounding box, buffer included, lies inside the box."""
         box = bbox_dict(extent, crs)
-        return self._new(self.df.where(bbox_condition(box, "minx", "miny") & bbox_condition(box, "maxx", "maxy")))
+        if box.get("crs") and self.crs and box["crs"] != self.crs:
+            box = bbox_to(box, self.crs)
+        ends = dict(zip(("__w", "__e"), geo.bounds("minx", "maxx"))) | dict(zip(("__s", "__n"), geo.bounds("miny", "maxy")))
+        inside = self.df.withColumns(ends).where(bbox_condition(box, "__w", "__s") & bbox_condition(box, "__e", "__n"))
+        return self._new(inside.drop(*ends))
 
     def filter_vector(self, geometries: "Geometries", relation: str = "intersects") -> "Geometries":
         """Keep geometries by their relation to the base geometries.
 
         ``intersects`` and ``disjoint`` look at the union of the base; ``within`` asks for
-        one base polygon that holds every vertex without an edge crossing.
+        one base polygon that holds every vertex without an edge crossing. The base is
+        brought to the reference system of these geometries. Grown geometries meet where
+        the outlines are no further apart than their buffers; ``within`` and shrunk areas
+        would need the outline itself and are refused.
         """
+        geometries = geo.aligned(geometries, self.crs)
+        grown = self.grown or geometries.grown
+        if grown and (relation == "within" or min(self.grown, geometries.grown) < 0):
+            raise err.UnsupportedGeometry("a buffered outline is not rebuilt")
         if relation not in ("intersects", "within", "disjoint"):
             raise ValueError(f"unknown relation {relation!r}")
         # cells of about the mean box size, but never more than 1024 along the extent of the base,
@@ -83,11 +100,11 @@ class Geometries:
 
         def cells(df: DataFrame) -> DataFrame:
             sized = df.where(F.col("minx").isNotNull()).withColumn("__s", size)
-            for name, low, high in (("__tx", "minx", "maxx"), ("__ty", "miny", "maxy")):
-                sized = sized.withColumn(name, F.explode(F.sequence(F.floor(F.col(low) / F.col("__s")), F.floor(F.col(high) / F.col("__s")))))
+            for name, ends in (("__tx", geo.bounds("minx", "maxx")), ("__ty", geo.bounds("miny", "maxy"))):
+                sized = sized.withColumn(name, F.explode(F.sequence(*[F.floor(end / F.col("__s")) for end in ends])))
             return sized
 
-        fields = ("geom_type", "parts", "minx", "miny", "maxx", "maxy")
+        fields = ("geom_type", "parts", "minx", "miny", "maxx", "maxy", "buffer")
         mine = cells(self.df).withColumn("edges", geo.edges_or_points())
         base = cells(geometries.df).withColumn("edges", geo.edges_or_points()).select(
             "__tx", "__ty", *[F.col(c).alias(f"b_{c}") for c in (*fields, "edges")])
@@ -96,13 +113,17 @@ class Geometries:
         a_first, b_first = F.flatten("parts")[0], F.flatten("b_parts")[0]
         a_in_b = b_area & geo.covers(a_first["x"], a_first["y"], F.col("b_edges"))
         b_in_a = a_area & geo.covers(b_first["x"], b_first["y"], F.col("edges"))
-        boxes = (F.col("minx") <= F.col("b_maxx")) & (F.col("b_minx") <= F.col("maxx")) & (
-            F.col("miny") <= F.col("b_maxy")) & (F.col("b_miny") <= F.col("maxy"))
+        reach = F.col("buffer") + F.col("b_buffer")
+        boxes = (F.col("minx") - reach <= F.col("b_maxx")) & (F.col("b_minx") - reach <= F.col("maxx")) & (
+            F.col("miny") - reach <= F.col("b_maxy")) & (F.col("b_miny") - reach <= F.col("maxy"))
         if relation == "within":
             proper = F.exists("edges", lambda s: F.exists(F.col("b_edges"), lambda q: _cross_properly(s, q)))
             test = b_area & F.forall(F.flatten("parts"), lambda p: geo.covers(p["x"], p["y"], F.col("b_edges"))) & ~proper
         else:
             test = crossing | a_in_b | b_in_a
+            if grown:  # outlines that don't cross are nearest at a vertex of one of them
+                near = F.exists(F.flatten("parts"), lambda p: geo.distance(p["x"], p["y"], F.col("b_edges")) <= reach)
+                test = test | near | F.exists(F.flatten("b_parts"), lambda p: geo.distance(p["x"], p["y"], F.col("edges")) <= reach)
         ids = mine.join(base, ["__tx", "__ty"]).where(boxes & test).select("geom_id").distinct()
         how = "left_anti" if relation == "disjoint" else "left_semi"
         return self._new(self.df.join(ids, "geom_id", how))
@@ -110,16 +131,24 @@ class Geometries:
     def vector_buffer(self, distance: float) -> "Geometries":
         """Grow (or with a negative distance shrink) the area the geometries cover.
 
-        The outline is not rebuilt: the distance is kept with the geometry and all pixel
-        tests (zonal statistics, masks, burning) honour it exactly.
+        The outline is not rebuilt: the distance is kept with the geometry, and bounds,
+        filters and all pixel tests (zonal statistics, masks, burning) honour it exactly.
+        Buffers of one sign add up; growing after shrinking (or the other way round) and
+        reprojecting a buffered geometry would need the outline and are refused.
         """
-        if not is_metric(self.crs):
+        if self.crs is not None and not is_metric(self.crs):
             raise err.UnitMismatch(f"EPSG:{self.crs} is not in metres")
-        return self._new(self.df.withColumn("buffer", F.col("buffer") + float(distance)))
+        if self.grown * distance < 0:
+            raise err.UnsupportedGeometry("growing and shrinking in turn needs the outline")
+        return Geometries(self.df.withColumn("buffer", F.col("buffer") + float(distance)), self.crs, self.grown + float(distance))
 
     def vector_reproject(self, projection) -> "Geometries":
+        """Project all vertices; buffer afterwards, a distance has no meaning in another system."""
         target = epsg(projection)
-
+        if self.crs is None:
+            raise err.CrsUnknown("geometries without a reference system")
+        if self.grown and target != self.crs:
+            raise err.UnsupportedGeometry("reproject first, then buffer")
         df = self.df.withColumn("parts", F.transform("parts", lambda ring: F.transform(
             ring, lambda p: project_point(p, self.crs, target))))
         return self._new(with_bounds(df), target)

@@ -63,17 +63,17 @@ class Tables:
 
     @cached_property
     def long(self) -> Cube:
-        return Cube.of(self.view("cube_long"), other=("bands",), bands=["value"], band_dim=None)
+        return Cube.of(self.view("cube_long"), other=("bands",), bands=["value"], band_dim=None, crs=3857)
 
     @cached_property
     def daily(self) -> Cube:
         df = self.view("cube_daily").withColumn("t", F.col("t").cast("timestamp_ntz"))
-        return Cube.of(df, other=("bands",), bands=["value"], band_dim=None)
+        return Cube.of(df, other=("bands",), bands=["value"], band_dim=None, crs=3857)
 
     @cached_property
     def wide(self) -> Cube:
         bands = [Band("B02", "blue", 0.4966, ("blau",)), Band("B04", "red", 0.6645), Band("B08", "nir", 0.8351), Band("SCL")]
-        return Cube.of(self.view("cube_wide"), bands=bands, collection_id="SENTINEL2_L2A")
+        return Cube.of(self.view("cube_wide"), bands=bands, collection_id="SENTINEL2_L2A", crs=3857)
 
     @cached_property
     def optical(self) -> Cube:
@@ -87,7 +87,7 @@ class Tables:
 
     @cached_property
     def static(self) -> Cube:
-        return Cube.of(self.view("cube_static"), temporal=(), bands=["elev"], band_dim=None)
+        return Cube.of(self.view("cube_static"), temporal=(), bands=["elev"], band_dim=None, crs=3857)
 
     def zones(self, *names: str, crs: int = 3857) -> Geometries:
         shapes = {"square": (1, SQUARE), "ell": (2, ELL), "triangle": (3, TRIANGLE), "far": (4, FAR), "empty": (5, None)}

@@ -242,6 +242,13 @@ def _(t):
     return t.shifted.filter_bands(["B04", "B08"]).mask_polygon(t.zones("square", "ell", "far", "empty"))
 
 
+@query("mask_polygon_crs", f"""SELECT px AS x, py AS y, t, CASE WHEN {IN_SQUARE} OR {IN_ELL} THEN B04 END AS B04
+FROM (SELECT x + 0.25 AS px, y + 0.25 AS py, t, B04 FROM cube_wide) c""", "x y B04")
+def _(t):
+    """The polygons come in degrees and are brought to the system of the cube."""
+    return t.shifted.filter_bands(["B04"]).mask_polygon(t.zones("square", "ell").vector_reproject(4326))
+
+
 @query("mask_polygon_inside", f"""SELECT px AS x, py AS y, t, CASE WHEN {IN_TRIANGLE} THEN -1.0 ELSE B04 END AS B04
 FROM (SELECT x + 0.25 AS px, y + 0.25 AS py, t, B04 FROM cube_wide) c""", "x y B04")
 def _(t):
@@ -443,6 +450,12 @@ def _(t):
     return t.shifted.aggregate_spatial(t.zones(), "mean")
 
 
+@query("aggregate_spatial_crs", _zonal("avg(z.B02) AS B02, avg(z.B04) AS B04, avg(z.B08) AS B08"), OPT)
+def _(t):
+    """The polygons come in degrees and are brought to the system of the cube."""
+    return t.shifted.aggregate_spatial(t.zones().vector_reproject(4326), "mean")
+
+
 @query("aggregate_spatial_counts", f"""SELECT geom_id, t, u.info AS info, CASE u.info WHEN 'value' THEN value WHEN 'total_count' THEN total ELSE valid END AS B02
 FROM ({_zonal("max(z.B02) AS value, CAST(CASE WHEN count(z.px) > 0 THEN count(z.px) END AS DOUBLE) AS total, CAST(CASE WHEN count(z.px) > 0 THEN count(z.B02) END AS DOUBLE) AS valid")}) a
 CROSS JOIN (VALUES ('value'), ('total_count'), ('valid_count')) u(info)""", "B02")
@@ -705,6 +718,15 @@ _EACH = {
     "LSWI_B12": ("Sentinel-2 land surface water index", "water", "(B08 - B04) / (B08 + B04)"),
     "ABDI1": ("Angle based drought index 1", "water", "B08 * atan((B08 - B02) / (1.610 - 0.842))"),
     "ABDI2": ("Angle based drought index 2", "water", "B08 * atan((B08 - B04) / (2.190 - 0.842))"),
+    "NDWI": ("Normalized Difference Water Index", "water", "(B02 - B08) / (B02 + B08)"),
+    "MNDWI": ("Modified Normalized Difference Water Index", "water", "(B02 - B02) / (B02 + B02)"),
+    "NDMI": ("Normalized Difference Moisture Index", "vegetation", "(B08 - B02) / (B08 + B02)"),
+    "NBR": ("Normalized Burn Ratio", "burn", "(B08 - B04) / (B08 + B04)"),
+    "GNDVI": ("Green Normalized Difference Vegetation Index", "vegetation", "(B08 - B02) / (B08 + B02)"),
+    "NDBI": ("Normalized Difference Built-Up Index", "urban", "(B02 - B08) / (B02 + B08)"),
+    "NDSI": ("Normalized Difference Snow Index", "snow", "(B02 - B02) / (B02 + B02)"),
+    "SAVI": ("Soil-Adjusted Vegetation Index", "vegetation", "1.5 * (B08 - B04) / (B08 + B04 + 0.5)"),
+    "EVI2": ("Two-Band Enhanced Vegetation Index", "vegetation", "2.5 * (B08 - B04) / (B08 + 2.4 * B04 + 1.0)"),
 }
 _TRIANGLE_SIDES = "(SELECT *, 0.1682 ** 2 + (B08 - B04) ** 2 AS a, 0.7772 ** 2 + (B02 - B08) ** 2 AS b, 0.9454 ** 2 + (B02 - B04) ** 2 AS c FROM cube_wide) q"
 

@@ -165,6 +165,20 @@ def _(t):
     return plots(t, ("Polygon",)).filter_vector(_base(t), "disjoint").df.select("geom_id")
 
 
+@query("filter_vector_buffered", f"""SELECT a.geom_id FROM {_PLOT} a WHERE k = 2 AND EXISTS (SELECT 1 FROM {_PLOT} b WHERE b.k = 0 AND b.geom_id % 5 = 0
+AND sqrt(pow(greatest(b.x - a.x - 10, a.x + 10 - b.x - b.w, 0), 2) + pow(greatest(b.y - a.y - 20, a.y + 20 - b.y - 75, 0), 2)) <= 60)""")
+def _(t):
+    """Points within 60 metres of the base plots: 20 by their own buffer, 40 by that of the plots."""
+    return plots(t, ("Point",)).vector_buffer(20).filter_vector(_base(t).vector_buffer(25).vector_buffer(15)).df.select("geom_id")
+
+
+@query("vector_buffer_reproject", f"SELECT geom_id FROM {_PLOT} s WHERE k = 0 AND x - 30 >= 100 AND x + w + 30 <= 700 AND y - 30 >= 0 AND y + 75 + 30 <= 600")
+def _(t):
+    """Plots come in degrees, go to metres and are grown there; the box sees the buffer."""
+    degrees = plots(t, ("Polygon",)).vector_reproject(4326)
+    return degrees.vector_reproject(3857).vector_buffer(30).filter_bbox([99.999, -0.001, 700.001, 600.001]).df.select("geom_id")
+
+
 @query("filter_vector_within", f"""SELECT a.geom_id FROM {_PLOT} a WHERE k = 2 AND EXISTS (SELECT 1 FROM {_PLOT} b WHERE b.k = 0 AND b.x - 100 <= a.x + 10 AND a.x + 10 <= b.x - 100 + b.w AND b.y <= a.y + 20 AND a.y + 20 <= b.y + 75)""")
 def _(t):
     g = plots(t, ("Polygon",))
@@ -284,9 +298,17 @@ def _(t):
     return t.wide.filter_bands(["B04"]).fit_curve([0.0, 0.0], _line, "t", unit=YEAR)
 
 
-@query("fit_curve_nonlinear")
+def _growth(x, p):
+    return p[0] * F.exp(p[1] * (x - 28))
+
+
+@query("fit_curve_nonlinear", "SELECT DISTINCT x, y, 40.0 + x AS B08_p0, 0.02 * (1 + y % 5) AS B08_p1 FROM cube_wide", "B08_p0:4 B08_p1:5")
 def _(t):
-    return t.wide.filter_bands(["B08"]).fit_curve([50.0, 0.01], lambda x, p: p[0] * F.exp(p[1] * (x - 28)), "t", rounds=4, unit=YEAR)
+    """Every series follows a known curve at the labels of the cube; the fit has to find its parameters."""
+    cube = t.wide.filter_bands(["B08"])
+    x = F.unix_micros(F.col("t").cast("timestamp")) / 1e6 / YEAR
+    known = _growth(x, [F.lit(40.0) + F.col("x"), F.lit(0.02) * (1 + F.col("y") % 5)])
+    return Cube(cube.df.withColumn("B08", known), cube.schema).fit_curve([50.0, 0.01], _growth, "t", unit=YEAR)
 
 
 @query("predict_curve", f"""SELECT f.x, f.y, l.t, a + b * (epoch_us(l.t) / 1e6 / {YEAR}) AS B04 FROM (SELECT x, y, regr_intercept(B04, {_X}) AS a, regr_slope(B04, {_X}) AS b FROM cube_wide GROUP BY x, y) f

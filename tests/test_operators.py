@@ -274,7 +274,7 @@ HOLE = [(1, 1), (3, 1), (3, 3), (1, 3), (1, 1)]
 def hits(cube, shape, **kw):
     from cubeloom.operators.geometry import pixel_hits
 
-    g = Geometries.from_shapes(cube.spark, [shape], 3857)
+    g = Geometries.from_shapes(cube.spark, [shape])
     g = g.vector_buffer(kw["buffer"]) if "buffer" in kw else g
     return {(r.x, r.y) for r in pixel_hits(cube, g).collect()}
 
@@ -312,6 +312,34 @@ def test_buffer_needs_metres(spark):
         Geometries.from_shapes(spark, [{"type": "GeometryCollection", "geometries": []}])
 
 
+def test_reference_systems_are_aligned(spark):
+    rows = [(500000.0 + 10 * i, 100.0 + 10 * j, 1.0) for i in range(20) for j in range(10)]
+    cube = Cube.of(spark.createDataFrame(rows, "x double, y double, v double"), temporal=(), bands=["v"], step=10.0, crs=32631)
+    box = [(499900.0, 0.0), (500095.0, 0.0), (500095.0, 300.0), (499900.0, 300.0), (499900.0, 0.0)]
+    metres = Geometries.from_shapes(spark, [{"type": "Polygon", "id": 1, "coordinates": [box]}], 32631)
+    for zone in (metres, metres.vector_reproject(4326)):
+        assert cube.aggregate_spatial(zone, "count").df.first().v == 100
+        assert cube.filter_spatial(zone).df.count() == 100
+        assert cube.mask_polygon(zone).df.where("v is not null").count() == 100
+    bare = Cube.of(cube.df, temporal=(), bands=["v"], step=10.0)
+    for use in (lambda: bare.aggregate_spatial(metres, "count"), lambda: bare.filter_spatial(metres), lambda: bare.mask_polygon(metres)):
+        with pytest.raises(err.CrsUnknown):
+            use()
+
+
+def test_buffers_are_seen_everywhere(spark):
+    plot = Geometries.from_shapes(spark, [{"type": "Polygon", "id": 1, "coordinates": [RING]}], 3857)
+    near = Geometries.from_shapes(spark, [{"type": "Point", "id": 2, "coordinates": (9, 2)}], 3857)
+    assert near.filter_vector(plot).df.count() == 0 and near.filter_vector(plot.vector_buffer(4)).df.count() == 0
+    assert near.filter_vector(plot.vector_buffer(5)).df.count() == near.vector_buffer(2).filter_vector(plot.vector_buffer(3)).df.count() == 1
+    assert near.vector_buffer(2).filter_vector(plot.vector_buffer(3), "disjoint").df.count() == 0
+    assert plot.vector_buffer(1).filter_bbox([0, 0, 4, 4]).df.count() == 0 and plot.vector_buffer(1).filter_bbox([-1, -1, 5, 5]).df.count() == 1
+    for refused in (lambda: plot.vector_buffer(5).vector_buffer(-5), lambda: plot.vector_buffer(5).vector_reproject(4326),
+                    lambda: near.filter_vector(plot.vector_buffer(1), "within")):
+        with pytest.raises(err.UnsupportedGeometry):
+            refused()
+
+
 def test_reprojection_known_points(spark):
     g = Geometries.from_shapes(spark, [{"type": "Point", "coordinates": (3.0, 0.0)}, {"type": "Point", "coordinates": (5.0, 52.0)}], 4326)
     utm = {r.geom_id: r for r in g.vector_reproject("EPSG:32631").df.collect()}

@@ -63,7 +63,7 @@ def test_running_total_of_demeaned_band(scene):
 
 def test_zonal_quantiles_of_ndvi(scene, spark):
     cube, d = scene
-    zone = Geometries.from_shapes(spark, [{"type": "Polygon", "id": 4, "coordinates": [[(0.5, 0.5), (3.5, 0.5), (3.5, 2.5), (0.5, 2.5), (0.5, 0.5)]]}], 3857)
+    zone = Geometries.from_shapes(spark, [{"type": "Polygon", "id": 4, "coordinates": [[(0.5, 0.5), (3.5, 0.5), (3.5, 2.5), (0.5, 2.5), (0.5, 0.5)]]}])
     rows = cube.ndvi().aggregate_spatial(zone, R.quantiles([0.25, 0.5])).df.orderBy("t").collect()
     ndvi = (d["nir"] - d["red"]) / (d["nir"] + d["red"])
     want = np.quantile(ndvi[:, 1:3, 1:4].reshape(DAYS, -1), [0.25, 0.5], axis=1).T

@@ -215,13 +215,20 @@ def test_curves(spark):
     rows = [(x, 0, float(k), 3.0 + x * math.exp(-0.4 * k), 1 + 2 * k + 3 * math.sin(k) + 4 * math.cos(k) + x) for x in (1, 2) for k in range(20)]
     df = spark.createDataFrame(rows, "x long, y long, k double, v double, w double")
     cube = Cube.of(df, temporal=(), other=("k",), bands=["v", "w"])
-    decay = cube.filter_bands(["v"]).fit_curve([2.5, 1.2, 0.3], lambda k, p: p[0] + p[1] * F.exp(-p[2] * k), "k", rounds=8)
+    decay = cube.filter_bands(["v"]).fit_curve([2.5, 1.2, 0.3], lambda k, p: p[0] + p[1] * F.exp(-p[2] * k), "k")
     for r in decay.df.collect():
         assert (r.v_p0, r.v_p1, r.v_p2) == (pytest.approx(3.0, abs=1e-5), pytest.approx(float(r.x), abs=1e-5), pytest.approx(0.4, abs=1e-5))
     linear = lambda k, p: p[0] + p[1] * k + p[2] * F.sin(k) + p[3] * F.cos(k)
     four = cube.filter_bands(["w"]).fit_curve([0.0] * 4, linear, "k")
     got = {r.x: [r.w_p0, r.w_p1, r.w_p2, r.w_p3] for r in four.df.collect()}
     assert got[2] == pytest.approx([3.0, 2.0, 3.0, 4.0])
+    grown = cube.filter_bands(["v"]).fit_curve([4.0, 0.2], lambda k, p: p[0] * F.exp(p[1] * k / 10), "k").df.collect()
+    assert all(r.v_p0 is not None and r.v_p1 < 0 for r in grown)
+    flat = cube.filter_bands(["v"]).fit_curve([0.0, 0.0], lambda k, p: p[0] + p[1], "k").df.collect()
+    assert all(r.v_p0 is None and r.v_p1 is None for r in flat)
+    holes = cube._new(df.withColumn("w", F.when(F.col("x") + F.col("k") > 1, F.col("w")))).filter_bands(["w"])
+    assert {r.x: r.w_p0 is None for r in holes.fit_curve([0.0] * 4, linear, "k", ignore_nodata=False).df.collect()} == {1: True, 2: False}
+    assert not any(r.w_p0 is None for r in holes.fit_curve([0.0] * 4, linear, "k").df.collect())
     ahead = cube.filter_bands(["w"]).predict_curve(four, linear, "k", labels=[100.0])
     assert {r.x: r.w for r in ahead.df.collect()}[1] == pytest.approx(2 + 200 + 3 * math.sin(100) + 4 * math.cos(100))
 
