@@ -329,8 +329,10 @@ def _(t):
 
 
 def _samples(t):
-    wide = t.view("arrays").select("id", "label", *[F.get("data", F.lit(i)).cast("double").alias(f"f{i}") for i in range(12)])
-    return wide, [f"f{i}" for i in range(12)]
+    """All elements of the vectors as predictors; their number is read from one row."""
+    arrays = t.view("arrays")
+    names = [f"f{i}" for i in range(len(arrays.select("data").first()[0]))]
+    return arrays.select("id", "label", *[F.get("data", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)]), names
 
 
 def _pixels(t, predictors) -> Cube:
@@ -340,33 +342,45 @@ def _pixels(t, predictors) -> Cube:
     return Cube.of(df, temporal=(), bands=predictors)
 
 
-@query("fit_class_random_forest")
+@query("fit_class_random_forest", "SELECT count(*) AS n, count(DISTINCT label) AS classes, CAST(100 AS INTEGER) AS trees, true AS beats_majority FROM arrays")
 def _(t):
+    """The forest knows all classes, has the default number of trees, and does better on its own rows than the most frequent class."""
     df, names = _samples(t)
-    model = learn.fit_class_random_forest(df, names, "label", num_trees=20, seed=7)
-    trees = model.model.stages[1].trees
-    return t.spark.createDataFrame([(i, tree.numNodes, tree.depth) for i, tree in enumerate(trees)], "tree int, nodes int, depth int")
+    model = learn.fit_class_random_forest(df, names, "label", seed=7)
+    found = model.model.transform(df).agg(
+        F.count("*").alias("n"), F.countDistinct("label").alias("classes"),
+        F.avg((F.col("predicted_class").cast("double") == F.col("label")).cast("double")).alias("__right"))
+    most = df.groupBy("label").count().agg((F.max("count") / F.sum("count")).alias("m"))
+    return found.select("n", "classes", F.lit(len(model.model.stages[1].trees)).alias("trees"), (F.col("__right") > most.scalar()).alias("beats_majority"))
 
 
-@query("fit_regr_random_forest")
+@query("fit_regr_random_forest", "SELECT id, true AS in_range FROM arrays")
 def _(t):
+    """Means of leaves lie within the values of the target, for every row."""
     df, names = _samples(t)
-    model = learn.fit_regr_random_forest(df, names[1:], "f0", max_variables="sqrt", num_trees=20, seed=7)
-    return model.model.transform(df.select("id", *names)).select("id", F.col("prediction").alias("value"))
+    model = learn.fit_regr_random_forest(df, names[1:], "f0", max_variables="sqrt", seed=7)
+    ends = df.agg(F.struct(F.min("f0").alias("low"), F.max("f0").alias("high")))
+    out = model.model.transform(df)
+    return out.select("id", F.col("prediction").between(ends.scalar()["low"], ends.scalar()["high"]).alias("in_range"))
 
 
-@query("predict_random_forest")
+@query("predict_random_forest", "SELECT id % 25 AS x, CAST(floor(id / 25) AS BIGINT) AS y, id % 25 = 3 AS missing, id % 25 <> 3 AS known FROM arrays")
 def _(t):
+    """Null exactly where a predictor is null, else a label of the training rows."""
     df, names = _samples(t)
-    model = learn.fit_class_random_forest(df, names, "label", num_trees=20, seed=7)
-    return _pixels(t, names).predict_random_forest(model).df
+    model = learn.fit_class_random_forest(df, names, "label", seed=7)
+    out = _pixels(t, names).predict_random_forest(model).df
+    labels = df.select(F.col("label").cast("double").alias("__label")).distinct()
+    return out.join(labels, F.col("value") == F.col("__label"), "left").select(
+        "x", "y", F.col("value").isNull().alias("missing"), F.col("__label").isNotNull().alias("known"))
 
 
-@query("save_load_ml_model")
+@query("save_load_ml_model", "SELECT id % 25 AS x, CAST(floor(id / 25) AS BIGINT) AS y, true AS same FROM arrays")
 def _(t):
+    """A model that was saved and loaded predicts what it did before, in every cell."""
     df, names = _samples(t)
-    model = learn.fit_class_random_forest(df, names, "label", num_trees=10, seed=3)
-    path = model.save(scratch_path(t.spark, "forest"))
-    return _pixels(t, names).predict_random_forest(learn.RandomForest.load(path)).df
-
-
+    model = learn.fit_class_random_forest(df, names, "label", seed=3)
+    loaded = learn.RandomForest.load(model.save(scratch_path(t.spark, "forest")))
+    cube = _pixels(t, names)
+    again = cube.predict_random_forest(loaded).df.select("x", "y", F.col("value").alias("__again"))
+    return cube.predict_random_forest(model).df.join(again, ["x", "y"]).select("x", "y", F.col("value").eqNullSafe(F.col("__again")).alias("same"))
