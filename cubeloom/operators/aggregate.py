@@ -172,9 +172,11 @@ class AggregateOps(CubeBase):
             raise ValueError(f"no climatology per {period!r}")
         early = {"season": [12], "tropical-season": [11, 12]}.get(period, [])
         season_year = year + F.when(month.isin(early), 1).otherwise(0) if early else year
-        df = self.df.where(season_year.between(first, last))
+        # plain bounds on the time reach the scan; the exact test follows
+        span = (F.col(t) >= dates.ntz(dates.parse(f"{first - 1}-11-01" if early else f"{first}-01-01"))) & (F.col(t) < dates.ntz(dates.parse(f"{last + 1}-01-01")))
+        df = self.df.where(span & season_year.between(first, last))
         if early:
-            have = self.df.where((year == first - 1) & month.isin(early)).agg(F.count_distinct(month).alias("n"))
+            have = self.df.where(span & (year == first - 1) & month.isin(early)).agg(F.count_distinct(month).alias("n"))
             wraps = (season_year == first) & part.isin("djf", "ndjfma") & month.isin(*early, 1, 2, 3, 4)
             df = df.where(~wraps | (have.scalar() == len(early)))
         rows = df.withColumn("__part", part).drop(t).withColumnRenamed("__part", t)
