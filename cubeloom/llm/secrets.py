@@ -223,10 +223,12 @@ def learn(docs: DataFrame, with_secret: int = 1500, without_secret: int = 1500,
     model, and only base spans are reported.
     """
     data = docs.select(F.col(text_col).cast("string").alias("text")).where(
-        F.col("text").rlike("[0-9]") & (F.char_length("text") <= longest)).withColumn("h", F.xxhash64("text")).dropDuplicates(["h"])
+        F.col("text").rlike("[0-9]") & (F.char_length("text") <= longest)).withColumn("h", F.xxhash64("text"))
     likely = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{14}|(?-i)[0-9a-f]{16}"""
-    marked = data.withColumn("y", F.col("text").rlike(likely))
-    sample = marked.where("y").orderBy("h").limit(with_secret).unionByName(marked.where("not y").orderBy("h").limit(without_secret))
+    # hashes are drawn first: only they are ordered, and the texts of the few drawn ones are fetched by a broadcast of them
+    marked = data.select("h", F.col("text").rlike(likely).alias("y")).groupBy("h").agg(F.max("y").alias("y"))
+    drawn = marked.where("y").orderBy("h").limit(with_secret).unionByName(marked.where("not y").orderBy("h").limit(without_secret))
+    sample = data.join(F.broadcast(drawn.select("h")), "h").dropDuplicates(["h"])
 
     def chained(batches):
         for batch in batches:
