@@ -128,7 +128,8 @@ def learn(docs: DataFrame, per_language: int = 400, most_languages: int = 400) -
     Rows are drawn by a hash of the id among the rows whose crc32 of the id leaves a
     remainder other than 0 by 5; null languages and texts without letters are not used. The
     sample is bounded (``most_languages`` languages, the most frequent ones), so the
-    machines are fitted in the driver; the feature rows come from tasks. Nothing to learn
+    drawn ids are broadcast and the machines are fitted in the driver; the feature rows come
+    from tasks. Nothing to learn
     from gives no model.
     """
     data = docs.where(in_training() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
@@ -149,7 +150,7 @@ def learn(docs: DataFrame, per_language: int = 400, most_languages: int = 400) -
                 if vector is not None:
                     yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([vector.astype(np.float32).tobytes()])], names=["lang", "x"])
 
-    rows = data.select("doc_id", F.col("text").cast("string").alias("text")).join(ids, F.col("doc_id") == F.col("id"), "inner")
+    rows = data.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("id"))
     rows = rows.select("known", "text").mapInArrow(featured, "lang string, x binary").toPandas().sort_values(["lang", "x"])
     if not len(rows):
         return None
