@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-ONE_GROUP = "a reader of whole groups needs the rows of a key side by side"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Unions, as_long, in_blocks, stored, whole_groups, without
+from .common import Unions, as_long, in_blocks, stored, whole_groups
 from .components import components
 
 BITS = 64

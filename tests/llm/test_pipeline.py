@@ -6,9 +6,12 @@ import hashlib
 
 import corpus_pipeline
 import duckdb
+import pandas as pd
 from cubeloom.llm import queries
 from cubeloom.llm.common import stored
 
+from .test_llm import brute_simhash
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -31,12 +34,10 @@ def test_stages_take_effect(spark):
     before, after = kept["line dedup"]
     assert set(before) == set(after) and all(r["n_chars"] == len(r["text"]) for r in after.values())
     con = duckdb.connect()
-    con.register("frame", __import__("pandas").DataFrame(before.values()))
+    con.register("frame", pd.DataFrame(before.values()))
     con.execute("CREATE VIEW documents AS SELECT doc_id, text FROM frame")
     want = dict(con.execute(f"SELECT doc_id, kept_sha256 FROM ({queries.SQL['op6_line_dedup']})").fetchall())
     assert {i: hashlib.sha256(r["text"].encode()).hexdigest() for i, r in after.items()} == want
-    from tests.llm.test_llm import brute_simhash
-
     before, after = kept["near dedup"]
     value = {i: brute_simhash(r["text"]) for i, r in before.items()}
     for i in set(before) - set(after):
