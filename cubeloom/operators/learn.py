@@ -100,7 +100,8 @@ class LearnOps(CubeBase):
         n = len(parameters)
         if n == 0:
             raise ValueError("at least one parameter is needed")
-        df = self.df.withColumn("__x", numeric_label(self.df, dimension) / unit)
+        # every round reads the series, so they are written once
+        df = cut_lineage(self.df.withColumn("__x", numeric_label(self.df, dimension) / unit).select(*keys, "__x", *schema.values))
         start = F.array(*[F.lit(float(p)) for p in parameters])
         trials = {v: start for v in schema.values}
         state: DataFrame | None = None
@@ -209,9 +210,11 @@ def moves(bands: list[str], n: int, ignore_nodata: bool):
         pull = np.where(usable[:, None], right / size, 0.0)[:, :, None]
         step = np.linalg.solve(scaled + damp[:, None, None] * np.eye(n), pull)[:, :, 0] / size
         small = (np.abs(step) <= SETTLED * (np.abs(place) + SETTLED)).all(axis=1)
-        last = opened & usable & small  # the small rest is taken without damping
+        # squares that only change in their last digits have reached their floor
+        level = known & (np.abs(sums[:, -2] - old[:, -2]) <= 1e-12 * np.abs(old[:, -2]))
+        last = opened & usable & (small | level)  # the small rest is taken without damping
         place = np.where(last[:, None], place + np.linalg.solve(scaled, pull)[:, :, 0] / size, place)
-        opened &= usable & ~small & (damp < STIFFEST)
+        opened &= usable & ~small & ~level & (damp < STIFFEST)
         frame[f"__best_{v}"] = [p.tolist() if u else None for p, u in zip(place, usable)]
         frame[f"__sums_{v}"] = now.tolist()
         frame[f"__try_{v}"] = np.where(opened[:, None], place + step, place).tolist()
