@@ -10,15 +10,23 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 
-WORDS = 48  # words of a fingerprint; each carries three lanes of 16 bits
-MASK = (1 << 48) - 1  # words are added modulo 2^48
+WORDS = 48  # three signed bytes of a hash each; every byte has a lane, a long, of its own
+LANES = 3 * WORDS
+FEW = 1024  # pieces up to which the mean of a signed byte, -1/2, is lost in the error of a likeness
+BLOCK = 23  # pieces are first summed in blocks of 2^23, where a sum stays below 2^30 and two fit in a long
 PARAGRAPHS = r"(?<=\n)|(?<=[.!?] )"  # cut points; every piece keeps what ends it
 
 
-def _word(h: Column, first: int) -> Column:
-    """Three signed bytes of a hash, from bit ``first`` on, one for each lane of a word."""
-    low, mid, high = (F.shiftright(F.shiftleft(h, 56 - first - 8 * i), 56) for i in range(3))
-    return low + mid * F.lit(1 << 16) + high * F.lit(1 << 32)
+def _pair(h: Column, first: int) -> Column:
+    """Two signed bytes of a hash, from bit ``first`` on, in the halves of a long."""
+    low, high = (F.shiftright(F.shiftleft(h, 56 - first - 8 * i), 56) for i in range(2))
+    return low + high * F.lit(1 << 32)
+
+
+def _halves(pair: Column) -> tuple[Column, Column]:
+    """The two signed sums in a long."""
+    low = F.shiftright(F.shiftleft(pair, 32), 32)
+    return low, F.shiftright(pair - low, 32)
 
 
 def fingerprints(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
@@ -27,64 +35,56 @@ def fingerprints(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     ``keys`` tell the rows apart. The text is cut behind each newline and behind each
     sentence end, so that a text of one long paragraph has parts as well; the pieces form a
     multiset (their order is of no account, their number is). Each piece is hashed by
-    SHA-256, the hash is stretched to ``WORDS`` words of three signed bytes each, and words
-    are summed over the pieces modulo 2^48. Texts with equal pieces have equal fingerprints;
+    SHA-256, the hash is stretched to ``LANES`` signed bytes, and each byte is summed over the
+    pieces in a long of its own, which no number of pieces in a text can fill; behind the
+    lanes stands the number of pieces. Texts with equal pieces have equal fingerprints;
     ``insert`` and ``delete`` follow an edit without the rest of the text. Pieces of a row
     are summed where the row is: rows dealt out by some of ``keys`` are not shuffled again.
     """
-    pieces = rows.select(*keys, F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), PARAGRAPHS)).alias("__p"))
-    seeds = pieces.select(*keys, F.sha2(F.col("__p").cast("binary"), 256).alias("__s"))
-    hashes = seeds.select(*keys, *[F.xxhash64("__s", F.lit(j)).alias(f"__h{j}") for j in range(WORDS // 2)])
-    words = [_word(F.col(f"__h{i // 2}"), 24 * (i % 2)) for i in range(WORDS)]
-    sums = hashes.groupBy(*keys).agg(*[F.sum(w).alias(f"__w{i}") for i, w in enumerate(words)])
-    return sums.select(*keys, F.array(*[F.col(f"__w{i}").bitwiseAND(F.lit(MASK)) for i in range(WORDS)]).alias("fp"))
+    pieces = rows.select(*keys, F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), PARAGRAPHS)).alias("__n", "__p"))
+    seeds = pieces.select(*keys, F.shiftright("__n", BLOCK).alias("__b"), F.sha2(F.col("__p").cast("binary"), 256).alias("__s"))
+    hashes = seeds.select(*keys, "__b", *[F.xxhash64("__s", F.lit(j)).alias(f"__h{j}") for j in range(WORDS // 2)])
+    pairs = [_pair(F.col(f"__h{i // 3}"), 16 * (i % 3)) for i in range(LANES // 2)]
+    blocks = hashes.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__c"), *[F.sum(p).alias(f"__w{i}") for i, p in enumerate(pairs)])
+    lanes = [half for i in range(LANES // 2) for half in _halves(F.col(f"__w{i}"))]
+    sums = blocks.groupBy(*keys).agg(*[F.sum(lane).alias(f"__l{i}") for i, lane in enumerate([*lanes, F.col("__c")])])
+    return sums.select(*keys, F.array(*[f"__l{i}" for i in range(LANES + 1)]).alias("fp"))
 
 
 def insert(a: Column, b: Column) -> Column:
     """The fingerprint of both multisets together."""
-    return F.zip_with(a, b, lambda x, y: (x + y).bitwiseAND(F.lit(MASK)))
+    return F.zip_with(a, b, lambda x, y: x + y)
 
 
 def delete(a: Column, b: Column) -> Column:
     """The fingerprint of ``a`` without the pieces of ``b``."""
-    return F.zip_with(a, b, lambda x, y: (x - y).bitwiseAND(F.lit(MASK)))
+    return F.zip_with(a, b, lambda x, y: x - y)
 
 
 def as_text(fp: Column) -> Column:
-    return F.array_join(F.transform(fp, lambda w: F.lpad(F.lower(F.hex(w)), 12, "0")), "")
+    return F.array_join(F.transform(fp, lambda w: F.lpad(F.lower(F.hex(w)), 16, "0")), "")
 
 
-def _lanes(word: Column) -> tuple[Column, Column, Column]:
-    """The three signed lane sums of a word; exact while each is below 2^15."""
-    half, full = F.lit(1 << 15), F.lit((1 << 16) - 1)
-    low = (word + half).bitwiseAND(full) - half
-    rest = F.shiftright(word - low, 16)
-    mid = (rest + half).bitwiseAND(full) - half
-    high = (F.shiftright(rest - mid, 16) + half).bitwiseAND(full) - half
-    return low, mid, high
+def _lanes(fp: Column) -> Column:
+    """The lane sums as doubles, moved to mean zero where pieces are many."""
+    n = F.element_at(fp, -1)
+    shift = F.when(n > FEW, n / 2.0).otherwise(F.lit(0.0))
+    return F.transform(F.slice(fp, 1, LANES), lambda x: x.cast("double") + shift)
 
 
 def _product(a: Column, b: Column) -> Column:
-    def add(acc: Column, pair: Column) -> Column:
-        x, y = _lanes(pair["x"]), _lanes(pair["y"])
-        return acc + (x[0] * y[0] + x[1] * y[1] + x[2] * y[2]).cast("double")
-
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.struct(x.alias("x"), y.alias("y"))), F.lit(0.0), add)
+    return F.aggregate(F.zip_with(_lanes(a), _lanes(b), lambda x, y: x * y), F.lit(0.0), lambda acc, z: acc + z)
 
 
 def _norm(a: Column) -> Column:
-    def add(acc: Column, word: Column) -> Column:
-        x = _lanes(word)
-        return acc + (x[0] * x[0] + x[1] * x[1] + x[2] * x[2]).cast("double")
-
-    return F.aggregate(a, F.lit(0.0), add)
+    return F.aggregate(_lanes(a), F.lit(0.0), lambda acc, x: acc + x * x)
 
 
 def likeness(a: Column, b: Column, norm_a: Column | None = None, norm_b: Column | None = None) -> Column:
     """How alike the multisets behind two fingerprints are, from 0 to 1.
 
-    The lanes are sums of independent values of mean zero, so the cosine of two fingerprints
-    estimates the cosine of the piece counts (error about 1 / sqrt(3 * WORDS)); negative
+    The lanes are sums of independent values of mean zero (-1/2 for up to ``FEW`` pieces), so
+    the cosine of two fingerprints estimates the cosine of the piece counts (error about 1 / sqrt(LANES)); negative
     estimates are 0, equal fingerprints are 1.
     """
     size = F.sqrt(norm_a if norm_a is not None else _norm(a)) * F.sqrt(norm_b if norm_b is not None else _norm(b))

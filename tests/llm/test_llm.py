@@ -117,6 +117,19 @@ def test_fingerprints_of_awkward_rows(spark):
     assert fingerprint.document_fingerprints(awkward(spark, [])).collect() == []
 
 
+def test_likeness_of_many_and_of_equal_pieces(spark):
+    lines = {1: ["x\n"] * 10_000, 2: ["x\n"] * 6_000 + ["y\n"] * 8_000, 3: [f"{i}\n" for i in range(200_000)], 4: [f"{i}\n" for i in range(100_000, 300_000)]}
+    rows = spark.createDataFrame([(k, "".join(v)) for k, v in lines.items()], "k int, t string")
+    fp = {r["k"]: r["fp"] for r in fingerprint.fingerprints(rows, ["k"], "t").collect()}
+    df = spark.createDataFrame([(fp[1], fp[2], fp[3], fp[4])], "a array<long>, b array<long>, c array<long>, d array<long>")
+    equal, random_ones = df.select(fingerprint.likeness(F.col("a"), F.col("b")), fingerprint.likeness(F.col("c"), F.col("d"))).first()
+    assert equal == pytest.approx(0.6, abs=0.25) and random_ones == pytest.approx(0.5, abs=0.25)
+    few = spark.createDataFrame([(1, "\n" * 300), (2, "\n" * 200)], "k int, t string")
+    few = {r["k"]: r["fp"] for r in fingerprint.fingerprints(few, ["k"], "t").collect()}
+    alike = spark.createDataFrame([(few[1], few[2])], "a array<long>, b array<long>").select(fingerprint.likeness(F.col("a"), F.col("b"))).first()[0]
+    assert alike == pytest.approx(1.0, abs=0.01)
+
+
 # -- components and blocks
 
 def test_components(spark):
