@@ -15,6 +15,8 @@ from .common import add_columns, table, without
 # fixed values: element kinds of the public HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("head script style template noscript title datalist iframe object video audio canvas svg math select".split())
+# what an open head may hold; any other tag or text ends it
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 BLOCK = frozenset((
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
     "h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr caption ul").split())
@@ -48,7 +50,8 @@ class Builder(HTMLParser):
     A block ends an open paragraph, list items, cells, rows and table sections end their
     like, an end tag closes up to its element if that is open in the same block (for a block:
     in the same table) and is ignored otherwise
-    (a lone </p> or </br> counts as an empty element), and the end closes all.
+    (a lone </p> or </br> counts as an empty element), what cannot be in a head ends an
+    open one, and the end closes all.
     """
 
     def __init__(self):
@@ -70,6 +73,8 @@ class Builder(HTMLParser):
                 self._close({"head"}, ())
             if tag == "html" or any(n.tag == "body" for n in self.open):
                 return
+        elif self.open[-1].tag == "head" and tag not in IN_HEAD:
+            self._close({"head"}, ())
         if tag in CLOSES_P:
             self._close({"p"}, {"table", "td", "th", "button", "caption"})
         if tag in IMPLIED:
@@ -107,6 +112,8 @@ class Builder(HTMLParser):
             self.open[-1].children.append(Node(tag, {}))
 
     def handle_data(self, data):
+        if self.open[-1].tag == "head" and not _BLANKS.fullmatch(data):
+            self._close({"head"}, ())
         self.open[-1].children.append(data)
 
 

@@ -326,6 +326,14 @@ def test_rendering(page, text):
     assert html_text.html_to_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><title>T</title><p>Hello", "Hello"), ("<head><meta charset=u><style>s</style>\n plain <b>text</b>", "plain text"),
+    ("<head><script>x</script><link rel=a><div>a</div></head><p>b", "a\n\nb"), ("<head><title>T</title><noscript>n</noscript>\n</head>\n<body>b", "b"),
+])
+def test_head_ends_without_its_tag(page, text):
+    assert html_text.html_to_text(page) == text
+
+
 def test_pages(spark, tables):
     pages = dict(tables.execute("SELECT page_id, html FROM pages").fetchall())
     for row in queries.QUERIES["op7_html_extraction"](spark, SF).collect():
