@@ -14,7 +14,13 @@ from .common import add_columns, table, without
 
 # fixed values: element kinds of the public HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript title datalist iframe object video audio canvas svg math select".split())
+HIDDEN = frozenset("head script style template noscript title datalist iframe object video audio canvas".split())
+# within drawings and formulas: what is not painted, what may hold elements of HTML, and HTML tags that end the drawing or formula
+UNPAINTED = frozenset("annotation annotation-xml defs desc metadata symbol clippath mask pattern marker".split())
+HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKS_OUT = frozenset((
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s "
+    "small span strong strike sub sup table tt u ul var").split())
 # what an open head may hold; any other tag or text ends it
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 BLOCK = frozenset((
@@ -26,7 +32,7 @@ CLOSES_P = BLOCK - frozenset("body html dd dt li td th tr tbody thead tfoot capt
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th", "caption"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "option": ({"option"}, {"select"}),
+    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "option": ({"option"}, {"select"}), "optgroup": ({"optgroup"}, {"select"}),
     "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
 }
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.I)
@@ -58,16 +64,33 @@ class Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
+        self.foreign = 0  # open drawings and formulas
+
+    def _cut(self, at: int) -> None:
+        if self.foreign:
+            self.foreign -= sum(n.tag in ("svg", "math") for n in self.open[at:])
+        del self.open[at:]
 
     def _close(self, tags: set[str], fences) -> None:
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag in tags:
-                del self.open[i:]
+                self._cut(i)
                 return
             if self.open[i].tag in fences:
                 return
 
+    def _foreign(self) -> int:
+        """Where the drawing or formula begins that the next tag would belong to, or 0."""
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag in ("svg", "math"):
+                return i
+            if self.open[i].tag in HOLDS_HTML:
+                return 0
+        return 0
+
     def handle_starttag(self, tag, attrs):
+        while self.foreign and tag in BREAKS_OUT and (at := self._foreign()):
+            self._cut(at)
         if tag in ("html", "body"):
             if tag == "body" and any(n.tag == "head" for n in self.open):
                 self._close({"head"}, ())
@@ -77,6 +100,10 @@ class Builder(HTMLParser):
             self._close({"head"}, ())
         if tag in CLOSES_P:
             self._close({"p"}, {"table", "td", "th", "button", "caption"})
+        if tag in ("select", "input", "textarea"):
+            self._close({"select"}, BLOCK)
+        if tag == "optgroup":
+            self._close({"option"}, {"select"})
         if tag in IMPLIED:
             ended, fences = IMPLIED[tag]
             if tag in ("tbody", "thead", "tfoot", "tr"):
@@ -87,9 +114,16 @@ class Builder(HTMLParser):
             if tag in ("td", "th") and self.open[-1].tag in ("table", "tbody", "thead", "tfoot"):
                 self.handle_starttag("tr", [])
         node = Node(tag, dict(attrs))
+        if self.foreign:
+            a = node.attrs
+            if tag in UNPAINTED or a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse"):
+                a["hidden"] = ""
+            elif tag == "text":
+                a["\0apart"] = ""
         self.open[-1].children.append(node)
         if tag not in VOID and len(self.open) < DEEPEST:
             self.open.append(node)
+            self.foreign += tag in ("svg", "math")
 
     def _inside(self, fences) -> list[Node]:
         out = []
@@ -101,6 +135,9 @@ class Builder(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        # only in drawings and formulas does the slash close an element
+        if self.foreign and self.open[-1].tag == tag and not self.open[-1].children and self._foreign():
+            self._cut(len(self.open) - 1)
 
     def handle_endtag(self, tag):
         if tag in ("html", "body"):
@@ -194,6 +231,38 @@ def width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
+def _below(node: Node) -> str:
+    """All text below an option or the like, which holds no layout."""
+    out, stack = [], [node]
+    while stack:
+        item = stack.pop()
+        if isinstance(item, str):
+            out.append(item)
+        elif item.tag not in HIDDEN:
+            stack.extend(reversed(item.children))
+    return _BLANKS.sub(" ", "".join(out)).strip()
+
+
+def chosen(select: Node) -> str:
+    """What a closed select shows: the last selected option, or else the first that is not disabled; a list box shows all."""
+    size = select.attrs.get("size") or "1"
+    box = "multiple" in select.attrs or bool(re.fullmatch(r"\d{1,9}", size)) and int(size) > 1
+    found: list[tuple[Node, bool]] = []
+    stack = [(child, False) for child in reversed(select.children)]
+    while stack:
+        item, disabled = stack.pop()
+        if isinstance(item, str) or item.tag in HIDDEN or box and not visible(item):
+            continue
+        disabled = disabled or "disabled" in item.attrs
+        if item.tag == "option" or box and item.tag == "optgroup" and item.attrs.get("label"):
+            found.append((item, disabled))
+        if item.tag != "option":
+            stack.extend((child, disabled) for child in reversed(item.children))
+    if not box:
+        found = [f for f in found if "selected" in f[0].attrs][-1:] or [f for f in found if not f[1]][:1]
+    return " ".join(o.attrs.get("label") or _below(o) for o, _ in found)
+
+
 def render(node: Node, level: int = 0) -> str:
     """All visible text below ``node``, block by block.
 
@@ -219,6 +288,9 @@ def render(node: Node, level: int = 0) -> str:
             if item.attrs.get("alt"):
                 page.text(item.attrs["alt"])
             continue
+        if tag == "select":
+            page.text(chosen(item))
+            continue
         if tag == "hr":
             page.margin(1)
             page.text("---")
@@ -232,6 +304,9 @@ def render(node: Node, level: int = 0) -> str:
             page.margin(1)
             continue
         after = []
+        if "\0apart" in item.attrs:
+            page.text(" ")
+            after.append(lambda: page.text(" "))
         if tag in BLOCK:
             margin = 1 if tag in SPACED and not (tag in ("ul", "ol") and depth) else 0
             page.margin(margin)
@@ -261,29 +336,45 @@ def render(node: Node, level: int = 0) -> str:
 def render_table(node: Node, level: int) -> list[str]:
     """Rows of a table with aligned columns; a cell's lines are joined by blanks, spans leave columns empty."""
     rows, captions = [], []
+    tall: dict[int, int] = {}  # rows that cells from above still take, by column
     below = list(reversed(node.children))
     while below:
         child = below.pop()
-        if isinstance(child, str):
+        if child is None:  # no cell reaches into another section
+            tall.clear()
+        elif isinstance(child, str):
             if child.strip():
                 captions.append(_BLANKS.sub(" ", child).strip())
         elif not visible(child):
             continue
         elif child.tag == "tr":
-            cells = []
+            cells: list[str] = []
+            begun: dict[int, int] = {}
             for cell in child.children:
+                across = down = 1
                 if isinstance(cell, Node) and cell.tag in ("td", "th"):
-                    if visible(cell):
-                        cells.append(_cell(cell, level))
-                        span = cell.attrs.get("colspan") or "1"
-                        cells += [""] * (min(int(span), 100) - 1 if re.fullmatch(r"\d{1,4}", span) else 0)
+                    if not visible(cell):
+                        continue
+                    text = _cell(cell, level)
+                    span = cell.attrs.get("colspan") or "1"
+                    across = max(1, min(int(span), 100)) if re.fullmatch(r"\d{1,4}", span) else 1
+                    span = (cell.attrs.get("rowspan") or "1").strip()
+                    down = (min(int(span), 65534) or 65534) if re.fullmatch(r"\d{1,9}", span) else 1  # 0: to the end of the section
                 else:
-                    loose = cell.strip() if isinstance(cell, str) else _cell(cell, level)
-                    if loose:
-                        cells.append(loose)
+                    text = cell.strip() if isinstance(cell, str) else _cell(cell, level)
+                    if not text:
+                        continue
+                while len(cells) in tall:
+                    cells.append("")
+                if down > 1:
+                    begun.update((len(cells) + i, down) for i in range(across))
+                cells += [text, *[""] * (across - 1)]
+            for i, n in begun.items():
+                tall[i] = max(n, tall.get(i, 0))
+            tall = {i: n - 1 for i, n in tall.items() if n > 1}
             rows.append(cells)
         elif child.tag in ("tbody", "thead", "tfoot"):
-            below.extend(reversed(child.children))
+            below.extend([None, *reversed(child.children), None])
         else:
             text = _cell(child, level)
             if text:

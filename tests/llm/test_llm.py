@@ -334,6 +334,20 @@ def test_head_ends_without_its_tag(page, text):
     assert html_text.html_to_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<p>so <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></semantics></math> holds", "so x=2 holds"),
+    ("<svg><title>t</title><defs/><path d='M0'/><text>A</text><text>B</text><desc>d</desc><g><metadata>m</metadata></g></svg>!", "A B !"),
+    ("<div><svg><text>A</text><p>rest</div>", "A\n\nrest"), ("<svg><desc><p>no</p></desc><text>yes</text></svg>", "yes"),
+    ("a <select><option>b<option selected>c</select> d", "a c d"), ("<select><optgroup label=g><option disabled>b<option>c</select>", "c"),
+    ("<select multiple><option>b<option>c</select>", "b c"), ("<p><select><option>b</p><p>after", "b\n\nafter"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+    ("<table><tr><td>a<td rowspan=2 colspan=2>b<td>c<tr><td>d<td>e</table>", "a  b    c\nd       e"),
+    ("<table><thead><tr><td rowspan=9>a<td>b<tbody><tr><td>c<td>d</table>", "a  b\nc  d"),
+])
+def test_formulas_drawings_selects_and_tall_cells(page, text):
+    assert html_text.html_to_text(page) == text
+
+
 def test_pages(spark, tables):
     pages = dict(tables.execute("SELECT page_id, html FROM pages").fetchall())
     for row in queries.QUERIES["op7_html_extraction"](spark, SF).collect():
