@@ -6,7 +6,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +21,16 @@ KINDS = ("assign", "access", "hex", "crf")
 _ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")  # a run of 16 or more is the whole run: it starts at its first and takes all
-_CHUNK = re.compile(r"[^\s\"'`<>(){}\[\],;]+")
+_CHUNK = re.compile(r"[^\s\"'`<>(){}\[\],;]{8,}")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_-]+|[^A-Za-z0-9+/_-]")
-_DIGIT = re.compile(r"[0-9]")
+_KEY_PART = re.compile(r"[a-z]{3,}")
 DIMS = 1 << 15  # hashed features
 OUTSIDE, BEGIN, INSIDE = range(3)
+# fixed values: words before a secret that the base patterns do not list; they teach in place of those listed
+ANNOUNCED = ("bearer", "basic", "pass:", "pwd:", "auth:", "credential:", "private_key:", "auth_key:")
 LEAST = 8  # characters of a span that the chain may add
+PLAIN = 8  # one in so many stretches without digit and secret teaches, with that weight
+KEPT = 100_000  # entries of a cache of scores
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -50,23 +54,8 @@ def shape(token: str) -> str:
 
 
 def chunks(text: str) -> list[tuple[int, int]]:
-    """Stretches without blanks, quotes or brackets that may hold a secret: those with a digit, 8 characters at least.
-
-    All other text is outside by rule, so each stretch is a chain of its own and the rest
-    of a long text costs no more than the search for digits.
-    """
-    out, end = [], -1
-    for m in _DIGIT.finditer(text):
-        at = m.start()
-        if at < end:
-            continue
-        start = at
-        while start > max(0, end) and start > at - 4096 and _CHUNK.fullmatch(text, start - 1, start):
-            start -= 1
-        end = _CHUNK.match(text, at).end()
-        if end - start >= LEAST:
-            out.append((start, end))
-    return out
+    """Stretches without blanks, quotes or brackets that may hold a secret: all of 8 characters at least, each a chain of its own."""
+    return [m.span() for m in _CHUNK.finditer(text)]
 
 
 def file_features(text: str) -> list[str]:
@@ -76,38 +65,61 @@ def file_features(text: str) -> list[str]:
     return [f"fs{min(5, int(math.log2(1 + 1000 * signs / n)))}", f"fd{min(5, int(math.log2(1 + 1000 * digits / n)))}", f"fl{min(6, len(str(n)))}"]
 
 
+def _hashed(names: list[str]) -> list[int]:
+    return [zlib.crc32(name.encode("utf-8", "surrogatepass")) % DIMS for name in names]
+
+
+def _size(token: str) -> str:
+    n = len(token)
+    return f"n{min(n, 8) if n < 8 else 8 + min(n // 4, 12)}"
+
+
+def _mix(token: str) -> str:
+    return "".join(k for k, test in (("d", str.isdigit), ("l", str.islower), ("u", str.isupper)) if any(map(test, token)))
+
+
+def _of_token(token: str, last: str, following: str) -> list[int]:
+    n = len(token)
+    entropy = -sum(c / n * math.log2(c / n) for c in Counter(token).values())
+    kinds, size = _mix(token), _size(token)
+    hexes = all(c in "0123456789abcdef" for c in token)
+    part = _KEY_PART.findall(last.lower())[-1:] if len(last) < 24 else []
+    return _hashed([
+        "b", f"s{shape(token)}", size, f"k{kinds}", f"e{int(entropy * 2)}", f"x{hexes}", f"k{kinds}{size}", f"p{token[:4]}",
+        f"l{last.lower()[:12] if len(last) < 12 else shape(last)}", f"r{following if len(following) == 1 else shape(following)}",
+        f"z{shape(last)}|{shape(token)}", f"y{''.join(part)[:4]}"])
+
+
+def _of_words(before: str, size: str) -> list[int]:
+    part = _KEY_PART.findall(before)[-1:]
+    return _hashed([f"w{before}", f"w{before}{size}", f"v{''.join(part)[:4]}{before[-1:] if before[-1:] in ':=' else ''}"])
+
+
+def _of_file(file: tuple[str, ...], kinds: str) -> list[int]:
+    return _hashed([*file, *[f"{f}{kinds}" for f in file]])
+
+
 def token_features(text: str, spans: list[tuple[int, int]], before: str, file: list[str]) -> list[list[int]]:
     """Hashed features of the tokens of a stretch: shape, size, mix of characters, neighbours, and the file's."""
-    tokens = [text[a:b] for a, b in spans]
-    out = []
-    for i, token in enumerate(tokens):
-        n = len(token)
-        counts = Counter(token)
-        entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
-        kinds = "".join(k for k, test in (("d", str.isdigit), ("l", str.islower), ("u", str.isupper)) if any(map(test, token)))
-        hexes = all(c in "0123456789abcdef" for c in token)
-        size = f"n{min(n, 8) if n < 8 else 8 + min(n // 4, 12)}"
-        last = tokens[i - 1] if i else "^"
-        following = tokens[i + 1] if i + 1 < len(tokens) else "$"
-        names = [
-            "b", f"s{shape(token)}", size, f"k{kinds}", f"e{int(entropy * 2)}", f"x{hexes}", f"k{kinds}{size}", f"p{token[:4]}",
-            f"l{last.lower()[:12] if len(last) < 12 else shape(last)}", f"r{following if len(following) == 1 else shape(following)}",
-            f"w{before}", f"w{before}{size}", f"z{shape(last)}|{shape(token)}", *file, *[f"{f}{kinds}" for f in file]]
-        out.append([zlib.crc32(name.encode("utf-8", "surrogatepass")) % DIMS for name in names])
-    return out
+    tokens = ["^", *[text[a:b] for a, b in spans], "$"]
+    return [_of_token(token, last, following) + _of_words(before, _size(token)) + _of_file(tuple(file), _mix(token))
+            for last, token, following in zip(tokens, tokens[1:], tokens[2:])]
 
 
-def stretches(text: str):
-    """``(token spans, features)`` of every stretch of a text."""
-    found = chunks(text)
-    if not found:
-        return
-    file = file_features(text)
-    for start, end in found:
-        spans = [m.span() for m in _TOKEN.finditer(text, start, end)]
+def _stretches(text: str):
+    """``(token spans, words before, file features)`` of every stretch of a text."""
+    file = None
+    for start, end in chunks(text):
+        file = file or file_features(text)
         words = text[max(0, start - 40) : start].split()
         before = " ".join(words[-2:] if words and len(words[-1]) < 3 else words[-1:]).lower().strip("\"'")
-        yield spans, token_features(text, spans, before[-24:], file)
+        yield [m.span() for m in _TOKEN.finditer(text, start, end)], before[-24:], file
+
+
+def stretches(text: str):
+    """``(token spans, features)`` of every stretch of a text."""
+    for spans, before, file in _stretches(text):
+        yield spans, token_features(text, spans, before, file)
 
 
 @dataclass
@@ -116,17 +128,44 @@ class Model:
     move: np.ndarray  # 3 x 3, from row to column
     start: np.ndarray  # 3
 
+    known: dict = field(default_factory=dict, repr=False, compare=False)  # scores of frequent parts
+
     def viterbi(self, features: list[list[int]]) -> list[int]:
         """The best tags of a chain; inside follows begin or inside only."""
-        scores = np.array([self.emit[f].sum(axis=0) for f in features])
-        best, back = scores[0] + self.start, []
+        return self._best([self.emit[f].sum(axis=0).tolist() for f in features])
+
+    def tags(self, text: str, spans: list[tuple[int, int]], before: str, file: list[str]) -> list[int]:
+        """``viterbi`` of a stretch; what words, tokens and files add to a score is remembered, as most recur."""
+        tokens = ["^", *[text[a:b] for a, b in spans], "$"]
+        scores = []
+        for last, token, following in zip(tokens, tokens[1:], tokens[2:]):
+            own, kinds, size = self._part(("t", token, last, following), _of_token, len(token) + len(last) + len(following) <= 64)
+            words, _, _ = self._part(("w", before, size), _of_words)
+            whole, _, _ = self._part(("f", tuple(file), kinds), _of_file)
+            scores.append([own[0] + words[0] + whole[0], own[1] + words[1] + whole[1], own[2] + words[2] + whole[2]])
+        return self._best(scores)
+
+    def _part(self, key: tuple, features, keep: bool = True):
+        found = self.known.get(key)
+        if found is None:
+            kind, token = key[0], key[1]
+            found = self.emit[features(*key[1:])].sum(axis=0).tolist(), *((_mix(token), _size(token)) if kind == "t" else ("", ""))
+            if keep:
+                if len(self.known) >= KEPT:
+                    self.known.clear()
+                self.known[key] = found
+        return found
+
+    def _best(self, scores: list[list[float]]) -> list[int]:
+        move, start = self.move.tolist(), self.start.tolist()
+        best, back = [s + t for s, t in zip(scores[0], start)], []
         for row in scores[1:]:
-            ways = best[:, None] + self.move
-            back.append(ways.argmax(axis=0))
-            best = ways.max(axis=0) + row
-        tags = [int(best.argmax())]
-        for b in reversed(back):
-            tags.append(int(b[tags[-1]]))
+            ways = [max(OUTSIDE, BEGIN, INSIDE, key=lambda a: best[a] + move[a][b]) for b in (OUTSIDE, BEGIN, INSIDE)]
+            back.append(ways)
+            best = [best[a] + move[a][b] + row[b] for b, a in enumerate(ways)]
+        tags = [max(OUTSIDE, BEGIN, INSIDE, key=best.__getitem__)]
+        for ways in reversed(back):
+            tags.append(ways[tags[-1]])
         return tags[::-1]
 
 
@@ -134,39 +173,39 @@ BARRED = -1e4
 
 
 def found_spans(text: str, model: Model | None) -> list[tuple[str, int, int]]:
-    """Spans that the chain tags and no base span touches, joined from their begin and inside tokens."""
+    """Spans that the chain tags, joined from their begin and inside tokens; those within a base span add nothing and are left out."""
     if model is None:
         return []
     out, base = [], base_spans(text)
-    for spans, features in stretches(text):
+    for spans, before, file in _stretches(text):
         open_at = None
-        for (start, end), tag in zip([*spans, (-1, -1)], [*model.viterbi(features), OUTSIDE]):
+        for (start, end), tag in zip([*spans, (-1, -1)], [*model.tags(text, spans, before, file), OUTSIDE]):
             if tag != INSIDE and open_at is not None:
                 out.append((open_at, stop))
                 open_at = None
             if tag == BEGIN:
                 open_at = start
             stop = end
-    return [("crf", a, b) for a, b in out if b - a >= LEAST and not any(s < b and a < e for _, s, e in base)]
+    return [("crf", a, b) for a, b in out if b - a >= LEAST and not any(s <= a and b <= e for _, s, e in base)]
 
 
-def train(chains: list[tuple[list[list[int]], list[int]]], rounds: int = 30, rate: float = 0.2, decay: float = 1e-4) -> Model:
-    """Maximum likelihood of the tags by AdaGrad; forward and backward sums run over all chains of a length at once."""
+def train(chains: list[tuple[np.ndarray, list[int], float]], rounds: int = 30, rate: float = 0.2, decay: float = 1e-4) -> Model:
+    """Maximum likelihood of the tags of weighted chains by AdaGrad; forward and backward sums run over all chains of a length at once."""
     model = Model(np.zeros((DIMS, 3)), np.zeros((3, 3)), np.zeros(3))
     model.move[OUTSIDE, INSIDE] = model.start[INSIDE] = BARRED
     by_length: dict[tuple[int, int], list[int]] = {}
-    for i, (features, _) in enumerate(chains):
+    for i, (features, _, _) in enumerate(chains):
         by_length.setdefault((len(features), len(features[0])), []).append(i)
     groups = []
     for members in by_length.values():
         for i in range(0, len(members), 512):
             part = members[i : i + 512]
-            groups.append((np.array([chains[j][0] for j in part]), np.array([chains[j][1] for j in part])))
+            groups.append((np.array([chains[j][0] for j in part]), np.array([chains[j][1] for j in part]), np.array([chains[j][2] for j in part])))
     sums = [np.full_like(a, 1e-6) for a in (model.emit, model.move, model.start)]
-    total = len(chains)
+    total = sum(w for _, _, w in chains)
     for _ in range(rounds):
-        for f, y in groups:
-            n, length, _ = f.shape
+        for f, y, weight in groups:
+            (n, length, _), mass_of = f.shape, weight.sum()
             scores = model.emit[f].sum(axis=2)
             ahead = np.empty((n, length, 3))
             behind = np.zeros((n, length, 3))
@@ -177,17 +216,17 @@ def train(chains: list[tuple[list[list[int]], list[int]]], rounds: int = 30, rat
                 behind[:, t] = _logsum((model.move + (scores[:, t + 1] + behind[:, t + 1])[:, None, :]).transpose(0, 2, 1))
             log_z = _logsum(ahead[:, -1, :, None])[:, 0]
             mass = np.exp(ahead + behind - log_z[:, None, None])
-            error = mass - np.eye(3)[y]
+            error = (mass - np.eye(3)[y]) * weight[:, None, None]
             emit = np.zeros_like(model.emit)
             np.add.at(emit, f.reshape(-1), np.repeat(error.reshape(-1, 3), f.shape[2], axis=0))
             move = np.zeros((3, 3))
             for t in range(1, length):
                 pair = np.exp(ahead[:, t - 1, :, None] + model.move + (scores[:, t] + behind[:, t])[:, None, :] - log_z[:, None, None])
-                move += pair.sum(axis=0)
-                np.add.at(move, (y[:, t - 1], y[:, t]), -1)
+                move += (pair * weight[:, None, None]).sum(axis=0)
+                np.add.at(move, (y[:, t - 1], y[:, t]), -weight)
             start = error[:, 0].sum(axis=0)
             for value, gradient, square in zip((model.emit, model.move, model.start), (emit, move, start), sums):
-                gradient = gradient / n + decay * np.where(value > BARRED / 2, value, 0) * n / total
+                gradient = gradient / mass_of + decay * np.where(value > BARRED / 2, value, 0) * mass_of / total
                 gradient = np.where(value > BARRED / 2, gradient, 0)
                 square += gradient * gradient
                 value -= rate * gradient / np.sqrt(square)
@@ -200,10 +239,12 @@ def _logsum(x: np.ndarray) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis=1)) + top[:, 0]
 
 
-def _recast(text: str, secret: np.ndarray) -> str:
-    """The text with other letters and digits in its secrets, drawn from a hash of the text."""
+def _recast(text: str, secret: np.ndarray, letters: bool = False) -> str:
+    """The text with other letters and digits (or letters alone) in its secrets, drawn from a hash of the text."""
     draw = np.random.default_rng(zlib.crc32(text.encode("utf-8", "surrogatepass")))
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    if letters:
+        alphabet = alphabet[:52]
     chars = list(text)
     for i in np.flatnonzero(secret).tolist():
         if chars[i].isascii() and chars[i].isalnum():
@@ -217,13 +258,15 @@ def learn(docs: DataFrame, with_secret: int = 1500, without_secret: int = 1500,
     Documents with a base span and documents with stretches but no base span, at most so
     many of each, are drawn by a hash of their text among those of up to ``longest`` code
     points. Inside an assignment the value is the secret. Numbers alone are no teachers:
-    a stretch that is digits only is outside. Each text with a secret teaches twice, the
-    second time with the secret's letters and digits drawn anew from all letters and digits,
-    so that keys of other alphabets than those of the patterns are known too. Without a document with a secret there is no
+    a stretch that is digits only is outside. Each secret teaches three times, the
+    second time with its letters and digits drawn anew from all letters and digits, the
+    third time from letters alone and behind other words, so that keys of other alphabets than those of the
+    patterns are known too. Of the many stretches without digit and secret one in ``PLAIN``
+    teaches, with that weight. Without a document with a secret there is no
     model, and only base spans are reported.
     """
     data = docs.select(F.col(text_col).cast("string").alias("text")).where(
-        F.col("text").rlike("[0-9]") & (F.char_length("text") <= longest)).withColumn("h", F.xxhash64("text"))
+        F.col("text").rlike(r"\S{8}") & (F.char_length("text") <= longest)).withColumn("h", F.xxhash64("text"))
     likely = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{14}|(?-i)[0-9a-f]{16}"""
     # hashes are drawn first: only they are ordered, and the texts of the few drawn ones are fetched by a broadcast of them
     marked = data.select("h", F.col("text").rlike(likely).alias("y")).groupBy("h").agg(F.max("y").alias("y"))
@@ -232,7 +275,7 @@ def learn(docs: DataFrame, with_secret: int = 1500, without_secret: int = 1500,
 
     def chained(batches):
         for batch in batches:
-            features, tags = [], []
+            features, tags, weights = [], [], []
             for text in batch.column("text").to_pylist():
                 secret = np.zeros(len(text) + 1, bool)
                 for kind, a, b in base_spans(text):
@@ -240,23 +283,33 @@ def learn(docs: DataFrame, with_secret: int = 1500, without_secret: int = 1500,
                         a = _ASSIGN.match(text, a).start(2)
                     if not text[a:b].isdigit():
                         secret[a:b] = True
-                for other in (text, _recast(text, secret)) if secret.any() else (text,):
-                    for spans, rows in stretches(other):
-                        own, last = [], OUTSIDE
+                for turn, other in enumerate((text, _recast(text, secret), _recast(text, secret, True)) if secret.any() else (text,)):
+                    for spans, before, file in _stretches(other):
+                        own, last, weight = [], OUTSIDE, 1
                         for a, b in spans:
                             last = OUTSIDE if not secret[a:b].all() else BEGIN if last == OUTSIDE else INSIDE
                             own.append(last)
-                        features.append([x for row in rows for x in row])
+                        if not any(own):
+                            chunk = other[spans[0][0] : spans[-1][1]]
+                            if turn:  # told by the text itself
+                                continue
+                            if not any(c in chunk for c in "0123456789"):
+                                weight = PLAIN
+                                if zlib.crc32(f"{before} {chunk} {spans[0][0]}".encode("utf-8", "surrogatepass")) % PLAIN:
+                                    continue
+                        if turn == 2 and own[0] == BEGIN:
+                            before = ANNOUNCED[zlib.crc32(other[spans[0][0] : spans[-1][1]].encode("utf-8", "surrogatepass")) % len(ANNOUNCED)]
+                        features.append([x for row in token_features(other, spans, before, file) for x in row])
                         tags.append(own)
+                        weights.append(weight)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(features, pa.list_(pa.int32())), pa.array(tags, pa.list_(pa.int32()))], names=["f", "y"])
+                [pa.array(features, pa.list_(pa.int32())), pa.array(tags, pa.list_(pa.int32())), pa.array(weights, pa.int32())], names=["f", "y", "w"])
 
     chains = []
-    for f, y in sample.select("text").mapInArrow(chained, "f array<int>, y array<int>").toLocalIterator():
-        each = len(f) // len(y)
+    for f, y, w in sample.select("text").mapInArrow(chained, "f array<int>, y array<int>, w int").toLocalIterator():
         if len(y) <= 64:
-            chains.append(([f[i : i + each] for i in range(0, len(f), each)], list(y)))
-    if not any(BEGIN in y for _, y in chains):
+            chains.append((np.array(f, np.int32).reshape(len(y), -1), list(y), float(w)))
+    if not any(BEGIN in y for _, y, _ in chains):
         return None
     return train(chains)
 
@@ -264,8 +317,8 @@ def learn(docs: DataFrame, with_secret: int = 1500, without_secret: int = 1500,
 def scan_secrets(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """Add ``spans`` to every row: ``kind, start, stop`` in code points, by start and then kind.
 
-    Base spans are always there; the chain adds spans of kind ``crf`` that touch none of
-    them. Whole texts are read; a null or empty text has no spans. Rows are independent: no
+    Base spans are always there; the chain adds spans of kind ``crf`` that lie
+    in none of them. Whole texts are read; a null or empty text has no spans. Rows are independent: no
     shuffle. A column of the input named like the added one is replaced.
     """
     rows = without(docs, "spans")
