@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from dataclasses import dataclass
@@ -95,32 +96,44 @@ def strength(total: float, words: int) -> float:
     return total / math.sqrt(math.sqrt(max(words, 8)))
 
 
-def entries_of(folded: str) -> dict[str, str]:
-    """Words and word beginnings of a folded text, each with the word before its first occurrence."""
-    found: dict[str, str] = {}
-    before = ""
-    for word in folded.split():
+def entries_of(folded: str) -> set[str]:
+    """Words and word beginnings of a folded text."""
+    found: set[str] = set()
+    for word in set(folded.split()):
         if len(word) <= 24:
-            found.setdefault(f" {word} ", before)
-        for n in STEMS:
-            if len(word) > n:
-                found.setdefault(f" {word[:n]}", before)
-        before = word
+            found.add(f" {word} ")
+        found.update(f" {word[:n]}" for n in STEMS if len(word) > n)
     return found
 
 
 def _labelled_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """Labelled rows that may be learned from, as ``doc_id, toxic, text``; one label per id (the highest).
+    """Labelled texts that may be learned from, folded, as ``toxic, text``; one label per id (the highest).
 
-    ``sample`` ids at most per label are drawn by their hash before the texts are touched,
-    so the drawn ids are small enough to be broadcast, and no text is shuffled.
+    Copies are one: of the ids with the same text and label the smallest is kept, ``sample``
+    ids at most per label are drawn from those by their hash, and of texts that are equal
+    when folded one row is left. Only ids and hashes are shuffled, no text.
     """
     marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & in_training()).groupBy(
-        F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic")).withColumn("h", F.xxhash64("id"))
-    drawn = marks.where("toxic = 1").orderBy("h", "id").limit(sample).unionByName(marks.where("toxic = 0").orderBy("h", "id").limit(sample))
+        F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(F.broadcast(drawn.select("id", "toxic")), F.col("doc_id") == F.col("id"))
-    return stored(rows.select("doc_id", "toxic", "text"), "labelled-rows")
+    hashes = rows.select("doc_id", F.xxhash64("text").alias("copy"))
+    marks = hashes.join(marks, F.col("doc_id") == F.col("id")).groupBy("copy", "toxic").agg(F.min("id").alias("id")).withColumn("h", F.xxhash64("id"))
+    drawn = marks.where("toxic = 1").orderBy("h", "id").limit(sample).unionByName(marks.where("toxic = 0").orderBy("h", "id").limit(sample))
+    # an id with several texts may be drawn more than once
+    drawn = drawn.groupBy("id").agg(F.first("toxic").alias("toxic"))
+    rows = rows.join(F.broadcast(drawn), F.col("doc_id") == F.col("id")).select("toxic", "text")
+
+    def folded(batches):
+        for batch in batches:
+            texts = [fold(text or "") for text in batch.column("text").to_pylist()]
+            copies = [hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest() for text in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), pa.array(texts, pa.string()), pa.array(copies, pa.binary())], names=["toxic", "text", "copy"])
+
+    found = rows.mapInArrow(folded, "toxic int, text string, copy binary").withColumn("row", F.monotonically_increasing_id())
+    found = stored(found, "labelled-rows")
+    kept = found.groupBy("toxic", "copy").agg(F.min("row").alias("row"))
+    return found.join(F.broadcast(kept.select("row")), "row", "left_semi").select("toxic", "text")
 
 
 def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries: int = 20_000,
@@ -128,9 +141,8 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
     """A lexicon and its curve from labelled training rows, ``sample`` at most per label.
 
     Entries are whole words and word beginnings of folded whole texts, counted by label. One is kept if its smoothed log odds for label 1 exceed those of
-    all rows by 3 and documents with label 1 have it behind enough different words
-    (``least_docs``, and one for every 20 documents): words that only a group of copies
-    shares always follow the same word, so copies teach nothing. The strongest
+    all rows by 3 and at least ``least_docs`` different texts with label 1 have it; a group
+    of copies is one text. The strongest
     ``most_entries`` stay, out of the ``most_candidates`` that most such documents have. The curve is a logistic function of ``strength``. Texts are
     reduced to numbers in tasks; the driver sees the lexicon and two numbers per row.
     Without any label 1 nothing is toxic.
@@ -142,11 +154,11 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
         return Model({}, 0.0, -10.0)
 
     def counted(batches):
-        counts: dict[tuple[str, str], int] = {}
+        counts: dict[str, int] = {}
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                for pair in entries_of(fold(text or "")).items():
-                    counts[pair] = counts.get(pair, 0) + 1
+                for entry in entries_of(text):
+                    counts[entry] = counts.get(entry, 0) + 1
                 if len(counts) > 200_000:
                     yield _counts(counts)
                     counts = {}
@@ -154,9 +166,7 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
             yield _counts(counts)
 
     def _counts(counts):
-        entries, before = zip(*counts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(entries), pa.array(before), pa.array(counts.values(), pa.int64())], names=["entry", "before", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["entry", "n"])
 
     def found_in(wanted):
         def matched(batches):
@@ -167,16 +177,14 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
             counts: dict[str, int] = {}
             for batch in batches:
                 for text in batch.column("text").to_pylist():
-                    for entry in {e for _, e in automaton.iter(fold(text or ""))}:
+                    for entry in {e for _, e in automaton.iter(text)}:
                         counts[entry] = counts.get(entry, 0) + 1
             yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["entry", "n"])
 
         return matched
 
     # only entries of toxic rows are counted in clean ones
-    candidates = rows.where("toxic = 1").mapInArrow(counted, "entry string, before string, n long").groupBy("entry", "before").agg(F.sum("n").alias("n"))
-    candidates = candidates.groupBy("entry").agg(F.sum("n").alias("n1"), F.count("*").alias("contexts"))
-    candidates = candidates.where((F.col("contexts") >= least_docs) & (F.col("contexts") * 20 >= F.col("n1")))
+    candidates = rows.where("toxic = 1").mapInArrow(counted, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n1")).where(F.col("n1") >= least_docs)
     candidates = candidates.orderBy(F.desc("n1"), "entry").limit(most_candidates).collect()
     if not candidates:
         return Model({}, 0.0, -10.0)
@@ -196,8 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
         automaton = model.automaton()
         for batch in batches:
             x = []
-            for text in batch.column("text").to_pylist():
-                folded = fold(text or "")
+            for folded in batch.column("text").to_pylist():
                 x.append(strength(hits(folded, automaton), folded.count(" ") - 1))
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(x, pa.float64())], names=["toxic", "x"])
 

@@ -417,6 +417,25 @@ def test_toxicity_learns_words_and_beginnings(spark):
     assert toxicity.hits(toxicity.fold("the trash can"), machine) == 0 and toxicity.hits(toxicity.fold("you 7r4sh!"), machine) == 9
 
 
+def test_copies_teach_once_and_set_phrases_count(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    rows, marks = [], []
+    for i in range(1500):
+        text = [rng.choice(words) for _ in range(30)]
+        if i % 10 == 0:
+            text.insert(rng.randrange(30), "grumbo")
+        if i % 10 == 1:  # always behind the same word
+            text.insert(rng.randrange(30), words[0] + " zinkel")
+        if i % 3 == 2:  # copies, but for case and signs
+            text = ["grumbo", "oncemore", rng.choice("!?"), "and so on"]
+        rows.append((i, " ".join(text), None, None, None))
+        marks.append((i, 0, int(i % 10 < 2 or i % 3 == 2)))
+    model = toxicity.learn(awkward(spark, rows), labels_of(spark, marks))
+    assert any(" grumbo".startswith(e.rstrip()) for e in model.weights) and any(" zinkel".startswith(e.rstrip()) for e in model.weights)
+    assert not any(e.startswith(" once") for e in model.weights)
+
+
 def test_toxicity_awkward_rows(spark):
     docs = awkward(spark)
     assert toxicity.score_documents(docs, toxicity.learn(docs, labels_of(spark))).count() == len(AWKWARD)
