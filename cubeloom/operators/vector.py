@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 from dataclasses import replace
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import errors as err
 from ..schema import Band, CubeSchema
@@ -197,7 +199,12 @@ class Geometries:
 
     def vector_to_random_points(self, geometry_count: int | None = None, total_count: int | None = None,
                                 group: bool = True, seed: int | None = None) -> "Geometries":
-        """Up to n random points per geometry, or in total shared out evenly; the same seed gives the same points."""
+        """n random points per polygon or line, or in total shared out evenly; the same seed gives the same points.
+
+        A polygon is cut into trapezoids, every point is drawn in one of them by area, so no
+        try is lost however little of its box the polygon fills; one without area gives
+        points on its sides. Points give at most their own points.
+        """
         df = self.df.where(F.col("minx").isNotNull()).withColumn("edges", geo.edges(F.col("parts")))
         seed = seed if seed is not None else int.from_bytes(os.urandom(4), "big")
         want = F.lit(geometry_count).cast("long") if geometry_count is not None else None
@@ -207,31 +214,30 @@ class Geometries:
             want = even if want is None else F.least(want, even)
         if want is None:
             raise err.CountMismatch("give geometry_count or total_count")
-        shoelace = F.abs(F.aggregate("edges", F.lit(0.0), lambda a, s: a + s["ax"] * s["by"] - s["bx"] * s["ay"])) / 2
-        box = (F.col("maxx") - F.col("minx")) * (F.col("maxy") - F.col("miny"))
         area = F.col("geom_type").endswith("Polygon")
-        df = df.withColumns({"__want": want, "__tries": F.when(area, 
-            F.ceil(want * F.coalesce(F.try_divide(box, shoelace), F.lit(1.0)) * 1.5) + 20).otherwise(want)})
+        df = df.withColumn("__want", want)
+        polygons = df.where(area).mapInArrow(_with_trapezoids, T.StructType([*df.schema, T.StructField("__traps", T.DataType.fromDDL(_TRAPEZOIDS))]))
+        df = df.where(~area).withColumn("__traps", F.lit(None).cast(_TRAPEZOIDS)).unionByName(polygons)
 
         def unit(salt: str) -> Column:
             return (F.pmod(F.xxhash64("geom_id", F.col("__n"), F.lit(salt), F.lit(seed)), F.lit(1 << 40))) / float(1 << 40)
 
-        tries = df.withColumn("__n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__tries"))))
+        tries = df.withColumn("__n", F.explode(F.when(F.col("__want") > 0, F.sequence(F.lit(1).cast("long"), F.col("__want")))))
         at = F.element_at("edges", (F.floor(unit("e") * F.size("edges")) + 1).cast("int"))
         u = unit("x")
+        tries = tries.withColumn("__u", unit("t") * F.element_at("__traps", -1)["upto"]).withColumn(
+            "__t", F.get(F.filter("__traps", lambda t: t["upto"] > F.col("__u")), F.lit(0)))
+        t = F.col("__t")
+        h0, h1, v = t["top0"] - t["low0"], t["top1"] - t["low1"], u + 0.5 / float(1 << 40)
+        s = v * (h0 + h1) / (h0 + F.sqrt(h0 * h0 + v * (h1 * h1 - h0 * h0)))  # share of the width, by area
+        low, top = t["low0"] + s * (t["low1"] - t["low0"]), t["top0"] + s * (t["top1"] - t["top0"])
         vertex = F.flatten("parts")
-        p = F.when(area, F.struct((F.col("minx") + u * (F.col("maxx") - F.col("minx"))).alias("x"),
-                                  (F.col("miny") + unit("y") * (F.col("maxy") - F.col("miny"))).alias("y"))).when(
-            F.col("geom_type").endswith("LineString"), F.struct(
+        p = F.when(t.isNotNull(), F.struct((t["x0"] + s * (t["x1"] - t["x0"])).alias("x"), (low + unit("y") * (top - low)).alias("y"))).when(
+            area | F.col("geom_type").endswith("LineString"), F.struct(
                 (at["ax"] + u * (at["bx"] - at["ax"])).alias("x"), (at["ay"] + u * (at["by"] - at["ay"])).alias("y"))).otherwise(
             F.get(vertex, (F.col("__n") - 1).cast("int")))
-        tries = tries.withColumn("p", p).where(F.col("p").isNotNull() & (~area | geo.covers(F.col("p.x"), F.col("p.y"), F.col("edges"))))
-        # smallest try numbers win: a bounded top-n per geometry by value, found range-wise
-        from ..plans.scan import running_sum, scan
-
-        ranked = scan(tries.select("geom_id", "__want", "__n", "p"), ["geom_id"], "__n", {"__r": running_sum(F.lit(1).cast("long"))})
-        points = ranked.where(F.col("__r") <= F.col("__want")).select("geom_id", "p")
-        return self._points(points.distinct(), group)
+        points = tries.select("geom_id", F.when(area, F.col("__n")).alias("__k"), p.alias("p")).where(F.col("p").isNotNull())
+        return self._points(points.distinct().select("geom_id", "p"), group)
 
     def _points(self, points: DataFrame, group: bool) -> "Geometries":
         if group:
@@ -253,6 +259,52 @@ class Geometries:
         return type(target)(out, CubeSchema(dims=dims, bands=(Band("value"),)))
 
 
+_TRAPEZOIDS = "array<struct<x0:double,x1:double,low0:double,low1:double,top0:double,top1:double,upto:double>>"
+
+
+def _trapezoids(edges: list[dict]) -> list[dict]:
+    """What lies within the sides (by the even-odd rule) as trapezoids between vertical lines, with the running area."""
+    e = np.array([(q["ax"], q["ay"], q["bx"], q["by"]) for q in edges], float).reshape(-1, 4)
+    e = np.where((e[:, 0] > e[:, 2])[:, None], e[:, [2, 3, 0, 1]], e)
+    e = e[e[:, 0] < e[:, 2]]
+    slope = (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
+    out, upto = [], 0.0
+    cuts = np.unique(e[:, [0, 2]])
+    strips = list(zip(cuts[:-1], cuts[1:]))[::-1]
+    while strips:
+        x0, x1 = strips.pop()
+        inside = (e[:, 0] <= x0) & (e[:, 2] >= x1)
+        q, k = e[inside], slope[inside]
+        y0, y1 = (np.where(x == q[:, 2], q[:, 3], q[:, 1] + k * (x - q[:, 0])) for x in (x0, x1))
+        order = np.argsort(y0 + y1, kind="stable")
+        y0, y1 = y0[order], y1[order]
+        i, j = np.triu_indices(len(y0), 1)
+        d0, d1 = y0[j] - y0[i], y1[j] - y1[i]
+        crossed = d0 * d1 < 0  # sides that cross within the strip cut it once more
+        if crossed.any():
+            at = np.unique(x0 + (x1 - x0) * (d0[crossed] / (d0[crossed] - d1[crossed])))
+            at = at[(at > x0 + 1e-9 * (x1 - x0)) & (at < x1 - 1e-9 * (x1 - x0))]
+            if len(at):
+                bounds = [x0, *at, x1]
+                strips.extend(list(zip(bounds[:-1], bounds[1:]))[::-1])
+                continue
+        for a in range(0, len(y0) - 1, 2):
+            low0, low1 = float(y0[a]), float(y1[a])
+            top0, top1 = max(low0, float(y0[a + 1])), max(low1, float(y1[a + 1]))
+            size = (top0 - low0 + top1 - low1) / 2 * float(x1 - x0)
+            if upto + size > upto:
+                upto += size
+                out.append({"x0": float(x0), "x1": float(x1), "low0": low0, "low1": low1, "top0": top0, "top1": top1, "upto": upto})
+    return out
+
+
+def _with_trapezoids(batches):
+    kind = pa.list_(pa.struct([(n, pa.float64()) for n in ("x0", "x1", "low0", "low1", "top0", "top1", "upto")]))
+    for batch in batches:
+        traps = pa.array([_trapezoids(edges.as_py() or []) for edges in batch.column("edges")], kind)
+        yield pa.RecordBatch.from_arrays([*batch.columns, traps], names=[*batch.schema.names, "__traps"])
+
+
 def _cross_properly(s: Column, q: Column) -> Column:
     """Segments that cross in the inner of both."""
     def side(a: Column, x: Column, y: Column) -> Column:

@@ -384,6 +384,20 @@ def test_random_points(spark):
         g.vector_to_random_points(total_count=1, seed=1).df.collect()
 
 
+def test_random_points_of_thin_and_crossing_polygons(spark):
+    thin = [{"type": "Polygon", "id": i, "coordinates": [[(0, 0), (1000, 1000), (1000, 1000.5), (0, 0.5), (0, 0)]]} for i in range(200)]
+    bow = {"type": "Polygon", "id": 900, "coordinates": [[(0, 0), (4, 4), (4, 0), (0, 4), (0, 0)]]}
+    flat = {"type": "Polygon", "id": 901, "coordinates": [[(0, 0), (4, 4), (0, 0)]]}
+    got = Geometries.from_shapes(spark, [*thin, bow, flat], 3857).vector_to_random_points(geometry_count=10, seed=1).df.collect()
+    assert len(got) == 202 and all(len(r.parts[0]) == 10 for r in got)
+    for r in got:
+        for p in r.parts[0]:
+            if r.geom_id < 900:
+                assert -1e-6 <= p.y - p.x <= 0.5 + 1e-6
+            elif r.geom_id == 900:
+                assert abs(p.y - 2) <= abs(p.x - 2) + 1e-9
+
+
 # -- outlines, against union-find
 
 
