@@ -6,11 +6,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+BLOCK = 4 << 20  # bytes of text worked on at once; a longer text is a block of its own
+
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +52,26 @@ def add_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.Recor
     return pa.RecordBatch.from_arrays([*batch.columns, *columns.values()], names=[*batch.schema.names, *columns])
 
 
+def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts have about ``size`` bytes each."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    start, total = 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        if total and total + n > size:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def text_blocks(batches: Iterable[pa.RecordBatch], column: str, size: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """``blocks`` of all batches of a task; what the memory pool holds back is given up at the end."""
+    for batch in batches:
+        yield from blocks(batch, column, size)
+    pa.default_memory_pool().release_unused()
+
+
 def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables that end where a group ends, from batches in which equal keys are neighbours.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,11 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, table, without
+from .common import add_columns, blocks, table, without
 
 _ONES, _HIGH = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
 _EIGHT, _SEVEN, _TOP = np.uint64(8), np.uint64(7), np.uint64(56)
-BLOCK = 4 << 20  # bytes of text worked on at once; a longer text is a block of its own
 ADDED = ("n", "form", "prefix_chars", "middle_chars", "output")
 
 
@@ -102,19 +100,6 @@ def _before(marks: np.ndarray, sums: np.ndarray, at: np.ndarray) -> np.ndarray:
     return sums[word] + np.bitwise_count(marks[word] & below)
 
 
-def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch whose texts have about ``size`` bytes each."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    start, total = 0, 0
-    for i, n in enumerate(lengths.tolist()):
-        if total and total + n > size:
-            yield batch.slice(start, i - start)
-            start, total = i, 0
-        total += n
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of an array of strings and the offsets of its rows in them."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, table, without
+from .common import add_columns, table, text_blocks, without
 
 # fixed values: the base patterns and their kinds, in order
 KINDS = ("assign", "access", "hex", "crf")
@@ -50,6 +50,13 @@ def _order(span: tuple[str, int, int]):
 
 def shape(token: str) -> str:
     """Runs of upper, lower, digit and other characters, one letter each (at most six)."""
+    if token.isascii():
+        if token.islower() and token.isalpha():
+            return "a"
+        if token.isdigit():
+            return "9"
+        if token.istitle() and token.isalpha() and len(token) > 1:
+            return "Aa"
     return re.sub(r"(.)\1+", r"\1", re.sub(r"[^Aa9]", ".", re.sub(r"[0-9]", "9", re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", token)))))[:6]
 
 
@@ -65,55 +72,97 @@ def file_features(text: str) -> list[str]:
     return [f"fs{min(5, int(math.log2(1 + 1000 * signs / n)))}", f"fd{min(5, int(math.log2(1 + 1000 * digits / n)))}", f"fl{min(6, len(str(n)))}"]
 
 
+def _hash(name: str) -> int:
+    return zlib.crc32(name.encode("utf-8", "surrogatepass")) % DIMS
+
+
 def _hashed(names: list[str]) -> list[int]:
-    return [zlib.crc32(name.encode("utf-8", "surrogatepass")) % DIMS for name in names]
+    return [_hash(name) for name in names]
+
+
+_SIZES = [f"n{n if n < 8 else 8 + min(n // 4, 12)}" for n in range(64)]
 
 
 def _size(token: str) -> str:
     n = len(token)
-    return f"n{min(n, 8) if n < 8 else 8 + min(n // 4, 12)}"
+    return _SIZES[n] if n < 64 else _SIZES[63]
 
 
 def _mix(token: str) -> str:
+    if token.isascii() and token.isalpha() and token.islower():
+        return "l"
     return "".join(k for k, test in (("d", str.isdigit), ("l", str.islower), ("u", str.isupper)) if any(map(test, token)))
 
 
-def _of_token(token: str, last: str, following: str) -> list[int]:
-    n = len(token)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(token).values())
-    kinds, size = _mix(token), _size(token)
-    hexes = all(c in "0123456789abcdef" for c in token)
+def _look(token: str) -> tuple[str, str, str, int, bool]:
+    """Shape, mix of characters, size, how many different characters, and whether all are hexadecimal digits."""
+    return shape(token), _mix(token), _size(token), min(len(set(token)), 24), not token.strip("0123456789abcdef")
+
+
+# Each feature depends on one part of what surrounds a token, so that its weights can be summed once for all tokens with that part.
+
+
+def _of_look(key: tuple) -> list[int]:
+    (form, kinds, size, different, hexes), last_shape, file = key
+    return _hashed(["b", f"s{form}", size, f"k{kinds}", f"e{different}", f"x{hexes}", f"k{kinds}{size}", f"z{last_shape}|{form}",
+                    *file, *[f"{f}{kinds}" for f in file]])
+
+
+def _of_beginning(beginning: str) -> list[int]:
+    return _hashed([f"p{beginning}"])
+
+
+def _of_neighbours(key: tuple[str, str]) -> list[int]:
+    last, following = key
     part = _KEY_PART.findall(last.lower())[-1:] if len(last) < 24 else []
-    return _hashed([
-        "b", f"s{shape(token)}", size, f"k{kinds}", f"e{int(entropy * 2)}", f"x{hexes}", f"k{kinds}{size}", f"p{token[:4]}",
-        f"l{last.lower()[:12] if len(last) < 12 else shape(last)}", f"r{following if len(following) == 1 else shape(following)}",
-        f"z{shape(last)}|{shape(token)}", f"y{''.join(part)[:4]}"])
+    return _hashed([f"l{last.lower()[:12] if len(last) < 12 else shape(last)}", f"y{''.join(part)[:4]}",
+                    f"r{following if len(following) == 1 else shape(following)}"])
 
 
-def _of_words(before: str, size: str) -> list[int]:
-    part = _KEY_PART.findall(before)[-1:]
-    return _hashed([f"w{before}", f"w{before}{size}", f"v{''.join(part)[:4]}{before[-1:] if before[-1:] in ':=' else ''}"])
+def _word_part(before: str) -> str:
+    part = before if before.isascii() and before.isalpha() and len(before) > 2 else "".join(_KEY_PART.findall(before)[-1:])
+    return f"v{part[:4]}{before[-1:] if before[-1:] in ':=' else ''}"
 
 
-def _of_file(file: tuple[str, ...], kinds: str) -> list[int]:
-    return _hashed([*file, *[f"{f}{kinds}" for f in file]])
+def _of_words(key: tuple[str, str]) -> list[int]:
+    before, size = key
+    return _hashed([f"w{before}", f"w{before}{size}", _word_part(before)])
+
+
+PARTS = (_of_look, _of_beginning, _of_neighbours, _of_words)  # of a token, in the order of ``_keys``
+
+
+def _keys(last: str, token: str, following: str, before: str, file: tuple[str, ...], look: tuple, last_shape: str):
+    """What each of ``PARTS`` depends on."""
+    return (look, last_shape, file), token[:4], (last[:24], following[:24]), (before, look[2])
 
 
 def token_features(text: str, spans: list[tuple[int, int]], before: str, file: list[str]) -> list[list[int]]:
     """Hashed features of the tokens of a stretch: shape, size, mix of characters, neighbours, and the file's."""
     tokens = ["^", *[text[a:b] for a, b in spans], "$"]
-    return [_of_token(token, last, following) + _of_words(before, _size(token)) + _of_file(tuple(file), _mix(token))
-            for last, token, following in zip(tokens, tokens[1:], tokens[2:])]
+    out = []
+    for last, token, following in zip(tokens, tokens[1:], tokens[2:]):
+        keys = _keys(last, token, following, before, tuple(file), _look(token), shape(last))
+        out.append([x for part, key in zip(PARTS, keys) for x in part(key)])
+    return out
 
 
 def _stretches(text: str):
     """``(token spans, words before, file features)`` of every stretch of a text."""
     file = None
-    for start, end in chunks(text):
+    for match in _CHUNK.finditer(text):
+        start, end = match.span()
         file = file or file_features(text)
-        words = text[max(0, start - 40) : start].split()
-        before = " ".join(words[-2:] if words and len(words[-1]) < 3 else words[-1:]).lower().strip("\"'")
-        yield [m.span() for m in _TOKEN.finditer(text, start, end)], before[-24:], file
+        words = text[max(0, start - 40) : start].rsplit(None, 2)
+        before = (" ".join(words[-2:]) if words and len(words[-1]) < 3 else words[-1] if words else "").lower().strip("\"'")
+        chunk = match.group()
+        if chunk.isascii() and chunk.isalnum():
+            spans = [(start, end)]
+        elif chunk[-1] in ".:!?" and chunk.isascii() and chunk[:-1].isalnum():
+            spans = [(start, end - 1), (end - 1, end)]
+        else:
+            spans = [m.span() for m in _TOKEN.finditer(text, start, end)]
+        yield spans, before[-24:], file
 
 
 def stretches(text: str):
@@ -128,33 +177,63 @@ class Model:
     move: np.ndarray  # 3 x 3, from row to column
     start: np.ndarray  # 3
 
-    known: dict = field(default_factory=dict, repr=False, compare=False)  # scores of frequent parts
+    known: list = field(default_factory=list, repr=False, compare=False)  # summed weights by look and by neighbours, looks of tokens, all weights, and the three gains
 
     def viterbi(self, features: list[list[int]]) -> list[int]:
         """The best tags of a chain; inside follows begin or inside only."""
         return self._best([self.emit[f].sum(axis=0).tolist() for f in features])
 
     def tags(self, text: str, spans: list[tuple[int, int]], before: str, file: list[str]) -> list[int]:
-        """``viterbi`` of a stretch; what words, tokens and files add to a score is remembered, as most recur."""
-        tokens = ["^", *[text[a:b] for a, b in spans], "$"]
-        scores = []
-        for last, token, following in zip(tokens, tokens[1:], tokens[2:]):
-            own, kinds, size = self._part(("t", token, last, following), _of_token, len(token) + len(last) + len(following) <= 64)
-            words, _, _ = self._part(("w", before, size), _of_words)
-            whole, _, _ = self._part(("f", tuple(file), kinds), _of_file)
-            scores.append([own[0] + words[0] + whole[0], own[1] + words[1] + whole[1], own[2] + words[2] + whole[2]])
-        return self._best(scores)
-
-    def _part(self, key: tuple, features, keep: bool = True):
-        found = self.known.get(key)
-        if found is None:
-            kind, token = key[0], key[1]
-            found = self.emit[features(*key[1:])].sum(axis=0).tolist(), *((_mix(token), _size(token)) if kind == "t" else ("", ""))
-            if keep:
-                if len(self.known) >= KEPT:
-                    self.known.clear()
-                self.known[key] = found
-        return found
+        """``viterbi`` of a stretch. A chain in which no token can gain by leaving outside is outside without a search."""
+        scores = self.scores(text, spans, before, file)
+        return [OUTSIDE] * len(spans) if self.quiet(scores) else self._best(scores)
+
+    def scores(self, text: str, spans: list[tuple[int, int]], before: str, file: list[str]) -> list[list[float]]:
+        """Scores of the three tags per token; what each part adds is summed once and remembered, as most parts recur."""
+        if not self.known:
+            self.known = [{}, {}, {}, [tuple(row) for row in self.emit.tolist()], *self._gains()]
+        by_look, by_neighbours, looks, weights = self.known[:4]
+        file, out, last, last_shape = tuple(file), [], "^", "."
+        first = text[spans[0][0] : spans[0][1]]
+        # the three features of the words before: two hold for the whole stretch, one changes with the size of the token
+        words = weights[_hash(f"w{before}")]
+        part = weights[_hash(_word_part(before))]
+        wa, wb, wc = words[0] + part[0], words[1] + part[1], words[2] + part[2]
+        for i, (start, end) in enumerate(spans):
+            token = first if not i else following
+            following = text[spans[i + 1][0] : spans[i + 1][1]] if i + 1 < len(spans) else "$"
+            look = looks.get(token)
+            if look is None:
+                look = _look(token)
+                if len(token) <= 4:  # longer ones seldom recur
+                    _keep(looks, token, look)
+            key = look, last_shape, file
+            own = by_look.get(key) or self._sum(by_look, _of_look, key)
+            key = last[:24], following[:24]
+            near = by_neighbours.get(key) or self._sum(by_neighbours, _of_neighbours, key)
+            begin = weights[_hash("p" + token[:4])]
+            sized = weights[_hash(f"w{before}{look[2]}")]
+            out.append([own[0] + near[0] + begin[0] + sized[0] + wa, own[1] + near[1] + begin[1] + sized[1] + wb, own[2] + near[2] + begin[2] + sized[2] + wc])
+            last, last_shape = token, look[0]
+        return out
+
+    def _sum(self, known: dict, part, key) -> tuple[float, float, float]:
+        rows = [self.known[3][f] for f in part(key)]
+        row = sum(r[0] for r in rows), sum(r[1] for r in rows), sum(r[2] for r in rows)
+        _keep(known, key, row)
+        return row
+
+    def _gains(self) -> tuple[float, float, float]:
+        """The most that entering begin, entering inside, and going back outside can add to a chain that stays outside."""
+        move, stay = self.move.tolist(), float(self.move[OUTSIDE, OUTSIDE])
+        begin = max(max(move[a][BEGIN] for a in range(3)) - stay, float(self.start[BEGIN] - self.start[OUTSIDE]))
+        inside = max(max(move[a][INSIDE] for a in range(3)) - stay, float(self.start[INSIDE] - self.start[OUTSIDE]))
+        return begin, inside, max(0.0, move[BEGIN][OUTSIDE] - stay, move[INSIDE][OUTSIDE] - stay)
+
+    def quiet(self, scores: list[list[float]]) -> bool:
+        """Proof that all outside is the best chain: each token with another tag costs more than its tag and both its moves can add."""
+        begin, inside, back = self.known[-3:]
+        return all(b - a + begin + back < 0 and c - a + inside + back < 0 for a, b, c in scores)
 
     def _best(self, scores: list[list[float]]) -> list[int]:
         move, start = self.move.tolist(), self.start.tolist()
@@ -169,6 +248,12 @@ class Model:
         return tags[::-1]
 
 
+def _keep(known: dict, key, value) -> None:
+    if len(known) >= KEPT:
+        known.clear()
+    known[key] = value
+
+
 BARRED = -1e4
 
 
@@ -176,17 +261,31 @@ def found_spans(text: str, model: Model | None) -> list[tuple[str, int, int]]:
     """Spans that the chain tags, joined from their begin and inside tokens; those within a base span add nothing and are left out."""
     if model is None:
         return []
-    out, base = [], base_spans(text)
+    out = []
     for spans, before, file in _stretches(text):
+        scores = model.scores(text, spans, before, file)
+        if model.quiet(scores):
+            continue
         open_at = None
-        for (start, end), tag in zip([*spans, (-1, -1)], [*model.tags(text, spans, before, file), OUTSIDE]):
+        for (start, end), tag in zip([*spans, (-1, -1)], [*model._best(scores), OUTSIDE]):
             if tag != INSIDE and open_at is not None:
                 out.append((open_at, stop))
                 open_at = None
             if tag == BEGIN:
                 open_at = start
             stop = end
-    return [("crf", a, b) for a, b in out if b - a >= LEAST and not any(s <= a and b <= e for _, s, e in base)]
+    return [("crf", a, b) for a, b in _outside(out, base_spans(text)) if b - a >= LEAST]
+
+
+def _outside(spans: list[tuple[int, int]], base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+    """The spans that lie within no base span; both lists are in order of their starts."""
+    i, reach = 0, -1
+    for a, b in spans:
+        while i < len(base) and base[i][1] <= a:
+            reach = max(reach, base[i][2])
+            i += 1
+        if b > reach:
+            yield a, b
 
 
 def train(chains: list[tuple[np.ndarray, list[int], float]], rounds: int = 30, rate: float = 0.2, decay: float = 1e-4) -> Model:
@@ -274,7 +373,7 @@ def learn(docs: DataFrame, with_secret: int = 1500, without_secret: int = 1500,
     sample = data.join(F.broadcast(drawn.select("h")), "h").dropDuplicates(["h"])
 
     def chained(batches):
-        for batch in batches:
+        for batch in text_blocks(batches, "text"):
             features, tags, weights = [], [], []
             for text in batch.column("text").to_pylist():
                 secret = np.zeros(len(text) + 1, bool)
@@ -307,13 +406,25 @@ def learn(docs: DataFrame, with_secret: int = 1500, without_secret: int = 1500,
 
     chains = []
     for f, y, w in sample.select("text").mapInArrow(chained, "f array<int>, y array<int>, w int").toLocalIterator():
-        if len(y) <= 64:
-            chains.append((np.array(f, np.int32).reshape(len(y), -1), list(y), float(w)))
+        f = np.array(f, np.int32).reshape(len(y), -1)
+        for a, b in _teachable(y):
+            chains.append((f[a:b], list(y[a:b]), float(w)))
     if not any(BEGIN in y for _, y, _ in chains):
         return None
     return train(chains)
 
 
+def _teachable(tags: list[int], length: int = 64) -> Iterator[tuple[int, int]]:
+    """A long chain teaches in parts of about ``length`` tokens, each cut where no secret goes on."""
+    start = 0
+    while start < len(tags):
+        stop = min(start + length, len(tags))
+        while stop < len(tags) and tags[stop] == INSIDE:
+            stop += 1
+        yield start, stop
+        start = stop
+
+
 def scan_secrets(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """Add ``spans`` to every row: ``kind, start, stop`` in code points, by start and then kind.
 
@@ -328,7 +439,7 @@ def scan_secrets(docs: DataFrame, model: Model | None, text_col: str = "text") -
 
     def mapped(batches):
         model = shared.value
-        for batch in batches:
+        for batch in text_blocks(batches, text_col):
             out = []
             for text in batch.column(text_col):
                 text = text.as_py() or ""
