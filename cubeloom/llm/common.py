@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of 4 MB at most between Spark and Python workers, from now on in this session.
+
+    Spark's own bound is 64 MB, which an executor holds several times for each running task.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BLOCK))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

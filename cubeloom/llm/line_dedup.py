@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, stored, whole_groups, without
+from .common import add_columns, stored, text_blocks, whole_groups, without
 
 SLICE = 1 << 16  # bits of one slice of a filter
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -58,7 +58,7 @@ def seen_twice(docs: DataFrame, least: int, bits: int, text_col: str) -> bytes:
 
     def local(batches):
         found = []
-        for batch in batches:
+        for batch in text_blocks(batches, text_col):
             for text in _texts(batch, text_col):
                 keys = {k for line in text.split(b"\n") if (k := line_key(line, least)) is not None}
                 if keys:
@@ -140,7 +140,7 @@ def dedup_lines(docs: DataFrame, least: int = 40, documents: int = 5, bits_per_l
         def hit(positions: np.ndarray) -> np.ndarray:
             return seen[positions >> 3] >> (7 - (positions & 7)).astype(np.uint8) & 1
 
-        for batch in batches:
+        for batch in text_blocks(batches, "text"):
             at, keys = [], []
             for i, text in enumerate(_texts(batch, "text")):
                 own = {k for line in text.split(b"\n") if (k := line_key(line, least)) is not None}
@@ -166,7 +166,7 @@ def dedup_lines(docs: DataFrame, least: int = 40, documents: int = 5, bits_per_l
     where = rows.columns.index(text_col)
 
     def cut(batches):
-        for batch in batches:
+        for batch in text_blocks(batches, text_col):
             drop_lists = batch.column("__digests").to_pylist()
             batch = batch.drop_columns(["__digests"])
             texts, total, dropped = [], [], []

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, held_out, in_training, stored, table, without
+from .common import add_columns, held_out, in_training, stored, table, text_blocks, without
 
 # fixed values: letters of other scripts and signs that look like a Latin letter
 HOMOGLYPHS = {
@@ -124,7 +124,7 @@ def _labelled_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame
     rows = rows.join(F.broadcast(drawn), F.col("doc_id") == F.col("id")).select("toxic", "text")
 
     def folded(batches):
-        for batch in batches:
+        for batch in text_blocks(batches, "text"):
             texts = [fold(text or "") for text in batch.column("text").to_pylist()]
             copies = [hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest() for text in texts]
             yield pa.RecordBatch.from_arrays(
@@ -155,11 +155,11 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
 
     def counted(batches):
         counts: dict[str, int] = {}
-        for batch in batches:
+        for batch in text_blocks(batches, "text"):
             for text in batch.column("text").to_pylist():
                 for entry in entries_of(text):
                     counts[entry] = counts.get(entry, 0) + 1
-                if len(counts) > 200_000:
+                if len(counts) > 50_000:
                     yield _counts(counts)
                     counts = {}
         if counts:
@@ -175,7 +175,7 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
                 automaton.add_word(entry, entry)
             automaton.make_automaton()
             counts: dict[str, int] = {}
-            for batch in batches:
+            for batch in text_blocks(batches, "text"):
                 for text in batch.column("text").to_pylist():
                     for entry in {e for _, e in automaton.iter(text)}:
                         counts[entry] = counts.get(entry, 0) + 1
@@ -202,7 +202,7 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
 
     def measured(batches):
         automaton = model.automaton()
-        for batch in batches:
+        for batch in text_blocks(batches, "text"):
             x = []
             for folded in batch.column("text").to_pylist():
                 x.append(strength(hits(folded, automaton), folded.count(" ") - 1))
@@ -247,7 +247,7 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text") -> Da
 
     def mapped(batches):
         automaton = model.automaton()
-        for batch in batches:
+        for batch in text_blocks(batches, text_col):
             scores = []
             for text in batch.column(text_col):
                 folded = fold(text.as_py() or "")
