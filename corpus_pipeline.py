@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cubeloom.llm import toxicity as tox
 from cubeloom.llm.byte_bpe import round_trip_documents
-from cubeloom.llm.common import stored, table
+from cubeloom.llm.common import small_batches, stored, table
 from cubeloom.llm.line_dedup import dedup_lines
 from cubeloom.llm.mixing import mix
 from cubeloom.llm.simhash_dedup import drop_near_documents
@@ -19,17 +19,20 @@ from cubeloom.llm.simhash_dedup import drop_near_documents
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go; the lexicon is learned from the labelled training rows."""
+    small_batches(spark)
     model = tox.learn(docs, table(spark, sf_dir, "labels"))
     return tox.score_documents(docs, model).where("predicted = 0").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines repeated over documents go, except in one document each; ``n_chars`` follows the text."""
+    small_batches(spark)
     return dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies stays."""
+    small_batches(spark)
     return drop_near_documents(docs)
 
 
@@ -40,6 +43,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digests of the ids and of the text decoded from them."""
+    small_batches(spark)
     return round_trip_documents(docs.select("doc_id", "lang", "source", "text")).select(
         "doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
