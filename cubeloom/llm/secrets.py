@@ -30,7 +30,7 @@ OUTSIDE, BEGIN, INSIDE = range(3)
 ANNOUNCED = ("bearer", "basic", "pass:", "pwd:", "auth:", "credential:", "private_key:", "auth_key:")
 LEAST = 8  # characters of a span that the chain may add
 PLAIN = 8  # one in so many stretches without digit and secret teaches, with that weight
-KEPT = 100_000  # entries of a cache of scores
+KEPT = 20_000  # entries of a cache of scores
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -89,8 +89,8 @@ def _size(token: str) -> str:
 
 
 def _mix(token: str) -> str:
-    if token.isascii() and token.isalpha() and token.islower():
-        return "l"
+    if token.isascii() and token.isalpha():
+        return "l" if token.islower() else "u" if token.isupper() else "lu"
     return "".join(k for k, test in (("d", str.isdigit), ("l", str.islower), ("u", str.isupper)) if any(map(test, token)))
 
 
@@ -103,9 +103,13 @@ def _look(token: str) -> tuple[str, str, str, int, bool]:
 
 
 def _of_look(key: tuple) -> list[int]:
-    (form, kinds, size, different, hexes), last_shape, file = key
-    return _hashed(["b", f"s{form}", size, f"k{kinds}", f"e{different}", f"x{hexes}", f"k{kinds}{size}", f"z{last_shape}|{form}",
-                    *file, *[f"{f}{kinds}" for f in file]])
+    (form, kinds, size, different, hexes), last_shape = key
+    return _hashed(["b", f"s{form}", size, f"k{kinds}", f"e{different}", f"x{hexes}", f"k{kinds}{size}", f"z{last_shape}|{form}"])
+
+
+def _of_file(key: tuple[tuple[str, ...], str]) -> list[int]:
+    file, kinds = key
+    return _hashed([*file, *[f"{f}{kinds}" for f in file]])
 
 
 def _of_beginning(beginning: str) -> list[int]:
@@ -129,12 +133,12 @@ def _of_words(key: tuple[str, str]) -> list[int]:
     return _hashed([f"w{before}", f"w{before}{size}", _word_part(before)])
 
 
-PARTS = (_of_look, _of_beginning, _of_neighbours, _of_words)  # of a token, in the order of ``_keys``
+PARTS = (_of_look, _of_file, _of_beginning, _of_neighbours, _of_words)  # of a token, in the order of ``_keys``
 
 
 def _keys(last: str, token: str, following: str, before: str, file: tuple[str, ...], look: tuple, last_shape: str):
     """What each of ``PARTS`` depends on."""
-    return (look, last_shape, file), token[:4], (last[:24], following[:24]), (before, look[2])
+    return (look, last_shape), (file, look[1]), token[:4], (last[:24], following[:24]), (before, look[2])
 
 
 def token_features(text: str, spans: list[tuple[int, int]], before: str, file: list[str]) -> list[list[int]]:
@@ -147,22 +151,27 @@ def token_features(text: str, spans: list[tuple[int, int]], before: str, file: l
     return out
 
 
+def _tokens(text: str, start: int, end: int, chunk: str) -> list[tuple[int, int]]:
+    if chunk.isascii():
+        if chunk.isalnum():
+            return [(start, end)]
+        if chunk[-1] in ".:!?" and chunk[:-1].isalnum():
+            return [(start, end - 1), (end - 1, end)]
+    return [m.span() for m in _TOKEN.finditer(text, start, end)]
+
+
+def _words_before(text: str, start: int) -> str:
+    words = text[max(0, start - 40) : start].rsplit(None, 2)
+    return (" ".join(words[-2:]) if words and len(words[-1]) < 3 else words[-1] if words else "").lower().strip("\"'")[-24:]
+
+
 def _stretches(text: str):
     """``(token spans, words before, file features)`` of every stretch of a text."""
     file = None
     for match in _CHUNK.finditer(text):
         start, end = match.span()
         file = file or file_features(text)
-        words = text[max(0, start - 40) : start].rsplit(None, 2)
-        before = (" ".join(words[-2:]) if words and len(words[-1]) < 3 else words[-1] if words else "").lower().strip("\"'")
-        chunk = match.group()
-        if chunk.isascii() and chunk.isalnum():
-            spans = [(start, end)]
-        elif chunk[-1] in ".:!?" and chunk.isascii() and chunk[:-1].isalnum():
-            spans = [(start, end - 1), (end - 1, end)]
-        else:
-            spans = [m.span() for m in _TOKEN.finditer(text, start, end)]
-        yield spans, before[-24:], file
+        yield _tokens(text, start, end, match.group()), _words_before(text, start), file
 
 
 def stretches(text: str):
@@ -177,7 +186,7 @@ class Model:
     move: np.ndarray  # 3 x 3, from row to column
     start: np.ndarray  # 3
 
-    known: list = field(default_factory=list, repr=False, compare=False)  # summed weights by look and by neighbours, looks of tokens, all weights, and the three gains
+    known: list = field(default_factory=list, repr=False, compare=False)  # summed weights by look and by neighbours, looks of tokens, all weights, settled stretches by file, and the gains
 
     def viterbi(self, features: list[list[int]]) -> list[int]:
         """The best tags of a chain; inside follows begin or inside only."""
@@ -189,32 +198,45 @@ class Model:
         return [OUTSIDE] * len(spans) if self.quiet(scores) else self._best(scores)
 
     def scores(self, text: str, spans: list[tuple[int, int]], before: str, file: list[str]) -> list[list[float]]:
-        """Scores of the three tags per token; what each part adds is summed once and remembered, as most parts recur."""
+        """Scores of the three tags per token."""
+        return self.told(before, *self.own(text, spans, tuple(file)))
+
+    def own(self, text: str, spans: list[tuple[int, int]], file: tuple[str, ...]) -> tuple[list[tuple[float, float, float]], list[str]]:
+        """Scores without the words before, and the sizes of the tokens; what each part adds is summed once and remembered, as most parts recur."""
         if not self.known:
-            self.known = [{}, {}, {}, [tuple(row) for row in self.emit.tolist()], *self._gains()]
+            self.known = [{}, {}, {}, [tuple(row) for row in self.emit.tolist()], {}, *self._gains()]
         by_look, by_neighbours, looks, weights = self.known[:4]
-        file, out, last, last_shape = tuple(file), [], "^", "."
-        first = text[spans[0][0] : spans[0][1]]
-        # the three features of the words before: two hold for the whole stretch, one changes with the size of the token
-        words = weights[_hash(f"w{before}")]
-        part = weights[_hash(_word_part(before))]
-        wa, wb, wc = words[0] + part[0], words[1] + part[1], words[2] + part[2]
-        for i, (start, end) in enumerate(spans):
-            token = first if not i else following
-            following = text[spans[i + 1][0] : spans[i + 1][1]] if i + 1 < len(spans) else "$"
+        out, sizes, last, last_shape, kinds, following = [], [], "^", ".", None, text[spans[0][0] : spans[0][1]]
+        for i in range(1, len(spans) + 1):
+            token = following
+            following = text[spans[i][0] : spans[i][1]] if i < len(spans) else "$"
             look = looks.get(token)
             if look is None:
                 look = _look(token)
                 if len(token) <= 4:  # longer ones seldom recur
                     _keep(looks, token, look)
-            key = look, last_shape, file
-            own = by_look.get(key) or self._sum(by_look, _of_look, key)
+            key = look, last_shape
+            seen = by_look.get(key) or self._sum(by_look, _of_look, key)
+            if look[1] != kinds:
+                kinds = look[1]
+                key = file, kinds
+                whole = by_look.get(key) or self._sum(by_look, _of_file, key)
             key = last[:24], following[:24]
             near = by_neighbours.get(key) or self._sum(by_neighbours, _of_neighbours, key)
             begin = weights[_hash("p" + token[:4])]
-            sized = weights[_hash(f"w{before}{look[2]}")]
-            out.append([own[0] + near[0] + begin[0] + sized[0] + wa, own[1] + near[1] + begin[1] + sized[1] + wb, own[2] + near[2] + begin[2] + sized[2] + wc])
+            out.append((seen[0] + whole[0] + near[0] + begin[0], seen[1] + whole[1] + near[1] + begin[1], seen[2] + whole[2] + near[2] + begin[2]))
+            sizes.append(look[2])
             last, last_shape = token, look[0]
+        return out, sizes
+
+    def told(self, before: str, own: list[tuple[float, float, float]], sizes: list[str]) -> list[list[float]]:
+        """Scores with the words before: two features hold for the whole stretch, one changes with the size of the token."""
+        weights = self.known[3]
+        words, part = weights[_hash(f"w{before}")], weights[_hash(_word_part(before))]
+        out = []
+        for (a, b, c), size in zip(own, sizes):
+            sized = weights[_hash(f"w{before}{size}")]
+            out.append([a + sized[0] + words[0] + part[0], b + sized[1] + words[1] + part[1], c + sized[2] + words[2] + part[2]])
         return out
 
     def _sum(self, known: dict, part, key) -> tuple[float, float, float]:
@@ -223,17 +245,28 @@ class Model:
         _keep(known, key, row)
         return row
 
-    def _gains(self) -> tuple[float, float, float]:
-        """The most that entering begin, entering inside, and going back outside can add to a chain that stays outside."""
+    def _gains(self) -> tuple[float, float, float, float]:
+        """The most that begin and inside can add to a chain that stays outside, both moves included; then the same with any words before."""
         move, stay = self.move.tolist(), float(self.move[OUTSIDE, OUTSIDE])
-        begin = max(max(move[a][BEGIN] for a in range(3)) - stay, float(self.start[BEGIN] - self.start[OUTSIDE]))
-        inside = max(max(move[a][INSIDE] for a in range(3)) - stay, float(self.start[INSIDE] - self.start[OUTSIDE]))
-        return begin, inside, max(0.0, move[BEGIN][OUTSIDE] - stay, move[INSIDE][OUTSIDE] - stay)
+        back = max(0.0, move[BEGIN][OUTSIDE] - stay, move[INSIDE][OUTSIDE] - stay)
+        gains = [back + max(max(move[a][tag] for a in range(3)) - stay, float(self.start[tag] - self.start[OUTSIDE])) for tag in (BEGIN, INSIDE)]
+        words = [3 * max(0.0, float((self.emit[:, tag] - self.emit[:, OUTSIDE]).max())) for tag in (BEGIN, INSIDE)]
+        return (*gains, gains[0] + words[0], gains[1] + words[1])
 
     def quiet(self, scores: list[list[float]]) -> bool:
         """Proof that all outside is the best chain: each token with another tag costs more than its tag and both its moves can add."""
-        begin, inside, back = self.known[-3:]
-        return all(b - a + begin + back < 0 and c - a + inside + back < 0 for a, b, c in scores)
+        begin, inside = self.known[5:7]
+        return all(b - a + begin < 0 and c - a + inside < 0 for a, b, c in scores)
+
+    def always_quiet(self, own: list[tuple[float, float, float]]) -> bool:
+        """The same whatever words stand before, from the heaviest weights there are."""
+        begin, inside = self.known[7:9]
+        return all(b - a + begin < 0 and c - a + inside < 0 for a, b, c in own)
+
+    def settled(self, file: tuple[str, ...]) -> dict[str, bool]:
+        """Stretches known to be quiet in files that look like this, whatever stands before them."""
+        by_file = self.known[4]
+        return by_file.setdefault(file, {})
 
     def _best(self, scores: list[list[float]]) -> list[int]:
         move, start = self.move.tolist(), self.start.tolist()
@@ -261,9 +294,21 @@ def found_spans(text: str, model: Model | None) -> list[tuple[str, int, int]]:
     """Spans that the chain tags, joined from their begin and inside tokens; those within a base span add nothing and are left out."""
     if model is None:
         return []
-    out = []
-    for spans, before, file in _stretches(text):
-        scores = model.scores(text, spans, before, file)
+    out, file, settled = [], None, {}
+    for match in _CHUNK.finditer(text):
+        chunk = match.group()
+        if chunk in settled:
+            continue
+        start, end = match.span()
+        spans = _tokens(text, start, end, chunk)
+        file = file or tuple(file_features(text))
+        own, sizes = model.own(text, spans, file)
+        settled = settled or model.settled(file)
+        if model.always_quiet(own):
+            if len(chunk) <= 64:
+                _keep(settled, chunk, True)
+            continue
+        scores = model.told(_words_before(text, start), own, sizes)
         if model.quiet(scores):
             continue
         open_at = None
