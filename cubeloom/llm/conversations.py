@@ -195,8 +195,13 @@ def _keyed(rows: DataFrame) -> DataFrame:
     """Rows with nulls read as one space, a digest of the text, and one key of the whole row."""
     plain = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), *[
         F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")])
-    plain = plain.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
-    return plain.withColumn("row", F.unhex(F.sha2(F.to_json(F.struct("conv_id", "turn", "role", "digest")).cast("binary"), 256)))
+    plain = plain.withColumn("digest", _sha128(F.col("text")))
+    return plain.withColumn("row", _sha128(F.to_json(F.struct("conv_id", "turn", "role", "digest"))))
+
+
+def _sha128(text: Column) -> Column:
+    """The first half of the SHA-256."""
+    return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16)
 
 
 def ordered_rows(keyed: DataFrame) -> DataFrame:
@@ -205,7 +210,8 @@ def ordered_rows(keyed: DataFrame) -> DataFrame:
     Rows of a conversation stand by turn (nulls first); of one turn, by role, then by the
     SHA-256 of the text, so that copies are neighbours. Copies are one line with their
     number ``n``. Ranges of the order are dealt to tasks, so a long conversation is
-    spread over many. A first line of a text in its role keeps its code for one of its copies, all others are forced out.
+    spread over many. The first line of a text in its role keeps its code for one of its
+    copies, all others are forced out.
     """
     end = F.rtrim("text", F.lit(BLANKS))
     initial = F.substring("role", 1, 1)
@@ -373,7 +379,9 @@ def repair_conversations(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame
     found = edits(cut, carried)
     # copies of a row are one before the shuffle
     texts = keyed.groupBy(F.col("row").alias("__row")).agg(F.first("text").alias("text"))
-    told = found.join(texts.hint("merge"), F.col("row") == F.col("__row"), "left").select(
+    # edits without a text get a key of their own each, so that they spread over the tasks
+    key = F.coalesce("row", F.xxhash64("pos", "nth").cast("binary"))
+    told = found.withColumn("row", key).join(texts.hint("merge"), F.col("row") == F.col("__row"), "left").select(
         "conv_id", "pos", "nth", "edit", "cost", "role", F.when(F.col("edit") == "I", "").otherwise(F.col("text")).alias("text"))
     faults = lines.groupBy("conv_id").agg(
         F.max("turn").alias("high"), F.min("turn").alias("low"), F.count_distinct("turn").alias("turns"),
