@@ -380,7 +380,7 @@ def repair_conversations(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame
     # copies of a row are one before the shuffle
     texts = keyed.groupBy(F.col("row").alias("__row")).agg(F.first("text").alias("text"))
     # edits without a text get a key of their own each, so that they spread over the tasks
-    key = F.coalesce("row", F.xxhash64("pos", "nth").cast("binary"))
+    key = F.coalesce("row", F.unhex(F.hex(F.xxhash64("pos", "nth"))))
     told = found.withColumn("row", key).join(texts.hint("merge"), F.col("row") == F.col("__row"), "left").select(
         "conv_id", "pos", "nth", "edit", "cost", "role", F.when(F.col("edit") == "I", "").otherwise(F.col("text")).alias("text"))
     faults = lines.groupBy("conv_id").agg(
