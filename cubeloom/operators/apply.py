@@ -96,43 +96,47 @@ class ApplyOps(CubeBase):
 
         return self._new(df.withColumns({v: shown(v) for v in schema.values}))
 
-    def interpolate_linear(self, dimension: str, by: str = "position"):
-        """Fill inner gaps on the line between the valid neighbours, by position or by label."""
-        schema = self.schema
-        keys = schema.others(dimension)
-        df = self.df
-        if by == "position":
-            df, order = sc.with_position(df, keys, dimension), "__pos"
-            at = F.col("__pos").cast("double")
-        else:
-            order = dimension
-            at = sc.order_key(df, dimension).cast("double")
+    def _neighbours(self, at: Column | None) -> dict[str, sc.Running]:
+        """The valid neighbours of every value on both sides, met at the given labels or at their positions."""
         runs = {}
-        for v in schema.values:
+        for v in self.schema.values:
             runs[f"__l_{v}"] = sc.last_known(F.col(v).cast("double"), at)
             runs[f"__r_{v}"] = sc.next_known(F.col(v).cast("double"), at)
-        df = sc.scan(df, keys, order, runs)
+        return runs
 
+    def _on_the_line(self, at: Column) -> dict[str, Column]:
         def filled(v: str) -> Column:
             l, r = F.col(f"__l_{v}"), F.col(f"__r_{v}")
             return F.coalesce(F.col(v).cast("double"),
                               l["v"] + (r["v"] - l["v"]) * F.try_divide(at - l["o"], r["o"] - l["o"]))
 
-        return self._new(df.withColumns({v: filled(v) for v in schema.values}))
+        return {v: filled(v) for v in self.schema.values}
+
+    def interpolate_linear(self, dimension: str, by: str = "position"):
+        """Fill inner gaps on the line between the valid neighbours, by position or by label; one scan either way."""
+        keys = self.schema.others(dimension)
+        if by == "position":
+            df = sc.with_position(self.df, keys, dimension, more=self._neighbours(None))
+            return self._new(df.withColumns(self._on_the_line((F.col("__pos") + 1).cast("double"))))
+        at = sc.order_key(self.df, dimension).cast("double")
+        df = sc.scan(self.df, keys, dimension, self._neighbours(at))
+        return self._new(df.withColumns(self._on_the_line(at)))
 
     def smooth_savitzky_golay(self, dimension: str, window: int = 5, degree: int = 2, fill: bool = True):
         """Savitzky-Golay smoothing of each series, edges by the polynomial of the end window.
 
-        Gaps are interpolated by label first. Positions come from a range-wise scan, and
-        blocks of positions, each with the few rows it needs from its neighbours, are
+        Gaps are interpolated by label first, in the same range-wise scan that gives the
+        positions. Blocks of positions, each with the few rows it needs from its neighbours, are then
         smoothed. The weights are fixed. A series shorter than the window stays as it is.
         """
         if window % 2 == 0 or degree >= window:
             raise ValueError("the window must be odd and larger than the degree")
         schema = self.schema
         keys = schema.others(dimension)
-        cube = self.interpolate_linear(dimension, by="label") if fill else self
-        df = sc.with_position(cube.df, keys, dimension, total="__len")
+        at = sc.order_key(self.df, dimension).cast("double")
+        df = sc.with_position(self.df, keys, dimension, total="__len", more=self._neighbours(at) if fill else None)
+        if fill:
+            df = df.withColumns(self._on_the_line(at)).drop(*self._neighbours(at))
         block, reach, half = 4096, window - 1, window // 2
         own = F.floor(F.col("__pos") / block)
         near = F.array_distinct(F.array(

@@ -5,7 +5,10 @@ task. Here, at every size, the order column is cut into ranges of about equal ro
 (a mergeable quantile sketch gives the cuts, as a subquery of the plan), the window runs
 per (key, range), one summary row per (key, range) is carried forward, and both are put
 together. Then no task sees more of one key than one range holds, even if that key has a
-third of all rows. No Spark job runs while a plan is built.
+third of all rows. Rows are shuffled once, by key and range: the summaries read the same
+shuffle files, so apart from the cuts (one column) the input is read once. One scan can
+carry several running values and the positions they were met at. No Spark job runs while a
+plan is built.
 """
 
 from __future__ import annotations
@@ -64,7 +67,7 @@ def with_chunk(df: DataFrame, order: str, ranges: int | None = None) -> DataFram
     )
     return (
         df.withColumns({"__cuts": cuts.scalar(), "__key": key})
-        .withColumn(CHUNK, F.when(F.col("__key").isNull(), F.lit(0)).otherwise(found))
+        .withColumn(CHUNK, F.coalesce(F.when(F.col("__key").isNotNull(), found), F.lit(0)))
         .drop("__cuts", "__key")
     )
 
@@ -75,7 +78,9 @@ class Running:
 
     ``window`` is applied to rows in order and to the summaries in order of the ranges;
     ``summary`` condenses the rows of one range, in any order; ``combine`` joins what
-    came before the range with what was seen inside it.
+    came before the range with what was seen inside it. ``shift`` moves a value that holds
+    places within its range by the number of rows in front of the range; ``value`` may
+    use such a place as the column ``AT`` (1 for the first row of a range).
     """
 
     window: Callable[[Column], Column]
@@ -84,6 +89,10 @@ class Running:
     summary: Callable[[Column], Column] | None = None
     forward: bool = True
     total: bool = False  # the value over the whole key instead of the running one
+    shift: Callable[[Column, Column], Column] | None = None
+
+
+AT = "__at"  # place of a row within its key and range
 
 
 def running_sum(value: Column) -> Running:
@@ -106,16 +115,28 @@ def total_sum(value: Column) -> Running:
     return Running(F.sum, value, lambda c, l: c, total=True)
 
 
-def last_known(value: Column, order: Column) -> Running:
-    """The latest ``struct(order, value)`` so far whose value is not null."""
-    known = F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v")))
-    return Running(F.max, known, lambda c, l: F.coalesce(l, c))
+def position() -> Running:
+    """The 1-based place of a row in the series of its key."""
+    return Running(F.max, F.col(AT), lambda c, l: l, shift=lambda at, rows: at + rows)
+
+
+def _known(value: Column, order: Column) -> Column:
+    return F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v")))
+
 
+def _moved(known: Column, rows: Column) -> Column:
+    return F.when(known.isNotNull(), F.struct((known["o"] + rows).alias("o"), known["v"].alias("v")))
 
-def next_known(value: Column, order: Column) -> Running:
-    """The earliest ``struct(order, value)`` from here on whose value is not null."""
-    known = F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v")))
-    return Running(F.min, known, lambda c, l: F.coalesce(l, c), forward=False)
+
+def last_known(value: Column, order: Column | None = None) -> Running:
+    """The latest ``struct(order, value)`` so far whose value is not null; without an order, with its position."""
+    return Running(F.max, _known(value, F.col(AT) if order is None else order), lambda c, l: F.coalesce(l, c), shift=_moved if order is None else None)
+
+
+def next_known(value: Column, order: Column | None = None) -> Running:
+    """The earliest ``struct(order, value)`` from here on whose value is not null; without an order, with its position."""
+    return Running(F.min, _known(value, F.col(AT) if order is None else order), lambda c, l: F.coalesce(l, c), forward=False,
+                   shift=_moved if order is None else None)
 
 
 def _running_frame(part, order: Column, last: int = 0):
@@ -123,40 +144,60 @@ def _running_frame(part, order: Column, last: int = 0):
     return part.orderBy(order).rowsBetween(Window.unboundedPreceding, last)
 
 
+def shared(rows: DataFrame, *by: str) -> tuple[DataFrame, Column]:
+    """``rows`` shuffled by columns, and a row count for aggregates over them that read the same shuffle.
+
+    Two readers share the files of a shuffle only if both ask it for the same columns. The
+    count names every column in a condition that always holds, so that none is pruned.
+    """
+    return rows.repartition(*by), F.count_if(F.hash(*[F.col(f"`{c}`") for c in rows.columns]) >= F.lit(-(2**31)))
+
+
 def scan(
     df: DataFrame, keys: list[str], order: str, runs: dict[str, Running], ranges: int | None = None,
 ) -> DataFrame:
     """Add one column per running value to ``df``."""
-    rows = with_chunk(df, order, ranges)
-    rows = rows.withColumns({f"__v_{n}": r.value for n, r in runs.items()})
+    rows, count = shared(with_chunk(df, order, ranges), *keys, CHUNK)
     part = Window.partitionBy(*keys, CHUNK)
     before, after = _running_frame(part, F.asc(order)), _running_frame(part, F.desc(order))
+    placed = any(r.shift for r in runs.values())
+    if placed:
+        rows = rows.withColumn(AT, F.row_number().over(part.orderBy(F.asc(order))).cast("long"))
+    rows = rows.withColumns({f"__v_{n}": r.value for n, r in runs.items()})
     local = rows.withColumns(
         {f"__l_{n}": r.window(F.col(f"__v_{n}")).over(before if r.forward else after)
          for n, r in runs.items() if not r.total}
     )
     sums = rows.groupBy(*keys, CHUNK).agg(
+        count.alias("__rows"),
         *[(r.summary or r.window)(F.col(f"__v_{n}")).alias(f"__s_{n}") for n, r in runs.items()]
-    )
+    ).where("__rows > 0")
     # at most one row per key and range from here on
     call = Window.partitionBy(*(keys or [F.lit(0)]))
     cbefore, cafter = _running_frame(call, F.asc(CHUNK), -1), _running_frame(call, F.desc(CHUNK), -1)
+    if placed:
+        sums = sums.withColumn("__front", F.coalesce(F.sum("__rows").over(cbefore), F.lit(0)))
+        sums = sums.withColumns({f"__s_{n}": r.shift(F.col(f"__s_{n}"), F.col("__front")) for n, r in runs.items() if r.shift})
     carry = sums.select(
-        *keys, CHUNK,
+        *keys, CHUNK, *(["__front"] if placed else []),
         *[r.window(F.col(f"__s_{n}")).over(call if r.total else cbefore if r.forward else cafter).alias(f"__c_{n}")
           for n, r in runs.items()],
     )
     joined = local.join(carry, [*keys, CHUNK])
-    out = {
-        n: F.col(f"__c_{n}") if r.total else r.combine(F.col(f"__c_{n}"), F.col(f"__l_{n}"))
-        for n, r in runs.items()
-    }
-    return joined.select(*df.columns, *[c.alias(n) for n, c in out.items()])
+
+    def found(n: str, r: Running) -> Column:
+        if r.total:
+            return F.col(f"__c_{n}")
+        inside = F.col(f"__l_{n}")
+        return r.combine(F.col(f"__c_{n}"), r.shift(inside, F.col("__front")) if r.shift else inside)
+
+    return joined.select(*df.columns, *[found(n, r).alias(n) for n, r in runs.items()])
 
 
-def with_position(df: DataFrame, keys: list[str], order: str, name: str = "__pos", total: str | None = None) -> DataFrame:
-    """Add the 0-based position in the series of each key (and its length)."""
-    runs = {"__rank": running_sum(F.lit(1).cast("long"))}
+def with_position(df: DataFrame, keys: list[str], order: str, name: str = "__pos", total: str | None = None,
+                  more: dict[str, Running] | None = None) -> DataFrame:
+    """Add the 0-based position in the series of each key (and its length), with other running values of the same scan."""
+    runs = {"__rank": position(), **(more or {})}
     if total:
         runs[total] = total_sum(F.lit(1).cast("long"))
     return scan(df, keys, order, runs).withColumn(name, F.col("__rank") - 1).drop("__rank")

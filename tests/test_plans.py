@@ -104,3 +104,72 @@ def test_strict_median(hot, values):
 def test_chunks_are_balanced(hot):
     sizes = [r["count"] for r in scan.with_chunk(hot, "t", 8).groupBy(scan.CHUNK).count().collect()]
     assert len(sizes) == 8 and max(sizes) <= 2 * 600 / 8
+
+
+def final_plan(df):
+    """The plan that ran, without the plans of the start that it prints along."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    kept, skip = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if skip is not None and depth >= skip:
+            continue
+        skip = None
+        if "== Initial Plan ==" in line:
+            skip = depth
+            continue
+        kept.append(line)
+    return "\n".join(kept)
+
+
+def scans_and_exchanges(df):
+    plan = final_plan(df)
+    return plan.count("FileScan"), plan.count(" Exchange ") - plan.count("ReusedExchange")
+
+
+@pytest.mark.parametrize("make", [
+    lambda c: c.interpolate_linear("t"), lambda c: c.interpolate_linear("t", by="label"), lambda c: c.apply_dimension("cumsum", "t"), lambda c: c.median_time()])
+def test_input_is_read_for_the_cuts_and_once_more(spark, hot, tmp_path, make):
+    hot.write.parquet(str(tmp_path / "hot"))
+    cube = cube_of(spark.read.parquet(str(tmp_path / "hot")))
+    scans, exchanges = scans_and_exchanges(make(cube).df)
+    assert scans <= 2 and exchanges <= 8
+
+
+def test_leading_digits_never_fall(spark):
+    rng = random.Random(1)
+    values = [rng.choice([-1, 1]) * rng.random() * 2.0 ** rng.randint(-1074, 1023) for _ in range(3000)]
+    values += [s * 2.0**e * f for e in range(-1074, 1024, 7) for f in (1.0, 1 - 2**-53, 1 + 2**-52) for s in (-1, 1)]
+    values = sorted([*values, 0.0, -0.0, float("inf"), -float("inf"), 5e-324, -5e-324, 1.7e308])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*values, float("nan")])], "i int, v double")
+    digits = [r.d for r in df.select("i", ranked.leading_digits(F.col("v")).alias("d")).orderBy("i").collect()]
+    assert digits == sorted(digits) and None not in digits
+    near = spark.createDataFrame([(1.0,), (1.0 + 1 / 8192,), (1.0 + 1 / 2048,)], "v double").select(ranked.leading_digits(F.col("v"))).collect()
+    assert near[0] == near[1] and near[0] != near[2]
+
+
+def test_quantiles_of_one_large_group(spark):
+    rng = random.Random(8)
+    rows = [(0, rng.gauss(0, 1)) for _ in range(4000)] + [(0, 0.25)] * 2000 + [(1, float(i % 3)) for i in range(50)] + [(2, None)]
+    df = spark.createDataFrame(rows, "k int, v double").repartition(7)
+    got = {r.k: r.v for r in ranked.quantiles(df, ["k"], ["v"], [0.0, 0.01, 0.5, 0.99, 1.0]).collect()}
+    frame = df.toPandas()
+    for k in (0, 1):
+        assert got[k] == pytest.approx(list(frame[frame.k == k].v.quantile([0.0, 0.01, 0.5, 0.99, 1.0])), abs=1e-12)
+    assert got[2] == [None] * 5
+
+
+def test_positions_and_neighbours_come_from_one_scan(spark, hot):
+    df = scan.with_position(hot.select("x", "t", "a"), ["x"], "t", total="n", more={"left": scan.last_known(F.col("a")), "right": scan.next_known(F.col("a"))})
+    frame = df.toPandas().sort_values(["x", "t"])
+    for _, g in frame.groupby("x"):
+        assert list(g["__pos"]) == list(range(len(g))) and set(g["n"]) == {len(g)}
+        last = None
+        for pos, a, left in zip(g["__pos"], g["a"], g["left"]):
+            last = (pos + 1, a) if a == a and a is not None else last
+            assert (None if left is None else (left["o"], left["v"])) == last
+        coming = None
+        for pos, a, right in list(zip(g["__pos"], g["a"], g["right"]))[::-1]:
+            coming = (pos + 1, a) if a == a and a is not None else coming
+            assert (None if right is None else (right["o"], right["v"])) == coming
