@@ -126,8 +126,10 @@ class MergeOps(CubeBase):
     def resample_cube_temporal(self, target, dimension: str | None = None, valid_within: float | None = None):
         """Each target timestamp takes the nearest source value, the earlier one on a tie.
 
-        With ``valid_within`` only valid values at most that many days away count. Sources
-        and targets are merged into one ordered series and scanned range-wise both ways.
+        With ``valid_within`` only valid values at most that many days away count. An as-of
+        join: the source's times are cut into ranges, every series meets the target's
+        labels range by range as rows, and a scan carries the last and next source value over
+        the borders of the ranges. Every pair that is built is a cell of the result.
         """
         schema = self.schema
         t = dimension or schema.only("temporal")
@@ -136,26 +138,24 @@ class MergeOps(CubeBase):
         if schema.dim(t).type != "temporal" or target.schema.dim(t).type != "temporal":
             raise err.DimensionMismatch(t)
         keys = schema.others(t)
-        labels = target.df.select(t).distinct().agg(F.collect_list(t).alias("labels"))
-        goals = self.df.select(*keys).distinct().withColumn(t, F.explode(labels.scalar()))
-        source = self.df.withColumns({"__src": F.lit(True), **{f"__v_{v}": F.col(v) for v in schema.values}})
-        goals = goals.withColumn("__src", F.lit(False)).withColumns(
-            {f"__v_{v}": F.lit(None).cast(self.df.schema[v].dataType) for v in schema.values})
-        cols = [*keys, t, "__src", *[f"__v_{v}" for v in schema.values]]
-        # sources and goals of one instant become one row, so the order is strict
-        series = source.select(cols).unionByName(goals.select(cols)).groupBy(*keys, t).agg(
-            F.bool_or("__src").alias("__src"), F.bool_or(~F.col("__src")).alias("__goal"),
-            *[F.max(f"__v_{v}").alias(f"__v_{v}") for v in schema.values])
-        micros = sc.order_key(series, t)
-        series = series.withColumn("__us", micros)
+        ranges = sc.range_count(self.df)
+        cuts = sc.cut_points(self.df, t, ranges) if ranges > 1 else None
+        labels = sc.with_chunk(target.df.select(F.col(t).cast(self.df.schema[t].dataType).alias(t)).distinct(), t, ranges, cuts)
+        goals = self.df.select(*keys).distinct().withColumn(sc.CHUNK, F.explode(F.sequence(F.lit(0), F.lit(ranges - 1)))).join(labels, sc.CHUNK)
+        source = sc.with_chunk(self.df, t, ranges, cuts)
+        cols = [*keys, t, sc.CHUNK]
+        # of one instant the source comes first: it is the last known value of its goal
+        series = source.select(*cols, F.lit(False).alias("__goal"), *[F.col(v).alias(f"__v_{v}") for v in schema.values]).unionByName(
+            goals.select(*cols, F.lit(True).alias("__goal"), *[F.lit(None).cast(self.df.schema[v].dataType).alias(f"__v_{v}") for v in schema.values]))
+        series = series.withColumn("__us", sc.order_key(series, t))
         runs = {}
         for v in schema.values:
             cell = F.struct(F.col("__us").alias("o"), F.col(f"__v_{v}").alias("v"))
-            good = F.col("__src") & (F.col(f"__v_{v}").isNotNull() if valid_within is not None else F.lit(True))
+            good = ~F.col("__goal") & (F.col(f"__v_{v}").isNotNull() if valid_within is not None else F.lit(True))
             known = F.when(good, cell)
             runs[f"__p_{v}"] = sc.Running(F.max, known, lambda c, l: F.coalesce(l, c))
             runs[f"__n_{v}"] = sc.Running(F.min, known, lambda c, l: F.coalesce(l, c), forward=False)
-        found = sc.scan(series, keys, t, runs).where("__goal")
+        found = sc.scan(series, keys, t, runs, then="__goal").where("__goal")
 
         def nearest(v: str) -> Column:
             before, after = F.col(f"__p_{v}"), F.col(f"__n_{v}")

@@ -46,15 +46,18 @@ def order_key(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot range-partition by {dtype.simpleString()} column {name!r}")
 
 
-def with_chunk(df: DataFrame, order: str, ranges: int | None = None) -> DataFrame:
-    """Add the range number of ``order`` to every row."""
+def cut_points(df: DataFrame, order: str, ranges: int) -> DataFrame:
+    """One row with the borders of ranges of about equal row counts, to be used as a subquery."""
+    return df.select(F.percentile_approx(
+        order_key(df, order), [i / ranges for i in range(1, ranges)], max(10_000, 20 * ranges)).alias("cuts"))
+
+
+def with_chunk(df: DataFrame, order: str, ranges: int | None = None, cuts: DataFrame | None = None) -> DataFrame:
+    """Add the range number of ``order`` to every row; ``cuts`` of another table make its ranges those of both."""
     ranges = ranges or range_count(df)
     if ranges == 1:
         return df.withColumn(CHUNK, F.lit(0))
-    key = order_key(df, order)
-    cuts = df.select(
-        F.percentile_approx(key, [i / ranges for i in range(1, ranges)], max(10_000, 20 * ranges)).alias("cuts")
-    )
+    cuts = cut_points(df, order, ranges) if cuts is None else cuts
     steps = []
     step = ranges // 2
     while step:
@@ -66,7 +69,7 @@ def with_chunk(df: DataFrame, order: str, ranges: int | None = None) -> DataFram
         lambda low, s: F.when(F.get(F.col("__cuts"), low + s - 1) < F.col("__key"), low + s).otherwise(low),
     )
     return (
-        df.withColumns({"__cuts": cuts.scalar(), "__key": key})
+        df.withColumns({"__cuts": cuts.scalar(), "__key": order_key(df, order)})
         .withColumn(CHUNK, F.coalesce(F.when(F.col("__key").isNotNull(), found), F.lit(0)))
         .drop("__cuts", "__key")
     )
@@ -139,9 +142,9 @@ def next_known(value: Column, order: Column | None = None) -> Running:
                    shift=_moved if order is None else None)
 
 
-def _running_frame(part, order: Column, last: int = 0):
+def _running_frame(part, *order: Column, last: int = 0):
     """Rows so far. Backward runs sort the other way: a frame that ends unbounded costs n squared."""
-    return part.orderBy(order).rowsBetween(Window.unboundedPreceding, last)
+    return part.orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
 
 
 def shared(rows: DataFrame, *by: str) -> tuple[DataFrame, Column]:
@@ -154,15 +157,16 @@ def shared(rows: DataFrame, *by: str) -> tuple[DataFrame, Column]:
 
 
 def scan(
-    df: DataFrame, keys: list[str], order: str, runs: dict[str, Running], ranges: int | None = None,
+    df: DataFrame, keys: list[str], order: str, runs: dict[str, Running], ranges: int | None = None, then: str | None = None,
 ) -> DataFrame:
-    """Add one column per running value to ``df``."""
-    rows, count = shared(with_chunk(df, order, ranges), *keys, CHUNK)
+    """Add one column per running value to ``df``, whose rows may have their ranges already; ``then`` orders rows of one place."""
+    rows, count = shared(df if CHUNK in df.columns else with_chunk(df, order, ranges), *keys, CHUNK)
     part = Window.partitionBy(*keys, CHUNK)
-    before, after = _running_frame(part, F.asc(order)), _running_frame(part, F.desc(order))
+    by = [order, then] if then else [order]
+    before, after = _running_frame(part, *map(F.asc, by)), _running_frame(part, *map(F.desc, by))
     placed = any(r.shift for r in runs.values())
     if placed:
-        rows = rows.withColumn(AT, F.row_number().over(part.orderBy(F.asc(order))).cast("long"))
+        rows = rows.withColumn(AT, F.row_number().over(part.orderBy(*map(F.asc, by))).cast("long"))
     rows = rows.withColumns({f"__v_{n}": r.value for n, r in runs.items()})
     local = rows.withColumns(
         {f"__l_{n}": r.window(F.col(f"__v_{n}")).over(before if r.forward else after)
@@ -174,7 +178,7 @@ def scan(
     ).where("__rows > 0")
     # at most one row per key and range from here on
     call = Window.partitionBy(*(keys or [F.lit(0)]))
-    cbefore, cafter = _running_frame(call, F.asc(CHUNK), -1), _running_frame(call, F.desc(CHUNK), -1)
+    cbefore, cafter = _running_frame(call, F.asc(CHUNK), last=-1), _running_frame(call, F.desc(CHUNK), last=-1)
     if placed:
         sums = sums.withColumn("__front", F.coalesce(F.sum("__rows").over(cbefore), F.lit(0)))
         sums = sums.withColumns({f"__s_{n}": r.shift(F.col(f"__s_{n}"), F.col("__front")) for n, r in runs.items() if r.shift})

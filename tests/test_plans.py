@@ -173,3 +173,22 @@ def test_positions_and_neighbours_come_from_one_scan(spark, hot):
         for pos, a, right in list(zip(g["__pos"], g["a"], g["right"]))[::-1]:
             coming = (pos + 1, a) if a == a and a is not None else coming
             assert (None if right is None else (right["o"], right["v"])) == coming
+
+
+def test_nearest_in_time_reads_four_tables_and_gathers_nothing(spark, hot, tmp_path, values):
+    hot.write.parquet(str(tmp_path / "hot"))
+    cube = cube_of(spark.read.parquet(str(tmp_path / "hot")))
+    goal = Cube.of(spark.range(900).select((F.lit(dt.datetime(2019, 12, 1)) + F.make_dt_interval(hours=F.col("id") * 7)).cast("timestamp_ntz").alias("t"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"),
+                                         F.lit(1.0).alias("a")), bands=["a"])
+    out = cube.resample_cube_temporal(goal)
+    plan = final_plan(out.df)
+    assert plan.count("FileScan") <= 4 and "collect_list" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    times = [r.t for r in goal.df.select("t").distinct().orderBy("t").collect()]
+    source = {}
+    for r in sorted(hot.collect(), key=lambda r: r.t):
+        source.setdefault((r.x, r.y), []).append((r.t, r.a))
+    got = {(r.x, r.y, r.t): r.a for r in out.df.collect()}
+    assert len(got) == len(source) * len(times)
+    for (x, y), series in source.items():
+        for t in times:
+            assert got[x, y, t] == min(series, key=lambda s: (abs(s[0] - t), s[0]))[1]
