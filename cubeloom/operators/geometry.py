@@ -7,7 +7,7 @@ over all rings, so holes and multi-polygons need no special case.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import CrsUnknown
@@ -139,30 +139,116 @@ def bounds(low: str, high: str) -> tuple[Column, Column]:
 def pixel_hits(cube, geometries, pixels: DataFrame | None = None) -> DataFrame:
     """Join pixel rows to the geometries they belong to: columns of the pixels plus ``geom_id``.
 
-    The join key is the tile, so it is an equi-join Spark can broadcast, sort-merge or split
-    on skew; the exact test runs on the pairs that share a tile. A range filter with the
-    bounds of all geometries goes down to the scan first.
+    Plain polygons are cut into runs along the pixel rows (see ``run_hits``), points, lines
+    and buffered geometries are tested exactly on the pairs that share a tile. A range filter with
+    the bounds of all geometries goes down to the scan first.
     """
     x, y = cube.schema.xy
     sx, sy = cube.schema.dim(x).step or 1.0, cube.schema.dim(y).step or 1.0
-    size_x, size_y = TILE * sx, TILE * sy
     geometries = aligned(geometries, cube.schema.dim(x).crs)
-    plain = geometries.df.select(*GEOM_FIELDS)
+    some = geometries.df.select(*GEOM_FIELDS)
     grow = F.greatest(F.max("buffer"), F.lit(0.0))
-    box = plain.agg(F.struct(
+    box = some.agg(F.struct(
         (F.min("minx") - grow - sx).alias("w"), (F.max("maxx") + grow + sx).alias("e"),
         (F.min("miny") - grow - sy).alias("s"), (F.max("maxy") + grow + sy).alias("n")))
     rows = (cube.df if pixels is None else pixels).where(
         cube._between(x, box.scalar()["w"], box.scalar()["e"]) & cube._between(y, box.scalar()["s"], box.scalar()["n"]))
+    plain = F.col("geom_type").isin("Polygon", "MultiPolygon") & (F.col("buffer") == 0)
+    places = rows.select(x, y).distinct() if pixels is None else rows.select(x, y)
+    found = run_hits(places, some.where(plain), x, y, sx, sy).unionByName(tile_hits(places, some.where(~plain), x, y, sx, sy))
+    return rows.join(found, [x, y]).select(*rows.columns, "geom_id")
+
+
+STRIDE = 32  # pixels of a row that a run covers as one entry
+
+
+def run_hits(places: DataFrame, polygons: DataFrame, x: str, y: str, sx: float, sy: float) -> DataFrame:
+    """``x, y, geom_id`` of distinct pixels whose centre lies in a polygon or on its edge."""
+    return run_pairs(places, polygons, x, y, sx, sy).where("__hit").select(x, y, "geom_id").distinct()
+
+
+def run_pairs(places: DataFrame, polygons: DataFrame, x: str, y: str, sx: float, sy: float) -> DataFrame:
+    """Pixels and the runs of polygons they may lie in, with ``__hit`` where they do.
+
+    Every edge meets the pixel rows it spans; its crossings with a row, in order, bound the
+    runs of the polygon there (even-odd). A run is keyed by the cells at its two ends and by whole
+    strides between them, so pixels and runs meet in an equi-join whose pairs are hits, but
+    for those in the end cells. The work follows the pixels, the crossings and the runs, not the
+    number of polygons that share a tile. Edges are exact: the place of a crossing and the
+    test for a point on an edge are those of ``covers``.
+    """
+    grid = places.withColumns({"__x": F.col(x).cast("double"), "__y": F.col(y).cast("double")})
+    ends = places.agg(F.struct(*[f(F.col(c).cast("double")).alias(n) for n, f, c in (
+        ("w", F.min, x), ("e", F.max, x), ("s", F.min, y), ("n", F.max, y))]))
+    lines = grid.select("__y").distinct().withColumn("__row", F.floor(F.col("__y") / sy))
+    low, high = F.least("__s.ay", "__s.by"), F.greatest("__s.ay", "__s.by")
+    extent = polygons.where(F.col("minx").isNotNull()).select("geom_id", F.explode(edges(F.col("parts"))).alias("__s"), ends.scalar().alias("__e"))
+    first, last = F.floor(F.greatest(low, F.col("__e.s")) / sy), F.floor(F.least(high, F.col("__e.n")) / sy)
+    spans = extent.where(first <= last).withColumn("__row", F.explode(F.sequence(first, last)))
+    yy, s = F.col("__y"), {c: F.col("__s")[c] for c in ("ax", "ay", "bx", "by")}
+    at = s["ax"] + F.try_divide((yy - s["ay"]) * (s["bx"] - s["ax"]), s["by"] - s["ay"])
+    flat = s["ay"] == s["by"]
+    end = F.when(s["ay"] == yy, s["ax"]).otherwise(s["bx"])
+
+    def mark(touch: bool, low: Column, high: Column) -> Column:
+        return F.struct(F.lit(touch).alias("touch"), low.alias("low"), high.alias("high"))
+
+    crossing = F.when((s["ay"] > yy) != (s["by"] > yy), mark(False, at, at))
+    # an end on the row, or a whole edge along it, belongs to the polygon whatever the crossings say
+    touch = F.when((s["ay"] == yy) | (s["by"] == yy), mark(
+        True, F.when(flat, F.least(s["ax"], s["bx"])).otherwise(end), F.when(flat, F.greatest(s["ax"], s["bx"])).otherwise(end)))
+    met = spans.join(lines, "__row").select("geom_id", "__y", "__s", "__e", F.explode(F.array_compact(F.array(crossing, touch))).alias("__m"))
+    order = Window.partitionBy("geom_id", "__y", "__m.touch").orderBy("__m.low", "__m.high", "__s")
+    met = met.withColumns({"__n": F.row_number().over(order), "__next": F.lead(F.struct(F.col("__m.low").alias("low"), "__s")).over(order)})
+    runs = met.where(F.col("__m.touch") | (F.col("__n") % 2 == 1)).select(
+        "geom_id", "__y", F.col("__m.touch").alias("__touch"), F.col("__m.low").alias("__low"),
+        F.when(F.col("__m.touch"), F.col("__m.high")).otherwise(F.col("__next.low")).alias("__high"),
+        F.col("__s").alias("__left"), F.col("__next.__s").alias("__right"), "__e")
+    # a centre on an edge may miss the computed crossing by rounding
+    slack = (F.abs("__low") + F.abs("__high") + sx) * 1e-9
+    runs = runs.withColumns({
+        "__c0": F.floor((F.greatest(F.col("__low"), F.col("__e.w")) - slack) / sx), "__c1": F.floor((F.least(F.col("__high"), F.col("__e.e")) + slack) / sx)})
+    t0, t1 = F.ceil(F.col("__c0") / STRIDE), F.floor((F.col("__c1") + 1) / STRIDE)
+    none = F.array().cast("array<bigint>")
+
+    def numbers(a: Column, b: Column) -> Column:
+        return F.when(a <= b, F.sequence(a, b)).otherwise(none)
+
+    short = t0 >= t1
+    cells = F.when(short, numbers(F.col("__c0"), F.col("__c1"))).otherwise(F.concat(
+        numbers(F.col("__c0"), t0 * STRIDE - 1), numbers(t1 * STRIDE, F.col("__c1"))))
+    strides = F.when(short, none).otherwise(numbers(t0, t1 - 1))
+
+    def keys(level: int, at: Column) -> Column:
+        return F.transform(at, lambda k: F.struct(F.lit(level).alias("l"), k.alias("k")))
+
+    runs = runs.withColumn("__k", F.explode(F.concat(keys(0, cells), keys(1, strides))))
+    column = F.floor(F.col("__x") / sx)
+    grid = grid.withColumn("__k", F.explode(F.array(
+        F.struct(F.lit(0).alias("l"), column.alias("k")), F.struct(F.lit(1).alias("l"), F.floor(column / STRIDE).alias("k")))))
+    xx = F.col("__x")
+
+    def on(edge: str) -> Column:
+        e = F.col(edge)
+        cross = (e["bx"] - e["ax"]) * (yy - e["ay"]) - (e["by"] - e["ay"]) * (xx - e["ax"])
+        return F.coalesce((cross == 0) & xx.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])), F.lit(False))
+
+    hit = F.when(F.col("__touch"), xx.between(F.col("__low"), F.col("__high"))).otherwise(
+        ((xx >= F.col("__low")) & (xx < F.col("__high"))) | on("__left") | on("__right"))
+    return grid.join(runs, ["__y", "__k"]).select(x, y, "geom_id", hit.alias("__hit"))
+
+
+def tile_hits(places: DataFrame, geometries: DataFrame, x: str, y: str, sx: float, sy: float) -> DataFrame:
+    """``x, y, geom_id`` of distinct pixels by the exact test on all pairs that share a tile (an equi-join)."""
+    size_x, size_y = TILE * sx, TILE * sy
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    left = rows.withColumns({"__tx": F.floor(px / size_x), "__ty": F.floor(py / size_y)})
-    right = tiled(plain, size_x, size_y, sx / 2, sy / 2).withColumn("__g_edges", edges_or_points())
+    left = places.withColumns({"__tx": F.floor(px / size_x), "__ty": F.floor(py / size_y)})
+    right = tiled(geometries, size_x, size_y, sx / 2, sy / 2).withColumn("__g_edges", edges_or_points())
     right = right.select("geom_id", "__tx", "__ty", "__g_edges", *[F.col(c).alias(f"__g_{c}") for c in GEOM_FIELDS[1:]])
     g = {c: F.col(f"__g_{c}") for c in (*GEOM_FIELDS[1:], "edges")}
     pad_x, pad_y = F.greatest(g["buffer"], F.lit(0.0)) + sx / 2, F.greatest(g["buffer"], F.lit(0.0)) + sy / 2
     near = px.between(g["minx"] - pad_x, g["maxx"] + pad_x) & py.between(g["miny"] - pad_y, g["maxy"] + pad_y)
-    joined = left.join(right, ["__tx", "__ty"]).where(near & hit(px, py, g, sx, sy))
-    return joined.select(*rows.columns, "geom_id")
+    return left.join(right, ["__tx", "__ty"]).where(near & hit(px, py, g, sx, sy)).select(x, y, "geom_id")
 
 
 def edges_or_points() -> Column:
