@@ -1,19 +1,24 @@
 """Focal operators: convolution, terrain, and processes on blocks with overlap.
 
-Cells are first copied to the tiles whose border zone they lie in (few copies), then
-shuffled once by tile; spreading a cell over the kernel happens after that shuffle, and
-the sum per target cell needs no further one because it is grouped by tile and cell.
+Cells are copied to the tiles whose border zone they lie in (few copies) and shuffled once
+by tile. A tile with its halo is a small dense array behind that shuffle, and a kernel
+is added up by shifting it; a kernel of rank one takes a pass along x and one along y. The
+number of rows does not grow with the kernel.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import errors as err
 from ..functions.logic import is_valid
+from ..plans.groups import groups
 from ..schema import Band, Dim
 from .base import CubeBase
 from .geometry import TILE
@@ -50,6 +55,59 @@ def _lit(v):
     return v if isinstance(v, Column) else F.lit(v).cast("long")
 
 
+def _passes(kernel: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """The weights along y and along x whose product the kernel is, if it is one: a row and a column through its largest weight."""
+    b, a = np.unravel_index(np.abs(kernel).argmax(), kernel.shape)
+    if not kernel[b, a]:
+        return kernel[:, 0], kernel[0]
+    along_y, along_x = kernel[:, a] / kernel[b, a], kernel[b]
+    near = np.abs(np.outer(along_y, along_x) - kernel).max() <= 4 * np.finfo(float).eps * abs(kernel[b, a])
+    return (along_y, along_x) if near else None
+
+
+def _weighted(padded: np.ndarray, kernel: np.ndarray, passes: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+    """Sums of the surroundings of every cell of an array that has a border of half a kernel around it."""
+    rows, cols = kernel.shape
+    height, width = padded.shape[0] - rows + 1, padded.shape[1] - cols + 1
+    out = np.zeros((height, width))
+    if passes is not None:
+        line = np.zeros((padded.shape[0], width))
+        for a in np.flatnonzero(passes[1]).tolist():
+            line += passes[1][a] * padded[:, a : a + width]
+        for b in np.flatnonzero(passes[0]).tolist():
+            out += passes[0][b] * line[b : b + height]
+        return out
+    for b, a in np.argwhere(kernel).tolist():
+        out += kernel[b, a] * padded[b : b + height, a : a + width]
+    return out
+
+
+def _tile_sums(keys: list[str], kept: list[str], values: list[str], kernels: dict[str, list[list[float]]], hx: int, hy: int, size: int):
+    """The work on sorted tiles: for every own cell of a tile its sums, from a dense array of the tile and its halo."""
+    arrays = {n: np.array(k, float) for n, k in kernels.items()}
+    passes = {n: _passes(k) for n, k in arrays.items()}
+
+    def work(batches):
+        for tile in groups(batches, keys):
+            u, v = tile.column("__u").to_numpy(), tile.column("__v").to_numpy()
+            own = tile.column("__own").to_numpy() & (u // size == tile.column("__ti").to_numpy()) & (v // size == tile.column("__tj").to_numpy())
+            at = np.flatnonzero(own)
+            if not at.size:
+                continue
+            i, j = u - u.min(), v - v.min()
+            out = {}
+            for name in values:
+                padded = np.zeros((int(j.max()) + 1 + 2 * hy, int(i.max()) + 1 + 2 * hx))
+                padded[j + hy, i + hx] = tile.column(f"__d_{name}").to_numpy()
+                for n, kernel in arrays.items():
+                    out[f"{name}__{n}"] = pa.array(_weighted(padded, kernel, passes[n])[j[at], i[at]])
+            mine = tile.take(pa.array(at)).combine_chunks()
+            columns = [mine.column(c).combine_chunks() for c in (*kept, "__u", "__v", "__nx", "__ny")]
+            yield pa.RecordBatch.from_arrays([*columns, *out.values()], names=[*kept, "__ci", "__cj", "__nx", "__ny", *out])
+
+    return work
+
+
 class FocalOps(CubeBase):
     def _indexed(self) -> tuple[DataFrame, dict[str, Column]]:
         """Pixel indices 0..n-1 as ``__i`` and ``__j``, with the extent as columns."""
@@ -100,22 +158,16 @@ class FocalOps(CubeBase):
         others = schema.others(x, y)
         df = df.withColumn("__u", F.explode(images("__i", "__nx", hx))).withColumn("__v", F.explode(images("__j", "__ny", hy)))
         df = df.withColumn("__ti", F.explode(tiles("__u", hx))).withColumn("__tj", F.explode(tiles("__v", hy)))
-        df = df.repartition(*[F.col(c) for c in (*others, "__ti", "__tj")])
-        # a cell at (u, v) adds kernel[b][a] to the target at (u - a + hx, v - b + hy)
-        taps = [(a, b) for b in range(rows) for a in range(cols) if any(k[b][a] for k in kernels.values()) or (a == hx and b == hy)]
-        df = df.withColumn("__tap", F.explode(F.array(*[F.struct(
-            F.lit(hx - a).cast("long").alias("dx"), F.lit(hy - b).cast("long").alias("dy"),
-            F.lit(a == hx and b == hy).alias("own"),
-            *[F.lit(float(k[b][a])).alias(n) for n, k in kernels.items()]) for a, b in taps])))
-        df = df.withColumns({"__ci": F.col("__u") + F.col("__tap.dx"), "__cj": F.col("__v") + F.col("__tap.dy")})
-        df = df.where((F.floor(F.col("__ci") / TILE) == F.col("__ti")) & (F.floor(F.col("__cj") / TILE) == F.col("__tj")))
-        self_row = F.col("__tap.own") & (F.col("__u") == F.col("__i")) & (F.col("__v") == F.col("__j"))
-        sums = {(v, n): F.sum(F.col(f"__d_{v}") * F.col(f"__tap.{n}")).alias(f"{v}__{n}") for v in values for n in kernels}
-        # only plain buffers in this aggregate, so that it stays a hash aggregate
-        out = df.groupBy(*others, "__ti", "__tj", "__ci", "__cj").agg(
-            F.max(self_row).alias("__own"), F.max("__nx").alias("__nx"), F.max("__ny").alias("__ny"),
-            *[F.max(F.when(self_row, F.col(c))).alias(c) for c in (x, y, *values)], *sums.values())
-        out = out.where("__own")
+        keys = [*others, "__ti", "__tj"]
+        kept = [*others, x, y, *values]
+        df = df.select(*kept, "__ti", "__tj", "__u", "__v", "__nx", "__ny", ((F.col("__u") == F.col("__i")) & (F.col("__v") == F.col("__j"))).alias("__own"),
+                       *[f"__d_{v}" for v in values])
+        added = ["__ci", "__cj", "__nx", "__ny", *[f"{v}__{n}" for v in values for n in kernels]]
+        kinds = [T.LongType()] * 4 + [T.DoubleType()] * (len(added) - 4)
+        tiles_of = _tile_sums(keys, kept, values, kernels, hx, hy, TILE)
+        out = df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+            tiles_of, T.StructType([*[df.schema[c] for c in kept], *[T.StructField(c, k) for c, k in zip(added, kinds)]]))
+        sums = [(v, n) for v in values for n in kernels]
         fixed = {}
         for v, n in sums:
             k = kernels[n]

@@ -221,6 +221,24 @@ def test_border_index_strings():
     assert line("wrap") == "cdefgh" + "abcdefgh" + "abcdef"
 
 
+@pytest.mark.parametrize("separable", [True, False])
+def test_kernel_of_51_cells(spark, separable):
+    rng = np.random.default_rng(5)
+    data = rng.integers(0, 9, (60, 70))
+    kernel = np.outer(rng.random(51), rng.random(51)) if separable else rng.random((51, 51))
+    out = grid(spark, data).apply_kernel(kernel.tolist(), border="reflect")
+    assert "Generate explode" not in out.df._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]  # no row per weight
+    pad = np.pad(data, 25, mode="symmetric")
+    want = np.lib.stride_tricks.sliding_window_view(pad, (51, 51))
+    assert np.allclose(as_array(out), (want * kernel).sum(axis=(2, 3)), rtol=1e-10)
+
+
+def test_flat_ground_has_no_aspect(spark):
+    cube = grid(spark, np.full((5, 6), 7.3))
+    assert all(np.isnan(r[0]) for r in cube.aspect().df.select(cube.aspect().schema.values[0]).collect())
+    assert {r[0] for r in cube.slope().df.select(cube.slope().schema.values[0]).collect()} == {0.0}
+
+
 def test_kernel_missing_cells_and_errors(spark):
     cube = grid(spark, [[1, 2], [3, 4]])
     holed = cube._new(cube.df.withColumn("v", F.when(F.col("v") != 4, F.col("v"))))
