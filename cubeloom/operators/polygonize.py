@@ -1,4 +1,4 @@
-"""Outlines of homogeneous areas.
+"""Outlines and polygons of homogeneous areas.
 
 Connected components by contraction: in every round each remaining node joins its
 neighbour with the smallest scrambled id, edges are rewritten and made distinct, so the
@@ -45,13 +45,88 @@ def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return label.join(smallest, "node").select("id", "component")
 
 
+def rings(sides: DataFrame, keys: list[str]) -> DataFrame:
+    """Sides chained to rings: ``keys, ring, steps, x, y`` of every corner, in falling order of ``steps``.
+
+    ``sides`` are directed with the area to their left: ``keys, vi, vj`` (start), ``way`` (0 to 3
+    for +x, +y, -x, -y), ``ex, ey`` (end). At a corner where an area meets itself the ring
+    stays with its cell (a left turn), so a hole that touches the outside there belongs to it. Pointers
+    to the next side are doubled: after a round a side knows the smallest side, and how far it
+    is, among twice as many sides ahead; a ring of n sides takes about log2(n) rounds of
+    joins on single sides, so one long ring is spread like many short ones.
+    """
+    step = {0: (1, 0), 1: (0, 1), 2: (-1, 0), 3: (0, -1)}
+
+    def moved(axis: int):
+        return F.element_at(F.array(*[F.lit(step[w][axis]).cast("long") for w in range(4)]), F.col("way") + 1)
+
+    named = sides.withColumn("id", F.struct(*[F.col(k) for k in keys], F.col("vi"), F.col("vj"), F.col("way")))
+    ahead = named.select(*keys, F.col("vi").alias("ni"), F.col("vj").alias("nj"), F.col("way").alias("nway"), F.col("id").alias("nid"))
+    turn = F.pmod(F.col("nway") - F.col("way") + 1, F.lit(4))  # 2 left, 1 straight, 0 right
+    linked = named.withColumns({"ni": F.col("vi") + moved(0), "nj": F.col("vj") + moved(1)}).join(ahead, [*keys, "ni", "nj"])
+    linked = cut_lineage(linked.groupBy("id").agg(
+        F.max_by(F.struct("nid", "nway"), turn).alias("next"), F.first("way").alias("way"), F.first("ex").alias("x"), F.first("ey").alias("y")))
+    state = linked.select("id", F.col("next.nid").alias("to"), F.col("id").alias("least"), F.lit(0).cast("long").alias("steps"))
+    reach = 1
+    while True:
+        far = state.select(F.col("id").alias("to"), F.col("to").alias("to2"), F.col("least").alias("least2"), F.col("steps").alias("steps2"))
+        lower = F.col("least2") < F.col("least")
+        moves = cut_lineage(state.join(far, "to").select(
+            "id", F.col("to2").alias("to"), F.least("least", "least2").alias("least"),
+            F.when(lower, F.col("steps2") + reach).otherwise(F.col("steps")).alias("steps"), lower.alias("changed")))
+        settled = moves.where("changed").isEmpty()
+        state = moves.drop("changed")
+        reach *= 2
+        if settled:
+            break
+    corners = linked.where(F.col("next.nway") != F.col("way")).join(state, "id")
+    return corners.select(*[F.col(f"id.{k}").alias(k) for k in keys], F.col("least").alias("ring"), "steps", "x", "y")
+
+
 class PolygonizeOps(CubeBase):
-    def raster_to_vector(self) -> DataFrame:
-        """Outline segments of each area of equal, 4-connected pixels.
+    def raster_to_polygons(self):
+        """Each area of equal, 4-connected pixels as a polygon with its holes: geometries for the other vector operators.
 
-        One row per pixel side on an outline: ``feature_id, value, x1, y1, x2, y2`` plus the
-        other dimensions and the band. Null pixels belong to no area.
+        Properties are ``feature_id``, ``value`` and the other dimensions. The outer ring runs
+        counter-clockwise and comes first, holes run clockwise; corners only, closed. Where an
+        area touches itself at a corner its ring passes the corner twice. Null pixels belong to no
+        area. ``geom_id`` is the number of the first pixel, or a hash of the feature where
+        there are other dimensions.
         """
+        from .vector import Geometries
+
+        cells, others, x, y, sx, sy = self._areas()
+        x0, y0 = (F.col(x).cast("double") - sx / 2), (F.col(y).cast("double") - sy / 2)
+        left, right = F.struct(F.lit(-1).alias("i"), F.lit(0).alias("j")), F.struct(F.lit(1).alias("i"), F.lit(0).alias("j"))
+        below, above = F.struct(F.lit(0).alias("i"), F.lit(-1).alias("j")), F.struct(F.lit(0).alias("i"), F.lit(1).alias("j"))
+
+        def side(way: int, beyond, di: int, dj: int, ex, ey):
+            return F.struct(F.lit(way).alias("way"), (F.col("i") + beyond["i"]).alias("oi"), (F.col("j") + beyond["j"]).alias("oj"),
+                            (F.col("i") + di).alias("vi"), (F.col("j") + dj).alias("vj"), ex.alias("ex"), ey.alias("ey"))
+
+        sides = F.array(side(0, below, 0, 0, x0 + sx, y0), side(1, right, 1, 0, x0 + sx, y0 + sy),
+                        side(2, above, 1, 1, x0, y0 + sy), side(3, left, 0, 1, x0, y0))
+        # a side is on the rim unless the cell beyond it is of the same area
+        out = cells.select("component", "value", *others, F.explode(sides).alias("s")).select("component", "value", *others, "s.*")
+        inner = cells.select("component", F.col("i").alias("oi"), F.col("j").alias("oj"))
+        rim = out.join(inner, ["component", "oi", "oj"], "left_anti")
+        corners = rings(rim, ["component"])
+        ordered = corners.groupBy("component", "ring").agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("steps", "x", "y")), asc=False), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("r"))
+        closed = F.concat("r", F.slice("r", 1, 1))
+        twice = F.aggregate(F.zip_with("r", F.concat(F.slice("r", 2, F.size("r")), F.slice("r", 1, 1)), lambda p, q: p["x"] * q["y"] - q["x"] * p["y"]),
+                            F.lit(0.0), lambda s, v: s + v)
+        shapes = ordered.select("component", F.struct((twice < 0).alias("hole"), F.col("ring").alias("n"), closed.alias("r")).alias("ring")).groupBy("component").agg(
+            F.transform(F.sort_array(F.collect_list("ring")), lambda p: p["r"]).alias("parts"))
+        facts = cells.groupBy("component").agg(F.first("value").alias("value"), *[F.first(o).alias(o) for o in others])
+        feature = F.concat_ws(":", F.col("component.plane"), F.col("component.n").cast("string"))
+        df = shapes.join(facts, "component").select(
+            (F.xxhash64(feature) if others else F.col("component.n")).alias("geom_id"), F.lit("Polygon").alias("geom_type"), "parts",
+            feature.alias("feature_id"), "value", *others)
+        return Geometries(df, self.schema.dim(self.schema.xy[0]).crs)
+
+    def _areas(self):
+        """Valid cells with the area they belong to (``component``), and the names and steps of the grid."""
         long = self.to_values()
         schema = long.schema
         x, y = schema.xy
@@ -69,7 +144,15 @@ class PolygonizeOps(CubeBase):
         below = cells.select("plane", "i", (F.col("j") - 1).alias("j"), F.col("id").alias("b"), F.col("value").alias("v"))
         links = cells.join(right.unionByName(below), ["plane", "i", "j"]).where(F.col("value") == F.col("v"))
         parts = connected_components(cells, links.select(F.col("id").alias("a"), "b"))
-        owned = cells.join(parts, "id")
+        return cells.join(parts, "id"), others, x, y, sx, sy
+
+    def raster_to_vector(self) -> DataFrame:
+        """Outline segments of each area of equal, 4-connected pixels.
+
+        One row per pixel side on an outline: ``feature_id, value, x1, y1, x2, y2`` plus the
+        other dimensions and the band. Null pixels belong to no area.
+        """
+        owned, others, x, y, sx, sy = self._areas()
         x0, y0 = (F.col(x).cast("double") - sx / 2), (F.col(y).cast("double") - sy / 2)
         # the four sides of a cell; a side shared by two cells of one area is inside it
         def side(kind: str, di: int, dj: int, ax, ay, bx, by):

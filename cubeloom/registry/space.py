@@ -88,7 +88,39 @@ def _(t):
     return t.wide.band("SCL").raster_to_vector().select("t", F.col("value").cast("double").alias("value"), "x1", "y1", "x2", "y2")
 
 
-@query("raster_to_vector_features")
+_AREAS = """WITH RECURSIVE cells AS (
+  SELECT CAST(x - (SELECT min(x) FROM cube_static) AS BIGINT) AS i, CAST(y - (SELECT min(y) FROM cube_static) AS BIGINT) AS j, x, y, floor(elev / 4000) AS value,
+         (SELECT max(x) - min(x) + 1 FROM cube_static) AS w FROM cube_static
+), reach AS (
+  SELECT i, j, i AS ri, j AS rj, value FROM cells
+  UNION
+  SELECT r.i, r.j, c.i, c.j, r.value FROM reach r JOIN cells c ON c.value = r.value AND abs(c.i - r.ri) + abs(c.j - r.rj) = 1
+), owned AS (
+  SELECT c.i, c.j, c.x, c.y, c.value, min(r.rj * c.w + r.ri) AS area FROM cells c JOIN reach r ON r.i = c.i AND r.j = c.j GROUP BY c.i, c.j, c.x, c.y, c.value, c.w
+), sides AS (
+  SELECT o.area, o.value, o.x, o.y, d.di, d.dj FROM owned o, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) d(di, dj)
+  WHERE NOT EXISTS (SELECT 1 FROM owned n WHERE n.area = o.area AND n.i = o.i + d.di AND n.j = o.j + d.dj)
+)
+"""
+
+
+@query("raster_to_polygons", _AREAS + """SELECT s.area AS geom_id, ':' || s.area AS feature_id, max(s.value) AS value,
+  (SELECT count(*) FROM owned o WHERE o.area = s.area)::DOUBLE AS area, count(*)::DOUBLE AS outline,
+  min(s.x) - 0.5 AS west, min(s.y) - 0.5 AS south, max(s.x) + 0.5 AS east, max(s.y) + 0.5 AS north FROM sides s GROUP BY s.area""",
+       "value area outline west south east north")
+def _(t):
+    """Area (holes taken off) and length of the outline from the rings; both are off if a ring is chained or turned wrongly."""
+    shapes = t.static.apply(lambda v: F.floor(v / 4000)).raster_to_polygons()
+    pairs = F.flatten(F.transform("parts", lambda r: F.zip_with(F.slice(r, 1, F.size(r) - 1), F.slice(r, 2, F.size(r) - 1), lambda p, q: F.struct(
+        (p["x"] * q["y"] - q["x"] * p["y"]).alias("a"), (F.abs(q["x"] - p["x"]) + F.abs(q["y"] - p["y"])).alias("l")))))
+    total = lambda c, f: F.aggregate(F.transform(c, lambda p: p[f]), F.lit(0.0), lambda s, v: s + v)
+    return shapes.df.select("geom_id", "feature_id", F.col("value").cast("double").alias("value"), (total(pairs, "a") / 2).alias("area"), total(pairs, "l").alias("outline"),
+                            F.col("minx").alias("west"), F.col("miny").alias("south"), F.col("maxx").alias("east"), F.col("maxy").alias("north"))
+
+
+@query("raster_to_vector_features", _AREAS + """SELECT ':' || area AS feature_id, max(value) AS value, count(*) AS sides,
+  min(x) - 0.5 AS west, min(y) - 0.5 AS south, max(x) + 0.5 AS east, max(y) + 0.5 AS north FROM sides GROUP BY area""",
+       "value west south east north")
 def _(t):
     lines = t.static.apply(lambda v: F.floor(v / 4000)).raster_to_vector()
     return lines.groupBy("feature_id").agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("sides"), F.min("x1").alias("west"), F.min("y1").alias("south"),

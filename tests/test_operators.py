@@ -471,3 +471,32 @@ def test_compare_share_and_missing(spark):
     assert row.diff_count == 1 and row.min_x == 4
     with pytest.raises(ValueError):
         compare.cube_differences(a, a.rename_dimension("x", "lon"))
+
+
+def test_polygons_of_areas_with_holes_and_corners_that_touch(spark):
+    from cubeloom.operators.geometry import pixel_hits
+
+    rng = np.random.default_rng(3)
+    ring = np.ones((7, 9))
+    ring[1:6, 1:8] = 2
+    ring[2:5, 2:7] = 1
+    ring[3, 4] = 3
+    pinch = np.array([[1, 1, 0, 0], [1, 0, 1, 0], [1, 1, 1, 0], [0, 0, 0, 5]])
+    for data in (ring, pinch, rng.integers(0, 2, (13, 11)), np.full((1, 1), 4)):
+        cube = grid(spark, data)
+        shapes = cube.raster_to_polygons()
+        rows = shapes.df.collect()
+        inside = {}
+        for r in pixel_hits(cube, shapes).collect():
+            inside.setdefault(r.geom_id, set()).add((r.x, r.y))
+        cells = [c for found in inside.values() for c in found]
+        assert len(cells) == len(set(cells)) == data.size  # every cell in exactly one polygon
+        values = {(r.x, r.y): r.value for r in cube.to_values().df.collect()}
+        for r in rows:
+            assert {values[c] for c in inside[r.geom_id]} == {r.value}
+            areas = [sum(p.x * q.y - q.x * p.y for p, q in zip(part, part[1:])) / 2 for part in r.parts]
+            assert areas[0] > 0 and all(a < 0 for a in areas[1:]) and sum(areas) == len(inside[r.geom_id])
+            for part in r.parts:
+                assert part[0] == part[-1]
+                assert all((a.x == b.x) != (b.x == c.x) for a, b, c in zip(part, part[1:], part[2:]))  # corners only
+    assert len(grid(spark, pinch).raster_to_polygons().df.where("value = 1").first().parts) == 1  # its hole touches the outside
