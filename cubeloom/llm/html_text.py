@@ -357,7 +357,7 @@ def render_table(node: Node, level: int) -> list[str]:
                         continue
                     text = _cell(cell, level)
                     span = cell.attrs.get("colspan") or "1"
-                    across = max(1, min(int(span), 100)) if re.fullmatch(r"\d{1,4}", span) else 1
+                    across = max(1, min(int(span), 1000)) if re.fullmatch(r"\d{1,9}", span) else 1
                     span = (cell.attrs.get("rowspan") or "1").strip()
                     down = (min(int(span), 65534) or 65534) if re.fullmatch(r"\d{1,9}", span) else 1  # 0: to the end of the section
                 else:

@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,25 +122,19 @@ def _machine(x: np.ndarray, y: np.ndarray, rounds: int = 40, c: float = 10.0, se
     return w
 
 
-def learn(docs: DataFrame, per_language: int = 400, most_languages: int = 400) -> Model | None:
+def learn(docs: DataFrame, per_language: int = 400) -> Model | None:
     """A model from at most ``per_language`` whole training texts of each language.
 
     Rows are drawn by a hash of the id among the rows whose crc32 of the id leaves a
     remainder other than 0 by 5; null languages and texts without letters are not used. The
-    sample is bounded (``most_languages`` languages, the most frequent ones), so the
-    drawn ids are broadcast and the machines are fitted in the driver; the feature rows come
-    from tasks. Nothing to learn
+    sample is bounded for every language, so the drawn ids are broadcast and the machines
+    are fitted in the driver; the feature rows come from tasks. All languages are kept and drawn in one pass. Nothing to learn
     from gives no model.
     """
     data = docs.where(in_training() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    known = sorted(r["lang"] for r in data.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect())
-    if not known:
-        return None
-    drawn = None
-    keys = data.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    for lang in known:
-        one = keys.where(F.col("lang") == lang).orderBy("h", "doc_id").limit(per_language)
-        drawn = one if drawn is None else drawn.unionByName(one)
+    # each task keeps the first rows of a language only, before any shuffle
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    drawn = data.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("place", place).where(F.col("place") <= per_language)
     ids = drawn.select(F.col("doc_id").alias("id"), F.col("lang").alias("known")).dropDuplicates(["id"])
 
     def featured(batches):

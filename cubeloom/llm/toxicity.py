@@ -87,7 +87,15 @@ def hits(folded: str, automaton: ahocorasick.Automaton) -> float:
         elif weight > words.get(start, 0.0):
             words[start] = weight
     if harmless and words:
-        words = {s: w for s, w in words.items() if not any(a <= s < b for a, b in harmless)}
+        harmless.sort()
+        i, reach, total = 0, -1, 0.0
+        for start in sorted(words):  # both in order: one pass
+            while i < len(harmless) and harmless[i][0] <= start:
+                reach = max(reach, harmless[i][1])
+                i += 1
+            if start >= reach:
+                total += words[start]
+        return total
     return sum(words.values())
 
 
@@ -100,8 +108,7 @@ def entries_of(folded: str) -> set[str]:
     """Words and word beginnings of a folded text."""
     found: set[str] = set()
     for word in set(folded.split()):
-        if len(word) <= 24:
-            found.add(f" {word} ")
+        found.add(f" {word} ")
         found.update(f" {word[:n]}" for n in STEMS if len(word) > n)
     return found
 
@@ -136,14 +143,13 @@ def _labelled_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame
     return found.join(F.broadcast(kept.select("row")), "row", "left_semi").select("toxic", "text")
 
 
-def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries: int = 20_000,
-          most_candidates: int = 100_000, sample: int = 20_000) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries: int = 20_000, sample: int = 20_000) -> Model:
     """A lexicon and its curve from labelled training rows, ``sample`` at most per label.
 
     Entries are whole words and word beginnings of folded whole texts, counted by label. One is kept if its smoothed log odds for label 1 exceed those of
     all rows by 3 and at least ``least_docs`` different texts with label 1 have it; a group
     of copies is one text. The strongest
-    ``most_entries`` stay, out of the ``most_candidates`` that most such documents have. The curve is a logistic function of ``strength``. Texts are
+    ``most_entries`` stay. The curve is a logistic function of ``strength``. Texts are
     reduced to numbers in tasks; the driver sees the lexicon and two numbers per row.
     Without any label 1 nothing is toxic.
     """
@@ -168,30 +174,10 @@ def learn(docs: DataFrame, labels: DataFrame, least_docs: int = 4, most_entries:
     def _counts(counts):
         return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["entry", "n"])
 
-    def found_in(wanted):
-        def matched(batches):
-            automaton = ahocorasick.Automaton()
-            for entry in wanted:
-                automaton.add_word(entry, entry)
-            automaton.make_automaton()
-            counts: dict[str, int] = {}
-            for batch in text_blocks(batches, "text"):
-                for text in batch.column("text").to_pylist():
-                    for entry in {e for _, e in automaton.iter(text)}:
-                        counts[entry] = counts.get(entry, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["entry", "n"])
-
-        return matched
-
-    # only entries of toxic rows are counted in clean ones
-    candidates = rows.where("toxic = 1").mapInArrow(counted, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n1")).where(F.col("n1") >= least_docs)
-    candidates = candidates.orderBy(F.desc("n1"), "entry").limit(most_candidates).collect()
-    if not candidates:
-        return Model({}, 0.0, -10.0)
-    spark = docs.sparkSession
-    names = [r["entry"] for r in candidates]
-    candidates = spark.createDataFrame([(r["entry"], r["n1"]) for r in candidates], "entry string, n1 long")
-    clean = rows.where("toxic <> 1").mapInArrow(found_in(names), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n0"))
+    def entries(label: int, name: str) -> DataFrame:
+        return rows.where(F.col("toxic") == label).mapInArrow(counted, "entry string, n long").groupBy("entry").agg(F.sum("n").alias(name))
+
+    candidates, clean = entries(1, "n1").where(F.col("n1") >= least_docs), entries(0, "n0")
     odds = F.log((F.col("n1") + 0.5) / (n1 + 1.0)) - F.log((F.coalesce("n0", F.lit(0)) + 0.5) / (n0 + 1.0))
     lexicon = candidates.join(clean, "entry", "left").select("entry", odds.alias("w")).where("w > 3").orderBy(F.desc("w"), "entry").limit(most_entries)
     weights = {r["entry"]: float(r["w"]) for r in lexicon.collect()}
