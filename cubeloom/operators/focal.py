@@ -22,6 +22,8 @@ from ..plans.groups import groups
 from ..schema import Band, Dim
 from .base import CubeBase
 from .geometry import TILE
+from .measures import DEGREE, by_dimension, in_pixels, measure, moved, time_block
+from .projection import is_metric
 
 BORDERS = ("replicate", "reflect", "reflect_pixel", "wrap")
 
@@ -223,7 +225,10 @@ class FocalOps(CubeBase):
     def apply_neighborhood(self, process, size: dict, overlap: dict | None = None, schema=None, context: dict | None = None):
         """Run a cube-to-cube process on blocks of ``size`` labels with ``overlap`` on both sides.
 
-        ``size`` and ``overlap`` map a dimension to pixels (spatial) or seconds (temporal).
+        ``size`` and ``overlap`` map a dimension to a number of pixels (for time seconds), a
+        text such as ``128 px``, ``100 m``, ``10 days`` or ``P1M``, or are lists of mappings with
+        dimension, value and unit. Metres need a known reference system; in degrees they
+        hold at the middle latitude. Blocks of months follow the calendar.
         ``process`` is a function of a cube, which then carries the block as an extra
         dimension so that all blocks run in one plan, or with ``schema`` set a function of
         a pandas frame and the context, called once per block. Overlap cells are dropped
@@ -232,20 +237,24 @@ class FocalOps(CubeBase):
         from dataclasses import replace
 
         cube_schema = self.schema
-        overlap = overlap or {}
+        size, overlap = by_dimension(size), by_dimension(overlap)
         df = self.df
         own, blocks = [], []
         ends = self._scalars(**{d: F.min(d) for d in size})
-        for d, n in size.items():
+        for d, wanted in size.items():
             dim = cube_schema.dim(d)
-            if dim.type == "temporal":
-                index = (F.unix_micros(F.col(d).cast("timestamp")) - F.unix_micros(ends[d].cast("timestamp"))) / 1e6
+            temporal = dim.type == "temporal"
+            n, pad = measure(wanted, temporal), measure(overlap.get(d, 0), temporal)
+            if temporal:
+                block = lambda t: time_block(t, ends[d], n)
+                at, first, last = block(F.col(d)), block(moved(F.col(d), pad, -1)), block(moved(F.col(d), pad, 1))
             else:
-                index = F.round((F.col(d) - ends[d]) / (dim.step or 1.0))
-            pad = overlap.get(d, 0)
+                index, step = F.round((F.col(d) - ends[d]) / (dim.step or 1.0)), dim.step or 1.0
+                scale = self._metres(d) if "m" in (n.unit, pad.unit) else 1.0
+                n, pad = in_pixels(n, step, scale), in_pixels(pad, step, scale)
+                at, first, last = F.floor(index / n), F.floor((index - pad) / n), F.floor((index + pad) / n)
             df = df.withColumns({
-                f"__own_{d}": F.floor(index / n),
-                f"__blk_{d}": F.explode(F.sequence(F.greatest(F.floor((index - pad) / n), F.lit(0).cast("long")), F.floor((index + pad) / n))),
+                f"__own_{d}": at, f"__blk_{d}": F.explode(F.sequence(F.greatest(first, F.lit(0).cast("long")), last)),
             })
             own.append(f"__own_{d}")
             blocks.append(f"__blk_{d}")
@@ -268,6 +277,19 @@ class FocalOps(CubeBase):
         df = out.df.join(kept, [*cube_schema.dim_names, "block"], "left_semi")
         return self._new(df, replace(out.schema, dims=cube_schema.dims))
 
+    def _metres(self, d: str) -> Column | float:
+        """Metres of one unit of a spatial dimension."""
+        crs = self.schema.dim(d).crs
+        if crs is None:
+            raise err.CrsUnknown(f"a size in metres, {d!r} without a reference system")
+        if is_metric(crs):
+            return 1.0
+        x, y = self.schema.xy
+        if d != x:
+            return DEGREE
+        middle = self._scalars(low=F.min(y), high=F.max(y))
+        return F.cos(F.radians((middle["low"] + middle["high"]) / 2)) * DEGREE
+
     def apply_polygon(self, polygons, process, mask_value=None):
         """Run a cube-to-cube process on the sub-cube of each polygon.
 

@@ -327,6 +327,36 @@ def _(t):
     return c.apply_neighborhood(demean, {"x": 4, "y": 4})
 
 
+@query("apply_neighborhood_units", """SELECT x, y, t, B04 - avg(B04) OVER (PARTITION BY x // 3, y // 2,
+  ((year(t) * 12 + month(t)) - (SELECT min(year(t) * 12 + month(t)) FROM cube_wide)) // 2) AS B04 FROM cube_wide""", "B04")
+def _(t):
+    """Blocks of 30 m by 2 pixels by two calendar months, in pixels of ten metres."""
+    c = t.wide.filter_bands(["B04"])
+    c = Cube.of(c.df.withColumns({"x": F.col("x") * 10, "y": F.col("y") * 10}), bands=["B04"], step=10.0, crs=32631)
+
+    def demean(block):
+        mean = block.df.groupBy("block").agg(F.avg("B04").alias("m"))
+        return block._new(block.df.join(mean, "block").withColumn("B04", F.col("B04") - F.col("m")))
+
+    out = c.apply_neighborhood(demean, [{"dimension": "x", "value": 30, "unit": "m"}, {"dimension": "y", "value": 2, "unit": "px"}, {"dimension": "t", "value": "P2M"}])
+    return out.df.withColumns({"x": (F.col("x") / 10).cast("long"), "y": (F.col("y") / 10).cast("long")})
+
+
+@query("apply_neighborhood_overlap", """SELECT c.x, c.y, c.t, CAST(count(n.t) AS DOUBLE) AS B04 FROM cube_wide c JOIN cube_wide n ON n.x = c.x AND n.y = c.y
+  AND epoch_us(n.t) + 10 * 86400000000 >= (SELECT epoch_us(min(t)) FROM cube_wide) + 30 * 86400000000 * ((epoch_us(c.t) - (SELECT epoch_us(min(t)) FROM cube_wide)) // (30 * 86400000000))
+  AND epoch_us(n.t) - 10 * 86400000000 < (SELECT epoch_us(min(t)) FROM cube_wide) + 30 * 86400000000 * ((epoch_us(c.t) - (SELECT epoch_us(min(t)) FROM cube_wide)) // (30 * 86400000000) + 1)
+GROUP BY c.x, c.y, c.t""")
+def _(t):
+    """How many labels of its series a block of 30 days sees with 10 days of overlap on both sides."""
+    c = t.wide.filter_bands(["B04"])
+
+    def count(block):
+        n = block.df.groupBy("x", "y", "block").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        return block._new(block.df.join(n, ["x", "y", "block"]).withColumn("B04", F.col("n")))
+
+    return c.apply_neighborhood(count, {"t": "30 days"}, {"t": "P10D"})
+
+
 @query("apply_neighborhood_pandas", """SELECT c.x, c.y, c.t, CAST(count(n.x) AS DOUBLE) AS B04 FROM cube_wide c JOIN cube_wide n
 ON n.t = c.t AND n.x BETWEEN (c.x // 5) * 5 - 2 AND (c.x // 5) * 5 + 6 AND n.y BETWEEN (c.y // 5) * 5 - 2 AND (c.y // 5) * 5 + 6 GROUP BY c.x, c.y, c.t""")
 def _(t):

@@ -38,12 +38,13 @@ def read_features(spark: SparkSession, path, multiline: bool = True) -> DataFram
     With ``multiline`` each file is one document; otherwise each line is one, which Spark
     can split (the layout for large tables).
     """
-    docs = spark.read.schema(DOCUMENT).option("multiLine", multiline).json(path)
+    docs = spark.read.schema(DOCUMENT).option("multiLine", multiline).json(path).withColumn("__file", F.col("_metadata.file_name"))
     alone = F.array(F.struct(
         F.col("type"), F.col("id"), F.coalesce(F.col("geometry"), F.struct(F.col("type").alias("type"), F.col("coordinates").alias("coordinates"))).alias("geometry"),
         F.col("properties")))
-    rows = docs.withColumn("f", F.explode(F.when(F.col("type") == "FeatureCollection", F.col("features")).otherwise(alone).cast(f"array<{FEATURE}>")))
+    rows = docs.select("__file", F.posexplode(F.when(F.col("type") == "FeatureCollection", F.col("features")).otherwise(alone).cast(f"array<{FEATURE}>")).alias("__place", "f"))
     return rows.select(
+        "__file", "__place",
         F.col("f.id").alias("feature_id"), F.col("f.geometry.type").alias("geom_type"),
         parts_of(F.col("f.geometry.type"), F.col("f.geometry.coordinates")).alias("parts"), F.col("f.properties").alias("properties"))
 
@@ -53,13 +54,18 @@ def load_geojson(spark: SparkSession, path, properties: list[str] | None = None,
     """Geometries, or with ``properties`` a vector cube with a ``properties`` dimension.
 
     One property: its value, or one label per array index if it holds arrays. Several:
-    one label per property. Missing values are null. ``geom_id`` is the feature id, an
-    id property, or else a number given while reading.
+    one label per property. Missing values are null. ``geom_id`` is the feature id (or an
+    id property) if it is a whole number, else a negative number made from a hash of the id; features
+    without an id take a hash of their content and place in the file. Either way every
+    evaluation gives the same. The id as it is written stays as ``feature_id``.
     """
     rows = read_features(spark, path, multiline)
     given = F.get_json_object("properties", f"$.{id_property}") if id_property else F.col("feature_id")
-    rows = rows.withColumn("geom_id", F.coalesce(F.try_to_number(given, F.lit("999999999999999999")).cast("long"), F.monotonically_increasing_id()))
-    geoms = Geometries(rows.select("geom_id", "geom_type", "parts", "properties"), crs)
+    number = F.try_to_number(given, F.lit("999999999999999999")).cast("long")
+    content = F.xxhash64(F.to_json("parts"), "properties", "geom_type", "__file", "__place")
+    hashed = F.coalesce(F.when(given.isNotNull(), F.xxhash64(given)), content).bitwiseOR(F.lit(-(2**63)))
+    rows = rows.withColumn("geom_id", F.coalesce(number, hashed)).withColumn("feature_id", given)
+    geoms = Geometries(rows.select("geom_id", "geom_type", "parts", "feature_id", "properties"), crs)
     if not properties:
         return geoms
     raw = {p: F.get_json_object("properties", f"$.{p}") for p in properties}

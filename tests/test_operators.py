@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cubeloom import Band, Cube
@@ -500,3 +501,38 @@ def test_polygons_of_areas_with_holes_and_corners_that_touch(spark):
                 assert part[0] == part[-1]
                 assert all((a.x == b.x) != (b.x == c.x) for a, b, c in zip(part, part[1:], part[2:]))  # corners only
     assert len(grid(spark, pinch).raster_to_polygons().df.where("value = 1").first().parts) == 1  # its hole touches the outside
+
+
+@pytest.mark.parametrize("given, temporal, want", [
+    (8, False, (8, "px")), (3600, True, (3600, "s")), ("128 px", False, (128, "px")), ("100 m", False, (100, "m")), ("0.5 km", False, (500, "m")),
+    ("10 days", True, (864000, "s")), ("P10d", True, (864000, "s")), ("PT6H30M", True, (23400, "s")), ("P2W", True, (1209600, "s")), ("P1M", True, (1, "month")),
+    ("2 years", True, (24, "month")), ({"value": 16, "unit": "px"}, False, (16, "px")), ({"value": "P1Y2M"}, True, (14, "month"))])
+def test_sizes_of_neighbourhoods(given, temporal, want):
+    from cubeloom.operators.measures import measure
+
+    found = measure(given, temporal)
+    assert (found.amount, found.unit) == want
+
+
+@pytest.mark.parametrize("given, temporal", [("10 days", False), ("100 m", True), ("P", True), ("P1M3D", True), ("1.5 months", True), ("7 cubits", False), ("", False)])
+def test_sizes_that_are_refused(given, temporal):
+    from cubeloom.operators.measures import measure
+
+    with pytest.raises(ValueError):
+        measure(given, temporal)
+
+
+def test_metres_in_degrees_and_without_a_system(spark):
+    from cubeloom.errors import CrsUnknown
+
+    df = spark.range(40).select((F.col("id") % 8 * 0.001 + 10).alias("x"), (F.floor(F.col("id") / 8) * 0.001 + 60).alias("y"), F.lit(1.0).alias("v"))
+    cube = Cube.of(df, temporal=(), bands=["v"], step=0.001, crs=4326)
+
+    def count(block):
+        return block._new(block.df.withColumn("v", F.count(F.lit(1)).over(Window.partitionBy("block")).cast("double")))
+
+    # at 60 degrees a pixel is 55.7 m wide and 111.3 m high: four by two of them make a block
+    got = {r.v for r in cube.apply_neighborhood(count, {"x": "222 m", "y": "222 m"}).df.collect()}
+    assert got == {8.0, 4.0}  # the fifth row is alone
+    with pytest.raises(CrsUnknown):
+        Cube.of(df, temporal=(), bands=["v"], step=0.001).apply_neighborhood(count, {"x": "223 m"})

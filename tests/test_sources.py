@@ -243,3 +243,18 @@ def test_forest(spark, tmp_path):
     assert len(got) == 200 and all((v is None) if x == 9 else v == (1.0 if x > 4 else 5.0) for (x, _), v in got.items())
     regr = learn.fit_regr_random_forest(df, ["a", "b"], "x", num_trees=5, seed=1)
     assert regr.model.transform(df).where("abs(prediction - x) > 3").count() == 0
+
+
+def test_geojson_ids_are_kept_and_do_not_change(spark, tmp_path):
+    point = '{"type":"Feature",%s"geometry":{"type":"Point","coordinates":[%d,2]},"properties":{"n":%d}}'
+    lines = [point % ('"id":"field-a",', 1, 1), point % ('"id":"17",', 2, 2), point % ("", 3, 3), point % ("", 3, 3), point % ("", 4, 4)]
+    (tmp_path / "a.geojsonl").write_text("\n".join(lines))
+    read = lambda n: {r.geom_id: (r.feature_id, r.minx) for r in load_geojson(spark.newSession() if n else spark, str(tmp_path / "a.geojsonl"), multiline=False).df.repartition(n + 1).collect()}
+    first = read(0)
+    assert first == read(1) == read(4)
+    assert first[17] == ("17", 2.0) and sorted(k for k in first if k >= 0) == [17]
+    assert sorted((v[0] or "", v[1]) for v in first.values()) in ([("", 3.0), ("", 4.0), ("17", 2.0), ("field-a", 1.0)], [("", 3.0), ("", 3.0), ("", 4.0), ("17", 2.0), ("field-a", 1.0)])
+    body = ",".join(lines)
+    (tmp_path / "b.geojson").write_text('{"type":"FeatureCollection","features":[%s]}' % body)
+    whole = load_geojson(spark, str(tmp_path / "b.geojson")).df
+    assert whole.select("geom_id").distinct().count() == 5  # equal features differ by their place in the document
