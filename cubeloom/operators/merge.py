@@ -19,8 +19,12 @@ class MergeOps(CubeBase):
         A cube that lacks dimensions is spread over them. Bands only one cube has are
         kept next to each other. Without a resolver, overlapping data is an error.
         With ``keep_single=False`` cells of only one cube become null, as a comparison needs.
+        A cube without dimensions and bands adds nothing: it is filled by what it is merged with.
         """
         a, b = self.schema, other.schema
+        for one, rest in ((a, other), (b, self)):
+            if not one.dim_names and not one.values:
+                return rest
         shared = [d for d in a.dim_names if b.has(d)]
         if len(shared) < len(b.dim_names) and len(shared) < len(a.dim_names):
             raise err.DimensionMismatch(f"{a.dim_names} and {b.dim_names} each have dimensions the other lacks")

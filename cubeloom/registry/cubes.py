@@ -89,6 +89,23 @@ def _(t):
     return stac.band_table(stac.read_items(t.spark, items))
 
 
+@query("stac_band_metadata_by_item", """WITH named AS (
+  SELECT 'B' || n_nationkey % 7 AS name, CASE WHEN n_nationkey % 2 = 0 THEN n_name END AS common_name, n_nationkey / 10.0::DOUBLE AS wavelength,
+         'scene-' || n_regionkey AS id, n_nationkey AS pos FROM nation
+), first AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY id, pos) AS k FROM named)
+SELECT name, common_name, wavelength, CAST(row_number() OVER (ORDER BY id, pos) AS INTEGER) AS position FROM first WHERE k = 1""", "wavelength")
+def _(t):
+    """Items with different bands, some named more than once: the first one counts, in order of appearance."""
+    items = scratch_path(t.spark, "items")
+    band = F.struct(F.col("n_nationkey").alias("k"), F.concat(F.lit("B"), F.col("n_nationkey") % 7).alias("name"),
+                    F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).alias("common_name"), (F.col("n_nationkey") / 10).alias("center_wavelength"))
+    rows = t.table("nation").groupBy("n_regionkey").agg(F.sort_array(F.collect_list(band)).alias("b"))
+    bands = F.transform("b", lambda b: F.struct(b["name"].alias("name"), b["common_name"].alias("common_name"), b["center_wavelength"].alias("center_wavelength")))
+    rows.select(F.lit("Feature").alias("type"), F.concat(F.lit("scene-"), F.col("n_regionkey")).alias("id"),
+                F.create_map(F.lit("data"), F.struct(F.lit("none").alias("href"), bands.alias("bands"))).alias("assets")).write.json(items)
+    return stac.band_table(stac.read_items(t.spark, items))
+
+
 @query("load_result", """SELECT x, y, t, B04 FROM cube_wide WHERE x >= 2 AND x <= 8 AND y >= 1 AND y <= 9
 AND t >= TIMESTAMP '1997-05-01' AND t < TIMESTAMP '1997-06-01'""", "B04")
 def _(t):
@@ -133,6 +150,16 @@ def _(t):
     return empty._new(t.static.df, t.static.schema)
 
 
+@query("create_data_cube_filled", """SELECT x, y, 'elevation' AS kind, elev AS value FROM cube_static
+UNION ALL SELECT x, y, 'copies' AS kind, CAST(2 AS DOUBLE) AS value FROM cube_static""", "value")
+def _(t):
+    """An empty cube takes the first cube merged into it as it is, and goes on from there."""
+    value = Cube.of(t.static.df.withColumnRenamed("elev", "value"), temporal=(), bands=["value"], band_dim=None)
+    filled = Cube.empty(t.spark).merge_cubes(value.add_dimension("kind", "elevation"))
+    two = value.apply(lambda v: F.lit(2.0)).add_dimension("kind", "copies")
+    return filled.merge_cubes(two).merge_cubes(Cube.empty(t.spark)).df.select("x", "y", "kind", "value")
+
+
 @query("multi_result", """SELECT x, y, 'max' AS kind, max(B04) AS value FROM cube_wide GROUP BY x, y
 UNION ALL SELECT x, y, 'min' AS kind, min(B04) AS value FROM cube_wide GROUP BY x, y""", "value")
 def _(t):

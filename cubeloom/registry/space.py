@@ -407,6 +407,28 @@ def _(t):
         "x", "y", F.col("value").isNull().alias("missing"), F.col("__label").isNotNull().alias("known"))
 
 
+@query("fit_regr_random_forest_error", "SELECT label, count(*) AS n, true AS better_than_mean, true AS follows FROM arrays GROUP BY label")
+def _(t):
+    """Squared errors per label below nine tenths of those of its mean, and predictions that rise with the target: a constant fails both."""
+    df, names = _samples(t)
+    model = learn.fit_regr_random_forest(df, names[1:], "f0", max_variables="all", seed=7)
+    out = model.model.transform(df)
+    return out.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), (F.avg(F.pow(F.col("prediction") - F.col("f0"), F.lit(2))) < F.var_pop("f0") * 0.9).alias("better_than_mean"),
+        (F.corr("prediction", "f0") > 0.5).alias("follows"))
+
+
+@query("predict_random_forest_right", "SELECT label, count(*) FILTER (id % 25 <> 3) AS n, true AS mostly_right FROM arrays GROUP BY label")
+def _(t):
+    """For every label more than half of its cells get it back; a constant predictor fails for all labels but one."""
+    df, names = _samples(t)
+    model = learn.fit_class_random_forest(df, names, "label", seed=7)
+    out = _pixels(t, names).predict_random_forest(model).df.where("value is not null")
+    known = df.select((F.col("id") % 25).alias("x"), F.floor(F.col("id") / 25).cast("long").alias("y"), "label")
+    return out.join(known, ["x", "y"]).groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), (F.avg((F.col("value") == F.col("label")).cast("double")) > 0.5).alias("mostly_right"))
+
+
 @query("save_load_ml_model", "SELECT id % 25 AS x, CAST(floor(id / 25) AS BIGINT) AS y, true AS same FROM arrays")
 def _(t):
     """A model that was saved and loaded predicts what it did before, in every cell."""
