@@ -136,6 +136,51 @@ def bounds(low: str, high: str) -> tuple[Column, Column]:
     return F.col(low) - grow, F.col(high) + grow
 
 
+def box_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs of geometries whose bounding boxes (buffers included) meet, each once; columns of ``b`` begin with ``b_``.
+
+    A geometry's level is the power of two that its box fits into, so at its level, and at
+    any above, it covers four cells at most, however its size compares to others. Two geometries meet
+    at the higher of their levels, where the larger one is at home, and there only in the
+    cell of the lower left corner of what their boxes share.
+    """
+    def boxed(df: DataFrame) -> DataFrame:
+        ends = dict(zip(("__w", "__e"), bounds("minx", "maxx"))) | dict(zip(("__s", "__n"), bounds("miny", "maxy")))
+        size = F.greatest(F.col("__e") - F.col("__w"), F.col("__n") - F.col("__s"), F.lit(1e-9))
+        return df.where(F.col("minx").isNotNull()).withColumns(ends).withColumn("__level", F.ceil(F.log2(size)).cast("int"))
+
+    a, b = boxed(a), boxed(b)
+    prefixed = [F.col(c).alias(f"b_{c}") for c in b.columns]
+
+    def side(length: Column) -> Column:
+        return F.pow(F.lit(2.0), length)
+
+    def cells(df: DataFrame, levels: Column) -> DataFrame:
+        df = df.withColumn("__at", F.explode(levels))
+        for name, low, high in (("__tx", "__w", "__e"), ("__ty", "__s", "__n")):
+            df = df.withColumn(name, F.explode(F.sequence(F.floor(F.col(low) / side(F.col("__at"))), F.floor(F.col(high) / side(F.col("__at"))))))
+        return df
+
+    def above(df: DataFrame, top: DataFrame, start: int) -> Column:
+        """Levels from ``start`` above the own one up to the highest of the other side."""
+        highest = top.agg(F.max("__level")).scalar()
+        first = F.col("__level") + start
+        return F.when(first <= highest, F.sequence(first, highest)).otherwise(F.array().cast("array<int>"))
+
+    def met(small: DataFrame, large: DataFrame, other: DataFrame, start: int, flip: bool) -> DataFrame:
+        probes, homes = cells(small, above(small, other, start)), cells(large, F.array("__level"))
+        left, right = (homes, probes) if flip else (probes, homes)
+        key = ["__at", "__tx", "__ty"]
+        return left.join(right.select(*key, *prefixed), key)
+
+    pairs = met(a, b, b, 0, False).unionByName(met(b, a, a, 1, True))
+    w, s = F.greatest("__w", "b___w"), F.greatest("__s", "b___s")
+    meet = (F.col("__w") <= F.col("b___e")) & (F.col("b___w") <= F.col("__e")) & (F.col("__s") <= F.col("b___n")) & (F.col("b___s") <= F.col("__n"))
+    once = (F.floor(w / side(F.col("__at"))) == F.col("__tx")) & (F.floor(s / side(F.col("__at"))) == F.col("__ty"))
+    inner = [c for c in pairs.columns if c.removeprefix("b_").startswith("__")]
+    return pairs.where(meet & once).drop(*inner)
+
+
 def pixel_hits(cube, geometries, pixels: DataFrame | None = None) -> DataFrame:
     """Join pixel rows to the geometries they belong to: columns of the pixels plus ``geom_id``.
 

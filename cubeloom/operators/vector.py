@@ -92,32 +92,15 @@ class Geometries:
             raise err.UnsupportedGeometry("a buffered outline is not rebuilt")
         if relation not in ("intersects", "within", "disjoint"):
             raise ValueError(f"unknown relation {relation!r}")
-        # cells of about the mean box size, but never more than 1024 along the extent of the base,
-        # so that one large geometry among small ones does not cover too many cells
-        def mean_box(df: DataFrame) -> Column:
-            return df.agg(F.greatest(F.avg(F.col("maxx") - F.col("minx")), F.avg(F.col("maxy") - F.col("miny")), F.lit(0.0)).alias("s")).scalar()
-
-        extent = geometries.df.agg(F.greatest(F.max("maxx") - F.min("minx"), F.max("maxy") - F.min("miny")).alias("e")).scalar()
-        size = F.greatest(mean_box(self.df), mean_box(geometries.df), extent / 1024, F.lit(1e-9))
-
-        def cells(df: DataFrame) -> DataFrame:
-            sized = df.where(F.col("minx").isNotNull()).withColumn("__s", size)
-            for name, ends in (("__tx", geo.bounds("minx", "maxx")), ("__ty", geo.bounds("miny", "maxy"))):
-                sized = sized.withColumn(name, F.explode(F.sequence(*[F.floor(end / F.col("__s")) for end in ends])))
-            return sized
-
-        fields = ("geom_type", "parts", "minx", "miny", "maxx", "maxy", "buffer")
-        mine = cells(self.df).withColumn("edges", geo.edges_or_points())
-        base = cells(geometries.df).withColumn("edges", geo.edges_or_points()).select(
-            "__tx", "__ty", *[F.col(c).alias(f"b_{c}") for c in (*fields, "edges")])
+        fields = ("geom_id", *geo.GEOM_FIELDS[1:])
+        pairs = geo.box_pairs(self.df.select(*fields).withColumn("edges", geo.edges_or_points()),
+                              geometries.df.select(*fields).withColumn("edges", geo.edges_or_points()))
         a_area, b_area = F.col("geom_type").endswith("Polygon"), F.col("b_geom_type").endswith("Polygon")
         crossing = F.exists("edges", lambda s: F.exists(F.col("b_edges"), lambda q: geo.segments_cross(s, q)))
         a_first, b_first = F.flatten("parts")[0], F.flatten("b_parts")[0]
         a_in_b = b_area & geo.covers(a_first["x"], a_first["y"], F.col("b_edges"))
         b_in_a = a_area & geo.covers(b_first["x"], b_first["y"], F.col("edges"))
         reach = F.col("buffer") + F.col("b_buffer")
-        boxes = (F.col("minx") - reach <= F.col("b_maxx")) & (F.col("b_minx") - reach <= F.col("maxx")) & (
-            F.col("miny") - reach <= F.col("b_maxy")) & (F.col("b_miny") - reach <= F.col("maxy"))
         if relation == "within":
             proper = F.exists("edges", lambda s: F.exists(F.col("b_edges"), lambda q: _cross_properly(s, q)))
             test = b_area & F.forall(F.flatten("parts"), lambda p: geo.covers(p["x"], p["y"], F.col("b_edges"))) & ~proper
@@ -126,7 +109,7 @@ class Geometries:
             if grown:  # outlines that don't cross are nearest at a vertex of one of them
                 near = F.exists(F.flatten("parts"), lambda p: geo.distance(p["x"], p["y"], F.col("b_edges")) <= reach)
                 test = test | near | F.exists(F.flatten("b_parts"), lambda p: geo.distance(p["x"], p["y"], F.col("edges")) <= reach)
-        ids = mine.join(base, ["__tx", "__ty"]).where(boxes & test).select("geom_id").distinct()
+        ids = pairs.where(test).select("geom_id").distinct()
         how = "left_anti" if relation == "disjoint" else "left_semi"
         return self._new(self.df.join(ids, "geom_id", how))
 

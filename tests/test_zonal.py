@@ -73,3 +73,30 @@ def test_work_follows_pixels_and_runs_where_many_polygons_share_a_tile(spark):
         cx, cy, r = x1, y0, x1 - x0
         expected += sum(abs(px - cx) + abs(py - cy) <= r for px in range(max(0, int(cx - r) - 1), min(256, int(cx + r) + 2)) for py in range(max(0, int(cy - r) - 1), min(256, int(cy + r) + 2)))
     assert pairs.where("__hit and geom_id < 200").count() == expected
+
+
+def test_every_pair_of_boxes_meets_once_whatever_their_sizes(spark):
+    rng = random.Random(11)
+
+    def shapes(n, seed):
+        out = []
+        for i in range(n):
+            x, y, r = rng.uniform(-500, 500), rng.uniform(-500, 500), rng.choice([0.0, 0.01, 1, 1, 3, 40, 700])
+            out.append({"type": "Polygon", "id": i, "coordinates": [[(x, y), (x + r, y), (x + r, y + r / 2), (x, y)]]})
+        return Geometries.from_shapes(spark, out)
+
+    a, b = shapes(300, 1), shapes(200, 2)
+    a = Geometries(a.df.withColumn("buffer", F.when(F.col("geom_id") % 3 == 0, 5.0).otherwise(0.0)), None)
+    got = [(r.geom_id, r.b_geom_id) for r in geo.box_pairs(a.df.select(*geo.GEOM_FIELDS), b.df.select(*geo.GEOM_FIELDS)).collect()]
+    boxes = [{r.geom_id: (r.minx - r.buffer, r.maxx + r.buffer, r.miny - r.buffer, r.maxy + r.buffer) for r in g.df.collect()} for g in (a, b)]
+    want = [(i, j) for i, p in boxes[0].items() for j, q in boxes[1].items() if p[0] <= q[1] and q[0] <= p[1] and p[2] <= q[3] and q[2] <= p[3]]
+    assert len(got) == len(set(got)) and sorted(got) == sorted(want)
+
+
+def test_one_large_base_among_many_small_ones(spark):
+    small = [{"type": "Point", "id": i, "coordinates": (i * 1000.0, 0.5)} for i in range(3000)]
+    base = [{"type": "Polygon", "id": 1, "coordinates": [[(-1, -1), (2e6, -1), (2e6, 1), (-1, 1), (-1, -1)]]}, {"type": "Point", "id": 2, "coordinates": (2_500_000.0, 0.5)}]
+    found = Geometries.from_shapes(spark, small).filter_vector(Geometries.from_shapes(spark, base))
+    assert sorted(r.geom_id for r in found.df.select("geom_id").collect()) == [*range(2001), 2500]
+    none = Geometries.from_shapes(spark, small).filter_vector(Geometries.from_shapes(spark, [{"type": "Polygon", "id": 1, "coordinates": []}]))
+    assert none.df.count() == 0
