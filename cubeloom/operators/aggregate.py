@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import errors as err
@@ -72,10 +72,19 @@ class AggregateOps(CubeBase):
         rows = self.df.withColumn("__start", dates.period_start(F.col(t), period))
         out = group_reduce(rows, [*keys, "__start"], schema.values, reducer, t)
         if complete:
+            # the gaps of a series are those between its own periods and towards the ends of the cube
             ends = self._scalars(low=F.min(t), high=F.max(t))
-            spine = self.df.select(*keys).distinct().withColumns({"__low": ends["low"], "__high": ends["high"]})
-            spine = spine.select(*keys, F.explode(dates.period_spine(F.col("__low"), F.col("__high"), period)).alias("__start"))
-            out = _filled(spine, out, [*keys, "__start"], schema.values, reducer)
+            series = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__start")
+            out = out.withColumns({"__low": ends["low"], "__high": ends["high"]})
+            out = out.withColumns({"__before": F.lag("__start").over(series), "__next": F.lead("__start").over(series)})
+            start, coming = F.col("__start"), F.col("__next")
+            first = F.when(F.col("__before").isNull(), dates.period_start(F.col("__low"), period)).otherwise(start)
+            last = F.coalesce(coming, dates.period_start(F.col("__high"), period))
+            out = out.withColumn("__at", F.explode(F.filter(
+                dates.period_spine(first, last, period), lambda p: coming.isNull() | (p < coming))))
+            empty = F.lit(0).cast("long") if resolve(reducer).name == "count" else F.lit(None)
+            out = out.select(*keys, F.col("__at").alias("__start"), *[
+                F.when(F.col("__at") == start, F.col(v)).otherwise(empty).alias(v) for v in schema.values])
         label = dates.period_label(F.col("__start"), period)
         return self._new(out.withColumn(t, label))
 
