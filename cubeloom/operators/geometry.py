@@ -196,11 +196,14 @@ def pixel_hits(cube, geometries, pixels: DataFrame | None = None) -> DataFrame:
     box = some.agg(F.struct(
         (F.min("minx") - grow - sx).alias("w"), (F.max("maxx") + grow + sx).alias("e"),
         (F.min("miny") - grow - sy).alias("s"), (F.max("maxy") + grow + sy).alias("n")))
-    rows = (cube.df if pixels is None else pixels).where(
-        cube._between(x, box.scalar()["w"], box.scalar()["e"]) & cube._between(y, box.scalar()["s"], box.scalar()["n"]))
-    plain = F.col("geom_type").isin("Polygon", "MultiPolygon") & (F.col("buffer") == 0)
+    ends = box.scalar()
+    rows = (cube.df if pixels is None else pixels).where(cube._between(x, ends["w"], ends["e"]) & cube._between(y, ends["s"], ends["n"]))
     places = rows.select(x, y).distinct() if pixels is None else rows.select(x, y)
-    found = run_hits(places, some.where(plain), x, y, sx, sy).unionByName(tile_hits(places, some.where(~plain), x, y, sx, sy))
+    if geometries.areas and not geometries.grown:
+        found = run_hits(places, some, x, y, sx, sy)
+    else:
+        plain = F.col("geom_type").isin("Polygon", "MultiPolygon") & (F.col("buffer") == 0)
+        found = run_hits(places, some.where(plain), x, y, sx, sy).unionByName(tile_hits(places, some.where(~plain), x, y, sx, sy))
     return rows.join(found, [x, y]).select(*rows.columns, "geom_id")
 
 

@@ -33,12 +33,13 @@ def with_bounds(df: DataFrame) -> DataFrame:
 class Geometries:
     """A table of geometries: ``geom_id, geom_type, parts``, bounds, buffer, then properties.
 
-    ``crs`` may be unknown; ``grown`` is the sum of the buffers so far.
+    ``crs`` may be unknown; ``grown`` is the sum of the buffers so far; ``areas`` says that
+    all are known to be polygons.
     """
 
-    def __init__(self, df: DataFrame, crs: int | None = 4326, grown: float = 0.0):
+    def __init__(self, df: DataFrame, crs: int | None = 4326, grown: float = 0.0, areas: bool = False):
         self.df = df if "minx" in df.columns else with_bounds(df)
-        self.crs, self.grown = crs, grown
+        self.crs, self.grown, self.areas = crs, grown, areas
 
     @classmethod
     def from_shapes(cls, spark, shapes: list[dict], crs: int | None = None) -> "Geometries":
@@ -59,14 +60,14 @@ class Geometries:
         point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
         table = pa.Table.from_pylist(rows, pa.schema([
             ("geom_id", pa.int64()), ("geom_type", pa.string()), ("parts", pa.list_(pa.list_(point)))]))
-        return cls(spark.createDataFrame(table), crs)
+        return cls(spark.createDataFrame(table), crs, areas=all(r["geom_type"] in ("Polygon", "MultiPolygon") for r in rows))
 
     @property
     def properties(self) -> list[str]:
         return [c for c in self.df.columns if c not in geo.GEOM_FIELDS]
 
     def _new(self, df: DataFrame, crs: int | None = None) -> "Geometries":
-        return Geometries(df, crs or self.crs, self.grown)
+        return Geometries(df, crs or self.crs, self.grown, self.areas)
 
     def filter_bbox(self, extent, crs: int | None = None) -> "Geometries":
         """Keep geometries whose bounding box, buffer included, lies inside the box."""
