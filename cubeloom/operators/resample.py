@@ -2,6 +2,8 @@
 
 Every source pixel names the target cells it contributes to, so no grid has to be joined:
 ``near`` needs no shuffle at all, the other methods one ``groupBy`` on the target cell.
+Across reference systems the area methods use the projected outline of each pixel: its four
+corners, which neighbours share, so that the outlines fill the plane without gap or overlap.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from ..errors import UnsupportedProjection
 from ..functions import reducers as R
 from ..plans.grouping import group_reduce
 from .base import CubeBase
-from .projection import epsg, project, project_all
+from .projection import epsg, let, project, project_all
 
 AREA = {"min": "min", "max": "max", "med": "median", "q1": R.quantiles([0.25]), "q3": R.quantiles([0.75]), "mode": "mode"}
 WEIGHTED = ("average", "sum", "rms")
@@ -55,6 +57,49 @@ def _span(points: list[tuple[Column, Column]], source: int, target: int) -> tupl
     return F.array_min(moved["x"]), F.array_max(moved["x"]), F.array_min(moved["y"]), F.array_max(moved["y"])
 
 
+def _clipped_area(corners: Column, west: Column, south: Column, rx: float, ry: float) -> Column:
+    """Area, in target cells, of the part of an outline that lies in the cell with the given lower-left corner.
+
+    Each side adds the signed area between the cell's lower edge and itself, where it runs
+    over the cell: the height is cut to the cell, so what is added is a level stretch at 0,
+    a slope, and a level stretch at 1. Nothing is divided by a difference that vanishes.
+    """
+    def cut(v: Column) -> Column:
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), v))
+
+    def side(a: Column, b: Column) -> Column:
+        ax, ay, bx, by = (a["x"] - west) / rx, (a["y"] - south) / ry, (b["x"] - west) / rx, (b["y"] - south) / ry
+        whole = F.struct(ax.alias("x"), ay.alias("y"), (bx - ax).alias("dx"), (by - ay).alias("dy"))
+        # the stretch of the side that runs over the cell, from u to v of its length
+        over = let(whole, lambda q: F.struct(
+            *[q[k].alias(k) for k in ("x", "y", "dx", "dy")],
+            F.coalesce(cut(F.try_divide(-q["x"], q["dx"])), F.lit(0.0)).alias("u"),
+            F.coalesce(cut(F.try_divide(1.0 - q["x"], q["dx"])), F.lit(0.0)).alias("v")))
+        steps = let(over, lambda q: F.struct(
+            *[q[k].alias(k) for k in ("y", "dx", "dy")], F.least(q["u"], q["v"]).alias("u"), F.greatest(q["u"], q["v"]).alias("v")))
+        # within it, where the height passes 0 and 1; a level side has no such place
+        def height(q: Column) -> Column:
+            def place(level: float) -> Column:
+                return F.greatest(q["u"], F.least(q["v"], F.try_divide(level - q["y"], q["dy"])))
+
+            m, n = F.least(place(0.0), place(1.0)), F.greatest(place(0.0), place(1.0))
+            start, end = cut(q["y"] + q["dy"] * q["u"]), cut(q["y"] + q["dy"] * q["v"])
+            slope = (n - m) * cut(q["y"] + q["dy"] * (m + n) / 2)
+            return q["dx"] * F.when(q["dy"] == 0, (q["v"] - q["u"]) * start).otherwise(
+                (m - q["u"]) * start + slope + (q["v"] - n) * end)
+
+        return let(steps, height)
+
+    following = F.concat(F.slice(corners, 2, 3), F.slice(corners, 1, 1))
+    return F.abs(F.aggregate(F.zip_with(corners, following, side), F.lit(0.0), lambda total, part: total + part))
+
+
+def _outline_area(corners: Column) -> Column:
+    """Area of an outline of four corners, by its diagonals."""
+    a, b, c, d = (F.get(corners, F.lit(i)) for i in range(4))
+    return F.abs((c["x"] - a["x"]) * (d["y"] - b["y"]) - (c["y"] - a["y"]) * (d["x"] - b["x"])) / 2
+
+
 class ResampleOps(CubeBase):
     def resample_spatial(self, resolution=0, projection=None, method: str = "near", align: str = "upper-left"):
         """Resample to a new pixel size and/or reference system, aligned to one corner of the extent."""
@@ -97,8 +142,6 @@ class ResampleOps(CubeBase):
         if kernel is None and method != "near" and method not in AREA and method not in WEIGHTED:
             raise ValueError(f"unknown method {method!r}")
         same = source == target
-        if not same and kernel is None and method != "near":
-            raise UnsupportedProjection(f"{method} across reference systems: reproject with near, then resample")
         # a kernel widens with the reduction ratio, so every source pixel is used
         fx, fy = (max(1.0, rx / sx), max(1.0, ry / sy)) if same else (1.0, 1.0)
         ax, ay = (support * fx * sx, support * fy * sy) if kernel else (sx / 2, sy / 2)
@@ -108,6 +151,11 @@ class ResampleOps(CubeBase):
         else:
             lx, hx, ly, hy = _span([(cx + a * ax, cy + b * ay) for a in (-1, 0, 1) for b in (-1, 0, 1)], source, target)
         by_area = method in AREA or method in WEIGHTED
+        df = self.df
+        if by_area and not same:
+            ring = [(cx + a * sx / 2, cy + b * sy / 2) for a, b in ((-1, -1), (1, -1), (1, 1), (-1, 1))]
+            df = df.withColumn("__q", project_all(ring, source, target))
+            lx, hx, ly, hy = (end(F.col("__q")[c]) for c in "xy" for end in (F.array_min, F.array_max))
 
         def cells(low: Column, high: Column, o: Column, r: float, first: Column, last: Column) -> Column:
             """Indices whose centre (or, by area, whose cell) the range touches, within the grid."""
@@ -119,7 +167,7 @@ class ResampleOps(CubeBase):
             b = F.least(b, F.ceil((last - o) / r - 1e-9) - 1)
             return F.when(a <= b, F.sequence(a, b))
 
-        df = self.df.withColumns({"__ox": ox, "__oy": oy})
+        df = df.withColumns({"__ox": ox, "__oy": oy})
         df = df.withColumn("__k", F.explode(cells(lx, hx, F.col("__ox"), rx, west, east)))
         df = df.withColumn("__l", F.explode(cells(ly, hy, F.col("__oy"), ry, south, north)))
         tx, ty = F.col("__ox") + (F.col("__k") + 0.5) * rx, F.col("__oy") + (F.col("__l") + 0.5) * ry
@@ -134,6 +182,10 @@ class ResampleOps(CubeBase):
             # the pixel a target centre falls in; a centre on an edge belongs to the higher pixel
             hit = (F.round(dx, 9) >= -0.5) & (F.round(dx, 9) < 0.5) & (F.round(dy, 9) >= -0.5) & (F.round(dy, 9) < 0.5)
             return self._new(df.where(hit).select(*others, *target_cols, *schema.values), out_schema)
+        if by_area and not same:
+            df = df.withColumns({"__p": _outline_area(F.col("__q")) / (rx * ry),
+                                 "__a": _clipped_area(F.col("__q"), F.col("__tx") - rx / 2, F.col("__ty") - ry / 2, rx, ry)})
+            df = df.where(F.col("__a") > 1e-9 * F.least(F.lit(1.0), F.col("__p")))  # what only touches has no share
         if method in AREA:
             rows = df.select(*others, *target_cols, *schema.values)
             out = group_reduce(rows, [*others, x, y], schema.values, AREA[method])
@@ -144,7 +196,9 @@ class ResampleOps(CubeBase):
             def share(c: Column, s: float, t: Column, r: float) -> Column:
                 return (F.least(c + s / 2, t + r / 2) - F.greatest(c - s / 2, t - r / 2)) / s
 
-            weight = share(cx, sx, F.col("__tx"), rx) * share(cy, sy, F.col("__ty"), ry)
+            weight = share(cx, sx, F.col("__tx"), rx) * share(cy, sy, F.col("__ty"), ry) if same else F.col("__a")
+            if not same and method == "sum":  # a pixel is shared out by the part of it that a cell holds
+                weight = weight / F.col("__p")
         else:
             weight = kernel(dx / fx) * kernel(dy / fy)
         df = df.withColumn("__w", weight).where(F.col("__w") != 0)

@@ -695,6 +695,44 @@ def _(t):
         {n: seen.agg(f("elev").alias("v")).scalar() for n, f in (("distinct_values", F.count), ("low", F.min), ("high", F.max))})
 
 
+# The static cube read as degrees: pixel p covers lon x +- 0.5, lat y +- 0.5; its outline in Mercator metres is a rectangle.
+_RADIUS = "6378137.0"
+_DEGREES = f"""(SELECT x, y, elev, radians(x - 0.5) * {_RADIUS} AS w, radians(x + 0.5) * {_RADIUS} AS e,
+ln(tan(pi() / 4 + radians(y - 0.5) / 2)) * {_RADIUS} AS s, ln(tan(pi() / 4 + radians(y + 0.5) / 2)) * {_RADIUS} AS n
+FROM (SELECT x, y % 80 AS y, elev FROM cube_static) m)"""
+# target cells of 150 km by 90 km, counted from the upper-left corner of the extent
+_METRE_CELLS = f"""(SELECT g.w + 150000.0 * k.i AS cw, g.w + 150000.0 * (k.i + 1) AS ce, g.o + 90000.0 * l.i AS cs, g.o + 90000.0 * (l.i + 1) AS cn FROM (
+SELECT min(w) AS w, max(e) AS e, max(n) AS n, max(n) - ceil((max(n) - min(s)) / 90000.0 - 1e-9) * 90000.0 AS o FROM {_DEGREES} d) g,
+(SELECT unnest(range(0, 200)) AS i) k, (SELECT unnest(range(0, 400)) AS i) l
+WHERE k.i < ceil((g.e - g.w) / 150000.0 - 1e-9) AND l.i < ceil((g.n - g.o) / 90000.0 - 1e-9)) c"""
+_SHARED = "(least(p.e, c.ce) - greatest(p.w, c.cw)) * (least(p.n, c.cn) - greatest(p.s, c.cs))"
+
+
+def _degrees(t):
+    df = t.static.df.withColumns({"x": F.col("x").cast("double"), "y": (F.col("y") % 80).cast("double")})
+    return Cube.of(df, temporal=(), bands=["elev"], band_dim=None, crs=4326)
+
+
+def _resample_metres(method: str, agg: str) -> None:
+    @query(f"resample_spatial_reproject_{method}", f"""SELECT (c.cw + c.ce) / 2 AS x, (c.cs + c.cn) / 2 AS y, {agg} AS elev FROM {_METRE_CELLS} JOIN {_DEGREES} p
+ON p.e > c.cw + 1e-3 AND p.w < c.ce - 1e-3 AND p.n > c.cs + 1e-3 AND p.s < c.cn - 1e-3 GROUP BY c.cw, c.ce, c.cs, c.cn""", "x:3 y:3 elev:5")
+    def _(t):
+        return _degrees(t).resample_spatial([150000.0, 90000.0], projection=3857, method=method)
+
+
+_resample_metres("average", f"sum(p.elev * {_SHARED}) / sum({_SHARED})")
+_resample_metres("sum", f"sum(p.elev * {_SHARED} / ((p.e - p.w) * (p.n - p.s)))")
+_resample_metres("rms", f"sqrt(sum(p.elev * p.elev * {_SHARED}) / sum({_SHARED}))")
+_resample_metres("max", "max(p.elev)")
+_resample_metres("med", "median(p.elev)")
+
+
+@query("resample_spatial_reproject_near", f"""SELECT (c.cw + c.ce) / 2 AS x, (c.cs + c.cn) / 2 AS y, p.elev FROM {_METRE_CELLS} JOIN {_DEGREES} p
+ON (c.cw + c.ce) / 2 >= p.w AND (c.cw + c.ce) / 2 < p.e AND (c.cs + c.cn) / 2 >= p.s AND (c.cs + c.cn) / 2 < p.n""", "x:3 y:3 elev")
+def _(t):
+    return _degrees(t).resample_spatial([150000.0, 90000.0], projection=3857, method="near")
+
+
 @query("resample_cube_spatial", """SELECT c.cx AS x, c.cy AS y, avg(p.elev) AS elev FROM (
 SELECT DISTINCT x + 0.25 AS cx, y + 0.25 AS cy FROM cube_wide) c JOIN cube_static p ON p.x = c.cx - 0.25 AND p.y = c.cy - 0.25 GROUP BY 1, 2""", "x y elev")
 def _(t):

@@ -10,6 +10,7 @@ from cubeloom import Band, Cube
 from cubeloom import errors as err
 from cubeloom.operators import compare, focal
 from cubeloom.operators.filters import bbox_dict, normalize_longitudes
+from cubeloom.operators.resample import _clipped_area
 from cubeloom.operators.vector import Geometries, box_geometry, split_area
 
 
@@ -370,6 +371,35 @@ def test_reprojection_known_points(spark):
         g.vector_reproject(31370).df.collect()
 
 
+def test_area_methods_across_reference_systems(spark):
+    rows = [(500000.0 + 1000 * i, 5700000.0 + 1000 * j, float(i * 7 % 5 + j), 3.0) for i in range(12) for j in range(9)]
+    cube = Cube.of(spark.createDataFrame(rows, "x double, y double, a double, b double"), temporal=(), bands=["a", "b"], crs=32631, step=1000.0)
+    total = sum(r[2] for r in rows)
+    for size in (0.002, 0.03, 50.0):  # cells smaller than a pixel, larger, and one for all; outlines are oblique
+        summed = cube.resample_spatial(size, projection=4326, method="sum").df
+        got = summed.agg(F.sum("a"), F.sum("b")).first()
+        assert got[0] == pytest.approx(total, rel=1e-7) and got[1] == pytest.approx(3.0 * len(rows), rel=1e-7)
+    mean = {(r.x, r.y): r for r in cube.resample_spatial(0.03, projection=4326, method="average").df.collect()}
+    assert all(r.b == pytest.approx(3.0) for r in mean.values())
+    low, high = (cube.resample_spatial(0.03, projection=4326, method=m).df.collect() for m in ("min", "max"))
+    assert {(r.x, r.y) for r in low} == set(mean) == {(r.x, r.y) for r in high}
+    assert all(r.a <= mean[r.x, r.y].a + 1e-9 for r in low) and all(r.a >= mean[r.x, r.y].a - 1e-9 for r in high)
+
+
+@pytest.mark.parametrize("area", [[(0.2, 0.1), (1.7, 0.4), (1.5, 1.9), (-0.3, 1.2)], [(0, 0), (1, 0), (1, 1), (0, 1)], [(-2, -2), (3, -2), (3, 3), (-2, 3)],
+                                  [(0.5, -1), (0.5, 2), (0.7, 2), (0.7, -1)], [(5, 5), (6, 5), (6, 6), (5, 6)], [(0.2, 0.5), (0.8, 0.5 + 1e-13), (0.8, 0.9), (0.2, 0.9)]])
+def test_clipped_area_against_sampling(spark, area):
+    corners = F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in area])
+    got = spark.range(1).select(_clipped_area(corners, F.lit(0.0), F.lit(0.0), 1.0, 1.0)).first()[0]
+    n = 400
+    xs, ys = np.meshgrid((np.arange(n) + 0.5) / n, (np.arange(n) + 0.5) / n)
+    odd = np.zeros_like(xs, bool)
+    for (ax, ay), (bx, by) in zip(area, area[1:] + area[:1]):
+        with np.errstate(all="ignore"):
+            odd ^= ((ay > ys) != (by > ys)) & (xs < ax + (ys - ay) * (bx - ax) / (by - ay))
+    assert got == pytest.approx(odd.mean(), abs=3e-3)
+
+
 @pytest.mark.parametrize("size, tile, n", [(100e3, 20e3, 25), (150e3, 100e3, 4)])
 def test_split_area_box(spark, size, tile, n):
     rows = split_area(spark, {"west": 0, "south": 0, "east": size, "north": size, "crs": 3857}, projection="EPSG:3857", tile_size=tile).collect()
