@@ -81,6 +81,11 @@ def order_key(seed: str, epoch: Column, doc_id: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("-"))).cast("binary"))
 
 
+def slot_digits(n: Column) -> Column:
+    """Hexadecimal digits of the order key that make a slot in a leaf of ``n`` documents: 16 ** digits >= sqrt(n)."""
+    return F.greatest(F.lit(1), F.ceil(F.log2(n.cast("double")) / 8)).cast("int")
+
+
 def mix(docs: DataFrame, weights: dict[tuple[str, ...], int] | None = None, fraction: float = 0.8, max_epochs: int = 2,
         seed: str = SEED, domain: Column | None = None, tokens: Column | None = None) -> DataFrame:
     """Rows of ``docs`` drawn to the weights, with ``domain``, ``n_tokens`` and ``epoch`` added.
@@ -96,7 +101,8 @@ def mix(docs: DataFrame, weights: dict[tuple[str, ...], int] | None = None, frac
 
     Running totals of a leaf of any size: tokens are summed by leaf and leading digits of
     the order key first, which finds the slot in which the leaf's run ends; only documents
-    of that slot, ids and counts alone, are put in order. What comes back is one key per
+    of that slot, ids and counts alone, are put in order. A leaf of n documents has about
+    the square root of n slots (up to 16 times as many), so both windows stay small. What comes back is one key per
     leaf, and rows are kept by comparing keys.
     """
     source = F.coalesce(F.col("source").cast("string"), F.lit("none"))
@@ -106,13 +112,14 @@ def mix(docs: DataFrame, weights: dict[tuple[str, ...], int] | None = None, frac
         "__l": F.coalesce(F.col("lang").cast("string"), F.lit("none")), "__s": source})
     names = [F.col("__d").alias("domain"), F.col("__l").alias("language"), F.col("__s").alias("source_name")]
     light = stored(rows.select(*names, F.col("doc_id").alias("id"), F.col("__t").alias("t")), "mix-tokens")
-    leaves = light.groupBy(*LEVELS).agg(F.sum("t").alias("tokens"))
+    leaves = light.groupBy(*LEVELS).agg(F.sum("t").alias("tokens"), F.count(F.lit(1)).alias("n"))
     shares = leaf_budgets(leaves, WEIGHTS if weights is None else weights, fraction, max_epochs)
     whole = F.when(F.col("tokens") > 0, F.floor(F.col("share") / F.col("tokens"))).otherwise(F.lit(0)).cast("long")
-    shares = stored(shares.withColumn("whole", whole).withColumn("rest", F.col("share") - F.col("whole") * F.col("tokens")), "mix-shares")
+    shares = stored(shares.withColumn("whole", whole).withColumn("rest", F.col("share") - F.col("whole") * F.col("tokens")).withColumn(
+        "digits", slot_digits(F.col("n"))), "mix-shares")
 
-    placed = light.join(shares.select(*LEVELS, "whole", "rest"), list(LEVELS))
-    placed = placed.withColumn("key", order_key(seed, F.col("whole"), F.col("id"))).withColumn("slot", F.substring("key", 1, 3))
+    placed = light.join(shares.select(*LEVELS, "whole", "rest", "digits"), list(LEVELS))
+    placed = placed.withColumn("key", order_key(seed, F.col("whole"), F.col("id"))).withColumn("slot", F.substring("key", F.lit(1), F.col("digits")))
     slots = placed.groupBy(*LEVELS, "slot", "rest").agg(F.sum("t").alias("t"))
     slots = slots.withColumn("end", F.sum("t").over(Window.partitionBy(*LEVELS).orderBy("slot")))
     last = stored(slots.where("end > rest").groupBy(*LEVELS).agg(
