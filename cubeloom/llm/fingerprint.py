@@ -12,6 +12,7 @@ from .common import stored, table
 
 WORDS = 48  # three signed bytes of a hash each; every byte has a lane, a long, of its own
 LANES = 3 * WORDS
+MODULUS = 48  # lanes and the number of pieces are sums modulo 2^48, as signed residues; two residues add up within a long
 FEW = 1024  # pieces up to which the mean of a signed byte, -1/2, is lost in the error of a likeness
 BLOCK = 23  # pieces are first summed in blocks of 2^23, where a sum stays below 2^30 and two fit in a long
 PARAGRAPHS = r"(?<=\n)|(?<=[.!?] )"  # cut points; every piece keeps what ends it
@@ -29,6 +30,11 @@ def _halves(pair: Column) -> tuple[Column, Column]:
     return low, F.shiftright(pair - low, 32)
 
 
+def _residue(total: Column) -> Column:
+    """The signed residue modulo 2^``MODULUS``."""
+    return F.shiftright(F.shiftleft(total, 64 - MODULUS), 64 - MODULUS)
+
+
 def fingerprints(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     """``keys`` and ``fp``, the fingerprint of the text as an array of longs; a null counts as the empty text.
 
@@ -36,8 +42,9 @@ def fingerprints(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     sentence end, so that a text of one long paragraph has parts as well; the pieces form a
     multiset (their order is of no account, their number is). Each piece is hashed by
     SHA-256, the hash is stretched to ``LANES`` signed bytes, and each byte is summed over the
-    pieces in a long of its own, which no number of pieces in a text can fill; behind the
-    lanes stands the number of pieces. Texts with equal pieces have equal fingerprints;
+    pieces modulo 2^``MODULUS`` in a long of its own; behind the lanes stands the number of
+    pieces. Fingerprints thus add up without end (``insert`` over a corpus never overflows),
+    and below 2^40 pieces, more than a text can have, the residues are the sums. Texts with equal pieces have equal fingerprints;
     ``insert`` and ``delete`` follow an edit without the rest of the text. Pieces of a row
     are summed where the row is: rows dealt out by some of ``keys`` are not shuffled again.
     """
@@ -48,17 +55,17 @@ def fingerprints(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     blocks = hashes.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__c"), *[F.sum(p).alias(f"__w{i}") for i, p in enumerate(pairs)])
     lanes = [half for i in range(LANES // 2) for half in _halves(F.col(f"__w{i}"))]
     sums = blocks.groupBy(*keys).agg(*[F.sum(lane).alias(f"__l{i}") for i, lane in enumerate([*lanes, F.col("__c")])])
-    return sums.select(*keys, F.array(*[f"__l{i}" for i in range(LANES + 1)]).alias("fp"))
+    return sums.select(*keys, F.array(*[_residue(F.col(f"__l{i}")) for i in range(LANES + 1)]).alias("fp"))
 
 
 def insert(a: Column, b: Column) -> Column:
     """The fingerprint of both multisets together."""
-    return F.zip_with(a, b, lambda x, y: x + y)
+    return F.zip_with(a, b, lambda x, y: _residue(x + y))
 
 
 def delete(a: Column, b: Column) -> Column:
     """The fingerprint of ``a`` without the pieces of ``b``."""
-    return F.zip_with(a, b, lambda x, y: x - y)
+    return F.zip_with(a, b, lambda x, y: _residue(x - y))
 
 
 def as_text(fp: Column) -> Column:
@@ -114,12 +121,12 @@ def with_next(docs: DataFrame) -> DataFrame:
     are cut into ranges of about equal row counts (a mergeable sketch over all ids gives the
     cuts), and the window runs per range. The largest document of each range is also dealt
     to the range above as a guest, behind all others, so every row meets its successor in
-    one shuffle (rows of a range ``r`` stay in one task, in order of ``place``). Only the
-    cuts, at most 4,095 numbers, come to the driver.
+    one shuffle (rows of a range ``r`` stay in one task, in order of ``place``). Ranges are
+    two to sixteen times as many as shuffle partitions; only the cuts come to the driver.
     """
     spark = docs.sparkSession
     wanted, ranges = int(spark.conf.get("spark.sql.shuffle.partitions")), 8
-    while ranges < 2 * wanted and ranges < 4096:
+    while ranges < 2 * wanted:
         ranges *= 2
     data = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     cuts = data.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0] or []

@@ -130,6 +130,14 @@ def test_likeness_of_many_and_of_equal_pieces(spark):
     assert alike == pytest.approx(1.0, abs=0.01)
 
 
+def test_fingerprints_wrap_at_their_modulus(spark):
+    top = (1 << fingerprint.MODULUS - 1) - 1
+    df = spark.createDataFrame([([top, -top - 1, 5], [1, -1, -7])], "a array<long>, b array<long>")
+    both, back = df.select(fingerprint.insert(F.col("a"), F.col("b")).alias("s"), "a", "b").select(
+        "s", fingerprint.delete(F.col("s"), F.col("b"))).first()
+    assert both == [-top - 1, top, -2] and back == [top, -top - 1, 5]
+
+
 # -- components and blocks
 
 def test_components(spark):
@@ -300,6 +308,21 @@ def test_mixing_awkward_rows(spark):
     assert mixing.mix(awkward(spark, [])).collect() == []
 
 
+def test_mixing_takes_the_same_run_whatever_the_slots(spark, monkeypatch):
+    docs = spark.range(700).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("en").alias("lang"),
+                                   F.when(F.col("id") < 650, "src1").otherwise("src2").alias("source"), F.lit(5).alias("n_chars"))
+    def drawn():
+        return sorted((r.doc_id, r.epoch) for r in mixing.mix(docs, fraction=0.7).collect())
+
+    want = drawn()
+    for digits in (1, 5):
+        monkeypatch.setattr(mixing, "slot_digits", lambda n, d=digits: F.lit(d))
+        assert drawn() == want
+    monkeypatch.undo()
+    sizes = spark.createDataFrame([(1,), (256,), (257,), (65536,), (65537,), (10**10,)], "n long")
+    assert [r[0] for r in sizes.select(mixing.slot_digits(F.col("n"))).collect()] == [1, 1, 2, 2, 3, 5]
+
+
 # -- language
 
 def test_language_by_held_out_accuracy(spark, tables):
