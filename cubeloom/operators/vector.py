@@ -7,9 +7,8 @@ from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import errors as err
 from ..schema import Band, CubeSchema
@@ -160,23 +159,15 @@ class Geometries:
         grid = columns.select("geom_id", F.explode("__p").alias("p"))
         first = df.where(F.col("geom_type").endswith("Polygon")).select("geom_id", F.flatten("parts")[0].alias("p"))
         first = first.join(grid.select("geom_id").distinct(), "geom_id", "left_anti")
-        walk = F.aggregate(
-            F.col("edges"),
-            F.struct(F.lit(0.0).alias("len"), F.array().cast("array<struct<s:struct<ax:double,ay:double,bx:double,by:double>,at:double,n:double>>").alias("segs")),
-            lambda acc, s: F.struct(
-                (acc["len"] + _length(s)).alias("len"),
-                F.array_append(acc["segs"], F.struct(s.alias("s"), acc["len"].alias("at"), _length(s).alias("n"))).alias("segs")),
-        )["segs"]
-
-        def steps(q: Column) -> Column:
-            ks = F.sequence(F.ceil(q["at"] / d - 1e-9), F.ceil((q["at"] + q["n"]) / d - 1e-9) - 1)
-            good = F.when(F.ceil(q["at"] / d - 1e-9) <= F.ceil((q["at"] + q["n"]) / d - 1e-9) - 1, ks)
-            return F.transform(F.coalesce(good, F.array().cast("array<bigint>")), lambda k: F.struct(
-                (q["s"]["ax"] + (k * d - q["at"]) / q["n"] * (q["s"]["bx"] - q["s"]["ax"])).alias("x"),
-                (q["s"]["ay"] + (k * d - q["at"]) / q["n"] * (q["s"]["by"] - q["s"]["ay"])).alias("y")))
-
-        lines = df.where(F.col("geom_type").endswith("LineString")).select(
-            "geom_id", F.explode(F.flatten(F.transform(walk, steps))).alias("p"))
+        # sides of a line with the length before them, as rows
+        walk = df.where(F.col("geom_type").endswith("LineString")).select("geom_id", F.posexplode("edges").alias("__i", "s"))
+        before = Window.partitionBy("geom_id").orderBy("__i").rowsBetween(Window.unboundedPreceding, -1)
+        walk = walk.withColumn("n", _length(F.col("s"))).withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0.0)))
+        low, high = F.ceil(F.col("at") / d - 1e-9), F.ceil((F.col("at") + F.col("n")) / d - 1e-9) - 1
+        step = (F.col("__k") * d - F.col("at")) / F.col("n")
+        lines = walk.withColumn("__k", F.explode(F.when(low <= high, F.sequence(low, high)))).select("geom_id", F.struct(
+            (F.col("s.ax") + step * (F.col("s.bx") - F.col("s.ax"))).alias("x"),
+            (F.col("s.ay") + step * (F.col("s.by") - F.col("s.ay"))).alias("y")).alias("p"))
         dots = df.where(F.col("geom_type").endswith("Point")).select("geom_id", F.explode(F.flatten("parts")).alias("p"))
         points = grid.unionByName(first).unionByName(lines).unionByName(dots)
         return self._points(points, group)
@@ -198,29 +189,40 @@ class Geometries:
             want = even if want is None else F.least(want, even)
         if want is None:
             raise err.CountMismatch("give geometry_count or total_count")
-        area = F.col("geom_type").endswith("Polygon")
-        df = df.withColumn("__want", want)
-        polygons = df.where(area).mapInArrow(_with_trapezoids, T.StructType([*df.schema, T.StructField("__traps", T.DataType.fromDDL(_TRAPEZOIDS))]))
-        df = df.where(~area).withColumn("__traps", F.lit(None).cast(_TRAPEZOIDS)).unionByName(polygons)
+        area, dots = F.col("geom_type").endswith("Polygon"), F.col("geom_type").endswith("Point")
 
         def unit(salt: str) -> Column:
             return (F.pmod(F.xxhash64("geom_id", F.col("__n"), F.lit(salt), F.lit(seed)), F.lit(1 << 40))) / float(1 << 40)
 
-        tries = df.withColumn("__n", F.explode(F.when(F.col("__want") > 0, F.sequence(F.lit(1).cast("long"), F.col("__want")))))
-        at = F.element_at("edges", (F.floor(unit("e") * F.size("edges")) + 1).cast("int"))
-        u = unit("x")
-        tries = tries.withColumn("__u", unit("t") * F.element_at("__traps", -1)["upto"]).withColumn(
-            "__t", F.get(F.filter("__traps", lambda t: t["upto"] > F.col("__u")), F.lit(0)))
-        t = F.col("__t")
-        h0, h1, v = t["top0"] - t["low0"], t["top1"] - t["low1"], u + 0.5 / float(1 << 40)
+        # one light row per wanted point, dealt in runs so that no array is as long as their number
+        light = df.select("geom_id", area.alias("__area"), dots.alias("__dots"), F.size("edges").cast("long").alias("__sides"), want.alias("__want"))
+        runs = light.withColumn("__run", F.explode(F.when(F.col("__want") > 0, F.sequence(F.lit(0).cast("long"), F.floor((F.col("__want") - 1) / POINT_RUN)))))
+        first = F.col("__run") * POINT_RUN + 1
+        tries = runs.withColumn("__n", F.explode(F.sequence(first, F.least(F.col("__want"), first + POINT_RUN - 1))))
+        tries = tries.withColumn("__u", unit("t")).withColumns({
+            "__bucket": F.floor(F.col("__u") * F.col("__sides")),
+            "__at": F.when(F.col("__dots"), F.col("__n") - 1).otherwise(F.floor(unit("e") * F.col("__sides")))})
+
+        # trapezoids meet points in as many buckets of the running area as the polygon has sides
+        cut = df.where(area).select("geom_id", "edges").mapInArrow(_trapezoid_rows, _TRAPEZOIDS)
+        spread = cut.withColumn("t_bucket", F.explode(F.sequence(
+            F.greatest(F.lit(0), F.floor(F.col("since") * F.col("sides") - 1e-6)), F.floor(F.col("upto") * F.col("sides") + 1e-6)))).drop("sides")
+        spread = spread.withColumnRenamed("geom_id", "t_geom")
+        drawn = tries.join(spread, (F.col("geom_id") == F.col("t_geom")) & (F.col("__bucket") == F.col("t_bucket"))
+                           & (F.col("since") <= F.col("__u")) & (F.col("__u") < F.col("upto")), "left")
+        sides = df.where(~dots).select(F.col("geom_id").alias("s_geom"), F.posexplode("edges").alias("s_at", "s")).select(
+            "s_geom", F.col("s_at").cast("long").alias("s_at"), *[F.col(f"s.{c}").alias(c) for c in ("ax", "ay", "bx", "by")])
+        own = df.where(dots).select(F.col("geom_id").alias("s_geom"), F.posexplode(F.flatten("parts")).alias("s_at", "s")).select(
+            "s_geom", F.col("s_at").cast("long").alias("s_at"), *[F.col(f"s.{c}").alias(f"{end}{c}") for end in "ab" for c in "xy"])
+        drawn = drawn.join(sides.unionByName(own), (F.col("geom_id") == F.col("s_geom")) & (F.col("__at") == F.col("s_at")), "left")
+
+        u, t = unit("x"), F.col
+        h0, h1, v = t("top0") - t("low0"), t("top1") - t("low1"), u + 0.5 / float(1 << 40)
         s = v * (h0 + h1) / (h0 + F.sqrt(h0 * h0 + v * (h1 * h1 - h0 * h0)))  # share of the width, by area
-        low, top = t["low0"] + s * (t["low1"] - t["low0"]), t["top0"] + s * (t["top1"] - t["top0"])
-        vertex = F.flatten("parts")
-        p = F.when(t.isNotNull(), F.struct((t["x0"] + s * (t["x1"] - t["x0"])).alias("x"), (low + unit("y") * (top - low)).alias("y"))).when(
-            area | F.col("geom_type").endswith("LineString"), F.struct(
-                (at["ax"] + u * (at["bx"] - at["ax"])).alias("x"), (at["ay"] + u * (at["by"] - at["ay"])).alias("y"))).otherwise(
-            F.get(vertex, (F.col("__n") - 1).cast("int")))
-        points = tries.select("geom_id", F.when(area, F.col("__n")).alias("__k"), p.alias("p")).where(F.col("p").isNotNull())
+        low, top = t("low0") + s * (t("low1") - t("low0")), t("top0") + s * (t("top1") - t("top0"))
+        p = F.when(t("x0").isNotNull(), F.struct((t("x0") + s * (t("x1") - t("x0"))).alias("x"), (low + unit("y") * (top - low)).alias("y"))).when(
+            t("ax").isNotNull(), F.struct((t("ax") + u * (t("bx") - t("ax"))).alias("x"), (t("ay") + u * (t("by") - t("ay"))).alias("y")))
+        points = drawn.select("geom_id", F.when(F.col("__area"), F.col("__n")).alias("__k"), p.alias("p")).where(F.col("p").isNotNull())
         return self._points(points.distinct().select("geom_id", "p"), group)
 
     def _points(self, points: DataFrame, group: bool) -> "Geometries":
@@ -243,50 +245,71 @@ class Geometries:
         return type(target)(out, CubeSchema(dims=dims, bands=(Band("value"),)))
 
 
-_TRAPEZOIDS = "array<struct<x0:double,x1:double,low0:double,low1:double,top0:double,top1:double,upto:double>>"
+POINT_RUN = 4096  # wanted points that one row stands for before it is taken apart
+_TRAPEZOIDS = "geom_id long, sides long, x0 double, x1 double, low0 double, low1 double, top0 double, top1 double, since double, upto double"
 
 
-def _trapezoids(edges: list[dict]) -> list[dict]:
-    """What lies within the sides (by the even-odd rule) as trapezoids between vertical lines, with the running area."""
-    e = np.array([(q["ax"], q["ay"], q["bx"], q["by"]) for q in edges], float).reshape(-1, 4)
+def _trapezoids(e: np.ndarray) -> np.ndarray:
+    """What lies within the sides (by the even-odd rule) as trapezoids ``x0, x1, low0, low1, top0, top1`` between vertical lines.
+
+    A line sweeps over the corners and carries the sides it crosses; a strip costs as much
+    as it has sides. Sides that cross within a strip cut it once more: where there is a
+    crossing, two neighbours by their height in the middle have one.
+    """
     e = np.where((e[:, 0] > e[:, 2])[:, None], e[:, [2, 3, 0, 1]], e)
     e = e[e[:, 0] < e[:, 2]]
+    e = e[np.argsort(e[:, 0], kind="stable")]
     slope = (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
-    out, upto = [], 0.0
     cuts = np.unique(e[:, [0, 2]])
-    strips = list(zip(cuts[:-1], cuts[1:]))[::-1]
-    while strips:
-        x0, x1 = strips.pop()
-        inside = (e[:, 0] <= x0) & (e[:, 2] >= x1)
-        q, k = e[inside], slope[inside]
-        y0, y1 = (np.where(x == q[:, 2], q[:, 3], q[:, 1] + k * (x - q[:, 0])) for x in (x0, x1))
-        order = np.argsort(y0 + y1, kind="stable")
-        y0, y1 = y0[order], y1[order]
-        i, j = np.triu_indices(len(y0), 1)
-        d0, d1 = y0[j] - y0[i], y1[j] - y1[i]
-        crossed = d0 * d1 < 0  # sides that cross within the strip cut it once more
-        if crossed.any():
-            at = np.unique(x0 + (x1 - x0) * (d0[crossed] / (d0[crossed] - d1[crossed])))
-            at = at[(at > x0 + 1e-9 * (x1 - x0)) & (at < x1 - 1e-9 * (x1 - x0))]
-            if len(at):
-                bounds = [x0, *at, x1]
-                strips.extend(list(zip(bounds[:-1], bounds[1:]))[::-1])
-                continue
-        for a in range(0, len(y0) - 1, 2):
-            low0, low1 = float(y0[a]), float(y1[a])
-            top0, top1 = max(low0, float(y0[a + 1])), max(low1, float(y1[a + 1]))
-            size = (top0 - low0 + top1 - low1) / 2 * float(x1 - x0)
-            if upto + size > upto:
-                upto += size
-                out.append({"x0": float(x0), "x1": float(x1), "low0": low0, "low1": low1, "top0": top0, "top1": top1, "upto": upto})
-    return out
-
-
-def _with_trapezoids(batches):
-    kind = pa.list_(pa.struct([(n, pa.float64()) for n in ("x0", "x1", "low0", "low1", "top0", "top1", "upto")]))
+    begins = np.searchsorted(e[:, 0], cuts, side="right")  # sides met up to each line
+    active, known, out = np.empty(0, np.int64), 0, []
+    for k in range(len(cuts) - 1):
+        active = np.concatenate([active[e[active, 2] > cuts[k]], np.arange(known, begins[k])])
+        known = begins[k]
+        if len(active) < 2:
+            continue
+        q, m = e[active], slope[active]
+        strips = [(cuts[k], cuts[k + 1])]
+        while strips:
+            x0, x1 = strips.pop()
+            y0, y1 = (np.where(x == q[:, 2], q[:, 3], q[:, 1] + m * (x - q[:, 0])) for x in (x0, x1))
+            order = np.argsort(y0 + y1, kind="stable")
+            y0, y1 = y0[order], y1[order]
+            d0, d1 = np.diff(y0), np.diff(y1)
+            crossed = d0 * d1 < 0
+            if crossed.any():
+                at = np.unique(x0 + (x1 - x0) * (d0[crossed] / (d0[crossed] - d1[crossed])))
+                at = at[(at > x0 + 1e-9 * (x1 - x0)) & (at < x1 - 1e-9 * (x1 - x0))]
+                if len(at):
+                    bounds = [x0, *at, x1]
+                    strips.extend(list(zip(bounds[:-1], bounds[1:]))[::-1])
+                    continue
+            n = len(y0) // 2 * 2
+            low0, low1 = y0[0:n:2], y1[0:n:2]
+            out.append(np.stack([np.full(n // 2, x0), np.full(n // 2, x1), low0, low1,
+                                 np.maximum(low0, y0[1:n:2]), np.maximum(low1, y1[1:n:2])], axis=1))
+    return np.concatenate(out) if out else np.empty((0, 6))
+
+
+def _trapezoid_rows(batches):
+    """A row per trapezoid, with the shares of the polygon's area before and behind it."""
+    names = [field.split()[0] for field in _TRAPEZOIDS.split(", ")]
     for batch in batches:
-        traps = pa.array([_trapezoids(edges.as_py() or []) for edges in batch.column("edges")], kind)
-        yield pa.RecordBatch.from_arrays([*batch.columns, traps], names=[*batch.schema.names, "__traps"])
+        for geom_id, edges in zip(batch.column("geom_id"), batch.column("edges")):
+            if not edges.is_valid or not len(edges):
+                continue
+            flat = edges.values
+            sides = np.stack([flat.field(c).to_numpy(zero_copy_only=False) for c in ("ax", "ay", "bx", "by")], axis=1)
+            traps = _trapezoids(sides.astype(float))
+            upto = np.cumsum((traps[:, 4] - traps[:, 2] + traps[:, 5] - traps[:, 3]) / 2 * (traps[:, 1] - traps[:, 0]))
+            if not len(upto) or not upto[-1] > 0:
+                continue
+            since = np.concatenate([[0.0], upto[:-1]])
+            kept = upto > since
+            shares = [since[kept] / upto[-1], upto[kept] / upto[-1]]
+            columns = [pa.array([geom_id.as_py()] * int(kept.sum()), pa.int64()), pa.array(np.full(int(kept.sum()), len(sides)))]
+            columns += [pa.array(c) for c in (*traps[kept].T, *shares)]
+            yield from pa.Table.from_arrays(columns, names=names).to_batches(max_chunksize=8192)
 
 
 def _cross_properly(s: Column, q: Column) -> Column:

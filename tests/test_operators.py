@@ -11,7 +11,7 @@ from cubeloom import errors as err
 from cubeloom.operators import compare, focal
 from cubeloom.operators.filters import bbox_dict, normalize_longitudes
 from cubeloom.operators.resample import _clipped_area
-from cubeloom.operators.vector import Geometries, box_geometry, split_area
+from cubeloom.operators.vector import Geometries, _trapezoids, box_geometry, split_area
 
 
 # -- series of the small label cube
@@ -433,6 +433,43 @@ def test_random_points(spark):
         g.vector_to_random_points(total_count=1, seed=1).df.collect()
 
 
+def test_trapezoids_fill_the_polygon():
+    rng = np.random.default_rng(5)
+    turn = np.linspace(0, 2 * np.pi, 100_000, endpoint=False)
+    star = np.stack([np.cos(turn), np.sin(turn)], axis=1) * (2 + np.sin(50 * turn))[:, None]
+    for ring in (star, rng.random((40, 2))):  # many corners, and one that crosses itself
+        traps = _trapezoids(np.concatenate([ring, np.roll(ring, -1, axis=0)], axis=1))
+        area = ((traps[:, 4] - traps[:, 2] + traps[:, 5] - traps[:, 3]) / 2 * (traps[:, 1] - traps[:, 0])).sum()
+        if len(ring) > 1000:
+            x, y = ring.T
+            assert area == pytest.approx(abs(x @ np.roll(y, -1) - y @ np.roll(x, -1)) / 2, rel=1e-9)
+        else:
+            xs, ys = np.meshgrid((np.arange(500) + 0.5) / 500, (np.arange(500) + 0.5) / 500)
+            odd = np.zeros_like(xs, bool)
+            for (ax, ay), (bx, by) in zip(ring, np.roll(ring, -1, axis=0)):
+                odd ^= ((ay > ys) != (by > ys)) & (xs < ax + (ys - ay) * (bx - ax) / (by - ay))
+            assert area == pytest.approx(odd.mean(), abs=4e-3)
+
+
+def test_a_million_random_points_and_a_polygon_of_many_corners(spark):
+    turn = np.linspace(0, 2 * np.pi, 20_001)
+    ring = np.stack([100 * np.cos(turn), 50 * np.sin(turn)], axis=1)
+    shapes = [{"type": "Polygon", "id": 1, "coordinates": [ring.tolist()]}, {"type": "Polygon", "id": 2, "coordinates": [[(0, 0), (4, 0), (4, 1), (0, 0)]]}]
+    got = Geometries.from_shapes(spark, shapes, 3857).vector_to_random_points(geometry_count=1_000_000, group=False, seed=3).df
+    p = F.col("parts")[0][0]
+    inside = (F.pow(p["x"] / 100, F.lit(2)) + F.pow(p["y"] / 50, F.lit(2)) <= 1.0)
+    row = got.agg(F.count("*").alias("n"), F.sum(inside.cast("int")).alias("inside"), F.sum(F.when((p["x"] > 4) & (p["y"] > 0), 1)).alias("quarter")).first()
+    assert row.n == row.inside == 2_000_000 and row.quarter == pytest.approx(250_000 * (1 - 0.0509), rel=0.01)
+
+
+def test_regular_points_along_a_long_line(spark):
+    bends = [(float(i), float(i % 2)) for i in range(30_001)]
+    line = Geometries.from_shapes(spark, [{"type": "LineString", "id": 1, "coordinates": bends}], 3857)
+    points = line.vector_to_regular_points(10.0).df.first().parts[0]
+    assert len(points) == math.ceil(30_000 * math.sqrt(2) / 10)
+    assert all(p.y == pytest.approx(p.x % 2 if p.x % 2 <= 1 else 2 - p.x % 2, abs=1e-6) for p in points)
+
+
 def test_random_points_of_thin_and_crossing_polygons(spark):
     thin = [{"type": "Polygon", "id": i, "coordinates": [[(0, 0), (1000, 1000), (1000, 1000.5), (0, 0.5), (0, 0)]]} for i in range(200)]
     bow = {"type": "Polygon", "id": 900, "coordinates": [[(0, 0), (4, 4), (4, 0), (0, 4), (0, 0)]]}
