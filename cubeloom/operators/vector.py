@@ -355,25 +355,63 @@ class VectorCube:
         kept = self.geometries.filter_vector(geometries, relation)
         return VectorCube(self.df.join(kept.df.select("geom_id"), "geom_id", "left_semi"), self.schema, kept)
 
-    def timeseries_table(self, labels: list, index: str = "date", auto_collapse: bool = True) -> DataFrame:
+    def timeseries_table(self, labels: list | None = None, index: str = "date", auto_collapse: bool = True, strict: bool = False) -> DataFrame:
         """Wide table of a zonal series, indexed by date or polygon.
 
         ``labels`` are the labels that become columns: geometry ids for a date index, the
-        times for a polygon index. Columns are ``<label>`` when there is one band (and
-        ``auto_collapse``), else ``<label>_<band>``.
+        times for a polygon index. Without them they are found in the data (one aggregate;
+        more than Spark's ``spark.sql.pivotMaxValues`` is an error, as columns are part of
+        the plan). Columns are ``<label>`` when there is one band (and ``auto_collapse``),
+        else ``<label>_<band>``; where a date index finds a single polygon in the data, they
+        are the bands alone. Missing values are null. ``strict`` refuses series without
+        rows, without a polygon at some date, with different polygons over the dates, or
+        without any value.
         """
         if index not in ("date", "polygon"):
             raise ValueError(index)
         t = self.schema.only("temporal")
         rows, cols = (t, "geom_id") if index == "date" else ("geom_id", t)
+        if strict:
+            self._check_series(t)
+        found = labels is None
+        if found:
+            labels = self._labels(cols)
         if not labels or not self.schema.values:
             raise err.InvalidTimeSeries("no labels or no bands")
         single = auto_collapse and len(self.schema.values) == 1
+        alone = auto_collapse and found and index == "date" and len(labels) == 1
         text = F.col(cols).cast("string")
-        aggs = [
-            F.max(F.when(text == F.lit(str(label)), F.col(v))).alias(str(label) if single else f"{label}_{v}")
-            for label in labels for v in self.schema.values]
-        return self.df.where(F.col(t).isNotNull()).groupBy(rows).agg(*aggs)
+
+        def name(label, v: str) -> str:
+            return v if alone else str(label) if single else f"{label}_{v}"
+
+        aggs = [F.max(F.when(text == F.lit(str(label)), F.col(v))).alias(name(label, v)) for label in labels for v in self.schema.values]
+        return self.df.where(F.col(rows).isNotNull()).groupBy(rows).agg(*aggs)
+
+    def _labels(self, dimension: str) -> list[str]:
+        """The labels of a dimension in their own order, as text; as many as a table may have columns."""
+        most = int(self.df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        known = self.df.where(F.col(dimension).isNotNull()).groupBy(dimension).agg(F.first(F.col(dimension).cast("string")).alias("__label"))
+        out = [r["__label"] for r in known.orderBy(dimension).limit(most + 1).select("__label").collect()]
+        if len(out) > most:
+            raise err.InvalidTimeSeries(f"more than {most} labels in {dimension}: name the wanted ones")
+        return out
+
+    def _check_series(self, t: str) -> None:
+        """One pass over the series: counts of polygons by date, and of values."""
+        values = F.greatest(F.lit(0), *[F.count(v) for v in self.schema.values]) if self.schema.values else F.lit(0)
+        by_date = self.df.where(F.col(t).isNotNull()).groupBy(t).agg(F.count_distinct("geom_id").alias("n"), values.alias("v"))
+        facts = by_date.agg(F.count(F.lit(1)).alias("dates"), F.min("n").alias("low"), F.max("n").alias("high"), F.sum("v").alias("v")).first()
+        if not facts["dates"]:
+            raise err.InvalidTimeSeries("empty data set")
+        if not facts["high"]:
+            raise err.InvalidTimeSeries("no polygon at any date")
+        if not facts["low"]:
+            raise err.InvalidTimeSeries("no polygon at some dates")
+        if facts["low"] != facts["high"]:
+            raise err.InvalidTimeSeries(f"between {facts['low']} and {facts['high']} polygons at a date")
+        if not facts["v"]:
+            raise err.InvalidTimeSeries("no value in any band")
 
     def rename_bands(self, names: dict) -> "VectorCube":
         bands = tuple(replace(b, name=names.get(b.name, b.name)) for b in self.schema.bands)

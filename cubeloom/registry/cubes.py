@@ -562,6 +562,24 @@ def _(t):
     return z.timeseries_table([1, 2])
 
 
+_MAXIMA = f"""({_zonal("max(floor(z.B04)) AS B04, max(floor(z.B08)) AS B08")})"""
+
+
+def _maxima(t, *zones):
+    return t.shifted.filter_bands(["B04", "B08"]).apply(lambda v: F.floor(v).cast("double")).aggregate_spatial(t.zones(*zones), "max")
+
+
+@query("timeseries_table_found_polygons", f"""SELECT t, {", ".join(f'max({b}) FILTER (WHERE geom_id = {i}) AS "{i}_{b}"' for i in (1, 2, 3) for b in ("B04", "B08"))}
+FROM {_MAXIMA} a WHERE t IS NOT NULL GROUP BY t""")
+def _(t):
+    return _maxima(t, "square", "ell", "triangle").timeseries_table()
+
+
+@query("timeseries_table_one_polygon", f"SELECT t, max(B04) AS B04, max(B08) AS B08 FROM {_MAXIMA} a WHERE t IS NOT NULL AND geom_id = 2 GROUP BY t")
+def _(t):
+    return _maxima(t, "ell").timeseries_table()
+
+
 _SEASON = "CASE WHEN month(t) IN (12, 1, 2) THEN 'djf' WHEN month(t) BETWEEN 3 AND 5 THEN 'mam' WHEN month(t) BETWEEN 6 AND 8 THEN 'jja' ELSE 'son' END"
 
 

@@ -126,6 +126,41 @@ def test_timeseries_tables(spark):
         z.timeseries_table([0], index="band")
 
 
+def test_timeseries_tables_find_their_labels(spark):
+    two = series(spark, [(0, "2019-02", 1.0, 2.0, 3.0), (1, "2019-01", 4.0, 5.0, 6.0), (1, "2019-02", None, 8.0, 9.0)])
+    assert two.timeseries_table().columns == ["t", *[f"{i}_{b}" for i in (0, 1) for b in "abc"]]
+    got = {r.geom_id: r for r in two.timeseries_table(index="polygon").collect()}
+    assert two.timeseries_table(index="polygon").columns == ["geom_id", *[f"{d}_{b}" for d in ("2019-01", "2019-02") for b in "abc"]]
+    assert got[1]["2019-02_c"] == 9.0 and got[0]["2019-01_a"] is None and got[1]["2019-02_a"] is None
+    one = series(spark, [(1, "2019-01", 1.0, 2.0, 3.0), (1, "2019-02", None, None, None)])
+    assert one.timeseries_table().columns == ["t", "a", "b", "c"]
+    assert sorted(map(tuple, one.timeseries_table().collect())) == [("2019-01", 1.0, 2.0, 3.0), ("2019-02", None, None, None)]
+    assert one.timeseries_table(auto_collapse=False).columns == ["t", "1_a", "1_b", "1_c"]
+    assert one.timeseries_table(index="polygon").columns == ["geom_id", *[f"{d}_{b}" for d in ("2019-01", "2019-02") for b in "abc"]]
+    lone = series(spark, [(1, "2019-01", 1.0)], ("a",))
+    assert lone.timeseries_table().columns == ["t", "a"] and lone.timeseries_table(index="polygon").columns == ["geom_id", "2019-01"]
+    assert one.timeseries_table(strict=True).count() == 2
+
+
+@pytest.mark.parametrize("rows, says", [
+    ([], "empty"), ([(None, "2019-01", None), (None, "2019-02", None)], "any date"), ([(None, "2019-01", None), (1, "2019-02", 1.0)], "some dates"),
+    ([(0, "2019-01", 1.0), (0, "2019-02", 1.0), (1, "2019-02", 1.0)], "between 1 and 2"), ([(0, "2019-01", None), (0, "2019-02", None)], "no value")])
+def test_strict_timeseries(spark, rows, says):
+    with pytest.raises(err.InvalidTimeSeries, match=says):
+        series(spark, rows, ("a",)).timeseries_table(strict=True)
+
+
+def test_timeseries_labels_are_bounded_by_the_session(spark):
+    z = series(spark, [(i, "2019-01", 1.0) for i in range(5)], ("a",))
+    spark.conf.set("spark.sql.pivotMaxValues", 4)
+    try:
+        with pytest.raises(err.InvalidTimeSeries, match="name the wanted"):
+            z.timeseries_table()
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+    assert z.timeseries_table().columns == ["t", "0", "1", "2", "3", "4"]
+
+
 # -- run tables
 
 
