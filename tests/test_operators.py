@@ -433,6 +433,20 @@ def test_random_points(spark):
         g.vector_to_random_points(total_count=1, seed=1).df.collect()
 
 
+def test_random_points_total_below_the_number_of_geometries(spark, tmp_path):
+    from cubeloom.registry import REGISTRY
+
+    boxes = [{"type": "Polygon", "id": i, "coordinates": [[(i, 0), (i + 1, 0), (i + 1, 1), (i, 0)]]} for i in range(5)]
+    g = Geometries.from_shapes(spark, boxes, 3857)
+    assert g.vector_to_random_points(total_count=4, group=False, seed=1, strict=False).df.count() == 0
+    assert g.vector_to_random_points(total_count=11, group=False, seed=1, strict=False).df.count() == 10
+    # the registered query, as its twin: even shares of 4,000 points, whatever the number of polygons
+    for suppliers, n in ((3000, 4000), (12003, 0)):
+        path = str(tmp_path / str(suppliers))
+        spark.range(suppliers).select(F.col("id").alias("s_suppkey"), F.lit(1.0).alias("s_acctbal"), F.lit(1).alias("s_nationkey")).write.parquet(path + "/supplier.parquet")
+        assert [tuple(r) for r in REGISTRY["vector_to_random_points_total"].run(spark, path).collect()] == [(n,)]
+
+
 def test_trapezoids_fill_the_polygon():
     rng = np.random.default_rng(5)
     turn = np.linspace(0, 2 * np.pi, 100_000, endpoint=False)
