@@ -555,6 +555,44 @@ def test_compare_share_and_missing(spark):
         compare.cube_differences(a, a.rename_dimension("x", "lon"))
 
 
+def test_outlines_over_blocks_and_planes(spark):
+    """Areas that cross the blocks of the grid, by the sides of each pixel and by union of all pixels of a value that touch."""
+    rng = np.random.default_rng(8)
+    data = rng.integers(0, 2, (2, 67, 131)).astype(float)
+    data[0, :, 63:65] = 1
+    data[1, 63:65, :] = 0
+    cells = [(x * 10, y * 10 - 300, t, float(data[t, y, x])) for t in range(2) for y in range(67) for x in range(131) if (x * y + t) % 11]
+    cube = Cube.of(spark.createDataFrame(cells, "x long, y long, t long, value double"), temporal=(), other=("t",), bands=["value"], band_dim=None, step=10.0)
+    value = {(t, x, y): v for x, y, t, v in cells}
+    area = {c: None for c in value}
+    for c in sorted(value, key=lambda c: (c[0], c[2], c[1])):  # the first pixel names the area
+        todo = [c] if area[c] is None else []
+        while todo:
+            t, x, y = p = todo.pop()
+            if area[p] is None:
+                area[p] = f"{t}:{(c[2] + 300) // 10 * 131 + c[1] // 10}"
+                todo += [q for q in ((t, x + 10, y), (t, x - 10, y), (t, x, y + 10), (t, x, y - 10)) if value.get(q) == value[p]]
+    want = []
+    for (t, x, y), v in value.items():
+        for dx, dy, side in ((0, -10, (-5, -5, 5, -5)), (0, 10, (-5, 5, 5, 5)), (-10, 0, (-5, -5, -5, 5)), (10, 0, (5, -5, 5, 5))):
+            if value.get((t, x + dx, y + dy)) != v:
+                want.append((t, area[t, x, y], v, float(x + side[0]), float(y + side[1]), float(x + side[2]), float(y + side[3])))
+    assert sorted(tuple(r) for r in cube.raster_to_vector().collect()) == sorted(want)
+
+
+def test_sides_of_outlines_are_not_shuffled(spark):
+    """Sides are known from the neighbours of a cell; only cells that have a neighbour of their value meet the areas."""
+    plan = grid(spark, [[1, 2, 1, 1], [2, 1, 2, 1]]).raster_to_vector()._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(1)" not in plan and "near" in plan.split("Join")[1]
+
+
+def test_cells_that_come_twice_have_no_sides(spark):
+    rows = [(0, 0, 1.0), (1, 0, 1.0), (1, 0, 1.0), (2, 0, 2.0), (None, None, 2.0)]
+    cube = Cube.of(spark.createDataFrame(rows, "x long, y long, value double"), temporal=(), bands=["value"], band_dim=None)
+    got = sorted(tuple(r) for r in cube.raster_to_vector().groupBy("feature_id").count().collect())
+    assert got == [(":0", 3), (":2", 4)]
+
+
 def test_polygons_of_areas_with_holes_and_corners_that_touch(spark):
     from cubeloom.operators.geometry import pixel_hits
 
