@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .merge import outer_join
+
 
 def cube_differences(actual, expected, rtol: float = 1e-6, atol: float = 1e-6) -> DataFrame:
     """Per slice of the non-spatial labels and band, how far the two cubes differ.
@@ -19,7 +21,7 @@ def cube_differences(actual, expected, rtol: float = 1e-6, atol: float = 1e-6) -
     value = a.schema.values[0]
     left = a.df.select(*dims, F.col(value).cast("double").alias("__a"))
     right = e.df.select(*dims, F.col(value).cast("double").alias("__e"))
-    both = left.join(right, dims, "full_outer")
+    both = outer_join(left, right, a.schema)
     gap = F.abs(F.col("__a") - F.col("__e"))
     bad = F.coalesce(
         (gap > atol + rtol * F.abs(F.col("__e"))) & ~(F.isnan("__a") & F.isnan("__e")),

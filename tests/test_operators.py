@@ -433,6 +433,25 @@ def test_random_points(spark):
         g.vector_to_random_points(total_count=1, seed=1).df.collect()
 
 
+@pytest.mark.parametrize("type, labels", [("other", ("a", "b")), ("temporal", ("2020-01-01", "2021-01-01"))])
+def test_merge_of_constant_labels_never_tries_all_pairs(spark, type, labels):
+    """Different constants on both sides: a join by keys, with nulls and repeated cells as in any outer join."""
+    rows = [(0, 0, 1.0), (1, 0, 2.0), (1, 0, 3.0), (None, 0, 4.0)]
+    flat = Cube.of(spark.createDataFrame(rows, "x long, y long, value double"), temporal=(), bands=["value"], band_dim=None)
+    a, b = (flat.add_dimension("k", label, type) for label in labels)
+    for apart in (a.merge_cubes(b), a.filter_bbox([-9, -9, 9, 9]).merge_cubes(b.filter_bbox([-9, -9, 9, 9]))):
+        assert "NestedLoop" not in apart.df._jdf.queryExecution().executedPlan().toString()
+    merged = a.merge_cubes(b)
+    assert merged.schema.dim_names == ["x", "y", "k"] and merged.df.columns == ["x", "y", "k", "value"]
+    found = [(r.x, r.value, str(r.k)[:10]) for r in merged.df.collect()]
+    assert sorted(found, key=str) == sorted([(x, v, label) for x, _, v in rows for label in labels], key=str)
+    same = [(r.x, r.value) for r in a.merge_cubes(a, lambda p, q: p * 10 + q).df.collect()]
+    assert sorted(same, key=str) == sorted([(0, 11.0), *[(1, p * 10 + q) for p in (2.0, 3.0) for q in (2.0, 3.0)], (None, 4.0), (None, 4.0)], key=str)
+    gaps = compare.cube_differences(a, b)
+    assert "NestedLoop" not in gaps._jdf.queryExecution().executedPlan().toString()
+    assert {str(r.k)[:10]: r.diff_count for r in gaps.collect()} == {label: 4 for label in labels}
+
+
 def test_random_points_total_below_the_number_of_geometries(spark, tmp_path):
     from cubeloom.registry import REGISTRY
 
